@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-LINE_BREAK = "\r\n|\r|\n"
+LINE_BREAKS = ("\r\n", "\r", "\n")
 
 
 def strict_or_null(value: Column, to: str, lenient: bool = False) -> Column:
@@ -36,8 +36,14 @@ def part(line: Column, sep: str, index: int) -> Column:
 
 
 def words_of_lines(text: Column) -> Column:
-    """Blank-separated words of every line of a text; empty words are kept."""
-    return F.split(text, LINE_BREAK + "| ")
+    """Blank-separated words of every line of a text; empty words are kept.
+
+    Line breaks become blanks first: splitting at a single character needs no regular
+    expression engine and takes about half the time.
+    """
+    for line_break in LINE_BREAKS:
+        text = F.replace(text, F.lit(line_break), F.lit(" "))
+    return F.split(text, " ")
 
 
 def characters(text: Column) -> Column:

@@ -27,21 +27,18 @@ def word_counts(df: DataFrame, words: Column, weight: Column | None = None) -> D
     return counts.orderBy(F.desc("n"), "word")
 
 
-def grouped_values(df: DataFrame, key: str, value: str, spread: str, max_values: int = 10_000) -> DataFrame:
+def grouped_values(df: DataFrame, key: str, value: str, spread: Column, max_values: int = 10_000) -> DataFrame:
     """The values of each key as sorted arrays ``(key, slice, values)`` of about ``max_values`` each.
 
     A key with few values has the single slice 0. A larger one is cut by ``spread``, a whole
-    number column that varies within the key (a row id), so no group has to fit into one row.
-    The explicit repartition keeps the grouping from reusing the join's partitioning, which
-    would put all slices of a frequent key back into one task.
+    number that differs between the rows of a key and has no pattern, such as a hash of a row
+    id, so no group has to fit into one row. The explicit repartition keeps the grouping from
+    reusing the join's partitioning, which would put all slices of a frequent key back into
+    one task.
     """
-    rows = df.select(F.col(key), F.col(value), F.col(spread).alias("_spread"))
-    slices = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_values)).alias("_slices"))
-    slices = slices.withColumnRenamed(key, "_key")
-    sliced = rows.join(slices, rows[key].eqNullSafe(slices["_key"]))
-    sliced = sliced.withColumn("slice", F.pmod(F.col("_spread"), F.col("_slices")))
-    return (
-        sliced.repartition(key, "slice")
-        .groupBy(key, "slice")
-        .agg(F.array_sort(F.collect_list(value)).alias("values"))
+    rows = df.select(F.col(key), F.col(value), spread.alias("_spread"))
+    slices = rows.groupBy(F.col(key).alias("_key")).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_values)).alias("_slices"))
+    sliced = rows.join(slices, rows[key].eqNullSafe(slices["_key"])).withColumn(
+        "slice", F.pmod(F.col("_spread"), F.col("_slices"))
     )
+    return sliced.repartition(key, "slice").groupBy(key, "slice").agg(F.array_sort(F.collect_list(value)).alias("values"))

@@ -8,7 +8,8 @@ import duckdb
 from pyspark.sql import DataFrame
 
 TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
 ).split()
 
 

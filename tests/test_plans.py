@@ -24,7 +24,7 @@ def initial_plan(df):
 @pytest.mark.parametrize("key", BATCH)
 def test_no_cross_join_and_no_python(spark, key):
     plan = initial_plan(QUERIES[key](spark, SF))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "MapInPandas", "InPandas"):
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas"):
         assert operator not in plan
 
 
@@ -63,13 +63,15 @@ def hot_user_data(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("hot"))
     row = F.col("id")
     user = F.when(row % 3 == 0, 7).otherwise(F.pmod(F.xxhash64("id"), F.lit(5000)))
-    spark.range(0, 300_000, 1, 8).select(row.alias("event_id"), user.alias("user_id")).write.parquet(f"{folder}/events.parquet")
-    spark.range(0, 5000).select(
+    events = spark.range(0, 300_000, 1, 8).select(row.alias("event_id"), user.alias("user_id"))
+    customer = spark.range(0, 5000).select(
         row.alias("c_custkey"), (row % 25).cast("int").alias("c_nationkey"), F.lit("BUILDING").alias("c_mktsegment")
-    ).write.parquet(f"{folder}/customer.parquet")
-    spark.range(0, 25).select(
+    )
+    nation = spark.range(0, 25).select(
         row.cast("int").alias("n_nationkey"), F.concat(F.lit("N"), row.cast("string")).alias("n_name")
-    ).write.parquet(f"{folder}/nation.parquet")
+    )
+    for name, rows in {"events": events, "customer": customer, "nation": nation}.items():
+        rows.write.parquet(f"{folder}/{name}.parquet")
     return folder
 
 

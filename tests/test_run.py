@@ -38,13 +38,14 @@ def test_persisted(spark, tmp_path, form):
     assert snapshots.last_batch(spark, f"{out}/payload").first().label == ["Ankara"]
 
 
-@pytest.mark.parametrize("job,table,column", [("running", "top", "location"), ("copy", "lines", "value"), ("archive", "tweets", "tweet")])
+@pytest.mark.parametrize(
+    "job,table,column", [("running", "top", "location"), ("copy", "lines", "value"), ("archive", "tweets", "tweet")]
+)
 def test_other_jobs(spark, tmp_path, job, table, column):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "feed.txt").write_text("Ankara\nAnkara\n", encoding="utf-8")
-    args = run.arguments(
-        [job, "--path", str(tmp_path / "in"), "--checkpoint", str(tmp_path / "ck"), "--out", str(tmp_path / "out"), "--once"]
-    )
+    paths = ["--path", str(tmp_path / "in"), "--checkpoint", str(tmp_path / "ck"), "--out", str(tmp_path / "out")]
+    args = run.arguments([job, *paths, "--once"])
     run.start(spark, args).awaitTermination()
     path = f"{tmp_path}/out/{table}"
     rows = spark.read.text(path) if job == "copy" else spark.read.parquet(path)

@@ -69,8 +69,9 @@ def test_running_counts_resume_from_their_checkpoint(spark, tmp_path):
 def test_state_top_and_payload(spark, tmp_path):
     write_files(tmp_path / "in", split(FEED, 2))
     out = tmp_path / "out"
+    feed = places(spark, tmp_path / "in")
     query = jobs.start_running_counts(
-        places(spark, tmp_path / "in"), str(tmp_path / "ck"), f"{out}/counts", f"{out}/top", f"{out}/payload", k=3, trigger=NOW
+        feed, str(tmp_path / "ck"), f"{out}/counts", f"{out}/top", f"{out}/payload", k=3, trigger=NOW
     )
     finish(query)
     assert as_counter(snapshots.last_batch(spark, f"{out}/top")) == Counter({"Ankara": 5, "Van": 3, "İzmir": 2})
@@ -101,7 +102,11 @@ def test_ledger_ignores_replays_and_adds_runs(spark, tmp_path):
     write_files(tmp_path / "in", split(FEED, 3))
     root = str(tmp_path / "ledger")
     first = CounterLedger(root, "first", fold_every=2)
-    run = lambda ledger, ck: finish(jobs.start_persisted_counts(places(spark, tmp_path / "in"), str(tmp_path / ck), ledger, trigger=NOW))
+
+    def run(ledger, checkpoint):
+        feed = places(spark, tmp_path / "in")
+        finish(jobs.start_persisted_counts(feed, str(tmp_path / checkpoint), ledger, trigger=NOW))
+
     run(first, "ck1")
     for batch, part in enumerate(split(FEED, 3)):
         first.record(spark.createDataFrame([(p,) for p in part], "location STRING"), batch)
@@ -128,7 +133,11 @@ def test_failed_batch_is_retried_without_double_counting(spark, tmp_path):
                 raise RuntimeError("lost after the write")
 
     ledger = Failing(f"{out}/ledger", "run", fold_every=2)
-    start = lambda: jobs.start_persisted_counts(places(spark, tmp_path / "in"), str(tmp_path / "ck"), ledger, f"{out}/top", trigger=NOW)
+
+    def start():
+        feed = places(spark, tmp_path / "in")
+        return jobs.start_persisted_counts(feed, str(tmp_path / "ck"), ledger, f"{out}/top", trigger=NOW)
+
     with pytest.raises(Exception, match="lost after the write"):
         finish(start())
     ledger.fail = False
@@ -158,7 +167,8 @@ def test_copy_archive_and_location_log(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(f"{out}/copy").collect()) == sorted(raw)
     finish(jobs.start_archive(lines(), str(tmp_path / "ck2"), f"{out}/all", trigger=NOW))
     assert sorted(r.tweet for r in stored_table(spark, path=f"{out}/all").collect()) == sorted(raw)
-    finish(jobs.start_archive(lines(), str(tmp_path / "ck3"), f"{out}/located", located_only=True, clean_quotes=True, trigger=NOW))
+    located = {"located_only": True, "clean_quotes": True}
+    finish(jobs.start_archive(lines(), str(tmp_path / "ck3"), f"{out}/located", **located, trigger=NOW))
     kept = sorted(r.tweet for r in stored_table(spark, path=f"{out}/located").collect())
     assert kept == sorted(m.replace("'", " ") for m in (raw[0], raw[2]))
     finish(jobs.start_location_log(lines(), str(tmp_path / "ck4"), f"{out}/log", trigger=NOW))

@@ -33,7 +33,13 @@ def parsed_messages(lines: DataFrame, value: str = "value") -> DataFrame:
     return (
         lines.select(F.explode(F.array(message)).alias("m"))
         .where(F.col("m").isNotNull() & F.col(f"m.{_BROKEN}").isNull())
-        .select("m.id", "m.text", "m.lang", F.col("m.place.name").alias("place"), F.col("m.user.location").alias("location"))
+        .select(
+            "m.id",
+            "m.text",
+            "m.lang",
+            F.col("m.place.name").alias("place"),
+            F.col("m.user.location").alias("location"),
+        )
     )
 
 

@@ -41,4 +41,5 @@ def grouped_values(df: DataFrame, key: str, value: str, spread: Column, max_valu
     sliced = rows.join(slices, rows[key].eqNullSafe(slices["_key"])).withColumn(
         "slice", F.pmod(F.col("_spread"), F.col("_slices"))
     )
-    return sliced.repartition(key, "slice").groupBy(key, "slice").agg(F.array_sort(F.collect_list(value)).alias("values"))
+    spread_out = sliced.repartition(key, "slice")
+    return spread_out.groupBy(key, "slice").agg(F.array_sort(F.collect_list(value)).alias("values"))

@@ -59,7 +59,9 @@ def paired_with(df: DataFrame, values: Sequence[int | float | str], name: str) -
     return df.select("*", F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
 
 
-def dimension_counts(facts: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str, dimension_id: str) -> DataFrame:
+def dimension_counts(
+    facts: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str, dimension_id: str
+) -> DataFrame:
     """The dimension with ``n``, the number of facts whose key equals its own; 0 where none does.
 
     Facts are matched before they are counted, so values outside the dimension, of which

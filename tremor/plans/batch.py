@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from tremor.functions import messages as msg
 from tremor.functions.places import location_key, location_label, upper_case
-from tremor.functions.text import characters, decimal_comma, part, quotes_to_spaces, words_of_lines
+from tremor.functions.text import (
+    characters,
+    decimal_comma,
+    part,
+    quotes_to_spaces,
+    with_decimal_comma,
+    words_of_lines,
+)
 from tremor.operators import bags, grouping, joins, ranking
 from tremor.plans import feeds
 from tremor.plans.registry import registered
@@ -20,7 +27,7 @@ from tremor.workspace import new_folder
 
 
 @registered(
-    rf"""
+    r"""
     WITH lines AS (
       SELECT unnest(string_split_regex(text, '\r\n|\r|\n')) AS line FROM documents)
     SELECT length(line)::INT AS n_chars, count(*) AS n_lines FROM lines GROUP BY 1"""
@@ -97,7 +104,11 @@ def header_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- JSON messages
 
 
-@registered(f"WITH {feeds.MESSAGES_SQL} SELECT event_id AS id, text, place FROM messages WHERE place IS NOT NULL AND NOT broken")
+@registered(
+    f"""
+    WITH {feeds.MESSAGES_SQL}
+    SELECT event_id AS id, text, place FROM messages WHERE place IS NOT NULL AND NOT broken"""
+)
 def json_extract_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return msg.messages_with_place(feeds.message_lines(spark, sf_dir), need_text=True).select("id", "text", "place")
 
@@ -112,7 +123,11 @@ def json_extract_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.select("id", location_key(F.col("location")).alias("location"))
 
 
-@registered(f"WITH {feeds.MESSAGES_SQL} SELECT event_id AS id, location FROM messages WHERE location IS NOT NULL AND NOT broken")
+@registered(
+    f"""
+    WITH {feeds.MESSAGES_SQL}
+    SELECT event_id AS id, location FROM messages WHERE location IS NOT NULL AND NOT broken"""
+)
 def filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = msg.parsed_messages(feeds.message_lines(spark, sf_dir))
     return messages.where(F.col("location").isNotNull()).select("id", "location")
@@ -188,8 +203,8 @@ def dim_city_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     f"""
-    WITH {feeds.PLACES_SQL}, lines AS (SELECT location, event_type, props FROM places JOIN events USING (event_id))
-    SELECT location, count(*) AS location_count FROM lines GROUP BY location"""
+    WITH {feeds.PLACES_SQL}
+    SELECT location, count(*) AS location_count FROM places GROUP BY location"""
 )
 def parse_tagged_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("user_id", "event_type", "props")
@@ -220,7 +235,8 @@ def proj_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 30")
 def filter_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where(F.col("l_quantity") > 30).select("l_orderkey", "l_linenumber", "l_quantity")
+    lines = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") > 30)
+    return lines.select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 @registered("SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'ring')")
@@ -334,7 +350,11 @@ def join_broadcast_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.sorted_by(named, "sub_total", "product_id", descending=True)
 
 
-@registered("SELECT c_mktsegment, round(sum(c_acctbal::DECIMAL(18,2))::DOUBLE / count(c_acctbal), 6) AS avg_salary FROM customer GROUP BY 1")
+@registered(
+    """
+    SELECT c_mktsegment, round(sum(c_acctbal::DECIMAL(18,2))::DOUBLE / count(c_acctbal), 6) AS avg_salary
+    FROM customer GROUP BY 1"""
+)
 def agg_avg_salary(spark: SparkSession, sf_dir: str) -> DataFrame:
     mean = grouping.exact_sum("c_acctbal") / F.count("c_acctbal")
     return table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.round(mean, 6).alias("avg_salary"))
@@ -384,10 +404,15 @@ def agg_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT l_quantity AS item, count(*) AS n FROM lineitem GROUP BY 1")
 def agg_count_by_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_quantity").alias("item")).agg(F.count(F.lit(1)).alias("n"))
+    items = table(spark, sf_dir, "lineitem").select(F.col("l_quantity").alias("item"))
+    return items.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
 
 
-@registered("SELECT sum(l_quantity::BIGINT)::BIGINT AS sum_qty, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS sum_price FROM lineitem")
+@registered(
+    """
+    SELECT sum(l_quantity::BIGINT)::BIGINT AS sum_qty, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS sum_price
+    FROM lineitem"""
+)
 def agg_global_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").agg(
         F.sum(F.col("l_quantity").cast("bigint")).alias("sum_qty"),
@@ -404,9 +429,7 @@ def agg_global_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sql_sum_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = feeds.user_places(spark, sf_dir)
     orders = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("user_id"), F.replace(
-            F.col("o_totalprice").cast("decimal(12,2)").cast("string"), F.lit("."), F.lit(",")
-        ).alias("UnitPrice")
+        F.col("o_custkey").alias("user_id"), with_decimal_comma(F.col("o_totalprice")).alias("UnitPrice")
     )
     retail = orders.join(users, "user_id").select(
         F.col("place").alias("Country"), decimal_comma(F.col("UnitPrice"), "decimal(12,2)").alias("UnitPrice")
@@ -431,7 +454,8 @@ def sql_sum_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = feeds.order_item_rows(spark, sf_dir)
     item_lines = items.select(F.concat_ws(",", "item_name", "order_id", "product_id", "quantity").alias("line"))
-    product_lines = table(spark, sf_dir, "part").select(F.concat_ws(",", "p_partkey", "p_name", "p_brand").alias("line"))
+    parts = table(spark, sf_dir, "part")
+    product_lines = parts.select(F.concat_ws(",", "p_partkey", "p_name", "p_brand").alias("line"))
     line = F.col("line")
     left = item_lines.select(
         part(line, ",", 2).alias("product_id"),
@@ -452,8 +476,10 @@ def join_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH {feeds.PRODUCTS_SQL}
     SELECT (SELECT count(*) FROM lineitem) AS left_rows, (SELECT count(*) FROM products) AS right_rows,
            (SELECT count(*) FROM lineitem JOIN products ON l_partkey = product_id) AS joined_rows,
-           (SELECT count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT product_id FROM products)) AS left_without_partner,
-           (SELECT count(*) FROM products WHERE product_id NOT IN (SELECT l_partkey FROM lineitem)) AS right_without_partner"""
+           (SELECT count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT product_id FROM products))
+             AS left_without_partner,
+           (SELECT count(*) FROM products WHERE product_id NOT IN (SELECT l_partkey FROM lineitem))
+             AS right_without_partner"""
 )
 def join_integrity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = feeds.order_item_rows(spark, sf_dir)
@@ -484,7 +510,8 @@ def sort_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT o_orderpriority, o_orderkey FROM orders ORDER BY 1, 2")
 def sort_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.sorted_by(table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey"), "o_orderpriority", "o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey")
+    return ranking.sorted_by(orders, "o_orderpriority", "o_orderkey")
 
 
 @registered(
@@ -498,7 +525,8 @@ def topk_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 3")
 def topk_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.top_k(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", 3, "o_orderkey")
+    prices = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return ranking.top_k(prices, "o_totalprice", 3, "o_orderkey")
 
 
 @registered("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 4")
@@ -509,7 +537,8 @@ def topk_smallest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT event_id, event_type, value FROM events ORDER BY event_id LIMIT 20")
 def limit_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.top_k(table(spark, sf_dir, "events").select("event_id", "event_type", "value"), "event_id", 20, descending=False)
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    return ranking.top_k(events, "event_id", 20, descending=False)
 
 
 # ---------------------------------------------------------------- bags and sets
@@ -543,7 +572,11 @@ def set_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bags.distinct_intersection(_order_customers(spark, sf_dir), _event_users(spark, sf_dir))
 
 
-@registered(f"WITH {_BAGS_SQL} SELECT id FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.id IS NOT DISTINCT FROM a.id)")
+@registered(
+    f"""
+    WITH {_BAGS_SQL}
+    SELECT id FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.id IS NOT DISTINCT FROM a.id)"""
+)
 def set_subtract_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bags.bag_subtract(_order_customers(spark, sf_dir), _event_users(spark, sf_dir))
 
@@ -573,7 +606,8 @@ def str_format_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     """
     SELECT p_partkey, lower(p_type) AS type_lower, length(p_type)::INT AS type_length,
-           array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS name_initcap
+           array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')
+             AS name_initcap
     FROM part"""
 )
 def str_case_length(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -608,7 +642,8 @@ def str_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT p_partkey, regexp_replace(p_name, 'r[ei]', 'İST', 'g') AS replaced FROM part")
 def str_regexp_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", F.regexp_replace("p_name", "r[ei]", "İST").alias("replaced"))
+    replaced = F.regexp_replace("p_name", "r[ei]", "İST")
+    return table(spark, sf_dir, "part").select("p_partkey", replaced.alias("replaced"))
 
 
 @registered(
@@ -616,6 +651,6 @@ def str_regexp_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT p_partkey, p_brand AS first_item, 3::INT AS n_items FROM part"""
 )
 def str_split_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("|", "p_brand", "p_type", "p_name").alias("items"))
-    split = listed.withColumn("items", F.split("items", r"\|"))
+    items = F.concat_ws("|", "p_brand", "p_type", "p_name")
+    split = table(spark, sf_dir, "part").select("p_partkey", F.split(items, r"\|").alias("items"))
     return split.select("p_partkey", F.get("items", 0).alias("first_item"), F.size("items").alias("n_items"))

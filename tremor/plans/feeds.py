@@ -125,7 +125,7 @@ def retail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").cast("string").alias("StockCode"),
         F.concat(F.lit("LINE "), F.col("l_linenumber").cast("string")).alias("Description"),
         F.col("l_quantity").cast("int").cast("string").alias("Quantity"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("InvoiceDate"),
+        F.col("l_shipdate").cast("date").cast("string").alias("InvoiceDate"),
         with_decimal_comma(F.col("l_extendedprice")).alias("UnitPrice"),
     )
 
@@ -150,7 +150,9 @@ def order_item_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(product_id, product_name, revision)``. The largest sizes are missing, and economy parts have two revisions."""
     part = table(spark, sf_dir, "part").where(F.col("p_size") <= 45)
-    first = part.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"), F.lit(1).alias("revision"))
+    first = part.select(
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"), F.lit(1).alias("revision")
+    )
     second = part.where(F.col("p_type") == "ECONOMY").select(
         F.col("p_partkey").alias("product_id"),
         F.concat("p_name", F.lit(" v2")).alias("product_name"),

@@ -120,7 +120,11 @@ def st_dashboard_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.as_json_fields(snapshots.last_batch(spark, f"{out}/payload"))
 
 
-@registered(f"WITH {feeds.MESSAGES_SQL} SELECT location, count(*) AS n FROM messages WHERE location IS NOT NULL GROUP BY location")
+@registered(
+    f"""
+    WITH {feeds.MESSAGES_SQL}
+    SELECT location, count(*) AS n FROM messages WHERE location IS NOT NULL GROUP BY location"""
+)
 def st_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "archive")
     lines = feeds.message_lines(spark, sf_dir, with_broken=False)

@@ -21,7 +21,9 @@ from tremor.streaming.snapshots import dashboard_payload, top_places, write_batc
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}
 
 
-def _start(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str, trigger: dict) -> StreamingQuery:
+def _start(
+    df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str, trigger: dict
+) -> StreamingQuery:
     return (
         df.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
@@ -97,7 +99,9 @@ def start_batch_counts(
     return _start(lines, handle, checkpoint, "append", trigger)
 
 
-def start_copy(lines: DataFrame, checkpoint: str, out: str, fmt: str = "text", trigger: dict = EVERY_30_SECONDS) -> StreamingQuery:
+def start_copy(
+    lines: DataFrame, checkpoint: str, out: str, fmt: str = "text", trigger: dict = EVERY_30_SECONDS
+) -> StreamingQuery:
     """Every line as it came, appended to a folder (or shown, with format ``console``)."""
     writer = lines.writeStream.format(fmt).option("checkpointLocation", checkpoint).trigger(**trigger)
     return writer.start() if fmt == "console" else writer.start(out)
@@ -119,7 +123,9 @@ def start_archive(
     return start_copy(rows, checkpoint, out, "parquet", trigger)
 
 
-def start_location_log(messages: DataFrame, checkpoint: str, out: str, trigger: dict = EVERY_30_SECONDS) -> StreamingQuery:
+def start_location_log(
+    messages: DataFrame, checkpoint: str, out: str, trigger: dict = EVERY_30_SECONDS
+) -> StreamingQuery:
     """Locations of JSON messages appended to text files, one per line; messages without one are left out."""
     located = parsed_messages(messages).where(F.col("location").isNotNull())
     return start_copy(located.select(F.col("location").alias("value")), checkpoint, out, "text", trigger)

@@ -66,6 +66,17 @@ def test_running_counts_resume_from_their_checkpoint(spark, tmp_path):
     assert as_counter(snapshots.last_batch(spark, out)) == TOTALS
 
 
+def test_state_partitions_are_the_query_s_own(spark, tmp_path):
+    write_files(tmp_path / "in", split(FEED, 1))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    feed = places(spark, tmp_path / "in")
+    out = str(tmp_path / "counts")
+    finish(jobs.start_running_counts(feed, str(tmp_path / "ck"), out, trigger=NOW, state_partitions=2))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before != "2"
+    assert sorted(p.name for p in (tmp_path / "ck" / "state" / "0").iterdir() if p.name.isdigit()) == ["0", "1"]
+    assert as_counter(snapshots.last_batch(spark, out)) == TOTALS
+
+
 def test_state_top_and_payload(spark, tmp_path):
     write_files(tmp_path / "in", split(FEED, 2))
     out = tmp_path / "out"

@@ -17,6 +17,7 @@ from tremor.streaming.ledger import CounterLedger
 from tremor.workspace import new_folder
 
 ALL_NOW = {"availableNow": True}
+STATE_PARTITIONS = 8
 
 _COUNTS_SQL = f"WITH {feeds.PLACES_SQL} SELECT location, count(*) AS location_count FROM places GROUP BY location"
 _TOP_SQL = f"{_COUNTS_SQL} ORDER BY location_count DESC, location LIMIT 10"
@@ -40,7 +41,10 @@ def _place_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def st_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "running")
     places = _place_stream(spark, sf_dir)
-    _finish(jobs.start_running_counts(places, f"{out}/checkpoint", f"{out}/counts", trigger=ALL_NOW))
+    query = jobs.start_running_counts(
+        places, f"{out}/checkpoint", f"{out}/counts", trigger=ALL_NOW, state_partitions=STATE_PARTITIONS
+    )
+    _finish(query)
     return snapshots.last_batch(spark, f"{out}/counts")
 
 
@@ -49,7 +53,12 @@ def st_topk_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "state-top")
     places = _place_stream(spark, sf_dir)
     query = jobs.start_running_counts(
-        places, f"{out}/checkpoint", f"{out}/counts", top=f"{out}/top", trigger=ALL_NOW
+        places,
+        f"{out}/checkpoint",
+        f"{out}/counts",
+        top=f"{out}/top",
+        trigger=ALL_NOW,
+        state_partitions=STATE_PARTITIONS,
     )
     _finish(query)
     return snapshots.last_batch(spark, f"{out}/top")
@@ -60,7 +69,10 @@ def st_snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest count of each place over all appended snapshots; counts only grow, so it is the last."""
     out = new_folder(spark, "snapshots")
     places = _place_stream(spark, sf_dir)
-    _finish(jobs.start_running_counts(places, f"{out}/checkpoint", f"{out}/counts", trigger=ALL_NOW))
+    query = jobs.start_running_counts(
+        places, f"{out}/checkpoint", f"{out}/counts", trigger=ALL_NOW, state_partitions=STATE_PARTITIONS
+    )
+    _finish(query)
     appended = snapshots.read_batches(spark, f"{out}/counts")
     return appended.groupBy("location").agg(F.max("location_count").alias("location_count"))
 

@@ -7,9 +7,10 @@ fail the query; it resumes from its checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,13 +25,20 @@ EVERY_30_SECONDS = {"processingTime": "30 seconds"}
 def _start(
     df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str, trigger: dict
 ) -> StreamingQuery:
-    return (
-        df.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .foreachBatch(handle)
-        .start()
-    )
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(**trigger)
+    return writer.foreachBatch(handle).start()
+
+
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """Sets the shuffle partitions for a query started inside; a started query keeps its own copy."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, before if number is None else number)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def running_counts(places: DataFrame) -> DataFrame:
@@ -46,10 +54,15 @@ def start_running_counts(
     payloads: str | None = None,
     k: int = 10,
     trigger: dict = EVERY_30_SECONDS,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Running counts in the query's state; each batch stores them all.
 
     Optionally each batch also stores its top ``k`` and that top's dashboard payload.
+
+    Batches send at most one row per place and task to the state, so few ``state_partitions``
+    do for any volume of lines; a cluster's usual shuffle setting would start that many tasks
+    and write that many files in every batch. A checkpoint keeps the number it began with.
     """
 
     def handle(counts: DataFrame, batch_id: int) -> None:
@@ -60,7 +73,8 @@ def start_running_counts(
         if payloads:
             write_batch(dashboard_payload(top_places(stored, k)), payloads, batch_id)
 
-    return _start(running_counts(places), handle, checkpoint, "complete", trigger)
+    with _shuffle_partitions(places.sparkSession, state_partitions):
+        return _start(running_counts(places), handle, checkpoint, "complete", trigger)
 
 
 def start_persisted_counts(

@@ -40,7 +40,7 @@ class CounterLedger:
         return _summed(self._since_last_fold(spark, batch_id)).withColumnRenamed("delta", "location_count")
 
     def totals(self, spark: SparkSession) -> DataFrame:
-        """``(location, location_count)`` over every run and batch."""
+        """``(location, location_count)`` over every run and batch, read from every batch folder."""
         return _summed(self._deltas(spark)).withColumnRenamed("delta", "location_count")
 
     def _since_last_fold(self, spark: SparkSession, batch_id: int) -> DataFrame:

@@ -33,6 +33,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--run-id", help="names this checkpoint's run in the ledger (job persisted)")
     parser.add_argument("--top", type=int, default=10)
     parser.add_argument("--seconds", type=int, default=30, help="time between batches")
+    parser.add_argument("--state-partitions", type=int, default=8, help="tasks that hold the counts (job running)")
     parser.add_argument("--once", action="store_true", help="process what is there, then stop")
     return parser.parse_args(argv)
 
@@ -62,7 +63,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     if args.job == "running":
         return jobs.start_running_counts(
             places(feed, args.format), args.checkpoint, f"{args.out}/counts", f"{args.out}/top", f"{args.out}/payload",
-            args.top, trigger,
+            args.top, trigger, args.state_partitions,
         )
     if args.job == "persisted":
         if not args.run_id:

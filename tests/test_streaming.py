@@ -10,6 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tremor.sources.cities import cities
 from tremor.sources.streams import folder_lines
 from tremor.sources.tables import stored_table
 from tremor.streaming import jobs, snapshots
@@ -186,6 +187,18 @@ def test_copy_archive_and_location_log(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(f"{out}/log").collect()) == ["Malatya", "Van, TR"]
 
 
+def test_city_counts(spark, tmp_path):
+    located = ["Ankara, TR", "ankara", "VAN", "Ank", None, "Paris", "Van,x"]
+    raw = [json.dumps({"id": n, "text": "t", "user": {"location": place}}) for n, place in enumerate(located)]
+    write_files(tmp_path / "in", split([*raw, "{broken"], 2))
+    ledger = CounterLedger(str(tmp_path / "ledger"), "run")
+    lines = folder_lines(spark, str(tmp_path / "in"), files_per_trigger=1)
+    finish(jobs.start_city_counts(lines, str(tmp_path / "ck"), ledger, cities(spark), trigger=NOW))
+    assert as_counter(ledger.totals(spark)) == Counter({"Ankara": 2, "Van": 2})
+    rows = jobs.city_totals(cities(spark), ledger.totals(spark)).collect()
+    assert len(rows) == 81 and sum(r.n for r in rows) == 4
+
+
 def test_shared_folder_comes_from_the_session(spark):
     from tremor.workspace import new_folder, shared_root
 

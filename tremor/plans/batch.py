@@ -517,7 +517,8 @@ def sort_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     f"""
     WITH {feeds.PLACES_SQL}
-    SELECT location, count(*) AS location_count FROM places GROUP BY 1 ORDER BY location_count DESC, location LIMIT 10"""
+    SELECT location, count(*) AS location_count FROM places GROUP BY location
+    ORDER BY location_count DESC, location LIMIT 10"""
 )
 def topk_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.top_k(feeds.place_counts(spark, sf_dir), "location_count", 10, "location")

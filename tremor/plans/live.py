@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tremor.functions.messages import stored_location
 from tremor.plans import feeds
 from tremor.plans.registry import registered
+from tremor.sources.cities import cities
 from tremor.sources.tables import stored_table, table
 from tremor.streaming import jobs, snapshots
 from tremor.streaming.ledger import CounterLedger
@@ -114,6 +115,20 @@ def st_topk_persisted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.last_batch(spark, f"{out}/top")
 
 
+@registered(
+    f"""
+    WITH {feeds.MESSAGES_SQL},
+    keys AS (SELECT upper(split_part(location, ',', 1)) AS k FROM messages WHERE location IS NOT NULL AND NOT broken)
+    SELECT id, city, count(k) AS n FROM cities LEFT JOIN keys ON k = upper(city) GROUP BY id, city"""
+)
+def st_city_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_folder(spark, "city-counts")
+    ledger = CounterLedger(f"{out}/ledger", run_id=uuid.uuid4().hex)
+    stream = feeds.replayed(spark, feeds.message_lines(spark, sf_dir), _n_events(spark, sf_dir), "messages")
+    _finish(jobs.start_city_counts(stream, f"{out}/checkpoint", ledger, cities(spark), trigger=ALL_NOW))
+    return jobs.city_totals(cities(spark), ledger.totals(spark))
+
+
 @registered(
     f"""
     WITH top AS ({_TOP_SQL})

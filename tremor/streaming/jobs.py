@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tremor.functions.messages import parsed_messages
+from tremor.functions.places import location_key, upper_case
 from tremor.functions.text import part, quotes_to_spaces
 from tremor.streaming.ledger import CounterLedger
 from tremor.streaming.snapshots import dashboard_payload, top_places, write_batch
@@ -101,6 +102,31 @@ def start_persisted_counts(
     return _start(places, handle, checkpoint, "append", trigger)
 
 
+def start_city_counts(
+    messages: DataFrame,
+    checkpoint: str,
+    ledger: CounterLedger,
+    dimension: DataFrame,
+    trigger: dict = EVERY_30_SECONDS,
+) -> StreamingQuery:
+    """Persisted counts of JSON messages per city of ``dimension(id, city)``, by the user's location.
+
+    Locations are matched before they are counted, so the ledger holds cities only. Read the
+    result with ``city_totals``.
+    """
+    located = parsed_messages(messages).where(F.col("location").isNotNull())
+    keys = located.select(location_key(F.col("location")).alias("key"))
+    names = dimension.select(upper_case(F.col("city")).alias("key"), F.col("city").alias("location"))
+    return start_persisted_counts(keys.join(names, "key").select("location"), checkpoint, ledger, trigger=trigger)
+
+
+def city_totals(dimension: DataFrame, totals: DataFrame) -> DataFrame:
+    """``(id, city, n)`` for every city, 0 where none was counted."""
+    counts = totals.select(F.col("location").alias("city"), F.col("location_count").alias("n"))
+    n = F.coalesce("n", F.lit(0).cast("bigint"))
+    return dimension.join(counts, "city", "left").select("id", "city", n.alias("n"))
+
+
 def start_batch_counts(
     lines: DataFrame, checkpoint: str, out: str, position: int = 1, sep: str = ";", trigger: dict = EVERY_30_SECONDS
 ) -> StreamingQuery:

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tremor.functions.messages import messages_with_place, tagged_places
+from tremor.sources.cities import cities
 from tremor.sources.streams import folder_lines, kafka_lines, socket_lines
 from tremor.streaming import jobs
 from tremor.streaming.ledger import CounterLedger
 
-JOBS = ("running", "persisted", "batch", "copy", "archive", "locations")
+JOBS = ("running", "persisted", "cities", "batch", "copy", "archive", "locations")
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -30,7 +31,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--format", choices=("place", "tagged", "json"), default="place", help="what a line holds")
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--out", required=True)
-    parser.add_argument("--run-id", help="names this checkpoint's run in the ledger (job persisted)")
+    parser.add_argument("--run-id", help="names this checkpoint's run in the ledger (jobs persisted, cities)")
     parser.add_argument("--top", type=int, default=10)
     parser.add_argument("--seconds", type=int, default=30, help="time between batches")
     parser.add_argument("--state-partitions", type=int, default=8, help="tasks that hold the counts (job running)")
@@ -65,11 +66,14 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
             places(feed, args.format), args.checkpoint, f"{args.out}/counts", f"{args.out}/top", f"{args.out}/payload",
             args.top, trigger, args.state_partitions,
         )
-    if args.job == "persisted":
+    if args.job in ("persisted", "cities"):
         if not args.run_id:
-            raise SystemExit("job persisted needs --run-id")
+            raise SystemExit(f"job {args.job} needs --run-id")
+        ledger = CounterLedger(f"{args.out}/ledger", args.run_id)
+        if args.job == "cities":
+            return jobs.start_city_counts(feed, args.checkpoint, ledger, cities(spark), trigger)
         return jobs.start_persisted_counts(
-            places(feed, args.format), args.checkpoint, CounterLedger(f"{args.out}/ledger", args.run_id),
+            places(feed, args.format), args.checkpoint, ledger,
             f"{args.out}/top", f"{args.out}/payload", args.top, trigger,
         )
     if args.job == "batch":

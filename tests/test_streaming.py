@@ -6,6 +6,7 @@ import json
 import os
 import uuid
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -199,6 +200,18 @@ def test_city_counts(spark, tmp_path):
     assert len(rows) == 81 and sum(r.n for r in rows) == 4
 
 
+def test_a_cluster_needs_a_shared_folder():
+    from tremor.workspace import shared_root
+
+    def session(master, folder):
+        context = SimpleNamespace(master=master, applicationId="none")
+        return SimpleNamespace(conf={"spark.checkpoint.dir": folder}, sparkContext=context)
+
+    assert shared_root(session("spark://host:7077", "hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(session("spark://host:7077", None))
+
+
 def test_shared_folder_comes_from_the_session(spark):
     from tremor.workspace import new_folder, shared_root
 

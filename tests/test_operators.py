@@ -41,6 +41,12 @@ def test_bags_with_nulls_and_copies(spark):
     assert bag(bags.distinct_intersection(left, right)) == Counter({(2,): 1, (None,): 1})
 
 
+def test_subtract_from_itself_drops_the_header(spark):
+    lines = spark.createDataFrame([("Invoice;Qty",), ("1;2",), ("1;2",), ("Invoice;Qty",)], "value STRING")
+    header = lines.where(F.col("value").contains("Invoice")).limit(1)
+    assert bag(bags.bag_subtract(lines, header)) == Counter({("1;2",): 2})
+
+
 def test_bags_like_python_on_random_pairs(spark):
     rng = random.Random(7)
     draw = lambda n: [(rng.choice([None, 0, 1, 2, 3]), rng.choice(["a", "b", None])) for _ in range(n)]

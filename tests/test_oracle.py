@@ -39,3 +39,23 @@ def test_flagship_runs(spark):
     counts = [row.location_count for row in rows]
     assert 0 < len(rows) <= 10
     assert counts == sorted(counts, reverse=True)
+
+
+ORDERED = {
+    "sort_by_key": lambda r: r.k,
+    "sort_column": lambda r: (r.o_orderpriority, r.o_orderkey),
+    "wordcount": lambda r: (-r.n, r.word.encode()),
+    "agg_sales_by_product": lambda r: (-r.sub_total, r.product_id),
+    "join_broadcast_lookup": lambda r: (-r.sub_total, r.product_id),
+    "json_location_count": lambda r: -r.n,
+    "sql_sum_by_country": lambda r: (-r.UnitPrice, r.Country),
+    "topk_locations": lambda r: (-r.location_count, r.location),
+    "topk_smallest": lambda r: (r.o_totalprice, r.o_orderkey),
+}
+
+
+@pytest.mark.parametrize("key", sorted(ORDERED))
+def test_rows_come_in_order(spark, key):
+    rows = QUERIES[key](spark, "/root/testdata/sf0.001").collect()
+    places = [ORDERED[key](row) for row in rows]
+    assert len(rows) > 1 and places == sorted(places)

@@ -6,9 +6,9 @@ import pytest
 
 import __spark_entry__ as entry_point
 from tests.helpers import duck, duck_bag, spark_bag
+from tremor.plans.registry import ORACLES as SQL
+from tremor.plans.registry import QUERIES
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +32,8 @@ def test_same_rows(spark, data, key):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_flagship_runs(spark):

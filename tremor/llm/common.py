@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +28,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Gives the executors this package, once a session, unless they share its folder by PYTHONPATH."""
+    root = Path(__file__).resolve().parents[2]
+    context = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    archive = Path(tempfile.mkdtemp(prefix="tremor-package-")) / "tremor.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted((root / "tremor").rglob("*.py")):
+            out.write(module, module.relative_to(root))
+    context.addPyFile(str(archive))
+
+
+_shipped: set[str] = set()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.llm.common import documents
+from tremor.llm.mixing import Mix, mix_totals
 from tremor.llm.near_dups import near_duplicates
 from tremor.llm.registry import registered
+from tremor.llm.secrets import BASE_RULES, MORE_RULES, listed, of_kind, secret_findings
+from tremor.workspace import new_folder
 
 
 @registered()
@@ -17,3 +20,23 @@ def op1_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@registered()
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three base rules and four more, from a ledger that begins empty."""
+    rules = BASE_RULES + MORE_RULES
+    findings = secret_findings(documents(spark, sf_dir), new_folder(spark, "llm-secret-ledger"), rules)
+    base = F.filter("found", lambda f: f["rank"] < len(BASE_RULES))
+    counts = [
+        F.size(F.filter("found", of_kind(rule.kind))).cast("bigint").alias(f"n_{rule.kind}") for rule in BASE_RULES
+    ]
+    return findings.select(
+        "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans")
+    )
+
+
+@registered()
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights 5, 2, 1 over the sources, at most three passes over each."""
+    return mix_totals(documents(spark, sf_dir), Mix())

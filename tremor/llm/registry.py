@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tremor.llm.common import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -14,7 +17,12 @@ ORACLES: dict[str, str] = {}
 
 def registered(sql: str | None = None) -> Callable[[Query], Query]:
     def add(query: Query) -> Query:
-        QUERIES[query.__name__] = query
+        @wraps(query)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return query(spark, sf_dir)
+
+        QUERIES[query.__name__] = shipped
         if sql is not None:
             ORACLES[query.__name__] = sql
         return query

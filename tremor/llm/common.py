@@ -5,8 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,3 +80,15 @@ def bounded_groups(postings: DataFrame, key: str, member: Column, block: int) ->
     placed = sized.select("_key", "_member", F.explode(F.when(chunks == 1, whole).otherwise(cut)).alias("_block"))
     groups = placed.groupBy("_key", "_block.i", "_block.j").agg(F.collect_list("_member").alias("members"))
     return groups.where(F.size("members") > 1).select("members")
+
+
+def slices(values: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of a binary array that hold about ``most`` bytes, or a single longer value."""
+    if not len(values):
+        return
+    ends = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False))
+    first, before = 0, 0
+    while first < len(values):
+        last = max(first + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield first, last
+        first, before = last, int(ends[last - 1])

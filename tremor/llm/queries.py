@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremor.llm.bpe import coded
 from tremor.llm.common import documents
+from tremor.llm.language_id import Ppm, held_out, identified, learned
 from tremor.llm.mixing import Mix, mix_totals
 from tremor.llm.near_dups import near_duplicates
 from tremor.llm.registry import registered
 from tremor.llm.secrets import BASE_RULES, MORE_RULES, listed, of_kind, secret_findings
 from tremor.workspace import new_folder
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 
 @registered()
 def op1_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,3 +45,16 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights 5, 2, 1 over the sources, at most three passes over each."""
     return mix_totals(documents(spark, sf_dir), Mix())
+
+
+@registered()
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the documents that are not held out: remainder 2 of 4 is."""
+    docs = documents(spark, sf_dir).withColumn("held_out", held_out("doc_id", 4, 2))
+    trees = learned(docs.where("NOT held_out"), Ppm())
+    return identified(docs.select("doc_id", "held_out", "text"), trees).drop("text", "bits_per_byte")
+
+
+@registered()
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded(documents(spark, sf_dir), VOCABULARY)

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremor.llm.common import stored
 from tremor.llm.spans import let, masked, match_spans
 
 LEDGER_SCHEMA = (
@@ -94,25 +95,23 @@ def _finding(rank: int, rule: Rule) -> Callable[[Column], Column]:
     )
 
 
-def secret_findings(
-    docs: DataFrame, ledger: str, rules: tuple[Rule, ...], text: str = "text", doc_id: str = "doc_id"
-) -> DataFrame:
-    """``(doc_id, blob, found)`` for every row, after bringing the ledger folder up to date.
+def blob_address(text: str) -> Column:
+    """The SHA-256 of the content; NULL counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+
 
-    ``found`` is sorted by start and rule. A NULL text counts as empty, a NULL id stays NULL,
-    repeated rows and copies each get the findings of their one blob, other columns are not
-    read, and an empty table gives an empty result. The ledger is a Parquet table that only
-    grows; an update that is repeated after a failure finds its pairs scanned already.
+def blob_findings(docs: DataFrame, ledger: str, rules: tuple[Rule, ...], text: str = "text") -> DataFrame:
+    """``(blob, found)`` of every content in the ledger folder, after bringing it up to date with ``docs``.
+
+    ``found`` is sorted by start and rule. The ledger is a Parquet table that only grows; an
+    update that is repeated after a failure finds its pairs scanned already.
     """
     spark = docs.sparkSession
     _new_ledger(spark, ledger)
     versions = F.array(*[F.lit(rule.version) for rule in rules])
-    content = F.coalesce(F.col(text), F.lit(""))
-    paths = docs.select(
-        F.col(doc_id).alias("doc_id"), F.unhex(F.sha2(content, 256)).alias("blob"), content.alias("text")
-    )
+    contents = docs.select(blob_address(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     seen = _ledger(spark, ledger).groupBy("blob").agg(F.flatten(F.collect_list("versions")).alias("seen"))
-    blobs = paths.groupBy("blob").agg(F.first("text").alias("text")).join(seen, "blob", "left")
+    blobs = contents.groupBy("blob").agg(F.first("text").alias("text")).join(seen, "blob", "left")
     missing = F.when(F.col("seen").isNull(), versions).otherwise(F.array_except(versions, F.col("seen")))
     unseen = blobs.select("blob", "text", missing.alias("versions")).where(F.size("versions") > 0)
     scanned = unseen.select("blob", "versions", scan(F.col("text"), F.col("versions"), rules).alias("found"))
@@ -120,8 +119,37 @@ def secret_findings(
 
     held = _ledger(spark, ledger).groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("found"))
     current = F.array_distinct(F.filter("found", lambda f: F.array_contains(versions, f["version"])))
-    held = held.select("blob", F.sort_array(current).alias("found"))
-    return paths.select("doc_id", "blob").join(held, "blob").select("doc_id", "blob", "found")
+    # Stored, so that a join can split the many paths of a frequent blob.
+    return stored(held.select("blob", F.sort_array(current).alias("found")), "secret-findings")
+
+
+def secret_findings(
+    docs: DataFrame, ledger: str, rules: tuple[Rule, ...], text: str = "text", doc_id: str = "doc_id"
+) -> DataFrame:
+    """``(doc_id, blob, found)`` for every row.
+
+    A NULL text counts as empty, a NULL id stays NULL, repeated rows and copies each get the
+    findings of their one blob, other columns are not read, and an empty table gives an empty
+    result.
+    """
+    paths = docs.select(F.col(doc_id).alias("doc_id"), blob_address(text).alias("blob"))
+    held = blob_findings(docs, ledger, rules, text)
+    return paths.join(held, "blob").select("doc_id", "blob", "found")
+
+
+def without_secrets(docs: DataFrame, ledger: str, rules: tuple[Rule, ...], text: str = "text") -> DataFrame:
+    """``docs`` with every secret masked, and ``n_chars``, if there, counted anew where one was."""
+    held = blob_findings(docs, ledger, rules, text).where(F.size("found") > 0)
+    held = held.select(F.col("blob").alias("_secret_blob"), F.col("found").alias("_secret_found"))
+    joined = docs.withColumn("_secret_of", blob_address(text)).join(
+        held, F.col("_secret_of") == F.col("_secret_blob"), "left"
+    )
+    hit = F.col("_secret_found").isNotNull()
+    made = joined.withColumn(text, F.when(hit, redacted(F.col(text), F.col("_secret_found"))).otherwise(F.col(text)))
+    if "n_chars" in docs.columns:
+        counted = F.char_length(text).cast(docs.schema["n_chars"].dataType)
+        made = made.withColumn("n_chars", F.when(hit, counted).otherwise(F.col("n_chars")))
+    return made.select(*docs.columns)
 
 
 def _new_ledger(spark: SparkSession, folder: str) -> None:

@@ -60,12 +60,13 @@ def utf8(text: str | Column) -> Column:
 
 
 def bounded_groups(postings: DataFrame, key: str, member: Column, block: int) -> DataFrame:
-    """``members`` arrays such that any two members of a key meet in at least one array.
+    """``(key, i, j, members)`` such that any two members of a key meet in at least one array.
 
     Keys with one member are left out. A key of up to ``block`` members gives one array. A
-    larger one is cut into chunks by a hash of the member, and every pair of chunks gives an
-    array, so none exceeds about ``2 * block`` members, a frequent key is worked on by many
-    tasks, and still no pair is lost.
+    larger one is cut into chunks by a hash of the member, and every pair of chunks ``i <= j``
+    gives an array, so none exceeds about ``2 * block`` members, a frequent key is worked on by
+    many tasks, and still no pair is lost. Elements are ``(chunk, member)``: two members of the
+    same chunk meet in several arrays, but in one with ``i = j`` only.
     """
     rows = postings.select(F.col(key).alias("_key"), member.alias("_member"))
     sizes = rows.groupBy(F.col("_key").alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
@@ -77,9 +78,10 @@ def bounded_groups(postings: DataFrame, key: str, member: Column, block: int) ->
         F.sequence(F.lit(0).cast("bigint"), chunks - 1),
         lambda other: F.struct(F.least(mine, other).alias("i"), F.greatest(mine, other).alias("j")),
     )
-    placed = sized.select("_key", "_member", F.explode(F.when(chunks == 1, whole).otherwise(cut)).alias("_block"))
-    groups = placed.groupBy("_key", "_block.i", "_block.j").agg(F.collect_list("_member").alias("members"))
-    return groups.where(F.size("members") > 1).select("members")
+    element = F.struct(mine.alias("chunk"), F.col("_member").alias("member")).alias("_element")
+    placed = sized.select("_key", element, F.explode(F.when(chunks == 1, whole).otherwise(cut)).alias("_block"))
+    groups = placed.groupBy(F.col("_key").alias("key"), F.col("_block.i").alias("i"), F.col("_block.j").alias("j"))
+    return groups.agg(F.collect_list("_element").alias("members")).where(F.size("members") > 1)
 
 
 def slices(values: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:

@@ -7,12 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.llm.bpe import coded
-from tremor.llm.common import documents
+from tremor.llm.common import documents, stored
+from tremor.llm.fingerprints import fingerprinted, with_near_counts
 from tremor.llm.language_id import Ppm, held_out, identified, learned
 from tremor.llm.mixing import Mix, mix_totals
 from tremor.llm.near_dups import near_duplicates
+from tremor.llm.quality import LineRules, quality
 from tremor.llm.registry import registered
 from tremor.llm.secrets import BASE_RULES, MORE_RULES, listed, of_kind, secret_findings
+from tremor.llm.sharding import sharded
 from tremor.workspace import new_folder
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -58,3 +61,46 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded(documents(spark, sf_dir), VOCABULARY)
+
+
+@registered()
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards whose row counts are at most one apart."""
+    content = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = documents(spark, sf_dir).select(
+        "doc_id",
+        (F.octet_length(content) + 1).cast("bigint").alias("size"),
+        F.crc32(content).alias("text_crc32"),
+    )
+    placed = sharded(rows, shards=8, seed=3, order=("doc_id", "text_crc32", "size"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@registered()
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality(documents(spark, sf_dir).select("doc_id", "text"), LineRules())
+    return judged.drop("text", "cleaned")
+
+
+@registered()
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With ``n_near``, the number of other documents whose fingerprint is within four bits."""
+    marked = stored(fingerprinted(documents(spark, sf_dir)), "fingerprinted")
+    return with_near_counts(marked, radius=4).select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        F.lower(F.hex("fp")).alias("fingerprint"),
+        F.lower(F.hex("edited_fp")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        "n_near",
+    )

@@ -161,7 +161,8 @@ def _draws(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
             "last": F.least((F.col("block") + 1) * words, end) - start,
         }
     )
-    return plan, pieces.join(_slots(sources, mix), ["source_no", "block"])
+    # Spark takes the slots for as small as the few rows they come from; they grow with the mix.
+    return plan, pieces.join(_slots(sources, mix).hint("merge"), ["source_no", "block"])
 
 
 def mix_totals(docs: DataFrame, mix: Mix, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

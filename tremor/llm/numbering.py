@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows that a bucket holds on average.
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 1024
 
 
 def with_offsets(

@@ -21,7 +21,7 @@ from tremor.workspace import new_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """The rows, written below ``spark.checkpoint.dir`` and read back.
 
     It cuts the lineage: a lost executor costs the tasks at hand, not what came before, and
@@ -29,7 +29,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     folder = new_folder(spark, f"llm-{label}")
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=compression)
     return spark.read.schema(df.schema).parquet(folder)
 
 

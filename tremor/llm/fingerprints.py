@@ -17,13 +17,13 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremor.llm.common import bounded_groups, slices, stored
+from tremor.llm.ranges import range_bounds, range_part
 
 BITS = 128
 #: Members of a table's entry that one array may hold; larger entries are cut into chunk pairs.
@@ -58,13 +58,6 @@ def likeness(a: bytes, b: bytes) -> float:
     return 1 - differing.bit_count() / BITS
 
 
-def _bounds(docs: DataFrame, parts: int) -> np.ndarray:
-    """Ids of the table, ascending, that cut it into about ``parts`` ranges; the last is the largest."""
-    shares = F.array(*[F.lit(k / parts) for k in range(1, parts)])
-    row = docs.agg(F.percentile_approx("doc_id", shares, 10_000).alias("cuts"), F.max("doc_id").alias("top")).first()
-    return np.unique([*(row.cuts or []), *([] if row.top is None else [row.top])]).astype(np.int64)
-
-
 def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``(part, role, doc_id, text)`` sorted so that each row's next row is its next document.
 
@@ -75,25 +68,16 @@ def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
     """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = _bounds(rows, 4 * tasks)
+    bounds = range_bounds(rows, 4 * tasks)
     parts = max(1, len(bounds))
-
-    @F.pandas_udf("part int, head boolean")
-    def part_of(ids: pd.Series) -> pd.DataFrame:
-        own = ids.astype("Int64")
-        numbers = own.fillna(0).to_numpy(np.int64)
-        known = ~own.isna().to_numpy()
-        # NULL ids come after the smallest id: in the part of the lowest range.
-        part = np.where(known, np.searchsorted(bounds, numbers), 0).astype(np.int32)
-        head = known & (bounds[np.minimum(part, parts - 1)] == numbers) if len(bounds) else ~known
-        return pd.DataFrame({"part": part, "head": head})
-
-    placed = rows.withColumn("_part", part_of("doc_id"))
+    placed = rows.withColumn("_part", range_part(F.col("doc_id"), bounds))
+    # Where no row has an id, there is one part, and any row may stand for its first.
+    head = F.col("_part.bound") if len(bounds) else F.lit(True)
     part = F.col("_part.part")
     own = F.struct(part.alias("part"), F.lit(0).alias("role"))
     ahead = F.struct(((part + 1) % parts).alias("part"), F.lit(1).alias("role"))
     sent = placed.select(
-        "doc_id", "text", F.explode(F.when(F.col("_part.head"), F.array(own, ahead)).otherwise(F.array(own))).alias("_to")
+        "doc_id", "text", F.explode(F.when(head, F.array(own, ahead)).otherwise(F.array(own))).alias("_to")
     )
     dealt = sent.select("_to.part", "_to.role", "doc_id", "text").repartition(tasks, "part")
     return dealt.sortWithinPartitions("part", "role", F.col("doc_id").desc_nulls_last(), "text")

@@ -16,6 +16,7 @@ from tremor.llm.quality import LineRules, quality
 from tremor.llm.registry import registered
 from tremor.llm.secrets import BASE_RULES, MORE_RULES, listed, of_kind, secret_findings
 from tremor.llm.sharding import sharded
+from tremor.llm.token_files import read_token_files, write_token_files
 from tremor.workspace import new_folder
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -104,3 +105,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_next",
         "n_near",
     )
+
+
+@registered()
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids with the end id 2, written to files and read back."""
+    folder = new_folder(spark, "llm-token-files")
+    write_token_files(documents(spark, sf_dir), folder, VOCABULARY, end_id=2)
+    return read_token_files(spark, folder)

@@ -10,6 +10,7 @@ from tremor.llm.bpe import coded
 from tremor.llm.common import documents, stored
 from tremor.llm.fingerprints import fingerprinted, with_near_counts
 from tremor.llm.language_id import Ppm, held_out, identified, learned
+from tremor.llm.lm_scoring import Scoring, scored
 from tremor.llm.mixing import Mix, mix_totals
 from tremor.llm.near_dups import near_duplicates
 from tremor.llm.quality import LineRules, quality
@@ -113,3 +114,13 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "llm-token-files")
     write_token_files(documents(spark, sf_dir), folder, VOCABULARY, end_id=2)
     return read_token_files(spark, folder)
+
+
+@registered()
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the documents that are not held out: remainder 0 of 10 is."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = scored(docs, ~held_out("doc_id", 10, 0), Scoring())
+    return found.withColumn("held_out", ~F.col("trains")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )

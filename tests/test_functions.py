@@ -40,7 +40,7 @@ def test_decimal_comma(spark):
     assert values(spark, text.decimal_comma(v(), lenient=True), ["x", "1,5"]) == [None, 1.5]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         values(spark, text.decimal_comma(v()), ["x"])
-    assert values(spark, text.with_decimal_comma(v()), [2.5, -0.07], "DOUBLE") == ["2,50", "-0,07"]
+    assert values(spark, text.with_decimal_comma(v(), 3), [2.5, -0.0704], "DOUBLE") == ["2,500", "-0,070"]
 
 
 def test_line_pieces_keep_empties_and_fail_when_short(spark):
@@ -98,13 +98,48 @@ def test_messages_like_a_json_parser_with_dropped_failures(spark):
         json.dumps(dict(good, id=8, user=None)),
     ]
     df = lines(spark, rows)
-    assert [r.id for r in msg.parsed_messages(df).orderBy("id").collect()] == [1, 2, 3, 6, 7, 8]
-    assert [r.id for r in msg.messages_with_place(df).orderBy("id").collect()] == [2, 3, 7, 8]
+    assert [r.id for r in msg.parsed_messages(df).orderBy("id").collect()] == list("123678")
+    assert [r.id for r in msg.messages_with_place(df).orderBy("id").collect()] == list("2378")
     with_text = msg.messages_with_place(df, need_text=True).orderBy("id").collect()
-    assert [(r.id, r.place) for r in with_text] == [(2, "Ankara"), (7, "Ankara"), (8, "Ankara")]
+    assert [(r.id, r.place) for r in with_text] == [("2", "Ankara"), ("7", "Ankara"), ("8", "Ankara")]
     assert with_text[1].text == 'it\'s "quoted" Çalışma' and with_text[1].location is None
 
 
+def test_a_defect_in_one_field_spares_the_others(spark):
+    rows = [
+        '{"id":"m1","place":{"name":"Ankara"},"user":{"location":"Van"}}',
+        '{"id":123456789012345678901234567890,"place":{"name":"Ankara"},"user":{"location":"Van"}}',
+        '{"id":3,"place":{"name":"Ankara"},"user":"nobody"}',
+        '{"id":4,"place":"somewhere","user":{"location":"Van"}}',
+        '{"id":5,"place":{"name":"Ankara"},"user":{"location":"Van"},"coordinates":"none"}',
+        '{"id":6,"coordinates":{"type":"Point","coordinates":[30.5,39.75]}}',
+        '[1, 2]',
+        '{"id":8,"place":{"name":"X"}',
+    ]
+    found = {r.id: (r.place, r.location, r.lon, r.lat) for r in msg.parsed_messages(lines(spark, rows)).collect()}
+    assert found == {
+        "m1": ("Ankara", "Van", None, None),
+        "123456789012345678901234567890": ("Ankara", "Van", None, None),
+        "3": ("Ankara", None, None, None),
+        "4": (None, "Van", None, None),
+        "5": ("Ankara", "Van", None, None),
+        "6": (None, None, 30.5, 39.75),
+    }
+
+
+def test_subscribed_lines_stay_as_they_came(spark):
+    inside = {"lang": "tr", "text": "x", "coordinates": {"coordinates": [30, 40]}}
+    rows = [json.dumps(r) for r in (inside, dict(inside, lang="en"), dict(inside, coordinates=None, text="#deprem"))]
+    kept = msg.subscribed(lines(spark, [*rows, "{"]), msg.subscription()).collect()
+    assert [r.value for r in kept] == [rows[0], rows[2]]
+
+
+def test_lines_keep_the_place_of_unknown_fields(spark):
+    df = spark.createDataFrame([("a", None, "c")], "x STRING, y STRING, z STRING")
+    assert df.select(text.line_of(";", "x", "y", "z")).first()[0] == "a;;c"
+    assert values(spark, text.filled(text.part(v(), ";", 1)), ["a;;c", "a;b;c"]) == [None, "b"]
+
+
 def test_each_line_is_parsed_once(spark):
     plan = msg.messages_with_place(lines(spark, ["{}"]), need_text=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1

@@ -48,7 +48,7 @@ ORDERED = {
     "sort_column": lambda r: (r.o_orderpriority, r.o_orderkey),
     "wordcount": lambda r: (-r.n, r.word.encode()),
     "agg_sales_by_product": lambda r: (-r.sub_total, r.product_id),
-    "join_broadcast_lookup": lambda r: (-r.sub_total, r.product_id),
+    "join_broadcast_lookup": lambda r: (-r.n_chars, r.doc_id),
     "json_location_count": lambda r: -r.n,
     "sql_sum_by_country": lambda r: (-r.UnitPrice, r.Country),
     "topk_locations": lambda r: (-r.location_count, r.location),

@@ -33,7 +33,7 @@ def test_scans_read_only_what_is_used(spark):
     assert "ReadSchema: struct<user_id:bigint>" in plan
     assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int>" in plan
     plan = initial_plan(QUERIES["agg_global_sum"](spark, SF))
-    assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double>" in plan
+    assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_discount:double,l_tax:double>" in plan
 
 
 def test_filters_reach_the_scan(spark):

@@ -16,29 +16,35 @@ FEED_BOX = (-130.0, -20.0, 100.0, 50.0)
 FEED_TERM = "#deprem"
 
 _BROKEN = "_broken"
+# Every field as text: a defect in one then spoils neither the others nor the record.
 _MESSAGE_SCHEMA = (
-    "id BIGINT, text STRING, lang STRING, place STRUCT<name: STRING>, user STRUCT<location: STRING>, "
-    f"{_BROKEN} STRING"
+    f"id STRING, text STRING, lang STRING, place STRING, user STRING, coordinates STRING, {_BROKEN} STRING"
 )
 
 
-def parsed_messages(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``(id, text, lang, place, location)`` of every well-formed JSON line; broken lines are dropped.
+def parsed_messages(lines: DataFrame, value: str = "value", keep: str | None = None) -> DataFrame:
+    """``(id, text, lang, place, location, lon, lat)`` of every line that holds a JSON object.
 
-    The corrupt-record column keeps Spark from returning the readable half of a cut-off
-    record. Exploding a one-element array keeps filters on the fields above the parse;
+    Only lines that are no JSON object are dropped; a field that is absent, null or of another
+    type than expected is NULL by itself. ``keep`` names a column of the line to hand on. ``id`` stays text, as feeds write it both as a number
+    of any length and as text. The corrupt-record column keeps Spark from returning the
+    readable half of a cut-off record. Exploding a one-element array keeps filters on the fields above the parse;
     written as a plain column, the parse would be repeated in every filter.
     """
+    own = [] if keep is None else [F.col(keep)]
     message = F.from_json(F.col(value), _MESSAGE_SCHEMA, {"columnNameOfCorruptRecord": _BROKEN})
     return (
-        lines.select(F.explode(F.array(message)).alias("m"))
+        lines.select(F.explode(F.array(message)).alias("m"), *own)
         .where(F.col("m").isNotNull() & F.col(f"m.{_BROKEN}").isNull())
         .select(
+            *own,
             "m.id",
             "m.text",
             "m.lang",
-            F.col("m.place.name").alias("place"),
-            F.col("m.user.location").alias("location"),
+            F.get_json_object("m.place", "$.name").alias("place"),
+            F.get_json_object("m.user", "$.location").alias("location"),
+            F.get_json_object("m.coordinates", "$.coordinates[0]").try_cast("double").alias("lon"),
+            F.get_json_object("m.coordinates", "$.coordinates[1]").try_cast("double").alias("lat"),
         )
     )
 
@@ -63,6 +69,11 @@ def subscription(
     return (F.col("lang") == language) & (inside | F.col("text").contains(term))
 
 
+def subscribed(lines: DataFrame, predicate: Column, value: str = "value") -> DataFrame:
+    """The lines, as they came, whose message meets the predicate; broken lines do not."""
+    return parsed_messages(lines, value, keep=value).where(predicate).select(value)
+
+
 def tagged_line(text: Column, place: Column) -> Column:
     """One message in the tagged line format."""
     mark = F.lit(f" {RECORD_MARK} ")

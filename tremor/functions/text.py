@@ -20,9 +20,9 @@ def decimal_comma(value: Column, to: str = "double", lenient: bool = False) -> C
     return strict_or_null(F.replace(value, F.lit(","), F.lit(".")), to, lenient)
 
 
-def with_decimal_comma(value: Column, scale: int = 2) -> Column:
-    """The inverse: a number as text with a decimal comma."""
-    return F.replace(value.cast(f"decimal(18,{scale})").cast("string"), F.lit("."), F.lit(","))
+def with_decimal_comma(value: Column, scale: int) -> Column:
+    """The inverse: a number as text with a decimal comma and ``scale`` decimals."""
+    return F.replace(value.cast(f"decimal(28,{scale})").cast("string"), F.lit("."), F.lit(","))
 
 
 def parts(line: Column, sep: str) -> Column:
@@ -35,6 +35,16 @@ def part(line: Column, sep: str, index: int) -> Column:
     return parts(line, sep)[index]
 
 
+def line_of(sep: str, *fields: str) -> Column:
+    """Fields joined to a line; a NULL one is empty, so that none changes its place."""
+    return F.concat_ws(sep, *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields])
+
+
+def filled(piece: Column) -> Column:
+    """A piece of a line, NULL where it is empty."""
+    return F.nullif(piece, F.lit(""))
+
+
 def words_of_lines(text: Column) -> Column:
     """Blank-separated words of every line of a text; empty words are kept.
 

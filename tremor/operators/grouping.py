@@ -6,14 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def exact_sum(value: Column | str, scale: int = 2) -> Column:
-    """Sum as a decimal of the given scale, returned as a double.
+def exact_sum(value: Column | str, scale: int = 10) -> Column:
+    """Sum as a decimal with ``scale`` decimals, returned as a double.
+
+    The scale is there to keep what the values hold, not to round them to money: a value too
+    large for it fails the query. Round the result, if at all.
 
     A plain sum of doubles depends on the order in which partitions arrive, so a retried
     task could change the last digits.
     """
     column = F.col(value) if isinstance(value, str) else value
-    return F.sum(column.cast(f"decimal(18,{scale})")).cast("double")
+    return F.sum(column.cast(f"decimal(28,{scale})")).cast("double")
 
 
 def word_counts(df: DataFrame, words: Column, weight: Column | None = None) -> DataFrame:
@@ -27,19 +30,23 @@ def word_counts(df: DataFrame, words: Column, weight: Column | None = None) -> D
     return counts.orderBy(F.desc("n"), "word")
 
 
-def grouped_values(df: DataFrame, key: str, value: str, spread: Column, max_values: int = 10_000) -> DataFrame:
+def grouped_values(df: DataFrame, key: str, value: str, spread: Column, max_values: int) -> DataFrame:
     """The values of each key as sorted arrays ``(key, slice, values)`` of about ``max_values`` each.
 
-    A key with few values has the single slice 0. A larger one is cut by ``spread``, a whole
+    NULL values are kept, last in their array. A key of n values gives ``ceil(n / max_values)``
+    rows: one row has to fit into memory, and a key may hold a third of all rows. It is cut by ``spread``, a whole
     number that differs between the rows of a key and has no pattern, such as a hash of a row
-    id, so no group has to fit into one row. The explicit repartition keeps the grouping from
+    id, or by a hash of the row where that is NULL. The explicit repartition keeps the grouping from
     reusing the join's partitioning, which would put all slices of a frequent key back into
     one task.
     """
-    rows = df.select(F.col(key), F.col(value), spread.alias("_spread"))
+    rows = df.select(F.col(key), F.col(value), F.coalesce(spread, F.xxhash64(*df.columns)).alias("_spread"))
     slices = rows.groupBy(F.col(key).alias("_key")).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_values)).alias("_slices"))
     sliced = rows.join(slices, rows[key].eqNullSafe(slices["_key"])).withColumn(
         "slice", F.pmod(F.col("_spread"), F.col("_slices"))
     )
     spread_out = sliced.repartition(key, "slice")
-    return spread_out.groupBy(key, "slice").agg(F.array_sort(F.collect_list(value)).alias("values"))
+    # Wrapped, as collect_list leaves NULLs out.
+    wrapped = F.collect_list(F.struct(F.col(value).alias("value")))
+    values = F.array_sort(F.transform(wrapped, lambda v: v["value"]))
+    return spread_out.groupBy(key, "slice").agg(values.alias("values"))

@@ -12,9 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_PAIR_VALUES = 1_000
-
-
 def latest_by_key(rows: DataFrame, key: str, value: str, version: str) -> DataFrame:
     """``(key, value)`` with one row per key, the one with the highest version."""
     return rows.groupBy(key).agg(F.max_by(value, version).alias(value))
@@ -31,6 +28,7 @@ def looked_up(totals: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 def key_match_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """One row: sizes of both sides and of their inner join, and rows without a partner.
 
+    The join's size is a decimal, as a key frequent on both sides can exceed 64 bits.
     Both sides are reduced to counts per key, which give the join's size by multiplication;
     the joined rows are never formed.
     """
@@ -43,7 +41,7 @@ def key_match_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return per_key.agg(
         F.coalesce(F.sum("l"), F.lit(0)).alias("left_rows"),
         F.coalesce(F.sum("r"), F.lit(0)).alias("right_rows"),
-        F.coalesce(F.sum(F.when(matched, F.col("l") * F.col("r"))), F.lit(0)).alias("joined_rows"),
+        F.coalesce(F.sum(F.when(matched, F.col("l").cast("decimal(38,0)") * F.col("r"))), F.lit(0)).alias("joined_rows"),
         F.coalesce(lonely("l", "r"), F.lit(0)).alias("left_without_partner"),
         F.coalesce(lonely("r", "l"), F.lit(0)).alias("right_without_partner"),
     )
@@ -54,8 +52,6 @@ def paired_with(df: DataFrame, values: Sequence[int | float | str], name: str) -
 
     A product of two tables is not offered; its output outgrows any cluster.
     """
-    if len(values) > MAX_PAIR_VALUES:
-        raise ValueError(f"at most {MAX_PAIR_VALUES} values, got {len(values)}")
     return df.select("*", F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
 
 

@@ -10,9 +10,10 @@ from tremor.functions.places import location_key, location_label, upper_case
 from tremor.functions.text import (
     characters,
     decimal_comma,
-    part,
+    filled,
+    line_of,
+    parts,
     quotes_to_spaces,
-    with_decimal_comma,
     words_of_lines,
 )
 from tremor.operators import bags, grouping, joins, ranking
@@ -41,25 +42,24 @@ def src_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     """
-    SELECT l_linenumber::VARCHAR AS line_number, count(*) AS n_lines, sum(l_quantity::BIGINT)::BIGINT AS sum_qty
+    SELECT l_linenumber::VARCHAR AS line_number, count(*) AS n_lines, round(sum(l_quantity + l_tax), 4) AS sum_qty
     FROM lineitem GROUP BY 1"""
 )
 def src_csv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "csv-raw")
     lineitem = table(spark, sf_dir, "lineitem")
-    lineitem.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("bigint")).write.option(
-        "header", True
-    ).csv(folder)
-    rows = files.raw_csv(spark, folder).where(F.col("_c0") != "l_orderkey")
+    quantity = (F.col("l_quantity") + F.col("l_tax")).alias("quantity")
+    lineitem.select("l_orderkey", "l_linenumber", quantity).write.option("header", True).csv(folder)
+    rows = files.raw_csv(spark, folder).where(~F.col("_c0").eqNullSafe("l_orderkey"))
     return rows.groupBy(F.col("_c1").alias("line_number")).agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("_c2").cast("bigint")).alias("sum_qty")
+        F.count(F.lit(1)).alias("n_lines"), F.round(grouping.exact_sum("_c2"), 4).alias("sum_qty")
     )
 
 
 @registered(
-    """
-    SELECT l_returnflag = 'R' AS cancelled, count(*) AS n_lines, sum(l_quantity::BIGINT)::BIGINT AS sum_qty,
-           sum(l_extendedprice::DECIMAL(12,2))::DOUBLE AS sum_price
+    f"""
+    SELECT l_returnflag = 'R' AS cancelled, count(*) AS n_lines, round(sum({feeds.QUANTITY_SQL}), 4) AS sum_qty,
+           round(fsum({feeds.PRICE_SQL}), 4) AS sum_price
     FROM lineitem GROUP BY 1"""
 )
 def src_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,46 +68,51 @@ def src_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     retail = files.retail_csv(spark, folder)
     return retail.groupBy(F.col("InvoiceNo").startswith("C").alias("cancelled")).agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.col("Quantity").cast("bigint")).alias("sum_qty"),
-        F.sum("UnitPrice").cast("double").alias("sum_price"),
+        F.round(grouping.exact_sum("Quantity"), 4).alias("sum_qty"),
+        F.round(grouping.exact_sum("UnitPrice"), 4).alias("sum_price"),
     )
 
 
 @registered(
     """
-    WITH bounds AS (SELECT unnest(range(10, 100, 5))::BIGINT AS band),
+    WITH bounds AS (SELECT unnest(range(0, 100, 5))::BIGINT AS band),
     sold AS (SELECT (floor(l_quantity / 5) * 5)::BIGINT AS band, count(*) AS n FROM lineitem GROUP BY 1)
     SELECT band, coalesce(n, 0) AS n FROM bounds LEFT JOIN sold USING (band)"""
 )
 def src_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bands = number_range(spark, 10, 100, 5, "band")
+    bands = number_range(spark, 0, 100, 5, "band")
     sold = table(spark, sf_dir, "lineitem").groupBy((F.floor(F.col("l_quantity") / 5) * 5).alias("band"))
     counts = sold.agg(F.count(F.lit(1)).alias("n"))
     return bands.join(counts, "band", "left").select("band", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
 
 
 @registered(
-    """
-    SELECT l_returnflag = 'R' AS cancelled, count(*) AS n_lines, sum(l_quantity::BIGINT)::BIGINT AS sum_qty
+    f"""
+    SELECT l_returnflag = 'R' AS cancelled, count(*) AS n_lines, round(sum({feeds.QUANTITY_SQL}), 4) AS sum_qty
     FROM lineitem GROUP BY 1"""
 )
 def header_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "header")
     feeds.retail_rows(spark, sf_dir).write.option("sep", ";").option("header", True).csv(folder)
     lines = files.text_lines(spark, folder).where(~F.col("value").contains("InvoiceNo"))
-    value = F.col("value")
-    return lines.groupBy(part(value, ";", 0).startswith("C").alias("cancelled")).agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(part(value, ";", 3).cast("bigint")).alias("sum_qty")
+    pieces = _pieces(lines, ";")
+    return pieces.groupBy(pieces.p[0].startswith("C").alias("cancelled")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.round(grouping.exact_sum(filled(pieces.p[3])), 4).alias("sum_qty")
     )
 
 
+def _pieces(lines: DataFrame, sep: str) -> DataFrame:
+    """``(p)``: each line's pieces. Behind an explode, so that every use shares one split."""
+    return lines.select(F.explode(F.array(parts(F.col("value"), sep))).alias("p"))
+
+
 # ---------------------------------------------------------------- JSON messages
 
 
 @registered(
     f"""
     WITH {feeds.MESSAGES_SQL}
-    SELECT event_id AS id, text, place FROM messages WHERE place IS NOT NULL AND NOT broken"""
+    SELECT id, text, place FROM messages WHERE place IS NOT NULL AND NOT broken"""
 )
 def json_extract_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return msg.messages_with_place(feeds.message_lines(spark, sf_dir), need_text=True).select("id", "text", "place")
@@ -116,7 +121,7 @@ def json_extract_place(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     f"""
     WITH {feeds.MESSAGES_SQL}
-    SELECT event_id AS id, upper(split_part(location, ',', 1)) AS location FROM messages WHERE NOT broken"""
+    SELECT id, upper(split_part(location, ',', 1)) AS location FROM messages WHERE NOT broken"""
 )
 def json_extract_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = msg.parsed_messages(feeds.message_lines(spark, sf_dir))
@@ -126,36 +131,27 @@ def json_extract_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     f"""
     WITH {feeds.MESSAGES_SQL}
-    SELECT event_id AS id, location FROM messages WHERE location IS NOT NULL AND NOT broken"""
+    SELECT id, location FROM messages WHERE location IS NOT NULL AND NOT broken"""
 )
 def filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = msg.parsed_messages(feeds.message_lines(spark, sf_dir))
     return messages.where(F.col("location").isNotNull()).select("id", "location")
 
 
-@registered(f"WITH {feeds.MESSAGES_SQL} SELECT event_id AS id, replace(text, '''', ' ') AS text FROM messages")
+@registered(f"WITH {feeds.MESSAGES_SQL} SELECT id, replace(text, '''', ' ') AS text FROM messages")
 def str_replace_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.message_rows(spark, sf_dir).select("id", quotes_to_spaces(F.col("text")).alias("text"))
 
 
 @registered(
-    """
-    WITH located AS (
-      SELECT doc_id, lang, text, (doc_id * 37 % 360 - 180)::DOUBLE AS lon, (doc_id * 17 % 180 - 90)::DOUBLE AS lat
-      FROM documents)
-    SELECT doc_id FROM located
-    WHERE lang = 'fr' AND ((lon BETWEEN -130 AND 100 AND lat BETWEEN -20 AND 50) OR contains(text, ' avec '))"""
+    f"""
+    WITH {feeds.MESSAGES_SQL}
+    SELECT id, text FROM messages
+    WHERE NOT broken AND ((lon BETWEEN -130 AND 100 AND lat BETWEEN -20 AND 50) OR contains(text, 'deprem error'))"""
 )
 def filter_subscription(spark: SparkSession, sf_dir: str) -> DataFrame:
-    doc = F.col("doc_id")
-    located = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        "lang",
-        "text",
-        (doc * 37 % 360 - 180).cast("double").alias("lon"),
-        (doc * 17 % 180 - 90).cast("double").alias("lat"),
-    )
-    return located.where(msg.subscription(language="fr", term=" avec ")).select("doc_id")
+    messages = msg.parsed_messages(feeds.message_lines(spark, sf_dir))
+    return messages.where(msg.subscription(term="deprem error")).select("id", "text")
 
 
 @registered(
@@ -262,11 +258,12 @@ def filter_like_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE n_name = 'NATION_7' GROUP BY ALL"""
 )
 def filter_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The city's users first: events of others are dropped before anything is counted or shuffled."""
     city = table(spark, sf_dir, "nation").where(F.col("n_name") == "NATION_7")
     users = table(spark, sf_dir, "customer").join(city, F.col("c_nationkey") == F.col("n_nationkey"))
-    per_user = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    hits = per_user.join(users, F.col("user_id") == F.col("c_custkey"))
-    return hits.groupBy(F.col("n_nationkey").alias("id"), F.col("n_name").alias("city")).agg(F.sum("n").alias("n"))
+    own = users.select(F.col("c_custkey").alias("user_id"), F.col("n_nationkey").alias("id"), F.col("n_name").alias("city"))
+    hits = table(spark, sf_dir, "events").select("user_id").join(own, "user_id")
+    return hits.groupBy("id", "city").agg(F.count(F.lit(1)).alias("n"))
 
 
 @registered(
@@ -310,49 +307,46 @@ def location_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered(
-    """
-    SELECT l_returnflag = 'R' AS cancelled,
-           sum(l_quantity::DECIMAL(9,0) * l_extendedprice::DECIMAL(12,2))::DOUBLE AS total
+    f"""
+    SELECT l_returnflag = 'R' AS cancelled, round(fsum(({feeds.QUANTITY_SQL}) * {feeds.PRICE_SQL}), 2) AS total
     FROM lineitem GROUP BY 1"""
 )
 def agg_cancelled_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = F.col("value")
-    sales = feeds.retail_lines(spark, sf_dir).select(
-        part(value, ";", 0).startswith("C").alias("cancelled"),
-        (part(value, ";", 3).cast("int") * decimal_comma(part(value, ";", 5), "decimal(12,2)")).alias("total"),
+    pieces = _pieces(feeds.retail_lines(spark, sf_dir), ";")
+    quantity = filled(pieces.p[3]).cast("double")
+    sales = pieces.select(
+        pieces.p[0].startswith("C").alias("cancelled"), (quantity * decimal_comma(pieces.p[5])).alias("total")
     )
-    return sales.groupBy("cancelled").agg(F.sum("total").cast("double").alias("total"))
+    return sales.groupBy("cancelled").agg(F.round(grouping.exact_sum("total"), 2).alias("total"))
 
 
 @registered(
-    """
-    SELECT l_partkey AS product_id, sum(l_extendedprice::DECIMAL(12,2))::DOUBLE AS sub_total
+    f"""
+    SELECT l_partkey AS product_id, round(fsum({feeds.PRICE_SQL}), 4) AS sub_total
     FROM lineitem GROUP BY 1 ORDER BY sub_total DESC"""
 )
 def agg_sales_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = feeds.order_item_rows(spark, sf_dir)
-    totals = items.groupBy("product_id").agg(grouping.exact_sum("sub_total").alias("sub_total"))
+    totals = items.groupBy("product_id").agg(F.round(grouping.exact_sum("sub_total"), 4).alias("sub_total"))
     return ranking.sorted_by(totals, "sub_total", "product_id", descending=True)
 
 
 @registered(
     f"""
-    WITH {feeds.PRODUCTS_SQL},
-    totals AS (
-      SELECT l_partkey AS product_id, sum(l_extendedprice::DECIMAL(12,2))::DOUBLE AS sub_total FROM lineitem GROUP BY 1)
-    SELECT product_id, product_name, sub_total FROM totals LEFT JOIN products USING (product_id)"""
+    WITH {feeds.JUDGEMENTS_SQL},
+    latest AS (SELECT doc_id, arg_max(quality, revision) AS quality FROM judgements GROUP BY doc_id)
+    SELECT doc_id, n_chars, quality FROM documents LEFT JOIN latest USING (doc_id)"""
 )
 def join_broadcast_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = feeds.order_item_rows(spark, sf_dir)
-    totals = items.groupBy("product_id").agg(grouping.exact_sum("sub_total").alias("sub_total"))
-    names = joins.latest_by_key(feeds.product_rows(spark, sf_dir), "product_id", "product_name", "revision")
-    named = joins.looked_up(totals, names, "product_id").select("product_id", "product_name", "sub_total")
-    return ranking.sorted_by(named, "sub_total", "product_id", descending=True)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    latest = joins.latest_by_key(feeds.judgement_rows(spark, sf_dir), "doc_id", "quality", "revision")
+    looked_up = joins.looked_up(documents, latest, "doc_id").select("doc_id", "n_chars", "quality")
+    return ranking.sorted_by(looked_up, "n_chars", "doc_id", descending=True)
 
 
 @registered(
     """
-    SELECT c_mktsegment, round(sum(c_acctbal::DECIMAL(18,2))::DOUBLE / count(c_acctbal), 6) AS avg_salary
+    SELECT c_mktsegment, round(fsum(c_acctbal) / count(c_acctbal), 6) AS avg_salary
     FROM customer GROUP BY 1"""
 )
 def agg_avg_salary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,17 +359,17 @@ def agg_avg_salary(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH slices AS (
       SELECT o_orderpriority, ceil(count(*) / 1000.0)::BIGINT AS n FROM orders GROUP BY 1)
     SELECT o_orderpriority, ('0x' || substr(md5(o_orderkey::VARCHAR), 1, 8))::BIGINT % n AS slice,
-           string_agg((o_totalprice::DECIMAL(12,2))::VARCHAR, ',' ORDER BY o_totalprice) AS order_values
+           string_agg(CASE WHEN o_orderstatus = 'P' THEN '-' ELSE (o_totalprice::DECIMAL(12,2))::VARCHAR END, ','
+                      ORDER BY CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END NULLS LAST) AS order_values
     FROM orders JOIN slices USING (o_orderpriority) GROUP BY ALL"""
 )
 def agg_group_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = table(spark, sf_dir, "orders").select(
-        "o_orderpriority", F.col("o_totalprice").cast("decimal(12,2)").alias("price"), "o_orderkey"
-    )
+    known = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice").cast("decimal(12,2)"))
+    prices = table(spark, sf_dir, "orders").select("o_orderpriority", known.alias("price"), "o_orderkey")
     # A hash that SQL engines agree on; xxhash64 is the cheaper choice where they need not.
     spread = F.conv(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 8), 16, 10).cast("bigint")
     grouped = grouping.grouped_values(prices, "o_orderpriority", "price", spread, max_values=1000)
-    as_text = F.array_join(F.transform("values", lambda v: v.cast("string")), ",")
+    as_text = F.array_join(F.transform("values", lambda v: F.coalesce(v.cast("string"), F.lit("-"))), ",")
     return grouped.select("o_orderpriority", "slice", as_text.alias("order_values"))
 
 
@@ -410,35 +404,34 @@ def agg_count_by_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     """
-    SELECT sum(l_quantity::BIGINT)::BIGINT AS sum_qty, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS sum_price
+    SELECT round(fsum(l_quantity + l_tax), 4) AS sum_qty, round(fsum(l_extendedprice * (1 - l_discount)), 4) AS sum_price
     FROM lineitem"""
 )
 def agg_global_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").agg(
-        F.sum(F.col("l_quantity").cast("bigint")).alias("sum_qty"),
-        grouping.exact_sum("l_extendedprice").alias("sum_price"),
+        F.round(grouping.exact_sum(F.col("l_quantity") + F.col("l_tax")), 4).alias("sum_qty"),
+        F.round(grouping.exact_sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4).alias("sum_price"),
     )
 
 
 @registered(
     """
-    SELECT n_name AS Country, sum(o_totalprice::DECIMAL(12,2))::DOUBLE AS UnitPrice
+    SELECT n_name AS Country, round(fsum(o_totalprice), 4) AS UnitPrice
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
     GROUP BY 1 ORDER BY 2 DESC"""
 )
 def sql_sum_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = feeds.user_places(spark, sf_dir)
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("user_id"), with_decimal_comma(F.col("o_totalprice")).alias("UnitPrice")
-    )
-    retail = orders.join(users, "user_id").select(
-        F.col("place").alias("Country"), decimal_comma(F.col("UnitPrice"), "decimal(12,2)").alias("UnitPrice")
-    )
-    retail.createOrReplaceTempView("retail")
+    """As SQL text. Orders are summed per customer before the join, so it shuffles a row per customer."""
     return spark.sql(
         """
-        SELECT Country, CAST(SUM(UnitPrice) AS DOUBLE) AS UnitPrice
-        FROM retail GROUP BY Country ORDER BY UnitPrice DESC, Country"""
+        WITH spent AS (
+          SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(28,10))) AS total FROM {orders} GROUP BY o_custkey)
+        SELECT n_name AS Country, ROUND(CAST(SUM(total) AS DOUBLE), 4) AS UnitPrice
+        FROM spent JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
+        GROUP BY n_name ORDER BY UnitPrice DESC, Country""",
+        orders=table(spark, sf_dir, "orders"),
+        customer=table(spark, sf_dir, "customer"),
+        nation=table(spark, sf_dir, "nation"),
     )
 
 
@@ -448,43 +441,44 @@ def sql_sum_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     """
     SELECT l_partkey::VARCHAR AS product_id, 'item ' || l_linenumber AS item_name, l_orderkey::VARCHAR AS order_id,
-           l_quantity::INT::VARCHAR AS quantity, p_name AS product_name, p_brand AS product_brand
+           CASE WHEN l_linenumber <> 6 THEN l_quantity END AS quantity, p_name AS product_name,
+           CASE WHEN p_size > 10 THEN p_brand END AS product_brand
     FROM lineitem JOIN part ON l_partkey = p_partkey"""
 )
 def join_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides come as lines; unknown fields are empty in them and NULL again after the split."""
     items = feeds.order_item_rows(spark, sf_dir)
-    item_lines = items.select(F.concat_ws(",", "item_name", "order_id", "product_id", "quantity").alias("line"))
-    parts = table(spark, sf_dir, "part")
-    product_lines = parts.select(F.concat_ws(",", "p_partkey", "p_name", "p_brand").alias("line"))
-    line = F.col("line")
-    left = item_lines.select(
-        part(line, ",", 2).alias("product_id"),
-        part(line, ",", 0).alias("item_name"),
-        part(line, ",", 1).alias("order_id"),
-        part(line, ",", 3).alias("quantity"),
+    item_lines = items.select(line_of(",", "item_name", "order_id", "product_id", "quantity").alias("value"))
+    parts_ = table(spark, sf_dir, "part").withColumn("brand", F.when(F.col("p_size") > 10, F.col("p_brand")))
+    product_lines = parts_.select(line_of(",", "p_partkey", "p_name", "brand").alias("value"))
+    item, product = _pieces(item_lines, ","), _pieces(product_lines, ",")
+    left = item.select(
+        filled(item.p[2]).alias("product_id"),
+        filled(item.p[0]).alias("item_name"),
+        filled(item.p[1]).alias("order_id"),
+        filled(item.p[3]).cast("double").alias("quantity"),
     )
-    right = product_lines.select(
-        part(line, ",", 0).alias("product_id"),
-        part(line, ",", 1).alias("product_name"),
-        part(line, ",", 2).alias("product_brand"),
+    right = product.select(
+        filled(product.p[0]).alias("product_id"),
+        filled(product.p[1]).alias("product_name"),
+        filled(product.p[2]).alias("product_brand"),
     )
     return left.join(right, "product_id")
 
 
 @registered(
     f"""
-    WITH {feeds.PRODUCTS_SQL}
-    SELECT (SELECT count(*) FROM lineitem) AS left_rows, (SELECT count(*) FROM products) AS right_rows,
-           (SELECT count(*) FROM lineitem JOIN products ON l_partkey = product_id) AS joined_rows,
-           (SELECT count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT product_id FROM products))
+    WITH {feeds.JUDGEMENTS_SQL}
+    SELECT (SELECT count(*) FROM documents) AS left_rows, (SELECT count(*) FROM judgements) AS right_rows,
+           (SELECT count(*) FROM documents JOIN judgements USING (doc_id))::DECIMAL(38,0) AS joined_rows,
+           (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM judgements))
              AS left_without_partner,
-           (SELECT count(*) FROM products WHERE product_id NOT IN (SELECT l_partkey FROM lineitem))
+           (SELECT count(*) FROM judgements WHERE doc_id NOT IN (SELECT doc_id FROM documents))
              AS right_without_partner"""
 )
 def join_integrity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = feeds.order_item_rows(spark, sf_dir)
-    products = feeds.product_rows(spark, sf_dir).where(F.col("revision") == 1)
-    return joins.key_match_counts(items, products, "product_id")
+    documents = table(spark, sf_dir, "documents").select("doc_id")
+    return joins.key_match_counts(documents, feeds.judgement_rows(spark, sf_dir), "doc_id")
 
 
 @registered(

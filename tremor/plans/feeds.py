@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.functions.text import with_decimal_comma
+from tremor.functions.text import line_of, with_decimal_comma
 from tremor.sources.cities import CITIES
 from tremor.sources.streams import folder_lines
 from tremor.sources.tables import table
@@ -64,7 +64,8 @@ def _written_location(user_id: Column, segment: Column) -> Column:
     )
 
 
-# SQL of the message feed: (event_id, text, place, location, broken) with broken = cut-off JSON.
+# SQL of the message feed: (id, text, place, location, lon, lat, broken) with broken = cut-off JSON.
+# Some ids are text or longer than 64 bits, and some users and places are not the objects expected.
 MESSAGES_SQL = f"""
 cities AS (
   SELECT * FROM (VALUES {", ".join(f"({n}, '{c}')" for n, c in enumerate(CITIES, start=1))}) AS t(id, city)),
@@ -72,11 +73,15 @@ homes AS (
   SELECT c_custkey, c_mktsegment, n_name, coalesce(city, 'Berlin') AS home
   FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN cities ON id = c_custkey % 97 + 1),
 messages AS (
-  SELECT event_id, '#deprem ' || event_type || '''s ' || props AS text,
-         CASE WHEN event_type <> 'error' THEN n_name END AS place,
-         CASE c_mktsegment WHEN 'BUILDING' THEN NULL WHEN 'MACHINERY' THEN upper(home)
+  SELECT CASE event_id % 11 WHEN 1 THEN 'm' || event_id WHEN 2 THEN event_id || '00000000000000000000'
+              ELSE event_id::VARCHAR END AS id,
+         '#deprem ' || event_type || '''s ' || props AS text,
+         CASE WHEN event_type <> 'error' AND event_id % 17 <> 4 THEN n_name END AS place,
+         CASE WHEN event_id % 7 <> 5 THEN (event_id * 37 % 360 - 180)::DOUBLE END AS lon,
+         CASE WHEN event_id % 7 <> 5 THEN (event_id * 17 % 180 - 90)::DOUBLE END AS lat,
+         CASE WHEN event_id % 13 = 3 OR c_mktsegment = 'BUILDING' THEN NULL ELSE CASE c_mktsegment WHEN 'MACHINERY' THEN upper(home)
               WHEN 'AUTOMOBILE' THEN home || '/merkez, TR' WHEN 'FURNITURE' THEN home || ', TR'
-              ELSE home END AS location,
+              ELSE home END END AS location,
          value < 1 AS broken
   FROM events JOIN homes ON user_id = c_custkey)
 """
@@ -89,82 +94,108 @@ places AS (
 
 
 def message_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, text, place, location, broken)``, one row per event."""
+    """``(id, text, place, location, lon, lat, broken)``, one row per event, and ``event_id``."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
     joined = events.join(user_places(spark, sf_dir), "user_id")
+    event = F.col("event_id")
+    number = event.cast("string")
+    own_id = (
+        F.when(event % 11 == 1, F.concat(F.lit("m"), number))
+        .when(event % 11 == 2, F.concat(number, F.lit("0" * 20)))
+        .otherwise(number)
+    )
+    placed = event % 7 != 5
     return joined.select(
-        F.col("event_id").alias("id"),
+        event,
+        own_id.alias("id"),
         F.concat(F.lit("#deprem "), "event_type", F.lit("'s "), "props").alias("text"),
-        F.when(F.col("event_type") != "error", F.col("place")).alias("place"),
-        _written_location(F.col("user_id"), F.col("c_mktsegment")).alias("location"),
+        F.when((F.col("event_type") != "error") & (event % 17 != 4), F.col("place")).alias("place"),
+        F.when(event % 13 != 3, _written_location(F.col("user_id"), F.col("c_mktsegment"))).alias("location"),
+        F.when(placed, (event * 37 % 360 - 180).cast("double")).alias("lon"),
+        F.when(placed, (event * 17 % 180 - 90).cast("double")).alias("lat"),
         (F.col("value") < 1).alias("broken"),
     )
 
 
 def message_lines(spark: SparkSession, sf_dir: str, with_broken: bool = True) -> DataFrame:
-    """``(value)``: JSON messages. ``place`` is null for some, and some lines are cut off."""
-    message = F.struct(
-        "id",
-        "text",
-        F.lit("tr").alias("lang"),
-        F.when(F.col("place").isNotNull(), F.struct(F.col("place").alias("name"))).alias("place"),
-        F.struct("location").alias("user"),
-    )
-    json = F.to_json(message, {"ignoreNullFields": "false"})
+    """``(value)``: JSON messages, some of them odd in a field and, if wanted, some cut off.
+
+    An id may be text or longer than 64 bits, a place null or a bare text, a user a bare text.
+    """
+    event = F.col("event_id")
+    keep_nulls = {"ignoreNullFields": "false"}
+    number = F.when(event % 11 == 1, F.concat(F.lit('"'), "id", F.lit('"'))).otherwise(F.col("id"))
+    named = F.when(F.col("place").isNotNull(), F.to_json(F.struct(F.col("place").alias("name"))))
+    place = F.when(event % 17 == 4, F.lit('"somewhere"')).otherwise(F.coalesce(named, F.lit("null")))
+    user = F.when(event % 13 == 3, F.lit('"nobody"')).otherwise(F.to_json(F.struct("location"), keep_nulls))
+    point = F.to_json(F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates")))
+    where = F.when(F.col("lon").isNotNull(), point).otherwise(F.lit("null"))
+    rest = F.to_json(F.struct("text", F.lit("tr").alias("lang")))
+    json = F.concat(
+        F.lit('{"id":'), number, F.lit(',"place":'), place, F.lit(',"user":'), user, F.lit(',"coordinates":'), where,
+        F.lit(","), F.substr(rest, F.lit(2)),
+    )
     if with_broken:
         json = F.when(F.col("broken"), F.substr(json, F.lit(1), F.length(json) - 3)).otherwise(json)
     return message_rows(spark, sf_dir).select(json.alias("value"))
 
 
 def retail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items in the retail layout; cancelled invoices start with C, prices have a decimal comma."""
+    """Line items in the retail layout; cancelled invoices start with C, numbers have up to ten decimals.
+
+    The stock code is unknown on every seventh line, the quantity on every sixth.
+    """
+    line = F.col("l_linenumber")
+    price = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return table(spark, sf_dir, "lineitem").select(
         F.concat(F.when(F.col("l_returnflag") == "R", "C").otherwise(""), F.col("l_orderkey").cast("string")).alias(
             "InvoiceNo"
         ),
-        F.col("l_partkey").cast("string").alias("StockCode"),
-        F.concat(F.lit("LINE "), F.col("l_linenumber").cast("string")).alias("Description"),
-        F.col("l_quantity").cast("int").cast("string").alias("Quantity"),
+        F.when(line != 7, F.col("l_partkey").cast("string")).alias("StockCode"),
+        F.concat(F.lit("LINE "), line.cast("string")).alias("Description"),
+        F.when(line != 6, (F.col("l_quantity") + F.col("l_tax")).cast("decimal(28,10)").cast("string")).alias("Quantity"),
         F.col("l_shipdate").cast("date").cast("string").alias("InvoiceDate"),
-        with_decimal_comma(F.col("l_extendedprice")).alias("UnitPrice"),
+        with_decimal_comma(price, 10).alias("UnitPrice"),
     )
 
 
+# SQL of a retail row's quantity and price.
+QUANTITY_SQL = "CASE WHEN l_linenumber <> 6 THEN l_quantity + l_tax END"
+PRICE_SQL = "l_extendedprice * (1 - l_discount)"
+
+
 def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(value)``: the retail rows as ``;`` separated lines."""
     rows = retail_rows(spark, sf_dir)
-    return rows.select(F.concat_ws(";", *rows.columns).alias("value"))
+    return rows.select(line_of(";", *rows.columns).alias("value"))
 
 
 def order_item_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items in the order item layout: name, order, product, quantity, subtotal, price."""
+    """Line items in the order item layout: name, order, product, quantity, subtotal."""
     return table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("item "), F.col("l_linenumber").cast("string")).alias("item_name"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("sub_total"),
+        F.when(F.col("l_linenumber") != 6, F.col("l_quantity")).alias("quantity"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("sub_total"),
     )
 
 
-def product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(product_id, product_name, revision)``. The largest sizes are missing, and economy parts have two revisions."""
-    part = table(spark, sf_dir, "part").where(F.col("p_size") <= 45)
-    first = part.select(
-        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"), F.lit(1).alias("revision")
-    )
-    second = part.where(F.col("p_type") == "ECONOMY").select(
-        F.col("p_partkey").alias("product_id"),
-        F.concat("p_name", F.lit(" v2")).alias("product_name"),
-        F.lit(2).alias("revision"),
-    )
+def judgement_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, quality, revision)``: the labels, those of toxic documents corrected by a second revision.
+
+    Most documents have none, so looking them up misses often.
+    """
+    labels = table(spark, sf_dir, "labels")
+    first = labels.select("doc_id", "quality", F.lit(1).alias("revision"))
+    second = labels.where("toxic = 1").select("doc_id", (F.col("quality") + 2).alias("quality"), F.lit(2).alias("revision"))
     return first.unionByName(second)
 
 
-PRODUCTS_SQL = """
-products AS (
-  SELECT p_partkey AS product_id, p_name || CASE WHEN p_type = 'ECONOMY' THEN ' v2' ELSE '' END AS product_name
-  FROM part WHERE p_size <= 45)
+JUDGEMENTS_SQL = """
+judgements AS (
+  SELECT doc_id, quality, 1 AS revision FROM labels
+  UNION ALL SELECT doc_id, quality + 2, 2 FROM labels WHERE toxic = 1)
 """
 
 

@@ -36,7 +36,7 @@ def retail_csv(spark: SparkSession, path: str, lenient: bool = False) -> DataFra
     raw = delimited(spark, path, RETAIL_SCHEMA)
     return raw.withColumns(
         {
-            "Quantity": strict_or_null(F.col("Quantity"), "int", lenient),
-            "UnitPrice": decimal_comma(F.col("UnitPrice"), "decimal(12,2)", lenient),
+            "Quantity": strict_or_null(F.col("Quantity"), "decimal(28,10)", lenient),
+            "UnitPrice": decimal_comma(F.col("UnitPrice"), "decimal(28,10)", lenient),
         }
     )

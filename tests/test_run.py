@@ -33,7 +33,7 @@ def test_persisted(spark, tmp_path, form):
          "--out", out, "--run-id", "r1", "--top", "1", "--once"]
     )
     run.start(spark, args).awaitTermination()
-    totals = CounterLedger(f"{out}/ledger", "r1").totals(spark).collect()
+    totals = CounterLedger(f"{out}/ledger", "r1", str(tmp_path / "ck")).totals(spark).collect()
     assert {r.location: r.location_count for r in totals} == {"Ankara": 2, "Van": 1, "Kars": 1}
     assert snapshots.last_batch(spark, f"{out}/payload").first().label == ["Ankara"]
 

@@ -98,7 +98,7 @@ def test_state_top_and_payload(spark, tmp_path):
 def test_ledger_totals_and_persisted_top(spark, tmp_path, fold_every):
     write_files(tmp_path / "in", split(FEED, 5))
     out = tmp_path / "out"
-    ledger = CounterLedger(f"{out}/ledger", "first", fold_every)
+    ledger = CounterLedger(f"{out}/ledger", "first", str(tmp_path / "ck"), fold_every)
     query = jobs.start_persisted_counts(
         places(spark, tmp_path / "in"), str(tmp_path / "ck"), ledger, f"{out}/top", f"{out}/payload", k=2, trigger=NOW
     )
@@ -114,7 +114,7 @@ def test_ledger_totals_and_persisted_top(spark, tmp_path, fold_every):
 def test_ledger_ignores_replays_and_adds_runs(spark, tmp_path):
     write_files(tmp_path / "in", split(FEED, 3))
     root = str(tmp_path / "ledger")
-    first = CounterLedger(root, "first", fold_every=2)
+    first = CounterLedger(root, "first", str(tmp_path / "ck1"), fold_every=2)
 
     def run(ledger, checkpoint):
         feed = places(spark, tmp_path / "in")
@@ -126,7 +126,7 @@ def test_ledger_ignores_replays_and_adds_runs(spark, tmp_path):
     assert as_counter(first.totals(spark)) == TOTALS
     run(first, "ck1")  # nothing new
     assert as_counter(first.totals(spark)) == TOTALS
-    second = CounterLedger(root, "second", fold_every=2)
+    second = CounterLedger(root, "second", str(tmp_path / "ck2"), fold_every=2)
     run(second, "ck2")
     doubled = Counter({k: 2 * n for k, n in TOTALS.items()})
     assert as_counter(second.totals(spark)) == doubled
@@ -145,7 +145,7 @@ def test_failed_batch_is_retried_without_double_counting(spark, tmp_path):
             if batch_id == 1 and self.fail:
                 raise RuntimeError("lost after the write")
 
-    ledger = Failing(f"{out}/ledger", "run", fold_every=2)
+    ledger = Failing(f"{out}/ledger", "run", str(tmp_path / "ck"), fold_every=2)
 
     def start():
         feed = places(spark, tmp_path / "in")
@@ -192,14 +192,39 @@ def test_city_counts(spark, tmp_path):
     located = ["Ankara, TR", "ankara", "VAN", "Ank", None, "Paris", "Van,x"]
     raw = [json.dumps({"id": n, "text": "t", "user": {"location": place}}) for n, place in enumerate(located)]
     write_files(tmp_path / "in", split([*raw, "{broken"], 2))
-    ledger = CounterLedger(str(tmp_path / "ledger"), "run")
+    ledger = CounterLedger(str(tmp_path / "ledger"), "run", str(tmp_path / "ck"))
     lines = folder_lines(spark, str(tmp_path / "in"), files_per_trigger=1)
     finish(jobs.start_city_counts(lines, str(tmp_path / "ck"), ledger, cities(spark), trigger=NOW))
-    assert as_counter(ledger.totals(spark)) == Counter({"Ankara": 2, "Van": 2})
+    assert as_counter(ledger.totals(spark)) == Counter({"ANKARA": 2, "VAN": 2})
     rows = jobs.city_totals(cities(spark), ledger.totals(spark)).collect()
     assert len(rows) == 81 and sum(r.n for r in rows) == 4
 
 
+def test_city_counts_of_a_repeated_name_in_turkish(spark, tmp_path):
+    raw = [json.dumps({"user": {"location": place}}) for place in ("izmir", "İZMİR", "ısparta")]
+    write_files(tmp_path / "in", [raw])
+    dimension = spark.createDataFrame([(1, "İzmir"), (2, "İzmir"), (3, "Isparta"), (4, "Van")], "id INT, city STRING")
+    ledger = CounterLedger(str(tmp_path / "ledger"), "run", str(tmp_path / "ck"))
+    lines = folder_lines(spark, str(tmp_path / "in"))
+    finish(jobs.start_city_counts(lines, str(tmp_path / "ck"), ledger, dimension, trigger=NOW, turkish=True))
+    totals = jobs.city_totals(dimension, ledger.totals(spark), turkish=True).collect()
+    assert {r.id: r.n for r in totals} == {1: 2, 2: 2, 3: 1, 4: 0}
+
+
+def test_a_run_id_cannot_be_reused_with_another_checkpoint(spark, tmp_path):
+    write_files(tmp_path / "in", split(FEED, 2))
+    root = str(tmp_path / "ledger")
+    ledger = CounterLedger(root, "r", str(tmp_path / "ck1"))
+    finish(jobs.start_persisted_counts(places(spark, tmp_path / "in"), str(tmp_path / "ck1"), ledger, trigger=NOW))
+    other = CounterLedger(root, "r", str(tmp_path / "ck2"))
+    with pytest.raises(Exception, match="another checkpoint"):
+        finish(jobs.start_persisted_counts(places(spark, tmp_path / "in"), str(tmp_path / "ck2"), other, trigger=NOW))
+    assert as_counter(ledger.totals(spark)) == TOTALS
+    rows = spark.createDataFrame([("Van",)], "location STRING")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        CounterLedger(root, "r", "elsewhere").record(rows, 0)
+
+
 def test_a_cluster_needs_a_shared_folder():
     from tremor.workspace import shared_root
 

@@ -191,9 +191,28 @@ def json_location_norm_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT id, city, count(k) AS n FROM cities LEFT JOIN keys ON k = upper(city) GROUP BY id, city"""
 )
 def dim_city_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _city_matches(spark, sf_dir, turkish=False)
+
+
+_TURKISH_UPPER = "upper(replace(replace({0}, 'i', 'İ'), 'ı', 'I'))"
+
+
+@registered(
+    f"""
+    WITH {feeds.MESSAGES_SQL},
+    keys AS (
+      SELECT {_TURKISH_UPPER.format("split_part(location, ',', 1)")} AS k FROM messages
+      WHERE location IS NOT NULL AND NOT broken)
+    SELECT id, city, count(k) AS n FROM cities LEFT JOIN keys ON k = {_TURKISH_UPPER.format("city")} GROUP BY id, city"""
+)
+def dim_city_match_turkish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _city_matches(spark, sf_dir, turkish=True)
+
+
+def _city_matches(spark: SparkSession, sf_dir: str, turkish: bool) -> DataFrame:
     messages = msg.parsed_messages(feeds.message_lines(spark, sf_dir)).where(F.col("location").isNotNull())
-    facts = messages.select(location_key(F.col("location")).alias("k"))
-    dimension = cities(spark).withColumn("city_key", upper_case(F.col("city")))
+    facts = messages.select(location_key(F.col("location"), turkish).alias("k"))
+    dimension = cities(spark).withColumn("city_key", upper_case(F.col("city"), turkish))
     return joins.dimension_counts(facts, dimension, "k", "city_key", "id").select("id", "city", "n")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tremor.functions.messages import stored_location
+from tremor.functions.messages import stored_location, subscribed, subscription
 from tremor.plans import feeds
 from tremor.plans.registry import registered
 from tremor.sources.cities import cities
@@ -18,7 +18,6 @@ from tremor.streaming.ledger import CounterLedger
 from tremor.workspace import new_folder
 
 ALL_NOW = {"availableNow": True}
-STATE_PARTITIONS = 8
 
 _COUNTS_SQL = f"WITH {feeds.PLACES_SQL} SELECT location, count(*) AS location_count FROM places GROUP BY location"
 _TOP_SQL = f"{_COUNTS_SQL} ORDER BY location_count DESC, location LIMIT 10"
@@ -42,9 +41,7 @@ def _place_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def st_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "running")
     places = _place_stream(spark, sf_dir)
-    query = jobs.start_running_counts(
-        places, f"{out}/checkpoint", f"{out}/counts", trigger=ALL_NOW, state_partitions=STATE_PARTITIONS
-    )
+    query = jobs.start_running_counts(places, f"{out}/checkpoint", f"{out}/counts", trigger=ALL_NOW)
     _finish(query)
     return snapshots.last_batch(spark, f"{out}/counts")
 
@@ -53,14 +50,7 @@ def st_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def st_topk_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "state-top")
     places = _place_stream(spark, sf_dir)
-    query = jobs.start_running_counts(
-        places,
-        f"{out}/checkpoint",
-        f"{out}/counts",
-        top=f"{out}/top",
-        trigger=ALL_NOW,
-        state_partitions=STATE_PARTITIONS,
-    )
+    query = jobs.start_running_counts(places, f"{out}/checkpoint", None, top=f"{out}/top", trigger=ALL_NOW)
     _finish(query)
     return snapshots.last_batch(spark, f"{out}/top")
 
@@ -70,9 +60,7 @@ def st_snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest count of each place over all appended snapshots; counts only grow, so it is the last."""
     out = new_folder(spark, "snapshots")
     places = _place_stream(spark, sf_dir)
-    query = jobs.start_running_counts(
-        places, f"{out}/checkpoint", f"{out}/counts", trigger=ALL_NOW, state_partitions=STATE_PARTITIONS
-    )
+    query = jobs.start_running_counts(places, f"{out}/checkpoint", f"{out}/counts", trigger=ALL_NOW)
     _finish(query)
     appended = snapshots.read_batches(spark, f"{out}/counts")
     return appended.groupBy("location").agg(F.max("location_count").alias("location_count"))
@@ -96,19 +84,21 @@ def st_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(f"{out}/lines")
 
 
-@registered(_COUNTS_SQL)
+@registered(_COUNTS_SQL.replace("count(*)", "2 * count(*)"))
 def st_counter_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "ledger")
-    ledger = CounterLedger(f"{out}/ledger", run_id=uuid.uuid4().hex)
     places = _place_stream(spark, sf_dir)
-    _finish(jobs.start_persisted_counts(places, f"{out}/checkpoint", ledger, trigger=ALL_NOW))
+    # A first run, stopped and resumed, and a second one with a checkpoint of its own over the same feed.
+    for run in ("first", "first", "second"):
+        ledger = CounterLedger(f"{out}/ledger", run, f"{out}/checkpoint-{run}", fold_every=3)
+        _finish(jobs.start_persisted_counts(places, f"{out}/checkpoint-{run}", ledger, trigger=ALL_NOW))
     return ledger.totals(spark)
 
 
 @registered(_TOP_SQL)
 def st_topk_persisted(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "persisted-top")
-    ledger = CounterLedger(f"{out}/ledger", run_id=uuid.uuid4().hex, fold_every=2)
+    ledger = CounterLedger(f"{out}/ledger", uuid.uuid4().hex, f"{out}/checkpoint", fold_every=2)
     places = _place_stream(spark, sf_dir)
     query = jobs.start_persisted_counts(places, f"{out}/checkpoint", ledger, top=f"{out}/top", trigger=ALL_NOW)
     _finish(query)
@@ -118,15 +108,23 @@ def st_topk_persisted(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     f"""
     WITH {feeds.MESSAGES_SQL},
-    keys AS (SELECT upper(split_part(location, ',', 1)) AS k FROM messages WHERE location IS NOT NULL AND NOT broken)
-    SELECT id, city, count(k) AS n FROM cities LEFT JOIN keys ON k = upper(city) GROUP BY id, city"""
+    keys AS (SELECT upper(split_part(location, ',', 1)) AS k FROM messages WHERE location IS NOT NULL AND NOT broken),
+    named AS (SELECT id, city FROM cities UNION ALL SELECT id + 1000, city FROM cities WHERE id % 10 = 0)
+    SELECT id, city, count(k) AS n FROM named LEFT JOIN keys ON k = upper(city) GROUP BY id, city"""
 )
 def st_city_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "city-counts")
-    ledger = CounterLedger(f"{out}/ledger", run_id=uuid.uuid4().hex)
+    ledger = CounterLedger(f"{out}/ledger", uuid.uuid4().hex, f"{out}/checkpoint")
+    dimension = _repeated_cities(spark)
     stream = feeds.replayed(spark, feeds.message_lines(spark, sf_dir), _n_events(spark, sf_dir), "messages")
-    _finish(jobs.start_city_counts(stream, f"{out}/checkpoint", ledger, cities(spark), trigger=ALL_NOW))
-    return jobs.city_totals(cities(spark), ledger.totals(spark))
+    _finish(jobs.start_city_counts(stream, f"{out}/checkpoint", ledger, dimension, trigger=ALL_NOW))
+    return jobs.city_totals(dimension, ledger.totals(spark))
+
+
+def _repeated_cities(spark: SparkSession) -> DataFrame:
+    """The cities, every tenth of them under a second id as well."""
+    again = cities(spark).where("id % 10 = 0").select((F.col("id") + 1000).alias("id"), "city")
+    return cities(spark).unionByName(again)
 
 
 @registered(
@@ -138,7 +136,7 @@ def st_city_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def st_dashboard_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "dashboard")
-    ledger = CounterLedger(f"{out}/ledger", run_id=uuid.uuid4().hex)
+    ledger = CounterLedger(f"{out}/ledger", uuid.uuid4().hex, f"{out}/checkpoint")
     places = _place_stream(spark, sf_dir)
     query = jobs.start_persisted_counts(
         places, f"{out}/checkpoint", ledger, top=f"{out}/top", payloads=f"{out}/payload", trigger=ALL_NOW
@@ -160,3 +158,31 @@ def st_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     archived = stored_table(spark, "parquet", f"{out}/tweets")
     located = archived.select(stored_location(F.col("tweet")).alias("location"))
     return located.groupBy("location").agg(F.count(F.lit(1)).alias("n"))
+
+
+@registered(
+    f"""
+    WITH {feeds.MESSAGES_SQL}
+    SELECT location, count(*) AS n FROM messages WHERE location IS NOT NULL AND NOT broken GROUP BY location"""
+)
+def st_location_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_folder(spark, "location-log")
+    stream = feeds.replayed(spark, feeds.message_lines(spark, sf_dir), _n_events(spark, sf_dir), "messages")
+    _finish(jobs.start_location_log(stream, f"{out}/checkpoint", f"{out}/locations", trigger=ALL_NOW))
+    return spark.read.text(f"{out}/locations").groupBy(F.col("value").alias("location")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@registered(
+    f"""
+    WITH {feeds.MESSAGES_SQL}
+    SELECT id, text, place, location FROM messages
+    WHERE NOT broken AND ((lon BETWEEN -130 AND 100 AND lat BETWEEN -20 AND 50) OR contains(text, 'deprem error'))"""
+)
+def st_json_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The subscribed messages of the live feed, appended as JSON lines."""
+    out = new_folder(spark, "message-log")
+    stream = feeds.replayed(spark, feeds.message_lines(spark, sf_dir), _n_events(spark, sf_dir), "messages")
+    wanted = subscribed(stream, subscription(term="deprem error"))
+    _finish(jobs.start_message_log(wanted, f"{out}/checkpoint", f"{out}/messages", trigger=ALL_NOW))
+    schema = "id STRING, text STRING, place STRING, location STRING"
+    return stored_table(spark, "json", f"{out}/messages", schema=schema)

@@ -10,9 +10,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored_table(spark: SparkSession, fmt: str = "parquet", path: str | None = None, **options: str) -> DataFrame:
+def stored_table(
+    spark: SparkSession, fmt: str = "parquet", path: str | None = None, schema: str | None = None, **options: str
+) -> DataFrame:
     """A persisted table through any installed data source (parquet, jdbc, a store's connector)."""
-    return spark.read.format(fmt).options(**options).load(path)
+    return spark.read.format(fmt).options(**options).load(path, schema=schema)
 
 
 def number_range(spark: SparkSession, start: int, stop: int, step: int, name: str = "id") -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,16 +31,29 @@ def _start(
     return writer.foreachBatch(handle).start()
 
 
+_settings = Lock()
+
+
 @contextmanager
 def _shuffle_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
-    """Sets the shuffle partitions for a query started inside; a started query keeps its own copy."""
+    """Sets the shuffle partitions for a query started inside; a started query keeps its own copy.
+
+    One start at a time, as all of them share the session's setting.
+    """
     name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, before if number is None else number)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    with _settings:
+        before = spark.conf.get(name)
+        spark.conf.set(name, before if number is None else number)
+        try:
+            yield
+        finally:
+            spark.conf.set(name, before)
+
+
+def _written(rows: DataFrame, root: str, batch_id: int) -> DataFrame:
+    """The batch's rows, written and read back, so that what follows does not compute them again."""
+    write_batch(rows, root, batch_id)
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/batch_id={batch_id}")
 
 
 def running_counts(places: DataFrame) -> DataFrame:
@@ -50,29 +64,29 @@ def running_counts(places: DataFrame) -> DataFrame:
 def start_running_counts(
     places: DataFrame,
     checkpoint: str,
-    snapshots: str,
+    snapshots: str | None,
     top: str | None = None,
     payloads: str | None = None,
     k: int = 10,
     trigger: dict = EVERY_30_SECONDS,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Running counts in the query's state; each batch stores them all.
+    """Running counts in the query's state. Each batch stores them all in ``snapshots``, their top
+    ``k`` in ``top``, and that top's dashboard payload in ``payloads``, each if given.
 
-    Optionally each batch also stores its top ``k`` and that top's dashboard payload.
-
-    Batches send at most one row per place and task to the state, so few ``state_partitions``
-    do for any volume of lines; a cluster's usual shuffle setting would start that many tasks
-    and write that many files in every batch. A checkpoint keeps the number it began with.
+    Batches send at most one row per place and task to the state, so far fewer
+    ``state_partitions`` than lines would suggest may do; that depends on how many different
+    places there are, and a checkpoint keeps the number it began with. The default is the session's.
     """
 
     def handle(counts: DataFrame, batch_id: int) -> None:
-        write_batch(counts, snapshots, batch_id)
-        stored = counts.sparkSession.read.schema(counts.schema).parquet(f"{snapshots}/batch_id={batch_id}")
+        rows = counts
+        if snapshots:
+            rows = _written(counts, snapshots, batch_id)
         if top:
-            write_batch(top_places(stored, k), top, batch_id)
+            rows = _written(top_places(rows, k), top, batch_id)
         if payloads:
-            write_batch(dashboard_payload(top_places(stored, k)), payloads, batch_id)
+            write_batch(dashboard_payload(rows if top else top_places(rows, k)), payloads, batch_id)
 
     with _shuffle_partitions(places.sparkSession, state_partitions):
         return _start(running_counts(places), handle, checkpoint, "complete", trigger)
@@ -94,8 +108,7 @@ def start_persisted_counts(
         if top or payloads:
             leaders = top_places(ledger.totals_at(batch.sparkSession, batch_id), k)
             if top:
-                write_batch(leaders, top, batch_id)
-                leaders = batch.sparkSession.read.schema(leaders.schema).parquet(f"{top}/batch_id={batch_id}")
+                leaders = _written(leaders, top, batch_id)
             if payloads:
                 write_batch(dashboard_payload(leaders), payloads, batch_id)
 
@@ -108,23 +121,27 @@ def start_city_counts(
     ledger: CounterLedger,
     dimension: DataFrame,
     trigger: dict = EVERY_30_SECONDS,
+    turkish: bool = False,
 ) -> StreamingQuery:
     """Persisted counts of JSON messages per city of ``dimension(id, city)``, by the user's location.
 
-    Locations are matched before they are counted, so the ledger holds cities only. Read the
-    result with ``city_totals``.
+    Locations are matched before they are counted, so the ledger holds cities only, by the key
+    they are matched on, each once however many rows of the dimension have it. Read the result
+    with ``city_totals``. ``turkish`` keeps dotted and dotless i apart.
     """
     located = parsed_messages(messages).where(F.col("location").isNotNull())
-    keys = located.select(location_key(F.col("location")).alias("key"))
-    names = dimension.select(upper_case(F.col("city")).alias("key"), F.col("city").alias("location"))
-    return start_persisted_counts(keys.join(names, "key").select("location"), checkpoint, ledger, trigger=trigger)
+    keys = located.select(location_key(F.col("location"), turkish).alias("location"))
+    names = dimension.select(upper_case(F.col("city"), turkish).alias("location")).distinct()
+    return start_persisted_counts(keys.join(names, "location"), checkpoint, ledger, trigger=trigger)
 
 
-def city_totals(dimension: DataFrame, totals: DataFrame) -> DataFrame:
-    """``(id, city, n)`` for every city, 0 where none was counted."""
-    counts = totals.select(F.col("location").alias("city"), F.col("location_count").alias("n"))
-    n = F.coalesce("n", F.lit(0).cast("bigint"))
-    return dimension.join(counts, "city", "left").select("id", "city", n.alias("n"))
+def city_totals(dimension: DataFrame, totals: DataFrame, turkish: bool = False) -> DataFrame:
+    """``(id, city, n)`` for every row of the dimension, 0 where none was counted."""
+    counts = totals.select(F.col("location").alias("_key"), F.col("location_count").alias("n"))
+    same = upper_case(F.col("city"), turkish) == F.col("_key")
+    return dimension.join(counts, same, "left").select(
+        "id", "city", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")
+    )
 
 
 def start_batch_counts(
@@ -169,3 +186,11 @@ def start_location_log(
     """Locations of JSON messages appended to text files, one per line; messages without one are left out."""
     located = parsed_messages(messages).where(F.col("location").isNotNull())
     return start_copy(located.select(F.col("location").alias("value")), checkpoint, out, "text", trigger)
+
+
+def start_message_log(
+    messages: DataFrame, checkpoint: str, out: str, trigger: dict = EVERY_30_SECONDS
+) -> StreamingQuery:
+    """``(id, text, place, location)`` of JSON messages appended to files of JSON lines."""
+    rows = parsed_messages(messages).select("id", "text", "place", "location")
+    return start_copy(rows, checkpoint, out, "json", trigger)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_SCHEMA = "location STRING, delta BIGINT, run_id STRING, batch_id BIGINT"
+_COUNTS = "location STRING, delta BIGINT"
+_RUNS = "owner STRING, started TIMESTAMP, run_id STRING"
 
 
 class CounterLedger:
@@ -13,48 +15,80 @@ class CounterLedger:
 
     Each batch owns one folder and overwrites it when it is replayed, so no count is added
     twice. ``run_id`` belongs to one checkpoint: keep it (and ``fold_every``) when resuming,
-    and take a new one with a fresh checkpoint, whose batch ids start at 0 again.
+    and take a new one with a fresh checkpoint, whose batch ids start at 0 again. The ledger
+    notes the checkpoint's own id with the run and refuses any other.
 
     Totals as of a batch come from the last fold plus the batches since, at most
     ``fold_every`` folders however long the run is. The fold before batch 0 carries the
-    totals of earlier runs. One run writes to a ledger at a time.
+    totals of the run before, and so of all earlier ones. One run writes to a ledger at a time.
     """
 
-    def __init__(self, root: str, run_id: str, fold_every: int = 100):
+    def __init__(self, root: str, run_id: str, checkpoint: str, fold_every: int = 100):
         self.root = root
         self.run_id = run_id
+        self.checkpoint = checkpoint
         self.fold_every = fold_every
+        self._owned = False
 
     def record(self, batch: DataFrame, batch_id: int) -> None:
         """Store the batch's own counts. ``batch`` has a ``location`` column."""
+        spark = batch.sparkSession
+        self._claim(spark)
         counts = batch.groupBy("location").agg(F.count(F.lit(1)).alias("delta"))
         counts.write.mode("overwrite").parquet(self._batch_folder(batch_id))
         if batch_id == 0:
-            earlier = self._deltas(batch.sparkSession).where(F.col("run_id") != self.run_id)
-            self._write_fold(earlier.select("location", "delta"), -1)
+            self._write_fold(self._earlier(spark), -1)
         if (batch_id + 1) % self.fold_every == 0:
-            self._write_fold(self._since_last_fold(batch.sparkSession, batch_id), batch_id)
+            self._write_fold(self._since_last_fold(spark, batch_id), batch_id)
 
     def totals_at(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """``(location, location_count)`` after a batch of this run."""
         return _summed(self._since_last_fold(spark, batch_id)).withColumnRenamed("delta", "location_count")
 
     def totals(self, spark: SparkSession) -> DataFrame:
-        """``(location, location_count)`` over every run and batch, read from every batch folder."""
-        return _summed(self._deltas(spark)).withColumnRenamed("delta", "location_count")
+        """``(location, location_count)`` after this run's last batch, earlier runs included."""
+        return _summed(self._up_to_now(spark)).withColumnRenamed("delta", "location_count")
+
+    def _claim(self, spark: SparkSession) -> None:
+        """Binds the run to the checkpoint, or fails if it is bound to another."""
+        if self._owned:
+            return
+        own = _checkpoint_id(spark, self.checkpoint)
+        row = spark.range(1).select(F.lit(own).alias("owner"), F.current_timestamp().alias("started"))
+        row.coalesce(1).write.mode("ignore").parquet(f"{self.root}/runs/run_id={self.run_id}")
+        held = self._runs(spark).where(F.col("run_id") == self.run_id).first()
+        if held.owner != own:
+            raise ValueError(f"run {self.run_id} belongs to another checkpoint; take a new run id")
+        self._owned = True
+
+    def _runs(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(_RUNS).parquet(f"{self.root}/runs")
+
+    def _earlier(self, spark: SparkSession) -> DataFrame:
+        """The totals of the run that started last before this one, as deltas."""
+        runs = self._runs(spark)
+        mine = runs.where(F.col("run_id") == self.run_id).first()
+        before = runs.where((F.col("run_id") != self.run_id) & (F.col("started") <= F.lit(mine.started)))
+        last = before.orderBy(F.desc("started"), "run_id").first()
+        if last is None:
+            return spark.createDataFrame([], _COUNTS)
+        return CounterLedger(self.root, last.run_id, "", self.fold_every)._up_to_now(spark)
+
+    def _up_to_now(self, spark: SparkSession) -> DataFrame:
+        folders = spark.read.schema(f"{_COUNTS}, batch_id BIGINT").parquet(f"{self.root}/deltas/run_id={self.run_id}")
+        newest = folders.agg(F.max("batch_id")).first()[0]
+        # Batches without rows after that one add nothing; if none has rows, the fold before batch 0 is all.
+        return self._since_last_fold(spark, 0 if newest is None else newest)
 
     def _since_last_fold(self, spark: SparkSession, batch_id: int) -> DataFrame:
         last_fold = batch_id - batch_id % self.fold_every - 1
         folders = [self._fold_folder(last_fold)]
         folders += [self._batch_folder(n) for n in range(last_fold + 1, batch_id + 1)]
-        return spark.read.schema("location STRING, delta BIGINT").parquet(*folders)
+        return spark.read.schema(_COUNTS).parquet(*folders)
 
     def _write_fold(self, rows: DataFrame, batch_id: int) -> None:
         _summed(rows).write.mode("overwrite").parquet(self._fold_folder(batch_id))
 
-    def _deltas(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(_SCHEMA).parquet(f"{self.root}/deltas")
-
     def _batch_folder(self, batch_id: int) -> str:
         return f"{self.root}/deltas/run_id={self.run_id}/batch_id={batch_id}"
 
@@ -62,5 +96,13 @@ class CounterLedger:
         return f"{self.root}/folds/run_id={self.run_id}/through={batch_id}"
 
 
+def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream's checkpoint gives itself, or its path where no stream has begun."""
+    try:
+        return spark.read.text(f"{checkpoint}/metadata").first().value
+    except AnalysisException:
+        return checkpoint
+
+
 def _summed(rows: DataFrame) -> DataFrame:
     return rows.groupBy("location").agg(F.sum("delta").alias("delta"))

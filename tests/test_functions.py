@@ -57,19 +57,19 @@ def test_words_follow_lines(spark):
 
 
 def test_characters_of_upper_cased_words(spark):
-    chars = [c for word in "Murat eve gel".upper().split(" ") for c in word]
-    df = spark.createDataFrame([("Murat eve gel",)], "v STRING")
+    chars = [c for word in "Ayşe okula git".upper().split(" ") for c in word]
+    df = spark.createDataFrame([("Ayşe okula git",)], "v STRING")
     words = df.select(F.explode(F.split(F.upper(v()), " ")).alias("w"))
     found = [r.c for r in words.select(F.explode(text.characters(F.col("w"))).alias("c")).collect()]
-    assert sorted(found) == sorted(chars) and len(found) == 11
+    assert sorted(found) == sorted(chars) and len(found) == 12
 
 
 def test_words_of_single_characters(spark):
-    """Splitting each character at blanks turns a blank into two empty words: 11 letters and 4 empties."""
-    df = spark.createDataFrame([("Murat eve gel",)], "v STRING")
+    """Splitting each character at blanks turns a blank into two empty words: 12 letters and 4 empties."""
+    df = spark.createDataFrame([("Ayşe okula git",)], "v STRING")
     chars = df.select(F.explode(text.characters(v())).alias("c"))
     words = [r.w for r in chars.select(F.explode(F.split(F.upper("c"), " ")).alias("w")).collect()]
-    assert len(words) == 15 and words.count("") == 4
+    assert len(words) == 16 and words.count("") == 4
 
 
 def test_quotes(spark):

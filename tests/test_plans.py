@@ -42,6 +42,23 @@ def test_filters_reach_the_scan(spark):
     assert "EqualTo(n_name,NATION_7)" in initial_plan(QUERIES["filter_point_lookup"](spark, SF))
 
 
+def test_lines_are_split_once(spark):
+    for key, lines in {"agg_cancelled_total": 1, "join_inner_products": 2, "header_drop": 1}.items():
+        assert initial_plan(QUERIES[key](spark, SF)).count("split(") == lines
+
+
+def test_sales_are_summed_before_the_join_and_leave_no_view(spark):
+    plan = initial_plan(QUERIES["sql_sum_by_country"](spark, SF))
+    assert plan.index("Join") < plan.index("keys=[o_custkey")
+    assert not [t for t in spark.catalog.listTables() if t.isTemporary]
+
+
+def test_point_lookup_drops_other_users_before_counting(spark):
+    plan = initial_plan(QUERIES["filter_point_lookup"](spark, SF))
+    assert plan.index("HashAggregate") < plan.index("Join")
+    assert "keys=[user_id" not in plan
+
+
 @pytest.mark.parametrize("key", ["topk_locations", "topk_largest", "topk_smallest", "limit_preview"])
 def test_top_k_is_not_a_full_sort(spark, key):
     assert "TakeOrderedAndProject" in initial_plan(QUERIES[key](spark, SF))

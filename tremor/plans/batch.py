@@ -503,11 +503,11 @@ def join_integrity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     """
     SELECT c_custkey, v AS factor, c_nationkey * v AS product
-    FROM customer CROSS JOIN (VALUES (1), (4), (9), (16), (25), (36)) AS t(v)"""
+    FROM customer CROSS JOIN (VALUES (2), (3), (5), (7), (11), (13)) AS t(v)"""
 )
 def join_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = joins.paired_with(
-        table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), [1, 4, 9, 16, 25, 36], "factor"
+        table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), [2, 3, 5, 7, 11, 13], "factor"
     )
     return pairs.select("c_custkey", "factor", (F.col("c_nationkey") * F.col("factor")).alias("product"))
 
@@ -654,9 +654,9 @@ def str_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@registered("SELECT p_partkey, regexp_replace(p_name, 'r[ei]', 'İST', 'g') AS replaced FROM part")
+@registered("SELECT p_partkey, regexp_replace(p_name, 'n[gt]+', 'Ñö', 'g') AS replaced FROM part")
 def str_regexp_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replaced = F.regexp_replace("p_name", "r[ei]", "İST")
+    replaced = F.regexp_replace("p_name", "n[gt]+", "Ñö")
     return table(spark, sf_dir, "part").select("p_partkey", replaced.alias("replaced"))
 
 

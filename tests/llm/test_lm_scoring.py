@@ -28,7 +28,7 @@ def tokens_of(text):
 def small_model(texts):
     lines = [t.encode() for t in texts]
     alphabet = cm.Alphabet.of(np.bincount(np.frombuffer(b"".join(map(cm.normalized, lines)), np.uint8), minlength=256))
-    return cm.started(alphabet, cm.context_counts(lines, alphabet.symbol_of, alphabet.size), lines)
+    return cm.started(alphabet, list(cm.context_counts(lines, alphabet.symbol_of, alphabet.size)), lines)
 
 
 def slow_bits(text, model):

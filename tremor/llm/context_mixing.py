@@ -15,6 +15,7 @@ and a text's bits do not depend on what else is in the batch.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +23,7 @@ import numpy as np
 #: Slots of each predictor's table; the tables' size is their product with the alphabet.
 SLOTS = (1 << 13, 1 << 15, 1 << 16)
 SEGMENT = 1024
-LANES = 1024
+LANES = 512
 WORD_GATES = 8
 DEPTH_GATES = 4
 RATE = 0.02
@@ -142,16 +143,14 @@ class Model:
     weights: np.ndarray  # [gate, predictor]
 
 
-def context_counts(texts: list[bytes], symbol_of: np.ndarray, size: int) -> list[np.ndarray]:
-    """Counts ``[slot * size + symbol]`` of each predictor over the texts, as coded."""
+def context_counts(texts: list[bytes], symbol_of: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """Counts ``[slot * size + symbol]`` of each predictor over the texts, as coded; one by one, as they are large."""
     line = np.frombuffer(b"".join([_PAD + normalized(t) for t in texts]), np.uint8)
     slots, _ = contexts(line)
     coded = _real(line, [len(normalized(t)) for t in texts])
     symbols = symbol_of[line[coded]]
-    return [
-        np.bincount(slot[coded].astype(np.int64) * size + symbols, minlength=own * size)
-        for slot, own in zip(slots, SLOTS, strict=True)
-    ]
+    for slot, own in zip(slots, SLOTS, strict=True):
+        yield np.bincount(slot[coded].astype(np.int64) * size + symbols, minlength=own * size)
 
 
 def _real(line: np.ndarray, lengths: list[int]) -> np.ndarray:

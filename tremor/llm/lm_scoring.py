@@ -57,7 +57,7 @@ def _chunked(docs: DataFrame, scoring: Scoring, text: str, doc_id: str, trains:
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), trains.alias("trains"), utf8(text).alias("text"))
     schema = "chunk bigint, doc_id bigint, trains boolean, text binary"
-    return stored(rows.mapInArrow(run, schema), "lm-chunks")
+    return stored(rows.mapInArrow(run, schema), "lm-chunks", "zstd")
 
 
 def _chunk_words(chunks: DataFrame) -> DataFrame:
@@ -93,13 +93,13 @@ def _chunk_words(chunks: DataFrame) -> DataFrame:
                     if train:
                         counts.update(words)
                     else:
-                        for word in set(words) - counts.keys():
-                            counts[word] = 0
+                        for word in set(words):
+                            counts.setdefault(word, 0)
         if current is not None:
             yield from closed()
 
     rows = chunks.select("chunk", "trains", "text").mapInArrow(run, "chunk bigint, word string, n bigint")
-    return stored(rows, "lm-chunk-words")
+    return stored(rows, "lm-chunk-words", "zstd")
 
 
 def _byte_counts(training: DataFrame) -> np.ndarray:
@@ -127,7 +127,7 @@ def _context_counts(training: DataFrame, alphabet: cm.Alphabet) -> list[np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = np.zeros(edges[-1], np.int64)
         for batch in batches:
-            for first, last in slices(batch.column(0), 8 << 20):
+            for first, last in slices(batch.column(0), 2 << 20):
                 own = cm.context_counts(batch.column(0)[first:last].to_pylist(), symbol_of, size)
                 for (low, high), counts in zip(pairwise(edges), own, strict=True):
                     tables[low:high] += counts

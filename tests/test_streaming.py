@@ -59,6 +59,15 @@ def test_running_counts_equal_batch_counts(spark, tmp_path, n_files):
         assert {r.batch_id: r.n for r in per_batch}[batch] == seen
 
 
+def test_newest_batch_is_found_without_its_name(spark, tmp_path):
+    root = str(tmp_path / "table")
+    for batch in (0, 1, 10, 2):
+        snapshots.write_batch(spark.createDataFrame([(f"p{batch}",)], "location STRING"), root, batch)
+    assert snapshots.last_batch(spark, root).first().location == "p2"  # named by whoever wrote last
+    os.rename(f"{root}_newest", f"{root}_lost")
+    assert snapshots.last_batch(spark, root).first().location == "p10"
+
+
 def test_running_counts_resume_from_their_checkpoint(spark, tmp_path):
     write_files(tmp_path / "in", split(FEED[:6], 2))
     out, checkpoint = str(tmp_path / "counts"), str(tmp_path / "ck")

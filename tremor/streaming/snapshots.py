@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +10,10 @@ from tremor.operators.ranking import top_k
 
 
 def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
+    """The batch's folder, and then the one-row table beside ``root`` that names the newest batch."""
     rows.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+    newest = rows.sparkSession.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"))
+    newest.coalesce(1).write.mode("overwrite").parquet(f"{root}_newest")
 
 
 def read_batches(spark: SparkSession, root: str) -> DataFrame:
@@ -18,10 +22,16 @@ def read_batches(spark: SparkSession, root: str) -> DataFrame:
 
 
 def last_batch(spark: SparkSession, root: str) -> DataFrame:
-    """The rows of the newest batch."""
-    batches = read_batches(spark, root)
-    newest = batches.agg(F.max("batch_id")).first()[0]
-    return batches.where(F.col("batch_id") == F.lit(newest)).drop("batch_id")
+    """The rows of the newest batch: two folders are read, however many batches there are.
+
+    If a writer was lost while it named the newest batch, all batches are looked through.
+    """
+    try:
+        named = spark.read.schema("batch_id BIGINT").parquet(f"{root}_newest").first()
+    except AnalysisException:
+        named = None
+    newest = named.batch_id if named else read_batches(spark, root).agg(F.max("batch_id")).first()[0]
+    return spark.read.parquet(f"{root}/batch_id={newest}")
 
 
 def top_places(counts: DataFrame, k: int = 10) -> DataFrame:

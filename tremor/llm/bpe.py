@@ -27,13 +27,13 @@ from tremor.llm.common import slices, utf8
 
 _END = "</w>"
 #: Texts that are their own normal form but for case, and whose letters no Unicode version disputes.
-_PLAIN = regex.compile("[!-~\u00a1-\u024f]+")
+PLAIN = regex.compile("[!-~\u00a1-\u024f]+")
 _NEVER = 1 << 60
 # Keys, beside the bytes, of a token within a word and of one that ends it.
 _OPEN, _ENDS = -1, -2
 
 
-def _byte_characters() -> dict[int, str]:
+def byte_characters() -> dict[int, str]:
     """The printable character by which byte-level vocabularies show each byte: printable Latin-1
     characters stand for themselves, the other bytes for the characters from 256 on, in order."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -41,7 +41,7 @@ def _byte_characters() -> dict[int, str]:
     return {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
 
 
-def _plain_splitter(spec: dict) -> Callable[[str], list[str]] | None:
+def plain_splitter(spec: dict) -> Callable[[str], list[str]] | None:
     """The pre-tokenizer for plain lower-case texts, if the file has the steps this stands for."""
     steps = [s["type"] for s in (spec["normalizer"] or {}).get("normalizers", [])]
     cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
@@ -73,8 +73,8 @@ class WordBpe:
         library = Tokenizer.from_file(path)
         self._normalize = library.normalizer.normalize_str
         self._split = library.pre_tokenizer.pre_tokenize_str
-        self._plain_words = _plain_splitter(spec)
-        self._to_byte = {char: byte for byte, char in _byte_characters().items()}
+        self._plain_words = plain_splitter(spec)
+        self._to_byte = {char: byte for byte, char in byte_characters().items()}
         self._added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if any(t["normalized"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError("added tokens are looked for in the text as it is")
@@ -86,7 +86,7 @@ class WordBpe:
             self._pieces[number] = token.encode()
         self._learn(vocab, model["merges"])
         self._memo_bytes = memo_bytes
-        self._forget()
+        self.forget()
 
     def _learn(self, vocab: dict[str, int], merges: list) -> None:
         self._rank: dict[tuple[int, int], int] = {}
@@ -139,7 +139,8 @@ class WordBpe:
             else:
                 j += 1
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drops the memo; an idle worker need not keep it."""
         self._by_text: dict[bytes, bytes] = {}
         self._by_word: dict[bytes, bytes] = {}
         self._held = 0
@@ -209,7 +210,7 @@ class WordBpe:
         return found + self._words(decoded[at:])
 
     def _words(self, text: str) -> list[bytes]:
-        if self._plain_words and _PLAIN.fullmatch(text):
+        if self._plain_words and PLAIN.fullmatch(text):
             return [w.encode() for w in self._plain_words(text.lower())]
         split = self._split(self._normalize(text))
         return [bytes(map(self._to_byte.__getitem__, word)) for word, _ in split]
@@ -217,14 +218,14 @@ class WordBpe:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text as little-endian unsigned 32-bit numbers."""
         if self._held > self._memo_bytes:
-            self._forget()
+            self.forget()
         if len(self._apart) > self._memo_bytes // 100:
             self._apart.clear()
         split = [text.split() for text in texts]
-        fresh = set().union(*split) - self._by_text.keys()
+        fresh = [text for text in set().union(*split) if text not in self._by_text]
         parts = {text: self._parts_of(text) for text in fresh}
         words = {p for own in parts.values() for p in own if isinstance(p, bytes)}
-        self._encode_words(words - self._by_word.keys())
+        self._encode_words(word for word in words if word not in self._by_word)
         by_word = self._by_word
         for text, own in parts.items():
             self._by_text[text] = b"".join(
@@ -263,7 +264,7 @@ def coded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id"
         bpe = word_bpe(path)
         for batch in batches:
             texts = batch.column(1)
-            for first, last in slices(texts):
+            for first, last in slices(texts, 2 << 20):
                 ids = bpe.encode(texts[first:last].to_pylist())
                 decoded = [bpe.decode(own) for own in ids]
                 columns = [
@@ -277,6 +278,7 @@ def coded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id"
                     columns += [pa.array(ids, pa.binary()), pa.array([d.decode() for d in decoded])]
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(columns, names)
+        bpe.forget()
 
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), utf8(text).alias("text"))

@@ -33,8 +33,15 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Gives the executors this package, once a session, unless they share its folder by PYTHONPATH."""
+def prepared(spark: SparkSession) -> None:
+    """What a session needs for the operators that run Python.
+
+    Texts are long, so Arrow batches are bounded at 8 MB instead of Spark's default of 64, unless
+    the session has a bound of its own; each task holds a few of them. The executors get this
+    package, once a session, unless they share its folder by PYTHONPATH.
+    """
+    if spark.conf.get(_BATCH_BYTES) == "67108864b":
+        spark.conf.set(_BATCH_BYTES, "8m")
     root = Path(__file__).resolve().parents[2]
     context = spark.sparkContext
     if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or context.applicationId in _shipped:
@@ -48,6 +55,7 @@ def ship_package(spark: SparkSession) -> None:
 
 
 _shipped: set[str] = set()
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,19 +12,21 @@ language in which the text has the shortest code is the prediction.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tremor.llm.common import utf8
+from tremor.llm.common import slices, utf8
 
 UNDETERMINED = "und"
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
 #: Bytes of text that are looked up at once.
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -175,9 +177,13 @@ def held_out(doc_id: str, parts: int, part: int) -> Column:
 def learned(labelled: DataFrame, ppm: Ppm, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Trees:
     """Trees from about ``sample_docs`` whole rows of each language."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = rows.groupBy(F.col(lang).alias("_lang")).agg(F.count(F.lit(1)).alias("_rows"))
-    share = F.pmod(F.xxhash64(F.lit(ppm.seed), F.col(doc_id)), F.lit(1 << 30)) * F.col("_rows")
-    sample = rows.join(sizes, F.col(lang) == F.col("_lang")).where(share < F.lit(ppm.sample_docs * (1 << 30)))
+    # A row per language, as the trees have; with the counts at hand no text needs a shuffle.
+    counts = rows.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()
+    draw = F.pmod(F.xxhash64(F.lit(ppm.seed), F.col(doc_id)), F.lit(1 << 30))
+    chosen = F.lit(False)
+    for row in counts:
+        chosen = chosen | ((F.col(lang) == row.lang) & (draw < F.lit((ppm.sample_docs << 30) // row.n)))
+    sample = rows.where(chosen)
     samples: dict[str, list[bytes]] = {}
     for row in sample.select(F.col(lang).alias("lang"), utf8(text).alias("text")).collect():
         samples.setdefault(row.lang, []).append(bytes(row.text))
@@ -193,24 +199,34 @@ def identified(docs: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
     care, and columns of those three names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(trees)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "bits_per_byte")]
-
-    @F.pandas_udf("lang_pred string, score double, bits_per_byte double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        frozen = shared.value
-        values = [t or b"" for t in texts]
-        langs, scores, rates = [UNDETERMINED] * len(values), np.zeros(len(values)), np.zeros(len(values))
-        known = [k for k, t in enumerate(values) if frozen.languages and has_letter(t)]
-        if known:
-            bits = code_lengths([values[k] for k in known], frozen)
-            best = bits.argmin(axis=1)
-            least = bits.min(axis=1)
-            odds = np.exp2(-np.minimum(bits - least[:, None], 1000)).sum(axis=1)
-            scores[known] = 1 / odds
-            rates[known] = least / [len(values[k]) for k in known]
-            for k, b in zip(known, best, strict=True):
-                langs[k] = frozen.languages[b]
-        return pd.DataFrame({"lang_pred": langs, "score": scores, "bits_per_byte": rates})
-
-    named = docs.select(*kept, predict(F.col(text).cast("binary")).alias("_found"))
-    return named.select(*kept, "_found.lang_pred", "_found.score", "_found.bits_per_byte")
+    added = ("lang_pred", "score", "bits_per_byte")
+    rows = docs.select(*[c for c in docs.columns if c not in added])
+    names = [*rows.columns, *added]
+    at = names.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last in slices(batch.column(at)):
+                own = batch.slice(first, last - first)
+                texts = own.column(at).cast(pa.binary()).to_pylist()
+                found = [pa.array(values) for values in _predicted(texts, shared.value)]
+                yield pa.RecordBatch.from_arrays([*own.columns, *found], names)
+
+    kinds = (T.StringType(), T.DoubleType(), T.DoubleType())
+    schema = T.StructType([*rows.schema.fields, *map(T.StructField, added, kinds)])
+    return rows.mapInArrow(run, schema)
+
+
+def _predicted(texts: list[bytes | None], trees: Trees) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Prediction, score and bits per byte of each text."""
+    values = [t or b"" for t in texts]
+    langs, scores, rates = [UNDETERMINED] * len(values), np.zeros(len(values)), np.zeros(len(values))
+    known = [k for k, t in enumerate(values) if trees.languages and has_letter(t)]
+    if known:
+        bits = code_lengths([values[k] for k in known], trees)
+        least = bits.min(axis=1)
+        scores[known] = 1 / np.exp2(-np.minimum(bits - least[:, None], 1000)).sum(axis=1)
+        rates[known] = least / [len(values[k]) for k in known]
+        for k, best in zip(known, bits.argmin(axis=1), strict=True):
+            langs[k] = trees.languages[best]
+    return langs, scores, rates

@@ -9,7 +9,6 @@ for each pass, and the blocks are joined to the slots by their index.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from tremor.llm.common import WORD, stored
 from tremor.llm.numbering import with_offsets
 from tremor.llm.permute import permuted
+from tremor.llm.spans import let
 
 
 @dataclass(frozen=True)
@@ -205,19 +205,15 @@ def mixed_documents(docs: DataFrame, mix: Mix, text: str = "text", doc_id: str =
     same = F.col(doc_id).eqNullSafe(F.col("_mix_id")) & (F.col("_mix_hash") == F.col("_mix_text"))
     joined = marked.join(taken, same)
 
-    @F.pandas_udf("string")
-    def words_of(texts: pd.Series, ranges: pd.Series, sizes: pd.Series) -> pd.Series:
-        return pd.Series([_taken_text(t, r, n) for t, r, n in zip(texts, ranges, sizes, strict=True)])
-
-    made = joined.withColumn(text, words_of(text, "_mix_ranges", "_mix_size"))
+    taken_words = let(
+        F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)),
+        lambda words: F.flatten(
+            F.transform("_mix_ranges", lambda r: F.slice(words, (r["first"] + 1).cast("int"), (r["last"] - r["first"]).cast("int")))
+        ),
+    )
+    n_taken = F.aggregate("_mix_ranges", F.lit(0).cast("bigint"), lambda n, r: n + r["last"] - r["first"])
+    whole = n_taken == F.col("_mix_size")
+    made = joined.withColumn(text, F.when(whole, F.col(text)).otherwise(F.array_join(taken_words, " ")))
     if "n_chars" in docs.columns:
         made = made.withColumn("n_chars", F.char_length(text).cast(docs.schema["n_chars"].dataType))
     return made.select(*docs.columns)
-
-
-def _taken_text(text: str, ranges: Sequence, size: int) -> str:
-    bounds = [(r["first"], r["last"]) for r in ranges]
-    if sum(last - first for first, last in bounds) == size:
-        return text
-    words = re.findall(WORD, text)
-    return " ".join(w for first, last in bounds for w in words[first:last])

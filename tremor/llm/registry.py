@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremor.llm.common import ship_package
+from tremor.llm.common import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,7 @@ def registered(sql: str | None = None) -> Callable[[Query], Query]:
     def add(query: Query) -> Query:
         @wraps(query)
         def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            prepared(spark)
             return query(spark, sf_dir)
 
         QUERIES[query.__name__] = shipped

@@ -99,3 +99,12 @@ def test_empty_table(spark):
     folder = new_folder(spark, "token-files")
     token_files.write_token_files(docs_frame(spark, []), folder, PATH, 2)
     assert token_files.read_token_files(spark, folder).collect() == []
+
+
+def test_encoder_equals_the_library_on_noise():
+    from tests.llm.test_bpe import ODD, noise
+
+    library, mine = Tokenizer.from_file(PATH), token_files.LibraryEncoder(PATH)
+    texts = ODD + list(noise())
+    for text, own in zip(texts, mine.encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(own, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids

@@ -9,16 +9,20 @@ Documents come in ascending id order from part to part and block to block.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tremor.llm import rans
+from tremor.llm.bpe import PLAIN, byte_characters, plain_splitter
 from tremor.llm.common import slices, stored, utf8
 from tremor.llm.ranges import range_bounds, range_part
 
@@ -32,32 +36,52 @@ class LibraryEncoder:
     """The tokenizers library, asked once per distinct run of characters between ASCII white space.
 
     White space never enters a token of such a vocabulary, so the runs' ids joined are the text's.
+    Of plain runs (no letters whose case or normal form is disputed) only the words not met
+    before go to the library's model; the others pass through the whole library.
     """
 
     def __init__(self, path: str, memo_bytes: int = 48 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is the only one it has
-        from tokenizers import Tokenizer
-
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()
         self._library.no_padding()
+        self._model = self._library.model.tokenize
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self._words = plain_splitter(spec)
+        # An added token may only be found by the whole library.
+        self._marks = sorted({t["content"][0] for t in spec["added_tokens"]})
+        self._shown = byte_characters()
         self._memo_bytes = memo_bytes
+        self.forget()
+
+    def forget(self) -> None:
         self._memo: dict[bytes, bytes] = {}
+        self._word_memo: dict[str, bytes] = {}
         self._held = 0
 
+    def _word(self, word: str) -> bytes:
+        known = self._word_memo.get(word)
+        if known is None:
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(self._shown)
+            known = self._word_memo[word] = array("I", [t.id for t in self._model(shown)]).tobytes()
+            self._held += 130 + len(word) + len(known)
+        return known
+
+    def _run(self, run: bytes) -> bytes:
+        text = run.decode()
+        if self._words and PLAIN.fullmatch(text) and not any(m in text for m in self._marks):
+            return b"".join(map(self._word, self._words(text.lower())))
+        return array("I", self._library.encode(text, add_special_tokens=False).ids).tobytes()
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
         if self._held > self._memo_bytes:
-            self._memo, self._held = {}, 0
+            self.forget()
         split = [text.split() for text in texts]
-        fresh = list(set().union(*split) - self._memo.keys())
-        for at in range(0, len(fresh), 4096):
-            some = fresh[at : at + 4096]
-            encoded = self._library.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)
-            for chunk, own in zip(some, encoded, strict=True):
-                ids = own.ids
-                self._memo[chunk] = np.array(ids, "<u4").tobytes()
-                self._held += 130 + len(chunk) + 4 * len(ids)
+        for run in [run for run in set().union(*split) if run not in self._memo]:
+            ids = self._memo[run] = self._run(run)
+            self._held += 130 + len(run) + len(ids)
         known = self._memo.__getitem__
         return [b"".join(map(known, own)) for own in split]
 
@@ -78,7 +102,7 @@ def _staged(docs: DataFrame, path: str, end_id: int, text: str, doc_id: str) ->
     types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.setdefault(path, LibraryEncoder(path))
+        encoder = _encoders.get(path) or _encoders.setdefault(path, LibraryEncoder(path))
         part, block, first = -1, 0, 0
         numbers: list[int | None] = []
         ids: list[bytes] = []
@@ -105,6 +129,7 @@ def _staged(docs: DataFrame, path: str, end_id: int, text: str, doc_id: str) ->
                     size += len(own) // 4 + 1
         if numbers:
             yield closed()
+        encoder.forget()
 
     schema = "part int, block int, first bigint, doc_ids array<bigint>, lengths array<int>, ids binary"
     return ordered.mapInArrow(run, schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 
@@ -116,6 +117,43 @@ def test_redaction(spark):
         assert row.out == (None if row.text is None else out + row.text[at:])
 
 
+def key_lines(lines=25, label="RSA ", headers=()):
+    """A planted key: the BEGIN line, ``headers``, base64 lines with a short last one, and the END line."""
+    body = base64.b64encode(b"".join(hashlib.sha512(bytes([k % 256])).digest() for k in range(lines))).decode()
+    wrapped = [body[at : at + 64] for at in range(0, len(body), 64)]
+    ends = [f"-----{word} {label}PRIVATE KEY-----" for word in ("BEGIN", "END")]
+    return [ends[0], *headers, *wrapped, ends[1]]
+
+
+def test_no_line_of_a_planted_key_is_left(spark):
+    headers = ("Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF", "")
+    keys = [key_lines(), key_lines(label=""), key_lines(headers=headers), key_lines(lines=2_000)]
+    cases, after = [], " after the key"
+    for lines in keys:
+        for gap in ("\n", "\r\n", "\\n", "\n    ", " "):
+            cases.append((lines, gap, "\n" + after))
+            cases.append((lines[:-1], gap, "\n\n- " + after))  # END is missing
+    cases.append((keys[0], "\n", "\n" + "\n".join(keys[1]) + "\n" + after))
+    cases.append((keys[0][:-1], "\n", "\n" + "\n".join(keys[1]) + "\n" + after))
+    docs = docs_frame(spark, [(k, "before " + gap.join(lines) + tail) for k, (lines, gap, tail) in enumerate(cases)])
+    rows = secrets.without_secrets(docs, new_folder(spark, "ledger"), RULES).collect()
+    assert len(rows) == len(cases)
+    for row in rows:
+        lines = {*cases[row.doc_id][0], *keys[1]} - {""}
+        assert not [line for line in lines if line in row.text], row.text[:200]
+        assert row.text.startswith("before [secret]") and row.text.endswith(after) and row.n_chars == len(row.text)
+    ends = {r.doc_id: [f.end for f in r.found if f.kind == "pem"] for r in scanned(spark, docs).collect()}
+    for k, (lines, gap, _) in enumerate(cases):
+        assert ends[k][0] == len("before " + gap.join(lines))
+
+
+def test_a_header_alone_takes_no_prose_along(spark):
+    head = "-----BEGIN PRIVATE KEY-----"
+    docs = docs_frame(spark, [(1, f"{head} is how it starts"), (2, f"{head}\nand prose\n----- a line -----"), (3, head)])
+    for row in scanned(spark, docs).collect():
+        assert [(f.kind, f.start, f.end) for f in row.found] == [("pem", 0, len(head))]
+
+
 @pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 1000])
 def test_running_sums_over_blocks(spark, n):
     values = spark.createDataFrame([([k % 7 for k in range(n)],)], "v array<int>")

@@ -66,9 +66,20 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]{24,}"),
 )
 
+# What may stand between a key's lines: white space, also as an escape, and marks of quoting.
+_BREAK = r"""(?:[\s"'>#*|,]|\\[nr]|\+(?=\s))++"""
+#: A private key from its BEGIN to its END. Where the next line of dashes is no END, to the end of its
+#: base64 lines, the last of which may be short. Repeats are possessive, so long bodies use no stack.
+_PEM = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:"
+    r"(?:[^-]++|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_BREAK}(?:Proc-Type:\x20*[0-9]+,[A-Z]+|DEK-Info:\x20*[A-Za-z0-9-]+(?:,[0-9A-Fa-f]+)?))*+"
+    rf"""(?:(?:{_BREAK}[A-Za-z0-9+/=]{{20,}}+)++(?:{_BREAK}[A-Za-z0-9+/]++={{0,2}}(?![^\s"'\\,;|]))?)?)"""
+)
+
 #: Further kinds, by the public formats of the tokens.
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", needs=("PRIVATE KEY-----",)),
+    Rule("pem", _PEM, needs=("PRIVATE KEY-----",)),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", needs=("eyJ",)),
     Rule("github", r"(?:gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{60,})", needs=("gh", "github_pat_")),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", needs=("xox",)),

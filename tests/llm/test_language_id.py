@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import base64
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tests.llm.helpers import docs_frame
 from tremor.llm import language_id
-from tremor.llm.language_id import Ppm
+from tremor.llm.common import documents
+from tremor.llm.language_id import Limits, Ppm
 from tremor.llm.queries import op6_language_id
 
 SF = "/root/testdata/sf0.01"
@@ -115,3 +119,34 @@ def test_odd_rows(spark):
     nothing = language_id.learned(docs_frame(spark, []), Ppm())
     assert {r.lang_pred for r in language_id.identified(docs, nothing).collect()} == {"und"}
     assert language_id.identified(docs_frame(spark, []), trees).collect() == []
+
+
+def test_pipeline_stage_drops_unlearned_languages_and_noise(spark):
+    rng = random.Random(4)
+    strange = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        base64.b64encode(rng.randbytes(3000)).decode(),
+        base64.b64encode(rng.randbytes(30)).decode(),
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400)),
+        "asdf jkl; qwer zxcv uiop sdfg hjkl xcvb qwpo",
+    ]
+    strange += [t * 40 for t in strange[:3]]
+    docs = documents(spark, SF)
+    rows = [(10**9 + k, text, None, "planted", len(text)) for k, text in enumerate(strange)]
+    planted = spark.createDataFrame(rows, docs.select("doc_id", "text", "lang", "source", "n_chars").schema)
+    both = docs.unionByName(planted)
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, both, SF).collect()}
+    assert {k for k in kept if k >= 10**9} == set()
+    clean = {r.doc_id for r in docs.collect() if r.text and any(c.isalpha() for c in r.text)}
+    assert len(clean - kept) <= len(clean) // 200
+
+
+def test_limits_without_enough_documents():
+    limits = Limits(least=4)
+    few = language_id.rate_limits({"aa": [b"the cat sat", b"the hat on"]}, Ppm(), limits)
+    assert few == {"aa": [math.inf] * len(limits.lengths)}
+    texts = [b"the cat sat on mat %d" % k for k in range(8)]
+    own = language_id.rate_limits({"aa": texts, "bb": [b"le chat"]}, Ppm(), limits)
+    assert own["aa"] == sorted(own["aa"], reverse=True) and own["bb"] == pytest.approx(own["aa"], abs=1)

@@ -12,6 +12,7 @@ language in which the text has the shortest code is the prediction.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +53,19 @@ class Trees:
     bits: np.ndarray  # [state * classes + class, language]: code length
 
 
+@dataclass(frozen=True)
+class Limits:
+    """How many bits per byte a text of a language may cost: the ``quantile`` of labelled documents plus
+    ``margin``. ``lengths`` part the texts into classes; each document gives every class that it reaches the
+    rate of what it begins with, up to the class' end. A text shorter than all of them has no limit. A language
+    needs ``least`` different documents for limits of its own; otherwise it has those of all together."""
+
+    quantile: float = 0.99
+    margin: float = 1.0
+    least: int = 20
+    lengths: tuple[int, ...] = tuple(8 << k for k in range(12))
+
+
 def has_letter(text: bytes) -> bool:
     return bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, text.decode("utf-8", "replace")))
 
@@ -176,6 +190,13 @@ def held_out(doc_id: str, parts: int, part: int) -> Column:
 
 def learned(labelled: DataFrame, ppm: Ppm, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Trees:
     """Trees from about ``sample_docs`` whole rows of each language."""
+    return learn(sampled(labelled, ppm, text, lang, doc_id), ppm)
+
+
+def sampled(
+    labelled: DataFrame, ppm: Ppm, text: str = "text", lang: str = "lang", doc_id: str = "doc_id"
+) -> dict[str, list[bytes]]:
+    """About ``sample_docs`` whole texts of each language."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     # A row per language, as the trees have; with the counts at hand no text needs a shuffle.
     counts = rows.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -187,7 +208,60 @@ def learned(labelled: DataFrame, ppm: Ppm, text: str = "text", lang: str = "lang
     samples: dict[str, list[bytes]] = {}
     for row in sample.select(F.col(lang).alias("lang"), utf8(text).alias("text")).collect():
         samples.setdefault(row.lang, []).append(bytes(row.text))
-    return learn({lang: sorted(texts) for lang, texts in samples.items()}, ppm)
+    return {lang: sorted(texts) for lang, texts in samples.items()}
+
+
+def rate_limits(samples: dict[str, list[bytes]], ppm: Ppm, limits: Limits) -> dict[str, list[float]]:
+    """For each language the most bits per byte at each of ``limits.lengths``; infinite if too little is known.
+
+    The texts' rates come from trees that were learned from the other half of the different texts, as
+    those of new texts do. No limit is below one of a greater length.
+    """
+    halves: list[dict[str, list[bytes]]] = [{}, {}]
+    for lang, texts in samples.items():
+        different = sorted({t for t in texts if has_letter(t)}, key=lambda t: (zlib.crc32(t), t))
+        for half in (0, 1):
+            if different[half::2]:
+                halves[half][lang] = different[half::2]
+    rates: dict[str, list[list[float]]] = {lang: [[] for _ in limits.lengths] for lang in samples}
+    for own, other in (halves, halves[::-1]):
+        trees = learn(other, ppm)
+        for lang in own.keys() & set(trees.languages):
+            column = trees.languages.index(lang)
+            for k, length in enumerate(limits.lengths):
+                longest = limits.lengths[k + 1] - 1 if k + 1 < len(limits.lengths) else None
+                texts = [t[:longest] for t in own[lang] if len(t) >= length]
+                sizes = np.array([len(t) for t in texts])
+                rates[lang][k] += (code_lengths(texts, trees)[:, column] / sizes).tolist()
+    together = [[r for own in rates.values() for r in own[k]] for k in range(len(limits.lengths))]
+    enough = {lang: sum(len(half.get(lang, ())) for half in halves) >= limits.least for lang in samples}
+    return {lang: _limits_of(rates[lang] if enough[lang] else together, limits) for lang in samples}
+
+
+def _limits_of(rates: list[list[float]], limits: Limits) -> list[float]:
+    found = [
+        float(np.quantile(own, limits.quantile)) + limits.margin if len(own) >= limits.least else None for own in rates
+    ]
+    result, most = [], 0.0
+    for limit in reversed(found):
+        most = most if limit is None else max(most, limit)
+        result.append(most)
+    # Lengths that too few documents reach have the limit of the longest that enough do.
+    known = [limit for limit in result if limit]
+    return [limit or (known[0] if known else float("inf")) for limit in reversed(result)]
+
+
+def plausible(limits: dict[str, list[float]], lengths: tuple[int, ...], text: str = "text") -> Column:
+    """Whether an identified row's ``bits_per_byte`` is within the limit of its language and length."""
+    size = F.octet_length(text)
+    known = [(lang, own) for lang, own in limits.items() if np.isfinite(own).all()]
+    result = F.lit(True)
+    for lang, own in known:
+        limit = F.lit(float("inf"))
+        for length, most in zip(lengths, own, strict=True):
+            limit = F.when(size >= length, F.lit(most)).otherwise(limit)
+        result = result & ((F.col("lang_pred") != lang) | (F.col("bits_per_byte") <= limit))
+    return result
 
 
 def identified(docs: DataFrame, trees: Trees, text: str = "text") -> DataFrame:

@@ -103,6 +103,18 @@ def test_query_equals_brute_force(spark):
     assert -sum(r.score for r in held) / math.log10(2) / size < 2.6
 
 
+def test_weights_are_fitted_to_all_training_rows(spark):
+    """Wherever the fit begins, it ends at the optimum over all rows, with a rare kind of text among them."""
+    texts = [f"the cat sat on mat {k % 7} and the hat {k % 5} " * 3 for k in range(200)] + ["qzx 0 jkv " * 400]
+    docs = docs_frame(spark, list(enumerate(texts)))
+    weights = []
+    for sample_docs in (1, 300):
+        chunks = lm_scoring._chunked(docs, Scoring(chunk_bytes=4096), "text", "doc_id", F.lit(True))
+        weights.append(lm_scoring.learned(chunks, Scoring(sample_docs=sample_docs)).weights)
+    assert weights[0] == pytest.approx(small_model(texts).weights, abs=0.005)
+    assert weights[1] == pytest.approx(weights[0], abs=0.005)
+
+
 def test_scores_do_not_depend_on_the_cut(spark):
     docs = documents(spark, SF).where("doc_id < 120")
     trains = F.col("doc_id") % 7 != 0

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 
@@ -26,6 +26,10 @@ SEGMENT = 1024
 LANES = 512
 WORD_GATES = 8
 DEPTH_GATES = 4
+GATES = WORD_GATES * DEPTH_GATES
+#: Every weight before fitting, and the most Newton steps.
+FLAT = 0.4
+STEPS = 8
 RATE = 0.02
 _WINDOW = 64
 END = 10
@@ -176,26 +180,42 @@ def log_odds(counts: np.ndarray, alphabet: Alphabet) -> np.ndarray:
     return result.reshape(-1)
 
 
-def started(alphabet: Alphabet, counts: list[np.ndarray], sample: list[bytes]) -> Model:
-    """The model, its gates' weights fitted to a bounded sample of training texts."""
-    odds = [log_odds(c, alphabet) for c in counts]
-    gates = WORD_GATES * DEPTH_GATES
-    model = Model(alphabet, odds, np.full((gates, len(SLOTS)), 0.4, np.float32))
-    weights = model.weights.astype(np.float64)
-    seen = [_decisions(line, owners, model)[:3] for line, owners in _batches([normalized(t) for t in sample])]
-    if not seen:
-        return model
-    x = np.concatenate([x for x, _, _ in seen], axis=1).astype(np.float64)
-    signs = np.concatenate([s for _, s, _ in seen]).astype(np.float64)
-    gate = np.concatenate([g for _, _, g in seen])
-    # A few Newton steps of the logistic cost, all gates at once, held to the beginning a little.
-    for _ in range(8):
-        chance = 1 / (1 + np.exp(-(weights[gate].T * x).sum(axis=0)))
+def unfitted(alphabet: Alphabet, counts: list[np.ndarray]) -> Model:
+    """The model with the same weight everywhere."""
+    return Model(alphabet, [log_odds(c, alphabet) for c in counts], np.full((GATES, len(SLOTS)), FLAT, np.float32))
+
+
+def step_sums(texts: list[bytes], model: Model) -> np.ndarray:
+    """``[gate, predictor, predictor + 1]``: the cost's curvature and, last, its downward slope, summed over the texts."""
+    k = model.weights.shape[1]
+    sums = np.zeros((GATES, k, k + 1))
+    for line, owners in _batches([normalized(t) for t in texts]):
+        x, signs, gate = _decisions(line, owners, model)[:3]
+        chance = 1 / (1 + np.exp(-sum(row * w[gate] for row, w in zip(x, model.weights.T, strict=True))))
         error, bend = (signs > 0) - chance, chance * (1 - chance)
-        slope = np.stack([np.bincount(gate, error * own, gates) for own in x], axis=1) - (weights - 0.4)
-        curve = np.stack([[np.bincount(gate, bend * a * b, gates) for b in x] for a in x]).transpose(2, 0, 1)
-        weights += np.linalg.solve(curve + np.eye(len(x)), slope[:, :, None])[:, :, 0]
-    return Model(alphabet, odds, weights.astype(np.float32))
+        for a in range(k):
+            sums[:, a, k] += np.bincount(gate, error * x[a], GATES)
+            bent = bend * x[a]
+            for b in range(a, k):
+                sums[:, a, b] += np.bincount(gate, bent * x[b], GATES)
+                sums[:, b, a] = sums[:, a, b]
+    return sums
+
+
+def stepped(model: Model, sums: np.ndarray) -> Model:
+    """A Newton step of the logistic cost, all gates at once, held to the beginning a little."""
+    k = model.weights.shape[1]
+    slope = sums[:, :, k] - (model.weights - FLAT)
+    moves = np.linalg.solve(sums[:, :, :k] + np.eye(k), slope[:, :, None])[:, :, 0]
+    return replace(model, weights=(model.weights + moves).astype(np.float32))
+
+
+def started(alphabet: Alphabet, counts: list[np.ndarray], sample: list[bytes]) -> Model:
+    """The model, its gates' weights fitted to the given texts."""
+    model = unfitted(alphabet, counts)
+    for _ in range(STEPS if sample else 0):
+        model = stepped(model, step_sums(sample, model))
+    return model
 
 
 def bits(texts: list[bytes], model: Model) -> np.ndarray:

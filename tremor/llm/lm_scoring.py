@@ -7,20 +7,20 @@ back to the chunks, which then score their documents. A frequent word is one row
 
 The context-mixing model (:mod:`tremor.llm.context_mixing`) is learned from all training
 documents: its tables hold counts of every byte in its hashed contexts, and have a fixed size,
-so they are added up per task and broadcast. Only the gates' weights are fitted on a sample.
+so they are added up per task and broadcast. The gates' weights are fitted to all of them, too.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import pairwise
 from math import log10
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +31,13 @@ from tremor.llm.common import slices, stored, utf8
 @dataclass(frozen=True)
 class Scoring:
     """``smoothing`` is added to every word's count. ``chunk_bytes``: from how much text a chunk is
-    closed. ``sample_docs``: about how many training documents the gates' weights are fitted on."""
+    closed. ``sample_docs``: about how many training documents the fit of the gates' weights to all of
+    them begins with; ``settled``: it ends when no weight moves by more in a step."""
 
     smoothing: float = 0.1
     chunk_bytes: int = 8 << 20
     sample_docs: int = 100
+    settled: float = 0.001
     seed: int = 7
 
 
@@ -150,7 +152,40 @@ def learned(chunks: DataFrame, scoring: Scoring) -> cm.Model:
     rows = max(training.count(), 1)
     draw = F.pmod(F.xxhash64(F.lit(scoring.seed), "doc_id"), F.lit(1 << 30))
     sample = training.where(draw < F.lit((scoring.sample_docs << 30) // rows)).select("text").collect()
-    return cm.started(alphabet, _context_counts(training, alphabet), sorted(bytes(r.text) for r in sample))
+    model = cm.started(alphabet, _context_counts(training, alphabet), sorted(bytes(r.text) for r in sample))
+    return _fitted(training, model, scoring.settled)
+
+
+def _fitted(training: DataFrame, model: cm.Model, settled: float) -> cm.Model:
+    """The model with its weights at the optimum over all training rows: a pass over them for each Newton step."""
+    shared = training.sparkSession.sparkContext.broadcast(model)
+    for _ in range(cm.STEPS):
+        moved = cm.stepped(model, _step_sums(training, shared, model.weights))
+        most = np.abs(moved.weights - model.weights).max()
+        model = moved
+        if most <= settled:
+            break
+    shared.unpersist()
+    return model
+
+
+def _step_sums(training: DataFrame, shared: Broadcast, weights: np.ndarray) -> np.ndarray:
+    """``context_mixing.step_sums`` over all rows, added up per task and then by Spark."""
+    gates, k = weights.shape
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = replace(shared.value, weights=weights)
+        sums = np.zeros((gates, k, k + 1))
+        for batch in batches:
+            for first, last in slices(batch.column(0), 2 << 20):
+                sums += cm.step_sums(batch.column(0)[first:last].to_pylist(), model)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(sums.size)), pa.array(sums.ravel())], ["entry", "v"])
+
+    rows = training.select("text").mapInArrow(run, "entry bigint, v double").groupBy("entry").agg(F.sum("v").alias("v"))
+    result = np.zeros(gates * k * (k + 1))
+    for row in rows.collect():
+        result[row.entry] = row.v
+    return result.reshape(gates, k, k + 1)
 
 
 def scored(

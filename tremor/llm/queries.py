@@ -13,6 +13,7 @@ from tremor.llm.language_id import Ppm, held_out, identified, learned
 from tremor.llm.lm_scoring import Scoring, scored
 from tremor.llm.mixing import Mix, mix_totals
 from tremor.llm.near_dups import near_duplicates
+from tremor.llm.pieces import piece_coded
 from tremor.llm.quality import LineRules, quality
 from tremor.llm.registry import registered
 from tremor.llm.secrets import BASE_RULES, MORE_RULES, listed, of_kind, secret_findings
@@ -21,6 +22,7 @@ from tremor.llm.token_files import read_token_files, write_token_files
 from tremor.workspace import new_folder
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @registered()
@@ -124,3 +126,8 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", ~F.col("trains")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@registered()
+def op11_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_coded(documents(spark, sf_dir), PIECES)

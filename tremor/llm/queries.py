@@ -19,6 +19,7 @@ from tremor.llm.registry import registered
 from tremor.llm.secrets import BASE_RULES, MORE_RULES, listed, of_kind, secret_findings
 from tremor.llm.sharding import sharded
 from tremor.llm.token_files import read_token_files, write_token_files
+from tremor.llm.variants import Spelling, variant_groups
 from tremor.workspace import new_folder
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -131,3 +132,9 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op11_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_coded(documents(spark, sf_dir), PIECES)
+
+
+@registered()
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of six characters and five occurrences; a run in 199 loses a letter, as the contract plants it."""
+    return variant_groups(documents(spark, sf_dir), Spelling(slips=199))

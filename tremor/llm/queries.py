@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tremor.llm.common import documents, stored
 from tremor.llm.fingerprints import fingerprinted, with_near_counts
 from tremor.llm.language_id import Ppm, held_out, identified, learned
 from tremor.llm.lm_scoring import Scoring, scored
+from tremor.llm.merkle import leaf_digest, proofs, write_manifest
 from tremor.llm.mixing import Mix, mix_totals
 from tremor.llm.near_dups import near_duplicates
 from tremor.llm.pieces import piece_coded
@@ -138,3 +141,20 @@ def op11_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of six characters and five occurrences; a run in 199 loses a letter, as the contract plants it."""
     return variant_groups(documents(spark, sf_dir), Spelling(slips=199))
+
+
+@registered()
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree per language; a third of the rows are verified with A-Z of their text in lower case."""
+    heads = ["doc_id", "source", "lang", "n_chars"]
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaves = documents(spark, sf_dir).select(
+        "doc_id",
+        F.col("lang").alias("group"),
+        leaf_digest(*heads, "text").alias("leaf"),
+        F.when(tampered, leaf_digest(*heads, lowered)).alias("claim"),
+    )
+    folder = new_folder(spark, "llm-merkle")
+    write_manifest(leaves, folder)
+    return proofs(spark, folder)

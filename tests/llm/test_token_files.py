@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -108,3 +109,17 @@ def test_encoder_equals_the_library_on_noise():
     texts = ODD + list(noise())
     for text, own in zip(texts, mine.encode([t.encode() for t in texts]), strict=True):
         assert np.frombuffer(own, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("alphabet", [
+    "abc' sdtrevml", "\u0130\u0131\u017f\u01c5\u023a\u023e\u2126\xe9 \xb2\xb3\xbc\xaa\xba'", "a1 !<|endoftext|> <", "\x1c\x85\xa0 \u0301ab", "'s't're've'm'll'dX ",
+    "".join(map(chr, [*range(9, 14), *range(32, 127), *range(0xA1, 0x250)])),
+])
+def test_encoder_equals_the_library_on_plain_and_other_texts(alphabet):
+    rng = random.Random(9)
+    library, mine = Tokenizer.from_file(PATH), token_files.LibraryEncoder(PATH, memo_bytes=20_000)
+    for _ in range(20):
+        texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(50)]
+        for text, own in zip(texts, mine.encode([t.encode() for t in texts]), strict=True):
+            assert np.frombuffer(own, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert mine._held < 40_000

@@ -72,7 +72,7 @@ def test_whole_query_equals_the_library(spark, library):
 
 def test_odd_rows(spark, library):
     docs = docs_frame(spark, [(1, None), (2, ""), (None, "x y"), (3, "same"), (3, "same"), *enumerate(ODD, 10)])
-    rows = bpe.coded(docs, PATH, with_ids=True).collect()
+    rows = bpe.coded(docs, PATH, with_ids=True, with_decoded=True).collect()
     assert len(rows) == 5 + len(ODD)
     empty = hashlib.sha256(b"").hexdigest()
     assert {(r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows if r.doc_id in (1, 2)} == {(0, empty, empty)}

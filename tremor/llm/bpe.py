@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tremor.llm.common import slices, utf8
+from tremor.llm.common import slices, trimmed, utf8
 
 _END = "</w>"
 #: Texts that are their own normal form but for case, and whose letters no Unicode version disputes.
@@ -60,7 +60,7 @@ class WordBpe:
     is done here. ``memo_bytes`` bounds what is remembered of words met before.
     """
 
-    def __init__(self, path: str, memo_bytes: int = 48 << 20):
+    def __init__(self, path: str, memo_bytes: int = 32 << 20):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -219,7 +219,7 @@ class WordBpe:
         """The ids of each UTF-8 text as little-endian unsigned 32-bit numbers."""
         if self._held > self._memo_bytes:
             self.forget()
-        if len(self._apart) > self._memo_bytes // 100:
+        if len(self._apart) > self._memo_bytes // 400:
             self._apart.clear()
         split = [text.split() for text in texts]
         fresh = [text for text in set().union(*split) if text not in self._by_text]
@@ -243,7 +243,7 @@ class WordBpe:
 _loaded: dict[tuple[str, int], WordBpe] = {}
 
 
-def word_bpe(path: str, memo_bytes: int = 48 << 20) -> WordBpe:
+def word_bpe(path: str, memo_bytes: int = 32 << 20) -> WordBpe:
     """One encoder per process and file."""
     key = (path, memo_bytes)
     if key not in _loaded:
@@ -251,7 +251,14 @@ def word_bpe(path: str, memo_bytes: int = 48 << 20) -> WordBpe:
     return _loaded[key]
 
 
-def coded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", with_ids: bool = False) -> DataFrame:
+def coded(
+    docs: DataFrame,
+    path: str,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    with_ids: bool = False,
+    with_decoded: bool = False,
+) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` for every row, and ``ids``, ``decoded`` on request.
 
     Texts are encoded whole and the ids decoded again, within the task that reads them: no
@@ -264,7 +271,7 @@ def coded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id"
         bpe = word_bpe(path)
         for batch in batches:
             texts = batch.column(1)
-            for first, last in slices(texts, 2 << 20):
+            for first, last in slices(texts, 1 << 20):
                 ids = bpe.encode(texts[first:last].to_pylist())
                 decoded = [bpe.decode(own) for own in ids]
                 columns = [
@@ -275,11 +282,15 @@ def coded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id"
                 ]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    columns += [pa.array(ids, pa.binary()), pa.array([d.decode() for d in decoded])]
-                    names += ["ids", "decoded"]
+                    columns.append(pa.array(ids, pa.binary()))
+                    names.append("ids")
+                if with_decoded:
+                    columns.append(pa.array([d.decode() for d in decoded], pa.string()))
+                    names.append("decoded")
                 yield pa.RecordBatch.from_arrays(columns, names)
         bpe.forget()
 
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), utf8(text).alias("text"))
-    return rows.mapInArrow(run, schema + (", ids binary, decoded string" if with_ids else ""))
+    schema += ", ids binary" * with_ids + ", decoded string" * with_decoded
+    return rows.mapInArrow(trimmed(run), schema)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -92,6 +94,28 @@ def bounded_groups(postings: DataFrame, key: str, member: Column, block: int) ->
     return groups.agg(F.collect_list("_element").alias("members")).where(F.size("members") > 1)
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for ``mapInArrow``, after which the worker gives freed memory back to the machine.
+
+    Workers wait for their next task beside the JVM; what they hold meanwhile is lost to both.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return task
+
+
+def numbered_columns(docs: DataFrame) -> DataFrame:
+    """The same rows with columns ``c0``, ``c1``, ... so that no name can clash with another."""
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+
+
 def slices(values: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of a binary array that hold about ``most`` bytes, or a single longer value."""
     if not len(values):

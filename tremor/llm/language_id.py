@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tremor.llm.common import slices, utf8
+from tremor.llm.common import slices, trimmed, utf8
 
 UNDETERMINED = "und"
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -288,7 +288,7 @@ def identified(docs: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
 
     kinds = (T.StringType(), T.DoubleType(), T.DoubleType())
     schema = T.StructType([*rows.schema.fields, *map(T.StructField, added, kinds)])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 def _predicted(texts: list[bytes | None], trees: Trees) -> tuple[list[str], np.ndarray, np.ndarray]:

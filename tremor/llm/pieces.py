@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from tremor.llm.common import slices, utf8
+from tremor.llm.common import slices, trimmed, utf8
 
 _MARK = "▁"
 _NONE = np.int32(2**31 - 1)
@@ -312,4 +312,4 @@ def piece_coded(
 
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), utf8(text).alias("text"))
-    return rows.mapInArrow(run, schema + (", ids binary, decoded string" if with_ids else ""))
+    return rows.mapInArrow(trimmed(run), schema + (", ids binary, decoded string" if with_ids else ""))

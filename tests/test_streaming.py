@@ -16,6 +16,7 @@ from tremor.sources.streams import folder_lines
 from tremor.sources.tables import stored_table
 from tremor.streaming import jobs, snapshots
 from tremor.streaming.ledger import CounterLedger
+from tremor.streaming.small_files import SmallFiles
 
 NOW = {"availableNow": True}
 FEED = ["Ankara", "İzmir", "Ankara", "Van", "Ankara", "İzmir", "Bursa", "Ankara", "Van", "Ankara", "Kars", "Van"]
@@ -120,6 +121,58 @@ def test_ledger_totals_and_persisted_top(spark, tmp_path, fold_every):
     assert snapshots.last_batch(spark, f"{out}/payload").first().label == ["Ankara", "Van"]
 
 
+def test_runs_write_in_any_order(spark, tmp_path):
+    """Three runs over the same feed take turns; the first goes on after later ones have begun and ended."""
+    root, folder = str(tmp_path / "ledger"), tmp_path / "in"
+    batches = split(FEED, 6)
+    expected, ledgers = Counter(), {}
+
+    def go_on(run, step):
+        ledger = ledgers[run] = CounterLedger(root, run, str(tmp_path / run), fold_every=2 if run == "a" else 3)
+        write_files(folder / run, [batches[step]], start=step)
+        finish(jobs.start_persisted_counts(places(spark, folder / run), str(tmp_path / run), ledger, trigger=NOW))
+        expected.update(batches[step])
+
+    folder.mkdir()
+    steps = Counter()
+    for run in "abaacbabacba":
+        go_on(run, steps[run])
+        steps[run] += 1
+        for ledger in ledgers.values():
+            assert as_counter(ledger.totals(spark)) == expected
+        assert as_counter(ledgers[run].totals_at(spark, steps[run] - 1)) == expected
+    with pytest.raises(ValueError, match="fold_every"):
+        CounterLedger(root, "a", str(tmp_path / "a"), fold_every=9).record(spark.createDataFrame([("x",)], "location string"), 9)
+
+
+def test_a_batch_counts_from_its_commit(spark, tmp_path):
+    """A fold that failed half way is written anew for the version it began with."""
+    root = str(tmp_path / "ledger")
+    rows = spark.createDataFrame([("x",), ("y",)], "location string")
+    one, two = (CounterLedger(root, run, run, fold_every=2) for run in ("one", "two"))
+    one.record(rows, 0)
+    commit = SmallFiles.write
+
+    def failing(self, path, text):
+        if "/commits/one/1" in path:
+            raise OSError("lost")
+        commit(self, path, text)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(SmallFiles, "write", failing)
+        with pytest.raises(OSError, match="lost"):
+            one.record(rows, 1)
+    assert as_counter(one.totals(spark)) == Counter(x=1, y=1)
+    two.record(rows, 0)
+    one.record(rows, 1)
+    one.record(rows, 1)
+    for ledger in (one, two):
+        assert as_counter(ledger.totals(spark)) == Counter(x=3, y=3)
+    assert as_counter(one.totals_at(spark, 1)) == Counter(x=2, y=2)
+    assert as_counter(two.totals_at(spark, 0)) == Counter(x=2, y=2)
+    assert not [n for n in SmallFiles(spark).names(f"{root}/commits/one") if n.endswith(".tmp")]
+
+
 def test_ledger_ignores_replays_and_adds_runs(spark, tmp_path):
     write_files(tmp_path / "in", split(FEED, 3))
     root = str(tmp_path / "ledger")

@@ -6,6 +6,7 @@ Events play the messages; a user's nation is the place a message comes from.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -199,6 +200,42 @@ judgements AS (
 """
 
 
+def event_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(event_id, location, at, step)``, one row per event. ``step`` deals the events to three files in
+    the order of their times, give or take half an hour, so that files overlap in time."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").alias("at"))
+    span = events.agg(F.min("at").alias("first"), F.max("at").alias("last")).first()
+    jitter = F.make_dt_interval(mins=F.col("event_id") * 7919 % 61 - 30)
+    step = F.lit(0)
+    for k in (1, 2) if span.first else ():
+        cut = span.first + (span.last - span.first) * k / 3
+        step = step + F.when(F.col("at") + jitter >= F.lit(cut), 1).otherwise(0)
+    placed = events.join(user_places(spark, sf_dir), "user_id")
+    return placed.select("event_id", F.col("place").alias("location"), "at", step.alias("step"))
+
+
+class Steps:
+    """A feed that arrives step by step: each step's rows are written when a run gets to them, and read by
+    that run in one batch. Every run has a copy of the feed."""
+
+    def __init__(self, spark: SparkSession, rows: DataFrame, step: str, folder: str, number: int):
+        self._spark = spark
+        self._rows = rows
+        self._step = step
+        self._folder = folder
+        self._number = number
+        self._written: dict[str, int] = {}
+
+    def streams(self, run: str, until: int | None = None) -> Iterator[DataFrame]:
+        """The run's stream once more for each further step, to be read to its end before the next."""
+        own = self._rows.drop(self._step)
+        folder = f"{self._folder}/{run}"
+        for step in range(self._written.get(run, 0), self._number if until is None else until):
+            self._rows.where(F.col(self._step) == step).drop(self._step).write.mode("append").parquet(folder)
+            self._written[run] = step + 1
+            yield self._spark.readStream.schema(own.schema).parquet(folder)
+
+
 def replayed(spark: SparkSession, lines: DataFrame, rows: int, label: str) -> DataFrame:
     """A stream over ``lines`` (column ``value``), written to text files first and read in a few batches.
 

@@ -84,15 +84,24 @@ def st_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(f"{out}/lines")
 
 
-@registered(_COUNTS_SQL.replace("count(*)", "2 * count(*)"))
+@registered(_COUNTS_SQL.replace("count(*)", "3 * count(*)"))
 def st_counter_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over the same feed, each with a checkpoint of its own; the first is resumed after the second
+    began and again after the third ended, when all of its feed but the beginning is new to it."""
     out = new_folder(spark, "ledger")
-    places = _place_stream(spark, sf_dir)
-    # A first run, stopped and resumed, and a second one with a checkpoint of its own over the same feed.
-    for run in ("first", "first", "second"):
-        ledger = CounterLedger(f"{out}/ledger", run, f"{out}/checkpoint-{run}", fold_every=3)
-        _finish(jobs.start_persisted_counts(places, f"{out}/checkpoint-{run}", ledger, trigger=ALL_NOW))
-    return ledger.totals(spark)
+    steps = feeds.Steps(spark, feeds.event_places(spark, sf_dir), "step", f"{out}/feed", 3)
+
+    def run(name: str, until: int) -> CounterLedger:
+        ledger = CounterLedger(f"{out}/ledger", name, f"{out}/checkpoint-{name}", fold_every=2)
+        for stream in steps.streams(name, until):
+            _finish(jobs.start_persisted_counts(stream, f"{out}/checkpoint-{name}", ledger, trigger=ALL_NOW))
+        return ledger
+
+    run("first", 1)
+    run("second", 3)
+    run("first", 2)
+    run("third", 3)
+    return run("first", 3).totals(spark)
 
 
 @registered(_TOP_SQL)

@@ -1,26 +1,36 @@
-"""Persisted totals per place that survive restarts and replays."""
+"""Persisted totals per place that survive restarts, replays and several writers."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremor.streaming.small_files import SmallFiles
+
 _COUNTS = "location STRING, delta BIGINT"
-_RUNS = "owner STRING, started TIMESTAMP, run_id STRING"
+#: The last committed batch of each run.
+Version = dict[str, int]
 
 
 class CounterLedger:
-    """Counts per place and batch; a place's total is the sum of its counts.
+    """Counts per place, run and batch; a place's total is the sum of its counts over all runs.
+
+    ``run_id`` belongs to one checkpoint: keep it (and ``fold_every``) when resuming, and take a new
+    one with a fresh checkpoint, whose batch ids start at 0 again. The ledger notes the checkpoint's
+    own id with the run and refuses any other.
 
-    Each batch owns one folder and overwrites it when it is replayed, so no count is added
-    twice. ``run_id`` belongs to one checkpoint: keep it (and ``fold_every``) when resuming,
-    and take a new one with a fresh checkpoint, whose batch ids start at 0 again. The ledger
-    notes the checkpoint's own id with the run and refuses any other.
+    Every run writes to folders of its own only, so any number of them may write, in turn or at a time, and
+    an older run may go on after a newer one has begun. A batch counts from its commit on: a small file,
+    written last, that holds the version the batch saw, that is, every run's last committed batch. What is
+    committed never changes. A batch that is replayed after its commit adds nothing, and one that failed
+    before is written anew.
 
-    Totals as of a batch come from the last fold plus the batches since, at most
-    ``fold_every`` folders however long the run is. The fold before batch 0 carries the
-    totals of the run before, and so of all earlier ones. One run writes to a ledger at a time.
+    Totals of a version are a fold, the totals of an earlier version, and the batches since. A run folds
+    before its first batch and after every ``fold_every``; so a reader opens about that many folders of
+    each run that writes at the time, and none of runs that ended before.
     """
 
     def __init__(self, root: str, run_id: str, checkpoint: str, fold_every: int = 100):
@@ -33,67 +43,127 @@ class CounterLedger:
     def record(self, batch: DataFrame, batch_id: int) -> None:
         """Store the batch's own counts. ``batch`` has a ``location`` column."""
         spark = batch.sparkSession
-        self._claim(spark)
-        counts = batch.groupBy("location").agg(F.count(F.lit(1)).alias("delta"))
-        counts.write.mode("overwrite").parquet(self._batch_folder(batch_id))
+        files = SmallFiles(spark)
+        self._claim(spark, files)
+        if files.exists(self._commit(self.run_id, batch_id)):
+            return
         if batch_id == 0:
-            self._write_fold(self._earlier(spark), -1)
+            self._fold(spark, files, -1, self._others(files))
+        counts = batch.groupBy("location").agg(F.count(F.lit(1)).alias("delta"))
+        counts.write.mode("overwrite").parquet(self._deltas(self.run_id, batch_id))
+        seen = {**self._others(files), self.run_id: batch_id}
         if (batch_id + 1) % self.fold_every == 0:
-            self._write_fold(self._since_last_fold(spark, batch_id), batch_id)
+            seen = self._fold(spark, files, batch_id, seen)
+        files.write(self._commit(self.run_id, batch_id), json.dumps(seen, sort_keys=True))
 
     def totals_at(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """``(location, location_count)`` after a batch of this run."""
-        return _summed(self._since_last_fold(spark, batch_id)).withColumnRenamed("delta", "location_count")
+        """``(location, location_count)`` of the version that a batch of this run saw, however far others are now."""
+        files = SmallFiles(spark)
+        version = json.loads(files.read(self._commit(self.run_id, batch_id)))
+        last = self._last_fold(files, self.run_id, batch_id)
+        return _summed(self._since(spark, version, self.run_id, last, self._folded(files, self.run_id, last)))
 
     def totals(self, spark: SparkSession) -> DataFrame:
-        """``(location, location_count)`` after this run's last batch, earlier runs included."""
-        return _summed(self._up_to_now(spark)).withColumnRenamed("delta", "location_count")
-
-    def _claim(self, spark: SparkSession) -> None:
+        """``(location, location_count)`` of all batches that any run has committed by now."""
+        files = SmallFiles(spark)
+        version = self._newest(files)
+        if not version:
+            return _summed(spark.createDataFrame([], _COUNTS))
+        return _summed(self._since(spark, version, *self._nearest_fold(files, version)))
+
+    def _nearest_fold(self, files: SmallFiles, version: Version, own: int | None = None) -> tuple[str, int, Version]:
+        """The fold that lacks the fewest batches of the version: its run, batch and own version.
+
+        ``own`` is this run's last committed batch where the version is ahead of it.
+        """
+        folds = []
+        for run, newest in version.items():
+            committed = newest if own is None or run != self.run_id else own
+            last = self._last_fold(files, run, committed)
+            fold = self._folded(files, run, last)
+            if all(batch <= version.get(r, -1) for r, batch in fold.items()):
+                folds.append((sum(version[r] - fold.get(r, -1) for r in version), run, last, fold))
+        return min(folds, key=lambda f: f[:3])[1:]
+
+    def _claim(self, spark: SparkSession, files: SmallFiles) -> None:
         """Binds the run to the checkpoint, or fails if it is bound to another."""
         if self._owned:
             return
-        own = _checkpoint_id(spark, self.checkpoint)
-        row = spark.range(1).select(F.lit(own).alias("owner"), F.current_timestamp().alias("started"))
-        row.coalesce(1).write.mode("ignore").parquet(f"{self.root}/runs/run_id={self.run_id}")
-        held = self._runs(spark).where(F.col("run_id") == self.run_id).first()
-        if held.owner != own:
+        own = {"owner": _checkpoint_id(spark, self.checkpoint), "fold_every": self.fold_every}
+        path = f"{self.root}/runs/{self.run_id}"
+        files.write(path, json.dumps(own))
+        held = json.loads(files.read(path))
+        if held["owner"] != own["owner"]:
             raise ValueError(f"run {self.run_id} belongs to another checkpoint; take a new run id")
+        if held["fold_every"] != self.fold_every:
+            raise ValueError(f"run {self.run_id} began with fold_every={held['fold_every']}; keep it")
         self._owned = True
 
-    def _runs(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(_RUNS).parquet(f"{self.root}/runs")
-
-    def _earlier(self, spark: SparkSession) -> DataFrame:
-        """The totals of the run that started last before this one, as deltas."""
-        runs = self._runs(spark)
-        mine = runs.where(F.col("run_id") == self.run_id).first()
-        before = runs.where((F.col("run_id") != self.run_id) & (F.col("started") <= F.lit(mine.started)))
-        last = before.orderBy(F.desc("started"), "run_id").first()
-        if last is None:
-            return spark.createDataFrame([], _COUNTS)
-        return CounterLedger(self.root, last.run_id, "", self.fold_every)._up_to_now(spark)
-
-    def _up_to_now(self, spark: SparkSession) -> DataFrame:
-        folders = spark.read.schema(f"{_COUNTS}, batch_id BIGINT").parquet(f"{self.root}/deltas/run_id={self.run_id}")
-        newest = folders.agg(F.max("batch_id")).first()[0]
-        # Batches without rows after that one add nothing; if none has rows, the fold before batch 0 is all.
-        return self._since_last_fold(spark, 0 if newest is None else newest)
-
-    def _since_last_fold(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        last_fold = batch_id - batch_id % self.fold_every - 1
-        folders = [self._fold_folder(last_fold)]
-        folders += [self._batch_folder(n) for n in range(last_fold + 1, batch_id + 1)]
+    def _last_fold(self, files: SmallFiles, run: str, batch: int) -> int:
+        """The batch of a run through which its last fold before or at a batch goes; -1 before all."""
+        every = self.fold_every
+        if run != self.run_id:
+            every = json.loads(files.read(f"{self.root}/runs/{run}"))["fold_every"]
+        return batch - (batch + 1) % every
+
+    def _newest(self, files: SmallFiles) -> Version:
+        found = {run: self._last_commit(files, run) for run in files.names(f"{self.root}/runs")}
+        return {run: batch for run, batch in found.items() if batch >= 0}
+
+    def _others(self, files: SmallFiles) -> Version:
+        return {run: batch for run, batch in self._newest(files).items() if run != self.run_id}
+
+    def _last_commit(self, files: SmallFiles, run: str) -> int:
+        """Batches are committed without gaps, so a search in doubling steps finds the last."""
+
+        def committed(batch: int) -> bool:
+            return files.exists(self._commit(run, batch))
+
+        if not committed(0):
+            return -1
+        step = 1
+        while committed(step):
+            step *= 2
+        low, high = step // 2, step
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if committed(middle) else (low, middle)
+        return low
+
+    def _since(self, spark: SparkSession, version: Version, run: str, last: int, fold: Version) -> DataFrame:
+        """The counts of a version: those of a run's fold, and the batches that it lacks."""
+        folders = [self._fold_folder(run, last)]
+        for other, newest in sorted(version.items()):
+            folders += [self._deltas(other, batch) for batch in range(fold.get(other, -1) + 1, newest + 1)]
         return spark.read.schema(_COUNTS).parquet(*folders)
 
-    def _write_fold(self, rows: DataFrame, batch_id: int) -> None:
-        _summed(rows).write.mode("overwrite").parquet(self._fold_folder(batch_id))
+    def _fold(self, spark: SparkSession, files: SmallFiles, batch_id: int, version: Version) -> Version:
+        """Writes the totals of a version. A fold that was begun before keeps the version it had."""
+        path = self._fold_version(self.run_id, batch_id)
+        files.write(path, json.dumps(version, sort_keys=True))
+        version = json.loads(files.read(path))
+        if version:
+            rows = self._since(spark, version, *self._nearest_fold(files, version, batch_id - 1))
+        else:
+            rows = spark.createDataFrame([], _COUNTS)
+        folded = rows.groupBy("location").agg(F.sum("delta").alias("delta"))
+        folded.write.mode("overwrite").parquet(self._fold_folder(self.run_id, batch_id))
+        return version
+
+    def _folded(self, files: SmallFiles, run: str, last: int) -> Version:
+        return json.loads(files.read(self._fold_version(run, last)))
+
+    def _deltas(self, run: str, batch_id: int) -> str:
+        return f"{self.root}/deltas/run_id={run}/batch_id={batch_id}"
+
+    def _commit(self, run: str, batch_id: int) -> str:
+        return f"{self.root}/commits/{run}/{batch_id}"
 
-    def _batch_folder(self, batch_id: int) -> str:
-        return f"{self.root}/deltas/run_id={self.run_id}/batch_id={batch_id}"
+    def _fold_folder(self, run: str, batch_id: int) -> str:
+        return f"{self.root}/folds/run_id={run}/through={batch_id}"
 
-    def _fold_folder(self, batch_id: int) -> str:
-        return f"{self.root}/folds/run_id={self.run_id}/through={batch_id}"
+    def _fold_version(self, run: str, batch_id: int) -> str:
+        return f"{self.root}/versions/{run}/{batch_id}"
 
 
 def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
@@ -105,4 +175,4 @@ def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def _summed(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("location").agg(F.sum("delta").alias("delta"))
+    return rows.groupBy("location").agg(F.sum("delta").alias("location_count"))

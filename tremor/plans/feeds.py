@@ -200,38 +200,63 @@ judgements AS (
 """
 
 
-def event_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(event_id, location, at, step)``, one row per event. ``step`` deals the events to three files in
-    the order of their times, give or take half an hour, so that files overlap in time."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").alias("at"))
-    span = events.agg(F.min("at").alias("first"), F.max("at").alias("last")).first()
-    jitter = F.make_dt_interval(mins=F.col("event_id") * 7919 % 61 - 30)
+STEPS = 3
+JITTER_MINUTES = 30
+# SQL of the feed that arrives in steps, out of order: (event_id, user_id, location, us, step, mark), with the time in
+# microseconds and the watermark (before its delay) that each step's rows find.
+STEPS_SQL = f"""
+timed AS (
+  SELECT event_id, user_id, n_name AS location, epoch_us(ts) AS us,
+         epoch_us(ts) + (event_id * 7919 % {2 * JITTER_MINUTES + 1} - {JITTER_MINUTES}) * 60000000 AS arrival
+  FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+span AS (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events),
+stepped AS (
+  SELECT event_id, user_id, location, us,
+         {" + ".join(f"(arrival >= low + (high - low) * {k} // {STEPS})::INT" for k in range(1, STEPS))} AS step
+  FROM timed, span),
+marks AS (SELECT s AS of_step, max(us) // 1000 * 1000 AS mark FROM stepped, range({STEPS + 1}) AS r(s) WHERE step < s GROUP BY s),
+steps AS (SELECT stepped.*, coalesce(mark, 0) AS mark FROM stepped LEFT JOIN marks ON step = of_step),
+final AS (SELECT mark AS closing FROM marks WHERE of_step = {STEPS})
+"""
+
+
+def instant(time: Column) -> tuple[Column, Column]:
+    """A table's zoneless time, read as UTC: its microseconds since 1970, and the instant."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), time.cast("timestamp_ntz"))
+    return micros, F.timestamp_micros(micros)
+
+
+def event_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(event_id, user_id, location, us, at, step)``, one row per event. The steps deal the events out in
+    the order of their times, give or take half an hour, so that steps overlap in time."""
+    micros, at = instant(F.col("ts"))
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", micros.alias("us"), at.alias("at"))
+    span = events.agg(F.min("us").alias("low"), F.max("us").alias("high")).first()
+    jitter = F.col("event_id") * 7919 % (2 * JITTER_MINUTES + 1) - JITTER_MINUTES
+    arrival = F.col("us") + jitter * 60_000_000
     step = F.lit(0)
-    for k in (1, 2) if span.first else ():
-        cut = span.first + (span.last - span.first) * k / 3
-        step = step + F.when(F.col("at") + jitter >= F.lit(cut), 1).otherwise(0)
+    for k in range(1, STEPS) if span.low is not None else ():
+        step = step + F.when(arrival >= span.low + (span.high - span.low) * k // STEPS, 1).otherwise(0)
     placed = events.join(user_places(spark, sf_dir), "user_id")
-    return placed.select("event_id", F.col("place").alias("location"), "at", step.alias("step"))
+    return placed.select("event_id", "user_id", F.col("place").alias("location"), "us", "at", step.alias("step"))
 
 
 class Steps:
     """A feed that arrives step by step: each step's rows are written when a run gets to them, and read by
     that run in one batch. Every run has a copy of the feed."""
 
-    def __init__(self, spark: SparkSession, rows: DataFrame, step: str, folder: str, number: int):
+    def __init__(self, spark: SparkSession, rows: DataFrame, folder: str):
         self._spark = spark
         self._rows = rows
-        self._step = step
         self._folder = folder
-        self._number = number
         self._written: dict[str, int] = {}
 
-    def streams(self, run: str, until: int | None = None) -> Iterator[DataFrame]:
+    def streams(self, run: str = "feed", until: int = STEPS) -> Iterator[DataFrame]:
         """The run's stream once more for each further step, to be read to its end before the next."""
-        own = self._rows.drop(self._step)
+        own = self._rows.drop("step")
         folder = f"{self._folder}/{run}"
-        for step in range(self._written.get(run, 0), self._number if until is None else until):
-            self._rows.where(F.col(self._step) == step).drop(self._step).write.mode("append").parquet(folder)
+        for step in range(self._written.get(run, 0), until):
+            self._rows.where(F.col("step") == step).drop("step").write.mode("append").parquet(folder)
             self._written[run] = step + 1
             yield self._spark.readStream.schema(own.schema).parquet(folder)
 

@@ -89,7 +89,7 @@ def st_counter_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs over the same feed, each with a checkpoint of its own; the first is resumed after the second
     began and again after the third ended, when all of its feed but the beginning is new to it."""
     out = new_folder(spark, "ledger")
-    steps = feeds.Steps(spark, feeds.event_places(spark, sf_dir), "step", f"{out}/feed", 3)
+    steps = feeds.Steps(spark, feeds.event_steps(spark, sf_dir), f"{out}/feed")
 
     def run(name: str, until: int) -> CounterLedger:
         ledger = CounterLedger(f"{out}/ledger", name, f"{out}/checkpoint-{name}", fold_every=2)

@@ -35,19 +35,21 @@ _settings = Lock()
 
 
 @contextmanager
-def _shuffle_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
-    """Sets the shuffle partitions for a query started inside; a started query keeps its own copy.
+def session_settings(spark: SparkSession, settings: dict[str, object]) -> Iterator[None]:
+    """Sets what is not None for a query started inside; a started query keeps its own copy.
 
-    One start at a time, as all of them share the session's setting.
+    One start at a time, as all of them share the session's settings.
     """
-    name = "spark.sql.shuffle.partitions"
+    wanted = {name: value for name, value in settings.items() if value is not None}
     with _settings:
-        before = spark.conf.get(name)
-        spark.conf.set(name, before if number is None else number)
+        before = {name: spark.conf.get(name, None) for name in wanted}
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
         try:
             yield
         finally:
-            spark.conf.set(name, before)
+            for name, value in before.items():
+                spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _written(rows: DataFrame, root: str, batch_id: int) -> DataFrame:
@@ -88,7 +90,7 @@ def start_running_counts(
         if payloads:
             write_batch(dashboard_payload(rows if top else top_places(rows, k)), payloads, batch_id)
 
-    with _shuffle_partitions(places.sparkSession, state_partitions):
+    with session_settings(places.sparkSession, {"spark.sql.shuffle.partitions": state_partitions}):
         return _start(running_counts(places), handle, checkpoint, "complete", trigger)
 
 

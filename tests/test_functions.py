@@ -146,8 +146,8 @@ def test_each_line_is_parsed_once(spark):
 
 
 def test_stored_location(spark):
-    rows = [json.dumps(SAMPLE), '{"user":{"location":null}}', "{}"]
-    assert values(spark, msg.stored_location(v()), rows) == ["Malatya", None, None]
+    rows = [json.dumps(SAMPLE), '{"user":{"location":null}}', "{}", json.dumps(SAMPLE)[:-2], "no JSON", "", None, '{"user":"x"}']
+    assert values(spark, msg.stored_location(v()), rows) == ["Malatya", *[None] * 7]
 
 
 def test_subscription(spark):

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from tremor.operators import bags, grouping, joins, ranking
+from tremor.operators import bags, grouping, joins, matching, ranking
 from tremor.sources.cities import CITIES, cities
 from tremor.sources.tables import number_range
 
@@ -161,3 +162,97 @@ def test_dimension_counts_match_whole_names_only(spark):
     counted = joins.dimension_counts(facts, dimension, "k", "key", "id")
     assert {r.city: r.n for r in counted.collect() if r.n} == {"Ankara": 2, "Van": 1}
     assert counted.count() == 81
+
+
+def test_exact_sum_of_tiny_huge_and_odd_values(spark):
+    def total(values):
+        frame = spark.createDataFrame([(v,) for v in values], "v double")
+        return frame.repartition(3).agg(grouping.exact_sum("v")).first()[0]
+
+    assert spark.range(1_000_000).select(F.lit(4e-11).alias("v")).agg(grouping.exact_sum("v")).first()[0] == pytest.approx(4e-5, rel=1e-12)
+    rng = random.Random(4)
+    values = [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-25, 24) for _ in range(3000)]
+    assert total(values) == pytest.approx(math.fsum(values), rel=1e-15)
+    assert total(values) == total(values[::-1])
+    assert total([1e20, 1.0, -1e20]) == 1.0
+    assert total([1e300, 1.0]) == 1e300
+    assert total([math.inf, 1.0]) == math.inf and math.isnan(total([math.nan, 1.0]))
+    assert total([None, None]) is None and total([]) is None and total([None, 2.5]) == 2.5
+
+
+def test_latest_by_key_with_ties_and_nulls(spark):
+    rows = [("a", 1, 5), ("a", 2, 3), ("a", 2, 9), ("b", None, 7), ("c", None, 1), ("c", 0, 2), ("d", 4, None), (None, 1, 8)]
+    frame = spark.createDataFrame(rows, "k string, v int, x int")
+    assert bag(joins.latest_by_key(frame, "k", "x", "v")) == Counter([("a", 9), ("b", 7), ("c", 2), ("d", None), (None, 8)])
+
+
+def test_running_totals_like_a_window(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice([1, 1, 1, 2, None]), k // 3, rng.choice([None, rng.randint(-500, 500) / 4])) for k in range(900)]
+    frame = spark.createDataFrame(rows, "a int, b int, v double").repartition(5)
+    found = ranking.running_totals(frame, ["a", "b"], "v").collect()
+    assert sorted(r["rank"] for r in found) == list(range(1, 901))
+    found.sort(key=lambda r: r["rank"])
+    keys = [((r.a is not None, r.a or 0), r.b) for r in found]
+    assert keys == sorted(keys)
+    total = 0
+    for r in found:
+        total += r.v or 0
+        assert float(r.running) == total
+    assert ranking.running_totals(frame.limit(0), ["a"], "v").collect() == []
+
+
+def test_running_totals_meet_in_no_single_task(spark):
+    frame = spark.range(2000).selectExpr("id % 3 AS a", "id", "1.5 AS v")
+    plan = ranking.running_totals(frame, ["a", "id"], "v")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # A third of the rows in one value of the first column still spreads over the ranges.
+    same = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("a"), F.lit(1.0).alias("v"))
+    assert ranking.running_totals(same, ["a"], "v").agg(F.max("rank")).first()[0] == 3000
+
+
+TEXTS = ["", None, "abcabc", "İzmir'de deprem", "de", "x" * 5000 + "needle", "aaa", "a\nb", "\U0001f600 smile", "ab"]
+NAMES = ["abc", "a", "ab", "", None, "deprem", "needle", "İzmir", "\U0001f600", "\nb", "aaaa", "zz", "xn", "ire"]
+
+
+@pytest.mark.parametrize("few", [0, 300_000])
+def test_contained_names(spark, monkeypatch, few):
+    monkeypatch.setattr(matching, "BROADCAST_ROWS", few)
+    texts = spark.createDataFrame(list(enumerate(TEXTS)), "key bigint, text string")
+    names = spark.createDataFrame(list(enumerate(NAMES)), "name_id bigint, name string")
+    found = matching.contained_names(texts, names)
+    expected = Counter((k, n) for k, t in enumerate(TEXTS) for n, name in enumerate(NAMES) if t and name and name in t)
+    assert bag(found) == expected
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert matching.contained_names(texts.limit(0), names).collect() == []
+    assert matching.contained_names(texts, names.limit(0)).collect() == []
+
+
+def test_contained_names_of_one_frequent_run(spark):
+    """A third of all texts holds a run; names that have it are listed under another one."""
+    texts = spark.range(3000).selectExpr("id AS key", "if(id % 3 = 0, concat('common', id), concat('rare', id)) AS text")
+    names = spark.createDataFrame([(1, "common12"), (2, "mmon"), (3, "rare1")], "name_id bigint, name string")
+    found = Counter(r.name_id for r in matching.contained_names(texts, names).collect())
+    ids = range(3000)
+    assert found == Counter({
+        1: sum(k % 3 == 0 and str(k).startswith("12") for k in ids), 2: 1000, 3: sum(k % 3 != 0 and str(k).startswith("1") for k in ids),
+    })
+
+
+def test_points_in_boxes_on_cell_borders(spark):
+    rng = random.Random(8)
+    near = lambda: rng.choice([-20, -10, 0, 10, 20, rng.uniform(-25, 25), None])
+    points = [(k, *(None if v is None else float(v) for v in (near(), near()))) for k in range(150)]
+    boxes = [(k, *(None if v is None else float(v) for v in (near(), near(), near(), near()))) for k in range(120)]
+    found = matching.points_in_boxes(
+        spark.createDataFrame(points, "p int, lon double, lat double"),
+        spark.createDataFrame(boxes, "b int, west double, south double, east double, north double"),
+    )
+    expected = Counter(
+        (p, b) for p, x, y in points for b, west, south, east, north in boxes
+        if None not in (x, y, west, south, east, north) and west <= x <= east and south <= y <= north
+    )
+    assert Counter((r.p, r.b) for r in found.collect()) == expected and expected
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

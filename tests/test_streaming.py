@@ -15,7 +15,7 @@ from tremor.sources.cities import cities
 from tremor.sources.streams import folder_lines
 from tremor.sources.tables import stored_table
 from tremor.streaming import jobs, snapshots
-from tremor.streaming.ledger import CounterLedger
+from tremor.streaming.ledger import CounterLedger, DistinctLedger
 from tremor.streaming.small_files import SmallFiles
 
 NOW = {"availableNow": True}
@@ -145,6 +145,21 @@ def test_runs_write_in_any_order(spark, tmp_path):
         CounterLedger(root, "a", str(tmp_path / "a"), fold_every=9).record(spark.createDataFrame([("x",)], "location string"), 9)
 
 
+def test_distinct_users_of_overlapping_runs(spark, tmp_path):
+    root = str(tmp_path / "ledger")
+    rows = lambda low, high: spark.range(low, high).selectExpr("if(id % 2 = 0, 'even', 'odd') location", "id AS user_id")
+    one, two = (DistinctLedger(root, run, run, fold_every=2) for run in ("one", "two"))
+    for batch, (low, high) in enumerate([(0, 6000), (3000, 9000), (0, 9000)]):
+        one.record(rows(low, high), batch)
+    two.record(rows(5000, 20_000).unionByName(spark.createDataFrame([("even", None), ("none", None)], "location string, user_id bigint")), 0)
+    one.record(rows(0, 10), 3)
+    found = {r.location: r.n_users for r in two.totals(spark).collect()}
+    assert found.pop("none") == 0
+    assert found.keys() == {"even", "odd"} and all(abs(n - 10_000) < 4 * 0.0163 * 10_000 for n in found.values())
+    again = {r.location: r.n_users for r in one.totals(spark).collect()}
+    assert again == {**found, "none": 0}
+
+
 def test_a_batch_counts_from_its_commit(spark, tmp_path):
     """A fold that failed half way is written anew for the version it began with."""
     root = str(tmp_path / "ledger")

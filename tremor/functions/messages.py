@@ -56,8 +56,17 @@ def messages_with_place(lines: DataFrame, need_text: bool = False) -> DataFrame:
 
 
 def stored_location(value: Column) -> Column:
-    """``user.location`` of a stored JSON message; NULL where absent or null."""
-    return F.get_json_object(value, "$.user.location")
+    """``user.location`` of a stored JSON message; NULL where absent or null.
+
+    As for ``parsed_messages``, a line that is no whole JSON object is no message, so a cut-off record has none.
+    The lambda names the parsed message, so that it is parsed once.
+    """
+    message = F.from_json(value, f"user STRING, {_BROKEN} STRING", {"columnNameOfCorruptRecord": _BROKEN})
+    located = F.transform(
+        F.array(message),
+        lambda m: F.when(m[_BROKEN].isNull(), F.get_json_object(m["user"], "$.location")),
+    )
+    return F.get(located, 0)
 
 
 def subscription(
@@ -74,17 +83,23 @@ def subscribed(lines: DataFrame, predicate: Column, value: str = "value") -> Dat
     return parsed_messages(lines, value, keep=value).where(predicate).select(value)
 
 
-def tagged_line(text: Column, place: Column) -> Column:
+def tagged_line(text: Column, place: Column, record_mark: str = RECORD_MARK, place_mark: str = PLACE_MARK) -> Column:
     """One message in the tagged line format."""
-    mark = F.lit(f" {RECORD_MARK} ")
-    return F.concat(mark, text, mark, place, F.lit(PLACE_END + PLACE_MARK), mark)
+    mark = F.lit(f" {record_mark} ")
+    return F.concat(mark, text, mark, place, F.lit(PLACE_END + place_mark), mark)
 
 
-def tagged_places(lines: DataFrame, value: str = "value", trim: bool = True) -> DataFrame:
+def tagged_places(
+    lines: DataFrame,
+    value: str = "value",
+    trim: bool = True,
+    record_mark: str = RECORD_MARK,
+    place_mark: str = PLACE_MARK,
+) -> DataFrame:
     """``(location)`` rows of tagged lines. Untrimmed, names keep the blank the format puts before them."""
-    records = lines.select(F.explode(parts(F.col(value), RECORD_MARK)).alias("record"))
-    pieces = records.where(F.col("record").contains(PLACE_MARK)).select(
+    records = lines.select(F.explode(parts(F.col(value), record_mark)).alias("record"))
+    pieces = records.where(F.col("record").contains(place_mark)).select(
         F.explode(parts(F.col("record"), PLACE_END)).alias("piece")
     )
-    places = pieces.where(~F.col("piece").contains(PLACE_MARK))
+    places = pieces.where(~F.col("piece").contains(place_mark))
     return places.select((F.trim("piece") if trim else F.col("piece")).alias("location"))

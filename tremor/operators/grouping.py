@@ -6,17 +6,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def exact_sum(value: Column | str, scale: int = 10) -> Column:
-    """Sum as a decimal with ``scale`` decimals, returned as a double.
+#: Each limb of a sum holds 40 bits less than the one before. Doubles are cut there without a loss.
+_LIMB = float(1 << 40)
+#: From here on a value has no room in the first limb.
+_HUGE = float(1 << 93)
 
-    The scale is there to keep what the values hold, not to round them to money: a value too
-    large for it fails the query. Round the result, if at all.
 
-    A plain sum of doubles depends on the order in which partitions arrive, so a retried
-    task could change the last digits.
+def exact_sum(value: Column | str) -> Column:
+    """Sum as a double that does not depend on the order in which partitions arrive.
+
+    A plain sum of doubles does, so a retried task could change its last digits. Here every value is cut into
+    whole multiples of 2 ** 40, 1, 2 ** -40, 2 ** -80 and 2 ** -120, whose sums are exact; nothing above
+    2 ** -121 is lost. Values from 2 ** 93 on, infinities and NaN are added as they are. NULL values add
+    nothing, and without any other the sum is NULL. Round the result, if at all.
     """
-    column = F.col(value) if isinstance(value, str) else value
-    return F.sum(column.cast(f"decimal(28,{scale})")).cast("double")
+    column = (F.col(value) if isinstance(value, str) else value).cast("double")
+    huge = F.isnan(column) | (F.abs(column) >= _HUGE)
+    rest = F.when(~huge, column) / _LIMB
+    limbs = []
+    for _ in range(5):
+        limbs.append(F.sum(F.rint(rest).cast("decimal(20,0)")).cast("double"))
+        rest = (rest - F.rint(rest)) * _LIMB
+    whole = limbs.pop()
+    while limbs:
+        whole = limbs.pop() + whole / _LIMB
+    whole = whole * _LIMB
+    beyond = F.sum(F.when(huge, column))
+    return F.coalesce(whole + beyond, whole, beyond)
 
 
 def word_counts(df: DataFrame, words: Column, weight: Column | None = None) -> DataFrame:

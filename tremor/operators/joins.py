@@ -12,9 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 def latest_by_key(rows: DataFrame, key: str, value: str, version: str) -> DataFrame:
-    """``(key, value)`` with one row per key, the one with the highest version."""
-    return rows.groupBy(key).agg(F.max_by(value, version).alias(value))
+    """``(key, value)`` with one row per key, the one with the highest version.
+
+    Of equal versions the highest value counts; a NULL version is below all others, and a NULL value below
+    all of its version.
+    """
+    latest = F.max(F.struct(F.col(version).alias("version"), F.col(value).alias("value")))
+    return rows.groupBy(key).agg(latest.alias("_latest")).select(key, F.col("_latest.value").alias(value))
 
 
 def looked_up(totals: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

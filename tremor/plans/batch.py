@@ -16,7 +16,7 @@ from tremor.functions.text import (
     quotes_to_spaces,
     words_of_lines,
 )
-from tremor.operators import bags, grouping, joins, ranking
+from tremor.operators import bags, grouping, joins, matching, ranking
 from tremor.plans import feeds
 from tremor.plans.registry import registered
 from tremor.sources import files
@@ -157,10 +157,11 @@ def filter_subscription(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     f"""
     WITH {feeds.MESSAGES_SQL}
-    SELECT location, count(location) AS n FROM messages GROUP BY location ORDER BY n DESC"""
+    SELECT CASE WHEN NOT broken THEN location END AS location, count(CASE WHEN NOT broken THEN location END) AS n
+    FROM messages GROUP BY 1 ORDER BY n DESC"""
 )
 def json_location_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = feeds.message_lines(spark, sf_dir, with_broken=False)
+    stored = feeds.message_lines(spark, sf_dir)
     located = stored.select(msg.stored_location(F.col("value")).alias("location"))
     counts = located.groupBy("location").agg(F.count("location").alias("n"))
     return ranking.sorted_by(counts, "n", "location", descending=True)
@@ -170,14 +171,14 @@ def json_location_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     rf"""
     WITH {feeds.MESSAGES_SQL},
     labels AS (
-      SELECT location, split_part(array_to_string(list_transform(
-          regexp_extract_all(location, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+'),
-          lambda w: upper(w[1]) || lower(w[2:])), ''), ',', 1) AS label
-      FROM messages)
-    SELECT label AS location, count(location) AS n FROM labels GROUP BY label ORDER BY n DESC"""
+      SELECT split_part(array_to_string(list_transform(
+          regexp_extract_all(whole, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+'),
+          lambda w: upper(w[1]) || lower(w[2:])), ''), ',', 1) AS label, whole
+      FROM (SELECT CASE WHEN NOT broken THEN location END AS whole FROM messages))
+    SELECT label AS location, count(whole) AS n FROM labels GROUP BY label ORDER BY n DESC"""
 )
 def json_location_norm_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = feeds.message_lines(spark, sf_dir, with_broken=False)
+    stored = feeds.message_lines(spark, sf_dir)
     located = stored.select(msg.stored_location(F.col("value")).alias("raw"))
     counts = located.groupBy("raw").agg(F.count("raw").alias("n"))
     labelled = counts.groupBy(location_label(F.col("raw")).alias("location")).agg(F.sum("n").alias("n"))
@@ -440,12 +441,20 @@ def agg_global_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY 1 ORDER BY 2 DESC"""
 )
 def sql_sum_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As SQL text. Orders are summed per customer before the join, so it shuffles a row per customer."""
+    """As SQL text. Orders are summed per customer before the join, so it shuffles a row per customer. The
+    sums are exact to 80 binary places, as ``grouping.exact_sum`` makes them."""
     return spark.sql(
         """
-        WITH spent AS (
-          SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(28,10))) AS total FROM {orders} GROUP BY o_custkey)
-        SELECT n_name AS Country, ROUND(CAST(SUM(total) AS DOUBLE), 4) AS UnitPrice
+        WITH cut AS (
+          SELECT o_custkey, RINT(o_totalprice) AS whole, (o_totalprice - RINT(o_totalprice)) * POWER(2D, 40) AS rest
+          FROM {orders}),
+        spent AS (
+          SELECT o_custkey, SUM(CAST(whole AS DECIMAL(38,0))) AS whole, SUM(CAST(RINT(rest) AS DECIMAL(20,0))) AS high,
+                 SUM(CAST(RINT((rest - RINT(rest)) * POWER(2D, 40)) AS DECIMAL(20,0))) AS low
+          FROM cut GROUP BY o_custkey)
+        SELECT n_name AS Country,
+               ROUND(CAST(SUM(whole) AS DOUBLE)
+                 + (CAST(SUM(high) AS DOUBLE) + CAST(SUM(low) AS DOUBLE) / POWER(2D, 40)) / POWER(2D, 40), 4) AS UnitPrice
         FROM spent JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
         GROUP BY n_name ORDER BY UnitPrice DESC, Country""",
         orders=table(spark, sf_dir, "orders"),
@@ -662,9 +671,117 @@ def str_regexp_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     """
-    SELECT p_partkey, p_brand AS first_item, 3::INT AS n_items FROM part"""
+    WITH lists AS (
+      SELECT p_partkey, string_split(coalesce(CASE WHEN p_size % 7 <> 0 THEN p_brand END, '') || '|' ||
+             CASE WHEN p_size % 5 = 0 THEN '' ELSE p_type END || '|' ||
+             CASE WHEN p_size % 11 = 0 THEN replace(p_name, ' ', '|') ELSE p_name END, '|') AS items
+      FROM part)
+    SELECT p_partkey, nullif(items[1], '') AS first_item, len(items)::INT AS n_items FROM lists"""
 )
 def str_split_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = F.concat_ws("|", "p_brand", "p_type", "p_name")
-    split = table(spark, sf_dir, "part").select("p_partkey", F.split(items, r"\|").alias("items"))
-    return split.select("p_partkey", F.get("items", 0).alias("first_item"), F.size("items").alias("n_items"))
+    """Lists whose first item may be unknown, whose second may be empty, and whose last may hold the separator."""
+    size = F.col("p_size")
+    listed = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.when(size % 7 != 0, F.col("p_brand")).alias("brand"),
+        F.when(size % 5 == 0, "").otherwise(F.col("p_type")).alias("type"),
+        F.when(size % 11 == 0, F.replace("p_name", F.lit(" "), F.lit("|"))).otherwise(F.col("p_name")).alias("name"),
+    )
+    split = listed.select("p_partkey", parts(line_of("|", "brand", "type", "name"), "|").alias("items"))
+    return split.select("p_partkey", filled(F.get("items", 0)).alias("first_item"), F.size("items").alias("n_items"))
+
+
+# ---------------------------------------------------------------- sums, ranks and matches at any size
+
+
+@registered(
+    """
+    SELECT l_returnflag, round(fsum(l_tax * 4e-13) * 1e9, 4) AS tiny, round(fsum(l_extendedprice * 1e12) / 1e12, 3) AS large,
+           round(fsum(CASE WHEN l_linenumber = 3 THEN l_tax * 1e-12 ELSE l_quantity END), 6) AS mixed
+    FROM lineitem GROUP BY 1"""
+)
+def agg_exact_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of values far below and far above one."""
+    mixed = F.when(F.col("l_linenumber") == 3, F.col("l_tax") * 1e-12).otherwise(F.col("l_quantity"))
+    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
+        F.round(grouping.exact_sum(F.col("l_tax") * 4e-13) * 1e9, 4).alias("tiny"),
+        F.round(grouping.exact_sum(F.col("l_extendedprice") * 1e12) / 1e12, 3).alias("large"),
+        F.round(grouping.exact_sum(mixed), 6).alias("mixed"),
+    )
+
+
+@registered(
+    """
+    SELECT o_orderkey, row_number() OVER w AS rank, sum(o_totalprice::DECIMAL(28,2)) OVER w AS running
+    FROM orders WINDOW w AS (ORDER BY o_orderpriority, o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING)"""
+)
+def rank_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order's place, and the total up to it, in an order whose first column has five values."""
+    order = ["o_orderpriority", "o_orderdate", "o_orderkey"]
+    orders = table(spark, sf_dir, "orders").select(*order, "o_totalprice")
+    return ranking.running_totals(orders, order, "o_totalprice").select("o_orderkey", "rank", "running")
+
+
+_NAMES_SQL = """
+names AS (
+  SELECT item_id AS name_id, substr(text, 9, 20) AS name FROM benchmark
+  UNION ALL SELECT 1000 + item_id, substr(text, 1, 1 + (item_id % 6)::INT) FROM benchmark
+  UNION ALL SELECT 2000 + doc_id, substr(text, 30, 12) FROM documents WHERE doc_id % 50 = 7)
+"""
+
+
+@registered(
+    f"""
+    WITH {_NAMES_SQL}
+    SELECT doc_id, name_id FROM documents, names WHERE length(name) > 0 AND contains(text, name)"""
+)
+def join_contained_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents contain which names: passages of benchmark items and documents, and words of one to six characters."""
+    benchmark, documents = table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents")
+    item = F.col("item_id")
+    passages = benchmark.select(item.alias("name_id"), F.substr("text", F.lit(9), F.lit(20)).alias("name"))
+    words = benchmark.select((item + 1000).alias("name_id"), F.substr("text", F.lit(1), (item % 6 + 1).cast("int")).alias("name"))
+    lines = documents.where("doc_id % 50 = 7").select(
+        (F.col("doc_id") + 2000).alias("name_id"), F.substr("text", F.lit(30), F.lit(12)).alias("name")
+    )
+    names = passages.unionByName(words).unionByName(lines)
+    texts = documents.select(F.col("doc_id").alias("key"), "text")
+    return matching.contained_names(texts, names).withColumnRenamed("key", "doc_id")
+
+
+@registered(
+    f"""
+    WITH {feeds.MESSAGES_SQL},
+    subscriptions AS (
+      SELECT c_custkey AS sub_id, CASE WHEN c_custkey % 9 = 0 THEN 'en' ELSE 'tr' END AS language,
+             CASE WHEN c_custkey % 4 <> 1 THEN (c_custkey * 31 % 360 - 180)::DOUBLE END AS west,
+             (c_custkey * 17 % 180 - 90)::DOUBLE AS south,
+             (c_custkey * 31 % 360 - 180)::DOUBLE + c_custkey % 23 AS east,
+             (c_custkey * 17 % 180 - 90)::DOUBLE + c_custkey % 11 AS north,
+             CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'error''s {{"k": ' || c_custkey % 100 ELSE 'k": ' || c_custkey % 100 || '}}' END AS term
+      FROM customer WHERE c_custkey % 10 < 3)
+    SELECT sub_id, count(*) AS n FROM messages, subscriptions
+    WHERE NOT broken AND language = 'tr' AND (coalesce(lon BETWEEN west AND east AND lat BETWEEN south AND north, FALSE)
+                                              OR coalesce(contains(text, term), FALSE))
+    GROUP BY sub_id"""
+)
+def join_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many messages each of many subscriptions wants, by box or by term."""
+    key = F.col("c_custkey")
+    west, south = (key * 31 % 360 - 180).cast("double"), (key * 17 % 180 - 90).cast("double")
+    number = (key % 100).cast("string")
+    term = F.when(key % 5 == 1, F.concat(F.lit('error\'s {"k": '), number)).when(
+        key % 5 != 0, F.concat(F.lit('k": '), number, F.lit("}"))
+    )
+    subscriptions = table(spark, sf_dir, "customer").where("c_custkey % 10 < 3").select(
+        key.alias("sub_id"),
+        F.when(key % 9 == 0, "en").otherwise("tr").alias("language"),
+        F.when(key % 4 != 1, west).alias("west"),
+        south.alias("south"),
+        (west + key % 23).alias("east"),
+        (south + key % 11).alias("north"),
+        term.alias("term"),
+    )
+    messages = msg.parsed_messages(feeds.message_lines(spark, sf_dir)).withColumnRenamed("id", "key")
+    found = matching.subscription_matches(messages, subscriptions)
+    return found.groupBy("sub_id").agg(F.count(F.lit(1)).alias("n"))

@@ -118,8 +118,8 @@ def message_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def message_lines(spark: SparkSession, sf_dir: str, with_broken: bool = True) -> DataFrame:
-    """``(value)``: JSON messages, some of them odd in a field and, if wanted, some cut off.
+def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(value)``: JSON messages, some of them odd in a field and some cut off.
 
     An id may be text or longer than 64 bits, a place null or a bare text, a user a bare text.
     """
@@ -136,8 +136,7 @@ def message_lines(spark: SparkSession, sf_dir: str, with_broken: bool = True) ->
         F.lit('{"id":'), number, F.lit(',"place":'), place, F.lit(',"user":'), user, F.lit(',"coordinates":'), where,
         F.lit(","), F.substr(rest, F.lit(2)),
     )
-    if with_broken:
-        json = F.when(F.col("broken"), F.substr(json, F.lit(1), F.length(json) - 3)).otherwise(json)
+    json = F.when(F.col("broken"), F.substr(json, F.lit(1), F.length(json) - 3)).otherwise(json)
     return message_rows(spark, sf_dir).select(json.alias("value"))
 
 
@@ -270,5 +269,5 @@ def replayed(spark: SparkSession, lines: DataFrame, rows: int, label: str) -> Da
     folder = new_folder(spark, label)
     per_file = max(1, math.ceil(rows / (2 * REPLAY_BATCHES)))
     lines.write.option("maxRecordsPerFile", per_file).text(folder)
-    files = len(spark.read.text(folder).inputFiles())
-    return folder_lines(spark, folder, files_per_trigger=max(1, math.ceil(files / REPLAY_BATCHES)))
+    files = lines.rdd.getNumPartitions() + 2 * REPLAY_BATCHES
+    return folder_lines(spark, folder, files_per_trigger=math.ceil(files / REPLAY_BATCHES))

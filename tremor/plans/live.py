@@ -157,11 +157,11 @@ def st_dashboard_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     f"""
     WITH {feeds.MESSAGES_SQL}
-    SELECT location, count(*) AS n FROM messages WHERE location IS NOT NULL GROUP BY location"""
+    SELECT location, count(*) AS n FROM messages WHERE location IS NOT NULL AND NOT broken GROUP BY location"""
 )
 def st_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "archive")
-    lines = feeds.message_lines(spark, sf_dir, with_broken=False)
+    lines = feeds.message_lines(spark, sf_dir)
     stream = feeds.replayed(spark, lines, _n_events(spark, sf_dir), "messages")
     _finish(jobs.start_archive(stream, f"{out}/checkpoint", f"{out}/tweets", located_only=True, trigger=ALL_NOW))
     archived = stored_table(spark, "parquet", f"{out}/tweets")

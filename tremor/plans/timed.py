@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tremor.plans import feeds
 from tremor.plans.registry import registered
-from tremor.streaming import events
+from tremor.streaming import events, jobs
+from tremor.streaming.ledger import DistinctLedger
 from tremor.streaming.snapshots import read_batches
 from tremor.workspace import new_folder
 
@@ -139,3 +140,26 @@ def st_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spark.read.parquet(f"{out}/rows").select("event_id", "location", "corrected", "us")
     kept = F.col("corrected").isNotNull() | (F.col("us") < settled // 1000 * 1000 - 4 * 3_600_000_000)
     return found.where(kept).select("event_id", "location", "corrected")
+
+
+@registered(
+    f"""
+    WITH {feeds.STEPS_SQL}
+    SELECT location, count(DISTINCT user_id) AS n_users, TRUE AS near FROM steps GROUP BY location"""
+)
+def st_distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different users per place by sketches of two runs over overlapping parts of the feed, beside the exact numbers:
+    ``near`` says that the estimate is within four standard errors."""
+    out = new_folder(spark, "distinct-users")
+    rows = feeds.event_steps(spark, sf_dir)
+    steps = feeds.Steps(spark, rows, f"{out}/feed")
+    for run, until in (("one", 2), ("two", feeds.STEPS), ("one", feeds.STEPS)):
+        ledger = DistinctLedger(f"{out}/ledger", run, f"{out}/checkpoint-{run}", fold_every=2)
+        for stream in steps.streams(run, until):
+            jobs.start_distinct_users(stream, f"{out}/checkpoint-{run}", ledger, ALL_NOW).awaitTermination()
+    exact = rows.groupBy("location").agg(F.count_distinct("user_id").alias("n_users"))
+    estimated = ledger.totals(spark).select(F.col("location").alias("_place"), F.col("n_users").alias("_estimate"))
+    bound = 4 * 1.04 / 2 ** (ledger.lg_k / 2) * F.col("n_users") + 1
+    near = F.abs(F.col("_estimate") - F.col("n_users")) <= bound
+    joined = exact.join(estimated, F.col("location") == F.col("_place"), "left")
+    return joined.select("location", "n_users", F.coalesce(near, F.lit(False)).alias("near"))

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tremor.functions.messages import parsed_messages
+from tremor.functions.messages import parsed_messages, stored_location
 from tremor.functions.places import location_key, upper_case
 from tremor.functions.text import part, quotes_to_spaces
-from tremor.streaming.ledger import CounterLedger
+from tremor.streaming.ledger import CounterLedger, DistinctLedger
 from tremor.streaming.snapshots import dashboard_payload, top_places, write_batch
 
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}
@@ -117,6 +117,13 @@ def start_persisted_counts(
     return _start(places, handle, checkpoint, "append", trigger)
 
 
+def start_distinct_users(
+    rows: DataFrame, checkpoint: str, ledger: DistinctLedger, trigger: dict = EVERY_30_SECONDS
+) -> StreamingQuery:
+    """Different users per place of ``rows(location, user_id)``, as sketches in the ledger."""
+    return _start(rows.select("location", "user_id"), ledger.record, checkpoint, "append", trigger)
+
+
 def start_city_counts(
     messages: DataFrame,
     checkpoint: str,
@@ -174,10 +181,11 @@ def start_archive(
     clean_quotes: bool = False,
     trigger: dict = EVERY_30_SECONDS,
 ) -> StreamingQuery:
-    """Raw JSON messages appended to a parquet table ``(tweet)``, all or only those with a location."""
+    """Raw JSON messages appended to a parquet table ``(tweet)``: all lines as they came, or only whole messages
+    with a location."""
     value = F.col("value")
     if located_only:
-        messages = messages.where(F.get_json_object(value, "$.user.location").isNotNull())
+        messages = messages.where(stored_location(value).isNotNull())
     rows = messages.select((quotes_to_spaces(value) if clean_quotes else value).alias("tweet"))
     return start_copy(rows, checkpoint, out, "parquet", trigger)
 

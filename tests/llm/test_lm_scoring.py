@@ -1,10 +1,11 @@
-"""LM scoring: base scores by brute force, and the mixer against a plain bit-by-bit version."""
+"""LM scoring: base scores by brute force, and the mixer against a plain decision-by-decision version."""
 
 from __future__ import annotations
 
 import math
+import random
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -18,72 +19,181 @@ from tremor.llm.lm_scoring import Scoring
 from tremor.llm.queries import op7_lm_scoring
 
 SF = "/root/testdata/sf0.01"
-TEXTS = ["The cat sat on the mat. " * 20, "the hat", "", "Où est le chat?  là\tbas " * 9, "a", "ä ö ü " * 50]
+TEXTS = ["The cat sat on the mat. " * 20, "the hat", "", "Où est le chat?  là\tbas " * 9, "a", "ä ö ü \x01 \x0e " * 50, "zq" * 70]
+LONG = "sixteen-and-more-bytes-alike"
 
 
 def tokens_of(text):
     return [*(text or "").encode().lower().split(), None]
 
 
-def small_model(texts):
-    lines = [t.encode() for t in texts]
-    alphabet = cm.Alphabet.of(np.bincount(np.frombuffer(b"".join(map(cm.normalized, lines)), np.uint8), minlength=256))
-    return cm.started(alphabet, list(cm.context_counts(lines, alphabet.symbol_of, alphabet.size)), lines)
-
-
-def slow_bits(text, model):
-    """One decision after another, with contexts taken from the text by hand."""
-    line, alphabet, total = cm._PAD + cm.normalized(text), model.alphabet, 0.0
-    nodes = len(alphabet.spans)
-    factors = np.ones(len(cm.SLOTS))
-    for at in range(3, len(line)):
-        if (at - 3) % cm.SEGMENT == 0:
-            factors = np.ones(len(cm.SLOTS))
-        start = max(line.rfind(b" ", 0, at), line.rfind(b"\n", 0, at)) + 1
-        part = line[start:at]
-        word = sum((b + 1) * pow(cm._POWER, len(part) - 1 - k, 1 << 32) for k, b in enumerate(part)) + len(part)
-        values = line[at - 1] | line[at - 2] << 8, line[at - 1] | line[at - 2] << 8 | line[at - 3] << 16, word
-        slots = [
-            (v * int(cm._SPREAD) % (1 << 32)) >> (33 - n.bit_length()) for v, n in zip(values, cm.SLOTS, strict=True)
-        ]
-        symbol = alphabet.symbol_of[line[at]]
-        total += 8.0 * (symbol == alphabet.size - 1)
-        for k in range(alphabet.starts[symbol], alphabet.starts[symbol + 1]):
-            gate = min(len(part), cm.WORD_GATES - 1) * cm.DEPTH_GATES + alphabet.depths[k]
-            x = np.array([odds[s * nodes + alphabet.nodes[k]] for s, odds in zip(slots, model.odds, strict=True)])
-            x = x * model.weights[gate] * alphabet.signs[k]
-            z = (factors * x).sum()
-            total += math.log2(1 + math.exp(-z))
-            factors += cm.RATE / (1 + math.exp(z)) * x
-    return total
-
-
-@pytest.mark.parametrize("segment", [1024, 40])
-def test_mixer_equals_a_plain_version(monkeypatch, segment):
-    monkeypatch.setattr(cm, "SEGMENT", segment)
-    model = small_model(TEXTS[:3])
-    lines = [t.encode() for t in TEXTS]
-    got = cm.bits(lines, model)
-    assert got == pytest.approx([slow_bits(t, model) for t in lines], rel=1e-3)
-    assert cm.bits(lines[3:4], model) == pytest.approx(got[3:4], rel=1e-6)
-
-
-def test_long_texts_go_in_stretches(monkeypatch):
-    model = small_model(TEXTS)
-    lines = [("the cat sat on a mat " * 60 + "x" * 300 + " end").encode(), b"the hat"]
-    monkeypatch.setattr(cm, "SEGMENT", 64)
-    whole = cm.bits(lines, model)
-    monkeypatch.setattr(cm, "LANES", 2)
-    assert cm.bits(lines, model) == pytest.approx(whole, rel=1e-5)
+def words_of(text):
+    return [*text.encode().lower().split(), cm.END]
+
+
+def closed(word):
+    return word if word == cm.END else word + b" "
+
+
+class Slow:
+    """The model by plain counting, and the bits of a text one decision after another."""
+
+    def __init__(self, training, weights=None):
+        counts = Counter(w for t in training for w in words_of(t))
+        letters, self.after, self.pair = Counter(), defaultdict(Counter), defaultdict(Counter)
+        for word, n in counts.items():
+            line = closed(word)
+            for k, byte in enumerate(line):
+                letters[byte] += n
+                self.after[line[:k]][byte] += n
+                self.pair[(b"  " + line)[k : k + 2]][byte] += n
+        self.alphabet = cm.Alphabet.of(np.array([letters[b] for b in range(256)]))
+        self.weights = weights
+
+    def split(self, counter, node, less=None):
+        first, middle, end = self.alphabet.spans[node]
+        zeros = ones = 0
+        for byte, n in counter.items():
+            place = self.alphabet.place_of[byte]
+            n -= byte == less
+            zeros += n * (first <= place < middle)
+            ones += n * (middle <= place < end)
+        return zeros, ones
+
+    def decisions(self, word, less=False):
+        """Levels, class, and whether it is a byte's first, of each decision, as (word, pair, class, first, (node, sign))."""
+        a, line = self.alphabet, closed(word)
+        for k, byte in enumerate(line):
+            for j in range(a.starts[byte], a.starts[byte + 1]):
+                level = kind = 0
+                if k < cm.DEPTH:
+                    zeros, ones = self.split(self.after[line[:k]], a.nodes[j], byte if less else None)
+                    right, wrong = (ones, zeros) if a.signs[j] > 0 else (zeros, ones)
+                    level = max(-31, min(31, np.rint(math.log((right + 0.2) / (wrong + 0.2)) / 0.25)))
+                    kind = sum(right + wrong > n for n in cm.SURE)
+                zeros, ones = self.split(self.pair[(b"  " + line)[k : k + 2]], a.nodes[j])
+                pair = max(-15, min(15, np.rint(math.log((ones + 0.2) / (zeros + 0.2)) / 0.5))) * a.signs[j]
+                yield level * 0.25, pair * 0.5, kind, j == a.starts[byte], (a.nodes[j], a.signs[j])
+
+    def bits(self, text):
+        words, total = words_of(text), 0.0
+        last_of, weights, block = {}, self.weights.astype(float).copy(), []
+        before, last = None, None
+        for word in words:
+            guess, kind = None, 0
+            for n, context in ((1, (last,)), (2, (before, last))):
+                if last is not None and context in last_of:
+                    guess, kind = last_of[context], n
+            path = [d[4] for d in self.decisions(guess)] if guess else []
+            agrees = bool(guess)
+            for k, (w, p, sure, first, step) in enumerate(self.decisions(word)):
+                m = 0
+                if agrees:
+                    agrees = k < len(path) and path[k] == step
+                    m = cm.MATCHES[kind] * (1 if agrees else -1)
+                gate = (kind if m else 0) * 8 + sure * 2 + first
+                block.append((gate, np.array([w, p, m], float)))
+                if len(block) == cm.BLOCK:
+                    total += self.close(block, weights)
+            if last is not None:
+                last_of[(last,)] = word
+                last_of[(before, last)] = word
+            before, last = last, word
+        return (total + self.close(block, weights)) / math.log(2)
+
+    def close(self, block, weights):
+        cost, pull = 0.0, np.zeros_like(weights)
+        for gate, x in block:
+            miss = 1 / (1 + math.exp(max(-20, min(20, x @ weights[gate]))))
+            cost -= math.log1p(-miss)
+            pull[gate] += miss * x
+        weights += np.clip(cm.RATE * pull, -cm.MOST_STEP, cm.MOST_STEP)
+        np.clip(weights, -cm.MOST_WEIGHT, cm.MOST_WEIGHT, out=weights)
+        block.clear()
+        return cost
+
+
+def vocabulary(spark, training, others, range_words):
+    counts = Counter(w for t in training for w in words_of(t))
+    rows = [(0, w.decode(), counts[w]) for w in {w for t in [*training, *others] for w in words_of(t)}]
+    return lm_scoring._ranges(spark.createDataFrame(rows, "chunk bigint, word string, n bigint"), Scoring(range_words=range_words))
+
+
+def quick_bits(model, known, texts):
+    rows = known.collect()
+    words = [r.word.encode() for r in rows]
+    scorer = cm.Scorer(words, np.frombuffer(b"".join(bytes(r.levels) for r in rows), np.uint8), model)
+    number = {w: k for k, w in enumerate(words)}
+    return scorer.bits([np.array([number[w] for w in words_of(t)]) for t in texts])
+
+
+def test_levels_equal_plain_counts_however_the_vocabulary_is_cut(spark):
+    training, others = TEXTS[:4] + [f"{LONG * 3} {LONG * 3}x ab\x01c ab abc"], [*TEXTS, "unheard of cats", LONG * 3 + "y"]
+    slow = Slow(training)
+    for range_words in (1000, 7, 2):
+        model, known = lm_scoring.learned(vocabulary(spark, training, others, range_words))
+        for row in known.collect():
+            word = row.word.encode()
+            expected = [(w, k) for w, _, k, _, _ in slow.decisions(word)]
+            assert [((b & 63) * 0.25 - 7.75, b >> 6) for b in bytes(row.levels)] == expected, word
+        assert (model.alphabet.starts == slow.alphabet.starts).all()
+
+
+def test_one_occurrence_is_left_out_of_the_fit():
+    training = TEXTS[:4]
+    slow = Slow(training)
+    counts = Counter(w for t in training for w in words_of(t))
+    words = sorted(counts, key=closed)
+    _, without = cm.word_bytes(words, np.array([counts[w] for w in words]), slow.alphabet, {})
+    expected = [(w, k) for word in words for w, _, k, _, _ in slow.decisions(word, less=True)]
+    assert [((b & 63) * 0.25 - 7.75, b >> 6) for b in without.tolist()] == expected
+
+
+def test_mixer_equals_a_plain_version(spark, monkeypatch):
+    training = [*TEXTS[:5], "on the mat sat the cat and the cat sat on the mat, on the hat"]
+    rng = random.Random(3)
+    texts = [*TEXTS, " ".join(rng.choices(["the", "cat", "sat", LONG + "a", LONG + "b", "où", "ÿþ"], k=300)), "the cat " * 200]
+    model, known = lm_scoring.learned(vocabulary(spark, training, texts, 5))
+    slow = Slow(training, model.weights)
+    assert quick_bits(model, known, texts) == pytest.approx([slow.bits(t) for t in texts], rel=1e-3)
+    alone = quick_bits(model, known, texts)
+    monkeypatch.setattr(cm, "BATCH", 50)
+    assert quick_bits(model, known, texts) == pytest.approx(alone, rel=1e-5)
+
+
+def test_repeating_texts_get_cheap(spark):
+    """A phrase of unheard words, repeated for 45 KB, costs ever less."""
+    phrase = "wyrd qux zonk blim frod "
+    texts = [phrase * 20, phrase * 1900]
+    model, known = lm_scoring.learned(vocabulary(spark, ["The cat sat on the mat. " * 20], texts, 100))
+    short, long = quick_bits(model, known, texts)
+    assert long / len(texts[1]) < 0.1 and long / len(texts[1]) < short / len(texts[0]) / 4
 
 
 def test_code_is_complete():
     """The symbols' Huffman codes satisfy Kraft's equality, so every byte has a probability."""
-    alphabet = small_model(TEXTS).alphabet
-    lengths = np.diff(alphabet.starts)
+    lengths = np.diff(Slow(TEXTS).alphabet.starts)
     assert sum(2.0 ** -int(n) for n in lengths) == 1
 
 
+def test_fit_never_costs_more_and_stays_finite():
+    rng = np.random.default_rng(5)
+    word, pair, gate = cm._tables()
+
+    def cost(weights, n):
+        z = np.clip(word * weights[gate, 0] + pair * weights[gate, 1], -20, 20)
+        return (n * np.logaddexp(0, -z)).sum()
+
+    flat = np.tile(cm.FLAT, (cm.GATES, 1))
+    for scale in (1, 1e3, 1e12):
+        for kind in (rng.random(cm.CODES) < 0.01, word > 7, word < -7, (word > 7) & (pair < -7)):
+            n = (kind * rng.integers(0, 50, cm.CODES) * scale).astype(np.int64)
+            weights = cm.fitted(n)
+            assert np.isfinite(weights).all() and np.abs(weights).max() <= cm.MOST_WEIGHT
+            assert cost(weights, n) <= cost(flat, n) * (1 + 1e-6) + 1e-6
+    assert (cm.fitted(np.zeros(cm.CODES, np.int64)) == np.array(cm.FLAT, np.float32)).all()
+
+
 def test_query_equals_brute_force(spark):
     rows = {r.doc_id: r for r in op7_lm_scoring(spark, SF).collect()}
     texts = {r.doc_id: r.text for r in documents(spark, SF).collect()}
@@ -99,27 +209,17 @@ def test_query_equals_brute_force(spark):
         assert row.base_score == pytest.approx(base, rel=1e-9)
         assert row.score < 0
     held = [r for r in rows.values() if r.held_out]
-    size = sum(len(cm.normalized(texts[r.doc_id].encode())) for r in held)
-    assert -sum(r.score for r in held) / math.log10(2) / size < 2.6
-
-
-def test_weights_are_fitted_to_all_training_rows(spark):
-    """Wherever the fit begins, it ends at the optimum over all rows, with a rare kind of text among them."""
-    texts = [f"the cat sat on mat {k % 7} and the hat {k % 5} " * 3 for k in range(200)] + ["qzx 0 jkv " * 400]
-    docs = docs_frame(spark, list(enumerate(texts)))
-    weights = []
-    for sample_docs in (1, 300):
-        chunks = lm_scoring._chunked(docs, Scoring(chunk_bytes=4096), "text", "doc_id", F.lit(True))
-        weights.append(lm_scoring.learned(chunks, Scoring(sample_docs=sample_docs)).weights)
-    assert weights[0] == pytest.approx(small_model(texts).weights, abs=0.005)
-    assert weights[1] == pytest.approx(weights[0], abs=0.005)
+    size = sum(sum(len(closed(w)) for w in words_of(texts[r.doc_id])) for r in held)
+    print("bits a byte", -sum(r.score for r in held) / math.log10(2) / size, sum(r.score for r in held), sum(r.base_score for r in held))
+    assert -sum(r.score for r in held) / math.log10(2) / size < 2.4
 
 
 def test_scores_do_not_depend_on_the_cut(spark):
     docs = documents(spark, SF).where("doc_id < 120")
     trains = F.col("doc_id") % 7 != 0
     one = {r.doc_id: r for r in lm_scoring.scored(docs, trains, Scoring()).collect()}
-    two = {r.doc_id: r for r in lm_scoring.scored(docs.repartition(5), trains, Scoring(chunk_bytes=20_000)).collect()}
+    cut = Scoring(chunk_bytes=20_000, range_words=900)
+    two = {r.doc_id: r for r in lm_scoring.scored(docs.repartition(5), trains, cut).collect()}
     for k, row in one.items():
         assert two[k].base_score == pytest.approx(row.base_score, rel=1e-12)
         assert two[k].score == pytest.approx(row.score, rel=1e-5)
@@ -136,3 +236,15 @@ def test_odd_rows(spark):
     assert {(r.train_tokens, r.n_known) for r in untrained} == {(0, 0)}
     assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in untrained)
     assert lm_scoring.scored(docs_frame(spark, []), F.lit(True), Scoring()).collect() == []
+
+
+def test_every_score_of_odd_training_texts_is_finite(spark):
+    rng = random.Random(1)
+    noise = "".join(chr(rng.randint(33, 0x2FFF)) for _ in range(5000))
+    key = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/", k=20_000))
+    texts = ["a" * 200_000, key, "A short sentence, as it were.", "aaa " * 9000, noise, "\x00\x01 \x02", "the " * 3 + key[:100], " ", "é" * 3000]
+    docs = docs_frame(spark, [*enumerate(texts), *enumerate(texts[::-1], 100)])
+    rows = lm_scoring.scored(docs, F.col("doc_id") < 100, Scoring()).collect()
+    sizes = {k: max(len(t.encode()), 1) for k, t in [*enumerate(texts), *enumerate(texts[::-1], 100)]}
+    assert len(rows) == 18 and all(math.isfinite(r.score) and r.score <= 0 for r in rows)
+    assert all(-r.score / math.log10(2) / sizes[r.doc_id] < 16 for r in rows if sizes[r.doc_id] > 50)

@@ -1,108 +1,69 @@
-"""Bits of a text under an online logistic mix of hashed-context bit predictors.
+"""Bits of a text under an online logistic mix of context bit predictors.
 
-The text's words, ASCII letters in lower case, are joined by spaces and closed by a line end. Every
+The text's words, ASCII letters in lower case, each closed by a blank, and a line end after the last. Every
 byte is coded as a walk down a Huffman tree of the training bytes, so it takes about four binary
-decisions. Three predictors look a decision up by a hashed context: the last two bytes, the last
-three, and the word so far; each gives the log-odds that its training counts say. A mixer adds
-them with weights, and the gate that picks a set of weights is how far into the word and how deep
-in the tree the decision is. After every decision the weights in use move along the gradient of its cost.
-
-Long texts are cut into segments of fixed length. Contexts run on across a cut, while the weights
-begin again from those learned beforehand, so segments are coded side by side as lanes of arrays,
-and a text's bits do not depend on what else is in the batch.
+decisions. Three predictors give the log-odds of a decision:
+
+* the *word* so far: how often training words with this beginning went on either way;
+* the *pair* of the last two bytes of the word: how often the training bytes after them did;
+* the *match* within the document: where the two words before (else the one) were last, the word that followed
+  there is expected again, with certainty until the first decision in which it is wrong.
+
+The first two look up counts of all training text by their whole context, which no other shares. A mixer adds
+the three with weights; the gate that picks the weights says how often the word's context was met, whether the
+decision is a byte's first, and what kind of match there is. The first two weights begin where they fit the training
+words best, each counted as if one of its occurrences had been left out. While a document is scored, the weights
+in use move along the gradient of its cost after every ``BLOCK`` decisions, from its beginning to its end. Documents
+are independent, so many are scored side by side as lanes of arrays.
 """
 
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 
-#: Slots of each predictor's table; the tables' size is their product with the alphabet.
-SLOTS = (1 << 13, 1 << 15, 1 << 16)
-SEGMENT = 1024
-LANES = 512
-WORD_GATES = 8
-DEPTH_GATES = 4
-GATES = WORD_GATES * DEPTH_GATES
-#: Every weight before fitting, and the most Newton steps.
-FLAT = 0.4
-STEPS = 8
-RATE = 0.02
-_WINDOW = 64
-END = 10
-_PAD = bytes([END] * 3)
-_SPREAD = np.uint32(0x9E3779B1)
-_POWER = 0x01000193  # odd, so that it has an inverse modulo 2 ** 32
-
-
-def normalized(text: bytes) -> bytes:
-    """What is coded: lower-cased words, single spaces, and the end."""
-    return b" ".join(text.lower().split()) + bytes([END])
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.up) < n:
-        for name, base in (("up", _POWER), ("down", pow(_POWER, -1, 1 << 32))):
-            steps = np.full(n, base, np.uint32)
-            steps[0] = 1
-            setattr(_powers, name, np.multiply.accumulate(steps, dtype=np.uint32))
-    return _powers.up[:n], _powers.down[:n]
-
-
-_powers.up = _powers.down = np.zeros(0, np.uint32)
-
-
-def contexts(line: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Slots of the three predictors at each byte, and how far into its word each byte is.
-
-    ``line`` may hold many texts, each with padding before it.
-    """
-    n = len(line)
-    wide = np.zeros(n + 3, np.uint32)
-    wide[3:] = line
-    three = wide[2:-1] | wide[1:-2] << np.uint32(8) | wide[:-3] << np.uint32(16)
-    two = three & np.uint32(0xFFFF)
-    after_gap = np.zeros(n + 1, np.int32)
-    gaps = np.flatnonzero((line == 32) | (line == END)) + 1
-    after_gap[gaps] = gaps
-    start = np.maximum.accumulate(after_gap, out=after_gap)[:-1]
-    into_word = np.arange(n, dtype=np.int32) - start
-    up, down = _powers(n)
-    sums = np.zeros(n + 1, np.uint32)
-    np.cumsum((wide[3:] + np.uint32(1)) * down, dtype=np.uint32, out=sums[1:])
-    # The hash of the word so far as if it began at place 0, whatever its real place.
-    word = (sums[:-1] - sums[start]) * np.concatenate((up[:1], up[:-1]))
-    slots = []
-    for value, size in zip((two, three, word + into_word.view(np.uint32)), SLOTS, strict=True):
-        slots.append((value * _SPREAD) >> np.uint32(33 - size.bit_length()))
-    return slots, into_word
+END = b"\n"
+#: Bytes of a word beyond which no counts are kept of what follows; the pair and the match go on.
+DEPTH = 48
+#: Steps of the predictors' log-odds, and how many there are to either side.
+WORD_STEP, WORD_LEVELS = 0.25, 31
+PAIR_STEP, PAIR_LEVELS = 0.5, 15
+SMOOTHING = 0.2
+#: Upper ends of the first classes of how often a context was met.
+SURE = (0, 2, 16)
+#: Log-odds of a match, by whether one or two words before agree, in units of its weight.
+MATCHES = (0, 1, 3)
+GATES = 4 * 2 * len(MATCHES)
+#: Weights of the predictors before fitting; the match keeps its own until a document moves it.
+FLAT = (0.5, 0.5, 0.7)
+HOLD = 4.0
+BLOCK, RATE, MOST_STEP, MOST_WEIGHT = 64, 0.02, 0.25, 8.0
+MOST_ODDS = 20.0
+#: Documents scored side by side have about this many decisions together.
+BATCH = 1 << 22
+#: Numbers that ``decision_codes`` gives.
+CODES = 1 << 14
+_PREFIX = 16
 
 
 @dataclass(frozen=True)
 class Alphabet:
-    """Symbols and their Huffman codes. The last symbol stands for any byte never seen in training."""
+    """Huffman codes of all 256 bytes; those never seen in training have long ones."""
 
-    symbol_of: np.ndarray  # of each byte
-    place_of: np.ndarray  # of each symbol among the leaves from left to right
+    place_of: np.ndarray  # of each byte among the leaves from left to right
     spans: np.ndarray  # [node]: first leaf, first leaf of the right half, leaf after the last
-    starts: np.ndarray  # of each symbol's decisions in the two arrays below
+    starts: np.ndarray  # of each byte's decisions in the two arrays below
     nodes: np.ndarray
     signs: np.ndarray  # 1 for the right half, -1 for the left
-    depths: np.ndarray  # cut to what the gates tell apart
-
-    @property
-    def size(self) -> int:
-        return len(self.place_of)
+    agreement: np.ndarray  # [a, b]: decisions that two bytes' codes share from the start
 
     @staticmethod
     def of(byte_counts: np.ndarray) -> Alphabet:
-        seen = np.flatnonzero(byte_counts)
-        symbol_of = np.full(256, len(seen), np.int64)
-        symbol_of[seen] = np.arange(len(seen))
-        weights = [*byte_counts[seen].tolist(), 1] if len(seen) else [1]
+        weights = (byte_counts + 1).tolist()
         heap: list = [(w, k, k) for k, w in enumerate(weights)]
         heapq.heapify(heap)
         serial = len(heap)
@@ -110,7 +71,7 @@ class Alphabet:
             (a, _, left), (b, _, right) = heapq.heappop(heap), heapq.heappop(heap)
             heapq.heappush(heap, (a + b, serial, (left, right)))
             serial += 1
-        place = np.zeros(len(weights), np.int64)
+        place = np.zeros(256, np.int64)
         spans: list[tuple[int, int, int]] = []
         codes: list[list[tuple[int, int]]] = [[] for _ in weights]
         leaf = 0
@@ -129,194 +90,372 @@ class Alphabet:
 
         walk(heap[0][2], [])
         flat = [step for code in codes for step in code]
+        longest = max(map(len, codes))
+        steps = np.array([[2 * n + b for n, b in c] + [-1] * (longest - len(c)) for c in codes])
+        # No two codes are the same, and none begins another.
+        agreement = np.stack([(own != steps).argmax(axis=1) for own in steps])
         return Alphabet(
-            symbol_of,
             place,
-            np.array(spans or [(0, 0, 0)], np.int64),
+            np.array(spans, np.int64),
             np.cumsum([0] + [len(c) for c in codes]),
-            np.array([n for n, _ in flat], np.uint32),
-            np.array([2 * b - 1 for _, b in flat], np.float32),
-            np.array([min(d, DEPTH_GATES - 1) for c in codes for d in range(len(c))], np.int8),
+            np.array([n for n, _ in flat], np.int64),
+            np.array([2 * b - 1 for _, b in flat], np.int64),
+            agreement,
         )
 
 
+@dataclass(frozen=True)
+class Spelled:
+    """Words as coded: their bytes one after another, each closed by a blank (the end stands alone)."""
+
+    raw: np.ndarray
+    begins: np.ndarray
+    sizes: np.ndarray
+
+    @staticmethod
+    def of(words: list[bytes]) -> Spelled:
+        closed = [word if word == END else word + b" " for word in words]
+        sizes = np.fromiter(map(len, closed), np.int64, len(closed))
+        return Spelled(np.frombuffer(b"".join(closed), np.uint8), np.cumsum(sizes) - sizes, sizes)
+
+    def pairs(self) -> np.ndarray:
+        """The two bytes before each, blanks before a word's beginning, as one number."""
+        wide = np.concatenate([np.full(2, 32, np.int64), self.raw])
+        last, before = wide[1:-1].copy(), wide[:-2].copy()
+        last[self.begins] = before[self.begins] = 32
+        before[(self.begins + 1)[self.sizes > 1]] = 32
+        return before << 8 | last
+
+
+def ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``begins[0], begins[0] + 1, ...``, ``sizes[0]`` of them, then those of the next, and so on."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - sizes), sizes)
+
+
+def pair_counts(words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``pair << 8 | byte`` and how often the byte follows the pair in the words, each as often as counted."""
+    spelled = Spelled.of(words)
+    keys, index = np.unique(spelled.pairs() << 8 | spelled.raw, return_inverse=True)
+    return keys, np.bincount(index, np.repeat(counts, spelled.sizes), len(keys)).astype(np.int64)
+
+
+def _odds(right: np.ndarray, wrong: np.ndarray, step: float, most: int) -> np.ndarray:
+    levels = np.rint(np.log((right + SMOOTHING) / (wrong + SMOOTHING)) / step)
+    return np.clip(levels, -most, most).astype(np.int64)
+
+
+@dataclass(frozen=True)
+class Pairs:
+    """Levels of the pair predictor: ``levels[row_of[pair], node]``. At most a row for each of 65,536 pairs."""
+
+    row_of: np.ndarray
+    levels: np.ndarray
+
+    @staticmethod
+    def of(keys: np.ndarray, counts: np.ndarray, alphabet: Alphabet) -> Pairs:
+        met = np.unique(keys >> 8)
+        row_of = np.zeros(1 << 16, np.int32)
+        row_of[met] = np.arange(1, len(met) + 1)
+        by_leaf = np.zeros((len(met) + 1, 257), np.int64)
+        np.add.at(by_leaf, (row_of[keys >> 8], alphabet.place_of[keys & 255] + 1), counts)
+        np.cumsum(by_leaf, axis=1, out=by_leaf)
+        first, middle, end = alphabet.spans.T
+        ones, zeros = by_leaf[:, end] - by_leaf[:, middle], by_leaf[:, middle] - by_leaf[:, first]
+        return Pairs(row_of, _odds(ones, zeros, PAIR_STEP, PAIR_LEVELS).astype(np.int8))
+
+
+#: For a word's beginning that several tasks hold words of: how often each byte follows it in all of them.
+Shared = dict[bytes, dict[int, int]]
+
+
+def _matrix(spelled: Spelled, width: int) -> np.ndarray:
+    """The words' first bytes as rows, zeros after their ends."""
+    column = np.arange(width)
+    inside = column < spelled.sizes[:, None]
+    return np.where(inside, spelled.raw[np.where(inside, spelled.begins[:, None] + column, 0)], 0).astype(np.uint8)
+
+
+def border_counts(words: list[bytes], counts: np.ndarray) -> Iterator[tuple[bytes, int, int]]:
+    """``(beginning, byte, n)`` for all beginnings of the first and the last of some sorted words."""
+    closed = [word if word == END else word + b" " for word in words]
+    done = set()
+    for edge in (closed[0], closed[-1]):
+        for depth in range(min(DEPTH, len(edge))):
+            beginning = edge[:depth]
+            if beginning in done:
+                continue
+            done.add(beginning)
+            # The words that begin so stand together.
+            low = bisect_left(closed, beginning)
+            high = bisect_left(closed, beginning + b"\xff") if depth else len(closed)
+            sums: dict[int, int] = {}
+            for word, n in zip(closed[low:high], counts[low:high].tolist(), strict=True):
+                sums[word[depth]] = sums.get(word[depth], 0) + n
+            yield from ((beginning, byte, n) for byte, n in sums.items())
+
+
+def word_bytes(words: list[bytes], counts: np.ndarray, alphabet: Alphabet, shared: Shared) -> tuple[np.ndarray, np.ndarray]:
+    """The word predictor along each of some sorted words: a byte for every decision, with its level in the lower six
+    bits (above 31: right) and the class of its context's count in the upper two. The second array is
+    the same with one occurrence of the word left out."""
+    spelled = Spelled.of(words)
+    matrix = _matrix(spelled, DEPTH)
+    lengths = np.minimum(spelled.sizes, DEPTH)
+    differs = matrix[1:] != matrix[:-1]
+    common = np.concatenate([[-1], np.where(differs.any(axis=1), differs.argmax(axis=1), DEPTH)])
+    steps = np.diff(alphabet.starts)
+    total = np.cumsum(steps[spelled.raw])
+    cursor = total[spelled.begins] - steps[spelled.raw[spelled.begins]]
+    whole = np.full(total[-1], WORD_LEVELS, np.uint8)
+    without = whole.copy()
+    width = 257
+    for depth in range(DEPTH):
+        rows = np.flatnonzero(lengths > depth)
+        if not len(rows):
+            break
+        fresh = common[rows] <= depth
+        edge = np.cumsum(fresh) - 1
+        heads = rows[fresh]
+        met = np.add.reduceat(counts[rows], np.flatnonzero(fresh))
+        group = (np.cumsum(common[rows] < depth) - 1)[fresh]
+        symbol = matrix[heads, depth]
+        keys, sums = group * width + alphabet.place_of[symbol], met
+        for place in {0, len(heads) - 1}:
+            known = shared.get(matrix[heads[place], :depth].tobytes())
+            if known is not None:
+                bytes_ = np.array(list(known), np.int64)
+                there = group[place] * width + alphabet.place_of[bytes_]
+                mine = keys // width == group[place]
+                keys, sums = np.concatenate([keys[~mine], there]), np.concatenate([sums[~mine], list(known.values())])
+        order = np.argsort(keys, kind="stable")
+        keys, sums = keys[order], np.concatenate([[0], np.cumsum(sums[order])])
+        size = steps[symbol]
+        decision = ranges(alphabet.starts[symbol], size)
+        first, middle, end = (
+            sums[np.searchsorted(keys, np.repeat(group * width, size) + span)] for span in alphabet.spans[alphabet.nodes[decision]].T
+        )
+        ones, zeros = end - middle, middle - first
+        hit = alphabet.signs[decision] > 0
+        right, wrong = np.where(hit, ones, zeros), np.where(hit, zeros, ones)
+        begin = np.cumsum(size) - size
+        own = size[edge]
+        source = ranges(begin[edge], own)
+        target = ranges(cursor[rows], own)
+        whole[target] = _packed(right, wrong)[source]
+        without[target] = _packed(np.maximum(right - 1, 0), wrong)[source]
+        cursor[rows] += own
+    return whole, without
+
+
+def _packed(right: np.ndarray, wrong: np.ndarray) -> np.ndarray:
+    level = _odds(right, wrong, WORD_STEP, WORD_LEVELS) + WORD_LEVELS
+    return (level | np.searchsorted(SURE, right + wrong) << 6).astype(np.uint8)
+
+
+def decision_codes(words: list[bytes], word_levels: np.ndarray, alphabet: Alphabet, pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
+    """A number for every decision of the words that tells its two levels and its gate but for the match, and
+    where each word's decisions end."""
+    spelled = Spelled.of(words)
+    size = np.diff(alphabet.starts)[spelled.raw]
+    decision = ranges(alphabet.starts[spelled.raw], size)
+    row = np.repeat(pairs.row_of[spelled.pairs()], size)
+    level = pairs.levels[row, alphabet.nodes[decision]] * alphabet.signs[decision] + PAIR_LEVELS
+    ends = np.cumsum(size)
+    first = np.zeros(len(decision), np.int64)
+    first[ends - size] = 1
+    codes = word_levels.astype(np.int64) | level << 8 | first << 13
+    return codes.astype(np.uint16), ends[spelled.begins + spelled.sizes - 1]
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each code: log-odds of word and pair, and the gate without a match."""
+    code = np.arange(CODES)
+    word = ((code & 63) - WORD_LEVELS) * WORD_STEP
+    pair = ((code >> 8 & 31) - PAIR_LEVELS) * PAIR_STEP
+    return word.astype(np.float32), pair.astype(np.float32), ((code >> 6 & 3) * 2 + (code >> 13)).astype(np.int64)
+
+
 @dataclass(frozen=True)
 class Model:
     alphabet: Alphabet
-    odds: list[np.ndarray]  # of each predictor, [slot * nodes + node]: log-odds of a 1
+    pairs: Pairs
     weights: np.ndarray  # [gate, predictor]
 
 
-def context_counts(texts: list[bytes], symbol_of: np.ndarray, size: int) -> Iterator[np.ndarray]:
-    """Counts ``[slot * size + symbol]`` of each predictor over the texts, as coded; one by one, as they are large."""
-    line = np.frombuffer(b"".join([_PAD + normalized(t) for t in texts]), np.uint8)
-    slots, _ = contexts(line)
-    coded = _real(line, [len(normalized(t)) for t in texts])
-    symbols = symbol_of[line[coded]]
-    for slot, own in zip(slots, SLOTS, strict=True):
-        yield np.bincount(slot[coded].astype(np.int64) * size + symbols, minlength=own * size)
-
-
-def _real(line: np.ndarray, lengths: list[int]) -> np.ndarray:
-    """Places that are not padding."""
-    keep = np.ones(len(line), bool)
-    ends = np.cumsum(np.array(lengths) + len(_PAD))
-    for k in range(len(_PAD)):
-        keep[ends - lengths - 1 - k] = False
-    return np.flatnonzero(keep)
-
-
-def log_odds(counts: np.ndarray, alphabet: Alphabet) -> np.ndarray:
-    """``[slot * nodes + node]`` from ``[slot * size + symbol]`` counts."""
-    by_leaf = np.zeros((len(counts) // alphabet.size, alphabet.size + 1), np.float64)
-    by_leaf[:, alphabet.place_of + 1] = counts.reshape(-1, alphabet.size)
-    np.cumsum(by_leaf, axis=1, out=by_leaf)
-    first, middle, end = alphabet.spans.T
-    result = np.empty((len(by_leaf), len(alphabet.spans)), np.float32)
-    for at in range(0, len(by_leaf), 4096):
-        own = by_leaf[at : at + 4096]
-        zeros, ones = own[:, middle] - own[:, first], own[:, end] - own[:, middle]
-        result[at : at + 4096] = np.log((ones + 0.2) / (zeros + 0.2))
-    return result.reshape(-1)
-
-
-def unfitted(alphabet: Alphabet, counts: list[np.ndarray]) -> Model:
-    """The model with the same weight everywhere."""
-    return Model(alphabet, [log_odds(c, alphabet) for c in counts], np.full((GATES, len(SLOTS)), FLAT, np.float32))
-
-
-def step_sums(texts: list[bytes], model: Model) -> np.ndarray:
-    """``[gate, predictor, predictor + 1]``: the cost's curvature and, last, its downward slope, summed over the texts."""
-    k = model.weights.shape[1]
-    sums = np.zeros((GATES, k, k + 1))
-    for line, owners in _batches([normalized(t) for t in texts]):
-        x, signs, gate = _decisions(line, owners, model)[:3]
-        chance = 1 / (1 + np.exp(-sum(row * w[gate] for row, w in zip(x, model.weights.T, strict=True))))
-        error, bend = (signs > 0) - chance, chance * (1 - chance)
-        for a in range(k):
-            sums[:, a, k] += np.bincount(gate, error * x[a], GATES)
-            bent = bend * x[a]
-            for b in range(a, k):
-                sums[:, a, b] += np.bincount(gate, bent * x[b], GATES)
-                sums[:, b, a] = sums[:, a, b]
-    return sums
-
-
-def stepped(model: Model, sums: np.ndarray) -> Model:
-    """A Newton step of the logistic cost, all gates at once, held to the beginning a little."""
-    k = model.weights.shape[1]
-    slope = sums[:, :, k] - (model.weights - FLAT)
-    moves = np.linalg.solve(sums[:, :, :k] + np.eye(k), slope[:, :, None])[:, :, 0]
-    return replace(model, weights=(model.weights + moves).astype(np.float32))
-
-
-def started(alphabet: Alphabet, counts: list[np.ndarray], sample: list[bytes]) -> Model:
-    """The model, its gates' weights fitted to the given texts."""
-    model = unfitted(alphabet, counts)
-    for _ in range(STEPS if sample else 0):
-        model = stepped(model, step_sums(sample, model))
-    return model
-
-
-def bits(texts: list[bytes], model: Model) -> np.ndarray:
-    """Bits of each whole text."""
-    result = np.zeros(len(texts))
-    for line, owners in _batches([normalized(t) for t in texts]):
-        _add_bits(line, owners, model, result)
-    return result
-
-
-def _batches(lines: list[bytes]):
-    """Texts, or stretches of long ones, that make about ``LANES`` segments together.
-
-    Yields the bytes and, for each stretch, its text, its first byte to code and the byte after
-    the last. A stretch begins with enough of what precedes it to have its contexts: all of it
-    since the last gap before, and the padding's length.
+def fitted(code_counts: np.ndarray) -> np.ndarray:
+    """The weights ``[gate, predictor]`` at the least cost of the decisions counted by their codes.
+
+    Newton steps of all gates at once, held to the beginning a little; a gate's step is halved until its cost
+    falls, and where it does not fall, the gate is done.
     """
-    parts: list[bytes] = []
-    owners: list[tuple[int, int, int]] = []
-    held = lanes = 0
-    most = LANES * SEGMENT
-    for number, line in enumerate(lines):
-        for at in range(0, len(line), most):
-            lead = _PAD if at == 0 else line[: at][-(_lead(line, at)) :]
-            stretch = line[at : at + most]
-            needed = -(-len(stretch) // SEGMENT)
-            if owners and lanes + needed > LANES:
-                yield np.frombuffer(b"".join(parts), np.uint8), owners
-                parts, owners, held, lanes = [], [], 0, 0
-            owners.append((number, held + len(lead), held + len(lead) + len(stretch)))
-            parts += [lead, stretch]
-            held += len(lead) + len(stretch)
-            lanes += needed
-    if owners:
-        yield np.frombuffer(b"".join(parts), np.uint8), owners
-
-
-def _lead(line: bytes, at: int) -> int:
-    """How many bytes before ``at`` the contexts there need."""
-    return min(at, max(3, at - line.rfind(b" ", 0, at)))
-
-
-def _decisions(line: np.ndarray, owners: list, model: Model) -> tuple:
-    """All decisions in a row: log-odds ``[predictor, decision]``, sign (1 or -1) and gate of each;
-    then the segments' texts, their numbers of decisions, and of bytes never seen in training."""
-    alphabet = model.alphabet
-    slots, into_word = contexts(line)
-    places = np.concatenate([np.arange(first, end, dtype=np.int32) for _, first, end in owners])
-    symbols = alphabet.symbol_of[line[places]]
-    starts = alphabet.starts[symbols]
-    decisions = alphabet.starts[symbols + 1] - starts
-    total = np.concatenate(([0], np.cumsum(decisions)))
-    code = np.arange(total[-1], dtype=np.int32) + np.repeat((starts - total[:-1]).astype(np.int32), decisions)
-    nodes = alphabet.nodes[code]
-    count = np.uint32(len(alphabet.spans))
-    inputs = np.empty((len(slots), total[-1]), np.float32)
-    for row, slot, odds in zip(inputs, slots, model.odds, strict=True):
-        np.take(odds, np.repeat(slot[places] * count, decisions) + nodes, out=row, mode="clip")
-    word_gate = (np.minimum(into_word[places], WORD_GATES - 1) * DEPTH_GATES).astype(np.int8)
-    gates = np.repeat(word_gate, decisions) + alphabet.depths[code]
-
-    cuts = [(n, min(SEGMENT, end - a)) for n, first, end in owners for a in range(first, end, SEGMENT)]
-    numbers, sizes = (np.array(v) for v in zip(*cuts, strict=True))
-    edges = np.concatenate(([0], np.cumsum(sizes)))
-    unknown = np.add.reduceat((symbols == alphabet.size - 1).astype(np.int64), edges[:-1])
-    return inputs, alphabet.signs[code], gates, numbers, total[edges[1:]] - total[edges[:-1]], unknown
-
-
-def _add_bits(line: np.ndarray, owners: list, model: Model, result: np.ndarray) -> None:
-    inputs, signs, gates, numbers, lengths, unknown = _decisions(line, owners, model)
-    np.add.at(result, numbers, 8.0 * unknown)  # which byte it is, one of 256
-    for row, weights in zip(inputs, model.weights.T, strict=True):
-        row *= weights[gates]
-        row *= signs
-    # As [step, predictor, lane], the longest lane first, so that those at work are always the first.
-    inputs = np.ascontiguousarray(inputs.T)
-    order = np.argsort(-lengths, kind="stable")
-    lengths, begins = lengths[order], (np.cumsum(lengths) - lengths)[order]
-    lanes, steps = len(order), int(lengths[0])
-    factors = np.ones((inputs.shape[1], lanes), np.float32)
+    word, pair, gate = _tables()
+    used = np.flatnonzero(code_counts)
+    x = np.stack([word[used], pair[used]], axis=1).astype(float)
+    n, gate = code_counts[used].astype(float), gate[used]
+    gates = GATES // len(MATCHES)
+    flat = np.tile(FLAT[:2], (gates, 1))
+    weights = flat.copy()
+
+    def cost(trial: np.ndarray) -> np.ndarray:
+        z = np.clip((x * trial[gate]).sum(axis=1), -MOST_ODDS, MOST_ODDS)
+        held = HOLD * ((trial - flat) ** 2).sum(axis=1) / 2
+        return np.bincount(gate, n * np.logaddexp(0, -z), gates) + held
+
+    now = cost(weights)
+    for _ in range(50):
+        z = np.clip((x * weights[gate]).sum(axis=1), -MOST_ODDS, MOST_ODDS)
+        miss = 1 / (1 + np.exp(z))
+        bend = n * miss * (1 - miss)
+        slope = np.stack([np.bincount(gate, n * miss * x[:, k], gates) for k in (0, 1)], axis=1) - HOLD * (weights - flat)
+        curve = np.stack(
+            [np.stack([np.bincount(gate, bend * x[:, a] * x[:, b], gates) for b in (0, 1)], axis=1) for a in (0, 1)], axis=1
+        )
+        move = np.linalg.solve(curve + HOLD * np.eye(2), slope[:, :, None])[:, :, 0]
+        share = np.ones(gates)
+        for _ in range(30):
+            trial = np.clip(weights + share[:, None] * move, -MOST_WEIGHT, MOST_WEIGHT)
+            after = cost(trial)
+            worse = after > now
+            if not worse.any():
+                break
+            share[worse] /= 2
+        better = after < now
+        gained = (now - after)[better].sum()
+        weights[better], now[better] = trial[better], after[better]
+        if gained <= 1e-9 * max(now.sum(), 1):
+            break
+    whole = np.concatenate([weights, np.full((gates, 1), FLAT[2])], axis=1)
+    return np.tile(whole, (len(MATCHES), 1)).astype(np.float32)
+
+
+def _expected(words: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word of the documents (words as numbers from 1, one document after another) the word expected
+    there, and by how many of the words before (0: none is expected)."""
+    n = len(words)
+    last = np.concatenate([[0], words[:-1]])
+    last[1:][document[1:] != document[:-1]] = 0
+    before = np.concatenate([[0], last[:-1]])
+    before[1:][document[1:] != document[:-1]] = 0
+    found, kind = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for number, context in ((1, last), (2, last * (int(words.max(initial=0)) + 1) + before)):
+        if number == 2:
+            context = np.unique(context, return_inverse=True)[1] if n else context
+        key = document * (int(context.max(initial=0)) + 1) + context
+        order = np.argsort(key, kind="stable")
+        again = key[order][1:] == key[order][:-1]
+        at, source = order[1:][again], order[:-1][again]
+        found[at], kind[at] = words[source], number
+    return found, kind
+
+
+class Scorer:
+    """Scores documents made of known words: ``words`` with their ``word_bytes``."""
+
+    def __init__(self, words: list[bytes], word_levels: np.ndarray, model: Model):
+        alphabet = model.alphabet
+        self._weights = model.weights
+        codes, ends = decision_codes(words, word_levels, alphabet, model.pairs)
+        self._codes = codes.tobytes()
+        self._ends = ends
+        self._begins = np.concatenate([[0], ends[:-1]])
+        self._pieces = [self._codes[2 * a : 2 * b] for a, b in zip(self._begins.tolist(), ends.tolist(), strict=True)]
+        spelled = Spelled.of(words)
+        self._spelled, self._steps = spelled, np.diff(alphabet.starts)
+        self._matrix = _matrix(spelled, _PREFIX)
+        steps = self._steps[self._matrix]
+        self._through = np.concatenate([np.zeros((len(words), 1), np.int64), np.cumsum(steps, axis=1)], axis=1).astype(np.int32)
+        self._agreement = alphabet.agreement
+
+    def bits(self, documents: list[np.ndarray]) -> np.ndarray:
+        """Bits of each document, given as its words' numbers, the end's last."""
+        result = np.zeros(len(documents))
+        sizes = self._ends - self._begins
+        lengths = np.array([sizes[d].sum() for d in documents], np.int64)
+        order = np.argsort(-lengths, kind="stable")
+        at = 0
+        while at < len(order):
+            # Documents of like length, so that few lanes idle.
+            last = at + max(1, int(np.searchsorted(np.cumsum(lengths[order[at:]]), BATCH, "right")))
+            own = order[at:last]
+            result[own] = self._batch([documents[k] for k in own], lengths[own])
+            at = last
+        return result
+
+    def _batch(self, documents: list[np.ndarray], lengths: np.ndarray) -> np.ndarray:
+        words = np.concatenate(documents)
+        lane = np.repeat(np.arange(len(documents)), [len(d) for d in documents])
+        codes = np.frombuffer(b"".join(map(self._pieces.__getitem__, words.tolist())), np.uint16)
+        match = self._matched(words, lane, len(codes))
+        return _cost(codes, match, lengths, self._weights) / np.log(2)
+
+    def _matched(self, words: np.ndarray, lane: np.ndarray, total: int) -> np.ndarray:
+        """What the match says of each decision: 0, or its strength, negative where it is wrong."""
+        expected, kind = _expected(words + 1, lane)
+        at = np.flatnonzero(kind)
+        mine, other, strength = words[at], expected[at] - 1, np.array(MATCHES)[kind[at]]
+        size = (self._ends - self._begins)[words]
+        begin = (np.cumsum(size) - size)[at]
+        size = size[at]
+        shared = self._shared(mine, other, size)
+        wrong = shared < size
+        delta = np.zeros(total + 1, np.int8)
+        np.add.at(delta, begin, strength)
+        np.subtract.at(delta, begin + shared, strength)
+        match = np.cumsum(delta[:-1], dtype=np.int8)
+        match[(begin + shared)[wrong]] = -strength[wrong]
+        return match
+
+    def _shared(self, mine: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """How many decisions of the one words' codes, ``size`` in all, the other words' codes begin with, too."""
+        shared = size.copy()
+        unlike = np.flatnonzero(mine != other)
+        a, b = mine[unlike], other[unlike]
+        differs = self._matrix[a] != self._matrix[b]
+        place = differs.argmax(axis=1)
+        agree = self._agreement[self._matrix[a, place], self._matrix[b, place]]
+        shared[unlike] = self._through[a, place] + agree
+        for k in np.flatnonzero(~differs.any(axis=1)).tolist():
+            shared[unlike[k]] = self._shared_by_long(int(a[k]), int(b[k]))
+        return shared
+
+    def _shared_by_long(self, a: int, b: int) -> int:
+        begins, sizes = self._spelled.begins, self._spelled.sizes
+        one, two = (self._spelled.raw[begins[w] : begins[w] + sizes[w]] for w in (a, b))
+        n = min(len(one), len(two))
+        at = np.flatnonzero(one[:n] != two[:n])[0]
+        return int(self._steps[one[:at]].sum() + self._agreement[one[at], two[at]])
+
+
+def _cost(codes: np.ndarray, match: np.ndarray, lengths: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Nats of each lane; the lanes lie one after another, the longest first."""
+    word_of, pair_of, gate_of = _tables()
+    kind_of = np.zeros(2 * MATCHES[-1] + 1, np.int64)
+    for kind, strength in enumerate(MATCHES):
+        kind_of[[MATCHES[-1] + strength, MATCHES[-1] - strength]] = kind * (GATES // len(MATCHES))
+    lanes, predictors = len(lengths), weights.shape[1]
+    own = np.tile(weights.T.reshape(predictors, 1, GATES), (1, lanes, 1)).astype(np.float32)
+    begins = np.cumsum(lengths) - lengths
     cost = np.zeros(lanes)
-    for at in range(0, steps, _WINDOW):
+    for at in range(0, int(lengths[0]) if lanes else 0, BLOCK):
         n = int(np.searchsorted(-lengths, -at, "left"))
-        span = min(_WINDOW, steps - at)
+        span = int(min(BLOCK, lengths[0] - at))
         places = begins[:n, None] + np.arange(at, at + span)
-        whole = int(np.searchsorted(-lengths, -(at + span), "right"))
-        inside = places[whole:] < (begins + lengths)[whole:n, None]
-        places[whole:][~inside] = 0
-        own = inputs[places]
-        own[whole:] *= inside[:, :, None]
-        window = np.ascontiguousarray(own.transpose(1, 2, 0))
-        sums = np.empty((span, n), np.float32)
-        moving = factors[:, :n]
-        product = np.empty_like(moving)
-        for x, z in zip(window, sums, strict=True):
-            np.multiply(moving, x, out=product)
-            np.add.reduce(product, axis=0, out=z)
-            pull = np.float32(RATE) / (1 + np.exp(z))
-            np.multiply(x, pull, out=product)
-            np.add(moving, product, out=moving)
-        parts = np.log(1 + np.exp(-sums))
-        parts[:, whole:] *= inside.T
-        cost[:n] += parts.sum(axis=0, dtype=np.float64)
-    np.add.at(result, numbers[order], cost / np.log(2))
+        whole = int(np.searchsorted(-lengths[:n], -(at + span), "right"))
+        inside = np.ones((n, span), bool)
+        inside[whole:] = np.arange(at, at + span) < lengths[whole:n, None]
+        places[~inside] = 0
+        code, found = codes[places], match[places]
+        slot = gate_of[code] + kind_of[found + MATCHES[-1]] + GATES * np.arange(n)[:, None]
+        x = word_of[code], pair_of[code], found.astype(np.float32)
+        moving = own[:, :n].reshape(predictors, -1)
+        z = sum(v * w[slot] for v, w in zip(x, moving, strict=True))
+        z = np.clip(z, -MOST_ODDS, MOST_ODDS)
+        miss = 1 / (1 + np.exp(z))
+        miss[~inside] = 0
+        # The cost of a decision that was predicted with chance 1 - miss.
+        cost[:n] -= np.log1p(-miss).sum(axis=1, dtype=np.float64)
+        for v, w in zip(x, own, strict=True):
+            pull = np.bincount(slot.ravel(), (miss * v).ravel(), n * GATES).reshape(n, GATES)
+            w[:n] = np.clip(w[:n] + np.clip(RATE * pull, -MOST_STEP, MOST_STEP), -MOST_WEIGHT, MOST_WEIGHT)
+    return cost

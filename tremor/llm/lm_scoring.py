@@ -2,43 +2,41 @@
 
 Word counts of a large corpus fit on no single machine, and the documents' words joined to them
 one by one would be shuffled many times over. So documents are gathered into chunks of a few
-megabytes; each chunk's distinct words are counted, summed over the corpus, and the sums sent
+megabytes; each chunk's distinct words are counted, summed over the corpus, and what is known of them sent
 back to the chunks, which then score their documents. A frequent word is one row per chunk.
 
-The context-mixing model (:mod:`tremor.llm.context_mixing`) is learned from all training
-documents: its tables hold counts of every byte in its hashed contexts, and have a fixed size,
-so they are added up per task and broadcast. The gates' weights are fitted to all of them, too.
+What the context-mixing model (:mod:`tremor.llm.context_mixing`) knows of a word's letters is a function of the word, so
+it is worked out once for every distinct word and travels with its count: the whole vocabulary is sorted into ranges,
+each task finds the counts of all beginnings in its range, and beginnings that reach across a border are added up over
+the ranges that share them. These counts grow with the corpus. Only what is bounded by nature is broadcast: a Huffman
+code of bytes, counts after pairs of bytes, the gates' weights, and the beginnings of each range's first and last word.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
-from itertools import pairwise
+from dataclasses import dataclass
 from math import log10
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremor.llm import context_mixing as cm
-from tremor.llm.common import slices, stored, utf8
+from tremor.llm.common import slices, stored, trimmed, utf8
 
 
 @dataclass(frozen=True)
 class Scoring:
     """``smoothing`` is added to every word's count. ``chunk_bytes``: from how much text a chunk is
-    closed. ``sample_docs``: about how many training documents the fit of the gates' weights to all of
-    them begins with; ``settled``: it ends when no weight moves by more in a step."""
+    closed. ``range_words``: about how many distinct words a range of the vocabulary has."""
 
     smoothing: float = 0.1
-    chunk_bytes: int = 8 << 20
-    sample_docs: int = 100
-    settled: float = 0.001
-    seed: int = 7
+    chunk_bytes: int = 12 << 20
+    range_words: int = 150_000
 
 
 def _chunked(docs: DataFrame, scoring: Scoring, text: str, doc_id: str, trains: Column) -> DataFrame:
@@ -63,7 +61,7 @@ def _chunked(docs: DataFrame, scoring: Scoring, text: str, doc_id: str, trains:
 
 
 def _chunk_words(chunks: DataFrame) -> DataFrame:
-    """``(chunk, word, n)``: every word of a chunk, with its count in training documents."""
+    """``(chunk, word, n)``: every word of a chunk, the end included, with its count in training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
@@ -91,7 +89,7 @@ def _chunk_words(chunks: DataFrame) -> DataFrame:
                         if current is not None:
                             yield from closed()
                         current = chunk
-                    words = text.lower().split()
+                    words = [*text.lower().split(), cm.END]
                     if train:
                         counts.update(words)
                     else:
@@ -100,92 +98,97 @@ def _chunk_words(chunks: DataFrame) -> DataFrame:
         if current is not None:
             yield from closed()
 
-    rows = chunks.select("chunk", "trains", "text").mapInArrow(run, "chunk bigint, word string, n bigint")
+    rows = chunks.select("chunk", "trains", "text").mapInArrow(trimmed(run), "chunk bigint, word string, n bigint")
     return stored(rows, "lm-chunk-words", "zstd")
 
 
-def _byte_counts(training: DataFrame) -> np.ndarray:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(256, np.int64)
-        for batch in batches:
-            for first, last in slices(batch.column(0)):
-                line = b"".join(map(cm.normalized, batch.column(0)[first:last].to_pylist()))
-                counts += np.bincount(np.frombuffer(line, np.uint8), minlength=256)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["byte", "n"])
+def _ranges(words: DataFrame, scoring: Scoring) -> DataFrame:
+    """``(part, word, c)``: every distinct word with its training count, sorted into ranges of the words as coded."""
+    counts = words.groupBy("word").agg(F.sum("n").alias("c"))
+    counts = stored(counts, "lm-word-counts", "zstd")
+    parts = max(1, -(-counts.count() // scoring.range_words))
+    coded = F.when(F.col("word") == cm.END.decode(), F.col("word")).otherwise(F.concat("word", F.lit(" ")))
+    ranged = counts.withColumn("_coded", coded).repartitionByRange(parts, "_coded").sortWithinPartitions("_coded")
+    return stored(ranged.select(F.spark_partition_id().alias("part"), "word", "c"), "lm-vocabulary", "zstd")
 
-    rows = training.select("text").mapInArrow(run, "byte bigint, n bigint").groupBy("byte").agg(F.sum("n").alias("n"))
-    result = np.zeros(256, np.int64)
-    for row in rows.collect():
-        result[row.byte] = row.n
-    return result
 
+def _sorted_words(table: pa.Table) -> tuple[list[bytes], np.ndarray]:
+    words = table.column("word").cast(pa.binary()).to_pylist()
+    counts = table.column("c").to_numpy()
+    order = sorted(range(len(words)), key=lambda k: words[k] if words[k] == cm.END else words[k] + b" ")
+    return [words[k] for k in order], counts[order]
 
-def _context_counts(training: DataFrame, alphabet: cm.Alphabet) -> list[np.ndarray]:
-    """Every training byte counted in its contexts. The tables' size is a parameter, not the corpus'."""
-    size, symbol_of = alphabet.size, alphabet.symbol_of
-    edges = np.cumsum([0, *(slots * size for slots in cm.SLOTS)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros(edges[-1], np.int64)
-        for batch in batches:
-            for first, last in slices(batch.column(0), 2 << 20):
-                own = cm.context_counts(batch.column(0)[first:last].to_pylist(), symbol_of, size)
-                for (low, high), counts in zip(pairwise(edges), own, strict=True):
-                    tables[low:high] += counts
-        used = np.flatnonzero(tables)
-        for at in range(0, len(used), 1 << 16):
-            some = used[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(tables[some])], ["entry", "n"])
-
-    rows = training.select("text").mapInArrow(run, "entry bigint, n bigint").groupBy("entry").agg(F.sum("n").alias("n"))
-    found = rows.toArrow()
-    tables = np.zeros(edges[-1], np.int64)
-    tables[found.column("entry").to_numpy()] = found.column("n").to_numpy()
-    return [tables[low:high] for low, high in pairwise(edges)]
-
-
-def learned(chunks: DataFrame, scoring: Scoring) -> cm.Model:
-    """The context-mixing model of the training rows of ``chunks``."""
-    training = chunks.where("trains")
-    alphabet = cm.Alphabet.of(_byte_counts(training))
-    rows = max(training.count(), 1)
-    draw = F.pmod(F.xxhash64(F.lit(scoring.seed), "doc_id"), F.lit(1 << 30))
-    sample = training.where(draw < F.lit((scoring.sample_docs << 30) // rows)).select("text").collect()
-    model = cm.started(alphabet, _context_counts(training, alphabet), sorted(bytes(r.text) for r in sample))
-    return _fitted(training, model, scoring.settled)
-
-
-def _fitted(training: DataFrame, model: cm.Model, settled: float) -> cm.Model:
-    """The model with its weights at the optimum over all training rows: a pass over them for each Newton step."""
-    shared = training.sparkSession.sparkContext.broadcast(model)
-    for _ in range(cm.STEPS):
-        moved = cm.stepped(model, _step_sums(training, shared, model.weights))
-        most = np.abs(moved.weights - model.weights).max()
-        model = moved
-        if most <= settled:
-            break
-    shared.unpersist()
-    return model
-
-
-def _step_sums(training: DataFrame, shared: Broadcast, weights: np.ndarray) -> np.ndarray:
-    """``context_mixing.step_sums`` over all rows, added up per task and then by Spark."""
-    gates, k = weights.shape
+def _pair_counts(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """``context_mixing.pair_counts`` of all training words. At most a row for each three bytes, far fewer in text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = replace(shared.value, weights=weights)
-        sums = np.zeros((gates, k, k + 1))
         for batch in batches:
-            for first, last in slices(batch.column(0), 2 << 20):
-                sums += cm.step_sums(batch.column(0)[first:last].to_pylist(), model)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(sums.size)), pa.array(sums.ravel())], ["entry", "v"])
+            for first, last in slices(batch.column(0), 1 << 20):
+                own = batch.slice(first, last - first)
+                keys, sums = cm.pair_counts(own.column(0).to_pylist(), own.column(1).to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], ["key", "n"])
+
+    rows = vocabulary.where("c > 0").select(F.col("word").cast("binary").alias("word"), "c")
+    found = rows.mapInArrow(trimmed(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    return found.column("key").to_numpy(), found.column("n").to_numpy()
+
+
+def _shared_beginnings(vocabulary: DataFrame) -> cm.Shared:
+    """The counts of beginnings that several ranges have: of each range's first and last word, so a few hundred rows
+    for each range."""
+
+    def run(table: pa.Table) -> pa.Table:
+        words, counts = _sorted_words(table)
+        rows = list(cm.border_counts(words, counts))
+        part = table.column("part")[0].as_py()
+        columns = [pa.array([part] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.binary())]
+        columns += [pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2)]
+        return pa.Table.from_arrays(columns, ["part", "beginning", "byte", "n"])
+
+    borders = vocabulary.groupBy("part").applyInArrow(run, "part int, beginning binary, byte bigint, n bigint")
+    borders = stored(borders, "lm-borders")
+    several = borders.groupBy(F.col("beginning").alias("_b")).agg(F.count_distinct("part").alias("_parts")).where("_parts > 1")
+    both = borders.join(several, F.col("beginning") == F.col("_b")).groupBy("beginning", "byte").agg(F.sum("n").alias("n"))
+    shared: cm.Shared = {}
+    for row in both.collect():
+        shared.setdefault(bytes(row.beginning), {})[row.byte] = row.n
+    return shared
+
+
+def learned(vocabulary: DataFrame) -> tuple[cm.Model, DataFrame]:
+    """The model of the words ``(part, word, c)``, and ``(word, c, levels)``: every word with its own part of it."""
+    spark = vocabulary.sparkSession
+    keys, sums = _pair_counts(vocabulary)
+    alphabet = cm.Alphabet.of(np.bincount(keys & 255, sums, 256).astype(np.int64))
+    pairs = cm.Pairs.of(keys, sums, alphabet)
+    known = spark.sparkContext.broadcast((alphabet, pairs, _shared_beginnings(vocabulary)))
+
+    def run(table: pa.Table) -> pa.Table:
+        alphabet, pairs, shared = known.value
+        words, counts = _sorted_words(table)
+        levels, without = cm.word_bytes(words, counts, alphabet, shared)
+        codes, ends = cm.decision_codes(words, without, alphabet, pairs)
+        tally = np.bincount(codes, np.repeat(counts, np.diff(ends, prepend=0)), cm.CODES).astype(np.int64)
+        used = np.flatnonzero(tally)
+        raw, begins = levels.tobytes(), [0, *ends.tolist()]
+        cut = [raw[a:b] for a, b in zip(begins, begins[1:], strict=False)]
+        # The tally of codes goes along as rows without a word.
+        columns = [
+            pa.array([*words, *[None] * len(used)], pa.binary()).cast(pa.string()),
+            pa.array([*counts.tolist(), *tally[used].tolist()], pa.int64()),
+            pa.array([*cut, *[None] * len(used)], pa.binary()),
+            pa.array([*[None] * len(words), *used.tolist()], pa.int32()),
+        ]
+        return pa.Table.from_arrays(columns, ["word", "c", "levels", "code"])
 
-    rows = training.select("text").mapInArrow(run, "entry bigint, v double").groupBy("entry").agg(F.sum("v").alias("v"))
-    result = np.zeros(gates * k * (k + 1))
-    for row in rows.collect():
-        result[row.entry] = row.v
-    return result.reshape(gates, k, k + 1)
+    made = vocabulary.groupBy("part").applyInArrow(run, "word string, c bigint, levels binary, code int")
+    made = stored(made, "lm-word-levels", "zstd")
+    tally = np.zeros(cm.CODES, np.int64)
+    for row in made.where("code IS NOT NULL").groupBy("code").agg(F.sum("c").alias("n")).collect():
+        tally[row.code] = row.n
+    known.unpersist()
+    return cm.Model(alphabet, pairs, cm.fitted(tally)), made.where("code IS NULL").select("word", "c", "levels")
 
 
 def scored(
@@ -201,41 +204,33 @@ def scored(
     """
     chunks = _chunked(docs, scoring, text, doc_id, trains)
     words = _chunk_words(chunks)
-    counts = stored(words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "lm-word-counts")
-    ends = chunks.where("trains").count()
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    tokens, kinds = sums.n + ends, sums.v + (ends > 0)
-    whole = tokens + scoring.smoothing * (kinds + 1)
-    model = docs.sparkSession.sparkContext.broadcast(learned(chunks, scoring))
-    own = words.select("chunk", "word").join(counts, "word").select("chunk", "word", "c")
+    vocabulary = _ranges(words, scoring)
+    sums = vocabulary.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    tokens, whole = sums.n, sums.n + scoring.smoothing * (sums.v + 1)
+    model, known = learned(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    own = words.select("chunk", "word").join(known, "word").select("chunk", "word", "c", "levels")
     smoothing = scoring.smoothing
-
-    def chance(count: int) -> float:
-        return log10((count + smoothing) / whole) if whole else 0.0
-
     names = ["doc_id", "trains", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        count_of = known.column("c").to_numpy()
-        logs = np.log10((count_of + smoothing) / whole) if len(count_of) else count_of
-        log_of = dict(zip(known.column("word").cast(pa.binary()).to_pylist(), logs.tolist(), strict=True))
-        missing, end = chance(0), chance(ends)
+        words = known.column("word").cast(pa.binary()).to_pylist()
+        counts = known.column("c").to_numpy()
+        logs = np.log10((counts + smoothing) / whole) if tokens else np.zeros(len(words))
+        levels = np.frombuffer(b"".join(known.column("levels").to_pylist()), np.uint8)
+        scorer = cm.Scorer(words, levels, shared.value)
+        number_of = {word: k for k, word in enumerate(words)}.__getitem__
         lines = texts.column("text").to_pylist()
-        sizes, hits, base = [], [], []
-        for line in lines:
-            tokens_of = line.lower().split()
-            found = [v for v in map(log_of.get, tokens_of) if v is not None]
-            sizes.append(len(tokens_of) + 1)
-            hits.append(len(found) + (ends > 0))
-            base.append(sum(found) + missing * (len(tokens_of) - len(found)) + end)
-        score = -cm.bits(lines, model.value) * log10(2)
+        # Numbers take little room; the texts' words are not held all at once.
+        documents = [np.array([*map(number_of, line.lower().split()), number_of(cm.END)], np.int32) for line in lines]
+        score = -scorer.bits(documents) * log10(2)
         columns = [
             texts.column("doc_id").combine_chunks(),
             texts.column("trains").combine_chunks(),
-            pa.array(sizes, pa.int64()),
-            pa.array(hits, pa.int64()),
+            pa.array([len(d) for d in documents], pa.int64()),
+            pa.array([int((counts[d] > 0).sum()) for d in documents], pa.int64()),
             pa.array([tokens] * len(lines), pa.int64()),
-            pa.array(base, pa.float64()),
+            pa.array([float(logs[d].sum()) for d in documents], pa.float64()),
             pa.array(score, pa.float64()),
         ]
         return pa.Table.from_arrays(columns, names)

@@ -32,9 +32,9 @@ DEPTH = 48
 #: Steps of the predictors' log-odds, and how many there are to either side.
 WORD_STEP, WORD_LEVELS = 0.25, 31
 PAIR_STEP, PAIR_LEVELS = 0.5, 15
-SMOOTHING = 0.2
+SMOOTHING = 0.04
 #: Upper ends of the first classes of how often a context was met.
-SURE = (0, 2, 16)
+SURE = (0, 4, 64)
 #: Log-odds of a match, by whether one or two words before agree, in units of its weight.
 MATCHES = (0, 1, 3)
 GATES = 4 * 2 * len(MATCHES)

@@ -60,7 +60,7 @@ class WordBpe:
     is done here. ``memo_bytes`` bounds what is remembered of words met before.
     """
 
-    def __init__(self, path: str, memo_bytes: int = 32 << 20):
+    def __init__(self, path: str, memo_bytes: int = 48 << 20):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -219,7 +219,7 @@ class WordBpe:
         """The ids of each UTF-8 text as little-endian unsigned 32-bit numbers."""
         if self._held > self._memo_bytes:
             self.forget()
-        if len(self._apart) > self._memo_bytes // 400:
+        if len(self._apart) > self._memo_bytes // 150:
             self._apart.clear()
         split = [text.split() for text in texts]
         fresh = [text for text in set().union(*split) if text not in self._by_text]
@@ -243,7 +243,7 @@ class WordBpe:
 _loaded: dict[tuple[str, int], WordBpe] = {}
 
 
-def word_bpe(path: str, memo_bytes: int = 32 << 20) -> WordBpe:
+def word_bpe(path: str, memo_bytes: int = 48 << 20) -> WordBpe:
     """One encoder per process and file."""
     key = (path, memo_bytes)
     if key not in _loaded:
@@ -271,7 +271,7 @@ def coded(
         bpe = word_bpe(path)
         for batch in batches:
             texts = batch.column(1)
-            for first, last in slices(texts, 1 << 20):
+            for first, last in slices(texts, 2 << 20):
                 ids = bpe.encode(texts[first:last].to_pylist())
                 decoded = [bpe.decode(own) for own in ids]
                 columns = [

@@ -109,13 +109,12 @@ class LibraryEncoder:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
         cut = [self._cut(text) for text in texts]
         recent, earlier = self._recent, self._earlier
-        for piece in set().union(*cut):
-            if piece not in recent:
-                ids = earlier.get(piece)
-                if ids is None:
-                    ids = self._word(piece) if isinstance(piece, str) else self._run(piece)
-                recent[piece] = ids
-                self._held += 190 + len(piece) + len(ids)
+        for piece in set().union(*cut).difference(recent):
+            ids = earlier.get(piece)
+            if ids is None:
+                ids = self._word(piece) if isinstance(piece, str) else self._run(piece)
+            recent[piece] = ids
+            self._held += 200 + len(ids)
         known = recent.__getitem__
         found = [b"".join(map(known, own)) for own in cut]
         if self._held > self._memo_bytes // 2:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -15,6 +16,7 @@ from tremor.llm.common import WORD
 from tremor.llm.mixing import Mix
 from tremor.llm.permute import permuted, restored
 from tremor.llm.queries import op8_mix_sources
+from tremor.workspace import new_folder
 
 SF = "/root/testdata/sf0.01"
 
@@ -128,3 +130,49 @@ def test_offsets_run_through_the_table(spark, monkeypatch):
         for r in sorted(own, key=lambda r: (r["at"], r.w)):
             assert r["at"] == total
             total += r.w
+
+
+@pytest.mark.parametrize("fan", [1024, 3])
+def test_equal_rows_are_dealt_over_buckets(spark, monkeypatch, fan):
+    """A third of the rows are one row; numbers still run through, and depend on the data alone."""
+    monkeypatch.setattr(numbering, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(numbering, "FAN", fan)
+    monkeypatch.setattr(numbering, "UNEVEN", 2)
+    same = spark.range(300).select(F.lit(7).alias("doc_id"), F.lit("a").alias("g"))
+    rest = spark.range(1000, 1600).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "a").alias("g"))
+    rows = same.unionByName(rest)
+    for by, sizes in ((None, [900]), ("g", [300, 600])):
+        one = numbering.with_offsets(rows, F.lit(1), "row", by).collect()
+        groups = defaultdict(list)
+        for r in one:
+            groups[r.g if by else 0].append(r.row)
+        assert sorted(len(v) for v in groups.values()) == sizes
+        assert all(sorted(v) == list(range(len(v))) for v in groups.values())
+        again = numbering.with_offsets(rows.repartition(7), F.lit(1), "row", by).collect()
+        assert sorted(map(str, again)) == sorted(map(str, one))
+
+
+def test_numbering_has_no_window_over_everything(spark):
+    rows = spark.range(5000).select(F.col("id").alias("doc_id"))
+    plan = numbering.with_offsets(rows, F.lit(1), "row")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "SinglePartition" not in plan
+
+
+def test_shards_hold_what_was_drawn(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    mix = Mix(shards=16)
+    folder = new_folder(spark, "test-mix")
+    table = mixing.write_mix(docs, folder, mix)
+    places = {(r.shard, r.place): r for r in table.collect()}
+    counts = Counter((s, r.source_no) for (s, _), r in places.items())
+    per_source = table.select("source_no", "shard", "place").distinct().groupBy("source_no").count().orderBy("source_no").collect()
+    drawn = mixing.shard_draws([r["count"] for r in per_source], mix.shards, mix.seed)
+    assert counts == Counter({(s, k): int(n) for s, row in enumerate(drawn) for k, n in enumerate(row) if n})
+    for shard in range(mix.shards):
+        assert sorted(p for s, p in places if s == shard) == list(range(int(drawn[shard].sum())))
+    # Sources lie mixed in a shard, and each place holds one block.
+    first = [places[0, p].source_no for p in range(int(drawn[0].sum()))]
+    assert first != sorted(first)
+    blocks = table.groupBy("shard", "place").agg(F.count_distinct("source", "block", "pass_no").alias("n"), F.sum(F.col("last") - F.col("first")).alias("words"))
+    assert blocks.agg(F.max("n"), F.max("words")).first() == (1, mix.block_words)
+    assert (folder_names := {f"shard={s}" for s in range(16)}) and folder_names <= set(os.listdir(folder))

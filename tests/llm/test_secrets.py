@@ -159,3 +159,24 @@ def test_running_sums_over_blocks(spark, n):
     values = spark.createDataFrame([([k % 7 for k in range(n)],)], "v array<int>")
     got = values.select(running(F.col("v"), lambda a, b: a + b, F.lit(0)).alias("r")).first().r
     assert got == [sum(k % 7 for k in range(i)) for i in range(n)]
+
+
+def test_an_update_touches_its_own_blobs_only(spark, monkeypatch):
+    """Of 60 known blobs and one new document, the update scans and returns one; whichever way the addresses travel."""
+    known = docs_frame(spark, [(k, f"password=hunter{k:04d}") for k in range(60)])
+    for few in (0, 500_000):
+        monkeypatch.setattr(secrets, "BROADCAST_BLOBS", few)
+        ledger = new_folder(spark, "test-ledger")
+        assert secrets.blob_findings(known, ledger, RULES).count() == 60
+        before = spark.read.parquet(ledger).count()
+        new = docs_frame(spark, [(100, "token: abcdefgh"), (101, "token: abcdefgh")])
+        found = secrets.secret_findings(new, ledger, RULES).collect()
+        assert sorted((r.doc_id, len(r.found)) for r in found) == [(100, 1), (101, 1)]
+        assert spark.read.parquet(ledger).count() == before + 1
+        both = secrets.blob_findings(known.unionByName(new), ledger, RULES)
+        assert both.count() == 61 and spark.read.parquet(ledger).count() == before + 1
+        # A rule that is new to the ledger is scanned for the update's blobs, and by itself.
+        more = (*RULES, secrets.Rule("word", "abcdefgh", needs=("abc",)))
+        assert [len(r.found) for r in secrets.blob_findings(new, ledger, more).collect()] == [2]
+        assert [list(r.versions) for r in spark.read.parquet(ledger).collect()].count([more[-1].version]) == 1
+        assert secrets.blob_findings(new.limit(0), ledger, RULES).collect() == []

@@ -5,6 +5,9 @@ how many blocks a shard takes from each source is a multinomial draw from the qu
 left, so shards vary as random draws do while the totals meet the quotas exactly. A source's
 slots run through all its blocks in the order of a pseudorandom index permutation, another one
 for each pass, and the blocks are joined to the slots by their index.
+
+The mix is a table of its shards: for each place of a shard its source, block and pass, and the words of the
+documents that the block holds. Totals and mixed documents are read off that table.
 """
 
 from __future__ import annotations
@@ -14,13 +17,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm.common import WORD, stored
+from tremor.llm.common import WORD, numbered_columns, stored
 from tremor.llm.numbering import with_offsets
 from tremor.llm.permute import permuted
 from tremor.llm.spans import let
+from tremor.workspace import new_folder
 
 
 @dataclass(frozen=True)
@@ -100,18 +104,21 @@ def _sources(sized: DataFrame, mix: Mix) -> DataFrame:
 
 
 def _slots(sources: DataFrame, mix: Mix) -> DataFrame:
-    """``(source_no, block, pass_no, shard)``: the block each slot of the mix takes."""
+    """``(source_no, block, pass_no, shard, place)``: the block each slot of the mix takes. The slots of a shard,
+    of all its sources, are shuffled over its places."""
     rows = sources.select("source_no", "blocks", "quota").orderBy("source_no").collect()
     spark = sources.sparkSession
     drawn = shard_draws([r.quota for r in rows], mix.shards, mix.seed) if rows else np.zeros((0, 0), np.int64)
     firsts = np.cumsum(drawn, axis=0) - drawn
+    befores = np.cumsum(drawn, axis=1) - drawn
     table = [
-        (r.source_no, r.blocks, shard, int(firsts[shard, k]), int(drawn[shard, k]))
+        (r.source_no, r.blocks, shard, int(firsts[shard, k]), int(drawn[shard, k]), int(befores[shard, k]), int(drawn[shard].sum()))
         for k, r in enumerate(rows)
         for shard in range(len(drawn))
         if drawn[shard, k]
     ]
-    counts = spark.createDataFrame(table, "source_no int, blocks bigint, shard int, first bigint, n bigint")
+    columns = "source_no int, blocks bigint, shard int, first bigint, n bigint, before bigint, shard_size bigint"
+    counts = spark.createDataFrame(table, columns)
     # Two steps, so that no row explodes into more than a few thousand at once.
     starts = F.sequence(F.col("first"), F.col("first") + F.col("n") - 1, F.lit(4096).cast("bigint"))
     parts = counts.repartition(mix.shards).withColumn("start", F.explode(starts))
@@ -126,11 +133,17 @@ def _slots(sources: DataFrame, mix: Mix) -> DataFrame:
         keys = (np.int64(seed) * 1_000_003 + source_no.to_numpy().astype(np.int64)) * 1_009 + turn
         return pd.Series(permuted(slot.to_numpy() % n, n, keys))
 
+    @F.pandas_udf("bigint")
+    def place_of(at: pd.Series, size: pd.Series, shard: pd.Series) -> pd.Series:
+        keys = np.int64(seed) * 1_000_003 + 500_009 + shard.to_numpy().astype(np.int64)
+        return pd.Series(permuted(at.to_numpy(), size.to_numpy(), keys))
+
     return slots.select(
         "source_no",
         block_of("slot", "blocks", "source_no").alias("block"),
         F.floor(F.col("slot") / F.col("blocks")).cast("int").alias("pass_no"),
         "shard",
+        place_of(F.col("before") + F.col("slot") - F.col("first"), "shard_size", "shard").alias("place"),
     )
 
 
@@ -138,22 +151,26 @@ def _plan(docs: DataFrame, mix: Mix, text: str, doc_id: str) -> DataFrame:
     """Every row's id, text hash, size, source facts and place in its source; no texts."""
     content = F.coalesce(F.col(text), F.lit(""))
     sized = docs.select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(content).alias("text_hash"), "source", word_count(text).alias("size")
+        F.col(doc_id).cast("bigint").alias("doc_id"),
+        F.xxhash64(content).alias("text_hash"),
+        "source",
+        word_count(text).alias("size"),
     )
     return stored(sized, "mix-sizes")
 
 
-def _draws(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
-    """The rows with their places, and the words ``first`` to before ``last`` that a slot takes of them."""
+def _drawn(sized: DataFrame, folder: str, mix: Mix) -> tuple[DataFrame, DataFrame]:
+    """The rows with their places in their sources, and the mix, which is written to the folder shard by shard:
+    ``(shard, place, source, block, pass_no, doc_id, text_hash, source_no, position, size, first, last)``."""
     sources = _sources(sized, mix)
-    placed = sized.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("source", "_source")
+    placed = sized.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     numbered = with_offsets(placed, F.col("size"), "position", "source_no", ("doc_id", "text_hash"))
     plan = stored(numbered, "mix-plan")
     words = F.lit(mix.block_words)
     start, end = F.col("position"), F.col("position") + F.col("size")
     blocks = F.sequence(F.floor(start / words), F.floor((end - 1) / words))
     pieces = plan.where("size > 0").select(
-        "doc_id", "text_hash", "source_no", "position", "size", F.explode(blocks).alias("block")
+        "doc_id", "text_hash", "source", "source_no", "position", "size", F.explode(blocks).alias("block")
     )
     pieces = pieces.withColumns(
         {
@@ -162,7 +179,30 @@ def _draws(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
         }
     )
     # Spark takes the slots for as small as the few rows they come from; they grow with the mix.
-    return plan, pieces.join(_slots(sources, mix).hint("merge"), ["source_no", "block"])
+    met = pieces.join(_slots(sources, mix).hint("merge"), ["source_no", "block"])
+    met.repartition("shard").sortWithinPartitions("shard", "place", "position").write.partitionBy("shard").parquet(folder)
+    return plan, read_mix(sized.sparkSession, folder)
+
+
+_MIX = (
+    "place bigint, source string, block bigint, pass_no int, doc_id bigint, text_hash bigint, source_no int, "
+    "position bigint, size bigint, first bigint, last bigint, shard int"
+)
+
+
+def read_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The mix in a folder: the words ``first`` to before ``last`` of the document are at the ``place`` of the shard."""
+    return spark.read.schema(_MIX).parquet(folder)
+
+
+def write_mix(docs: DataFrame, folder: str, mix: Mix, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Writes the mix of the documents' words, one folder per shard, and returns it as ``read_mix`` does.
+
+    Of shard s and source k it holds as many places as ``shard_draws`` drew, without gaps from 0. NULL sources,
+    texts and ids and repeated rows are as in ``mix_totals``. An empty table gives an empty mix.
+    """
+    _, draws = _drawn(_plan(docs, mix, text, doc_id), folder, mix)
+    return draws
 
 
 def mix_totals(docs: DataFrame, mix: Mix, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -173,7 +213,7 @@ def mix_totals(docs: DataFrame, mix: Mix, text: str = "text", doc_id: str = "doc
     its own, a NULL text has no words, NULL ids and repeated rows keep places of their own, other
     columns are not read, and an empty table gives an empty result.
     """
-    plan, draws = _draws(_plan(docs, mix, text, doc_id), mix)
+    plan, draws = _drawn(_plan(docs, mix, text, doc_id), new_folder(docs.sparkSession, "llm-mix"), mix)
     taken = draws.groupBy(F.col("source_no").alias("_s"), F.col("position").alias("_p")).agg(
         F.sum(F.col("last") - F.col("first")).alias("n")
     )
@@ -191,29 +231,30 @@ def mixed_documents(docs: DataFrame, mix: Mix, text: str = "text", doc_id: str =
     joined by spaces. ``n_chars``, if there, is counted anew. Rows that repeat both id and text
     count as one document here. Documents without words take no part in a mix.
     """
+    rows = numbered_columns(docs)
+    own_text, own_id = (f"c{docs.columns.index(name)}" for name in (text, doc_id))
     sized = _plan(docs, mix, text, doc_id)
     once = sized.dropDuplicates(["doc_id", "text_hash"])
-    marked = docs.withColumn("_mix_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    marked = rows.withColumn("own_hash", F.xxhash64(F.coalesce(F.col(own_text), F.lit(""))))
     if sized.count() > once.count():
         sized = stored(once, "mix-distinct")
-        marked = marked.dropDuplicates([doc_id, "_mix_hash"])
-    _, draws = _draws(sized, mix)
+        marked = marked.dropDuplicates([own_id, "own_hash"])
+    _, draws = _drawn(sized, new_folder(docs.sparkSession, "llm-mix"), mix)
     ranges = F.sort_array(F.collect_list(F.struct("first", "last")))
-    taken = draws.groupBy(
-        F.col("doc_id").alias("_mix_id"), F.col("text_hash").alias("_mix_text"), "pass_no"
-    ).agg(ranges.alias("_mix_ranges"), F.max("size").alias("_mix_size"))
-    same = F.col(doc_id).eqNullSafe(F.col("_mix_id")) & (F.col("_mix_hash") == F.col("_mix_text"))
+    taken = draws.groupBy("doc_id", "text_hash", "pass_no").agg(ranges.alias("ranges"), F.max("size").alias("size"))
+    same = F.col(own_id).cast("bigint").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
     joined = marked.join(taken, same)
 
     taken_words = let(
-        F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)),
+        F.regexp_extract_all(F.col(own_text), F.lit(WORD), F.lit(0)),
         lambda words: F.flatten(
-            F.transform("_mix_ranges", lambda r: F.slice(words, (r["first"] + 1).cast("int"), (r["last"] - r["first"]).cast("int")))
+            F.transform("ranges", lambda r: F.slice(words, (r["first"] + 1).cast("int"), (r["last"] - r["first"]).cast("int")))
         ),
     )
-    n_taken = F.aggregate("_mix_ranges", F.lit(0).cast("bigint"), lambda n, r: n + r["last"] - r["first"])
-    whole = n_taken == F.col("_mix_size")
-    made = joined.withColumn(text, F.when(whole, F.col(text)).otherwise(F.array_join(taken_words, " ")))
+    n_taken = F.aggregate("ranges", F.lit(0).cast("bigint"), lambda n, r: n + r["last"] - r["first"])
+    whole = n_taken == F.col("size")
+    made = joined.withColumn(own_text, F.when(whole, F.col(own_text)).otherwise(F.array_join(taken_words, " ")))
     if "n_chars" in docs.columns:
-        made = made.withColumn("n_chars", F.char_length(text).cast(docs.schema["n_chars"].dataType))
-    return made.select(*docs.columns)
+        n_chars = f"c{docs.columns.index('n_chars')}"
+        made = made.withColumn(n_chars, F.char_length(own_text).cast(docs.schema["n_chars"].dataType))
+    return made.select(*rows.columns).toDF(*docs.columns)

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm.common import stored
+from tremor.llm.common import numbered_columns, stored
 from tremor.llm.spans import let, masked, match_spans
 
 LEDGER_SCHEMA = (
@@ -106,13 +106,17 @@ def _finding(rank: int, rule: Rule) -> Callable[[Column], Column]:
     )
 
 
+#: Addresses of unseen blobs, 32 bytes each, that are sent to every task rather than shuffled with the texts.
+BROADCAST_BLOBS = 500_000
+
+
 def blob_address(text: str) -> Column:
     """The SHA-256 of the content; NULL counts as empty."""
     return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
 
 
 def blob_findings(docs: DataFrame, ledger: str, rules: tuple[Rule, ...], text: str = "text") -> DataFrame:
-    """``(blob, found)`` of every content in the ledger folder, after bringing it up to date with ``docs``.
+    """``(blob, found)`` of every content of ``docs``, after bringing the ledger folder up to date with them.
 
     ``found`` is sorted by start and rule. The ledger is a Parquet table that only grows; an
     update that is repeated after a failure finds its pairs scanned already.
@@ -121,14 +125,27 @@ def blob_findings(docs: DataFrame, ledger: str, rules: tuple[Rule, ...], text: s
     _new_ledger(spark, ledger)
     versions = F.array(*[F.lit(rule.version) for rule in rules])
     contents = docs.select(blob_address(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    seen = _ledger(spark, ledger).groupBy("blob").agg(F.flatten(F.collect_list("versions")).alias("seen"))
-    blobs = contents.groupBy("blob").agg(F.first("text").alias("text")).join(seen, "blob", "left")
-    missing = F.when(F.col("seen").isNull(), versions).otherwise(F.array_except(versions, F.col("seen")))
-    unseen = blobs.select("blob", "text", missing.alias("versions")).where(F.size("versions") > 0)
-    scanned = unseen.select("blob", "versions", scan(F.col("text"), F.col("versions"), rules).alias("found"))
+    own = None
+    if _ledger(spark, ledger).head(1):
+        # Addresses are asked for first; of texts, only those of unseen blobs leave their tasks.
+        own = stored(contents.select("blob").distinct(), "secret-addresses")
+        held = _ledger(spark, ledger).join(own, "blob", "left_semi")
+        seen = held.groupBy("blob").agg(F.flatten(F.collect_list("versions")).alias("seen"))
+        missing = F.when(F.col("seen").isNull(), versions).otherwise(F.array_except(versions, F.col("seen")))
+        unseen = own.join(seen, "blob", "left").select("blob", missing.alias("versions")).where(F.size("versions") > 0)
+        unseen = stored(unseen, "secret-unseen")
+        few = unseen.count() <= BROADCAST_BLOBS
+        unseen = F.broadcast(unseen) if few else unseen
+        contents = contents.join(unseen, "blob")
+        wanted = contents.groupBy("blob").agg(F.first("text").alias("text"), F.first("versions").alias("versions"))
+    else:
+        wanted = contents.groupBy("blob").agg(F.first("text").alias("text")).withColumn("versions", versions)
+    scanned = wanted.select("blob", "versions", scan(F.col("text"), F.col("versions"), rules).alias("found"))
     scanned.write.mode("append").parquet(ledger)
 
-    held = _ledger(spark, ledger).groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("found"))
+    known = _ledger(spark, ledger)
+    known = known if own is None else known.join(own, "blob", "left_semi")
+    held = known.groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("found"))
     current = F.array_distinct(F.filter("found", lambda f: F.array_contains(versions, f["version"])))
     # Stored, so that a join can split the many paths of a frequent blob.
     return stored(held.select("blob", F.sort_array(current).alias("found")), "secret-findings")
@@ -150,17 +167,17 @@ def secret_findings(
 
 def without_secrets(docs: DataFrame, ledger: str, rules: tuple[Rule, ...], text: str = "text") -> DataFrame:
     """``docs`` with every secret masked, and ``n_chars``, if there, counted anew where one was."""
-    held = blob_findings(docs, ledger, rules, text).where(F.size("found") > 0)
-    held = held.select(F.col("blob").alias("_secret_blob"), F.col("found").alias("_secret_found"))
-    joined = docs.withColumn("_secret_of", blob_address(text)).join(
-        held, F.col("_secret_of") == F.col("_secret_blob"), "left"
-    )
-    hit = F.col("_secret_found").isNotNull()
-    made = joined.withColumn(text, F.when(hit, redacted(F.col(text), F.col("_secret_found"))).otherwise(F.col(text)))
+    rows = numbered_columns(docs)
+    own = f"c{docs.columns.index(text)}"
+    held = blob_findings(rows, ledger, rules, own).where(F.size("found") > 0)
+    joined = rows.withColumn("own_blob", blob_address(own)).join(held, F.col("own_blob") == F.col("blob"), "left")
+    hit = F.col("found").isNotNull()
+    made = joined.withColumn(own, F.when(hit, redacted(F.col(own), F.col("found"))).otherwise(F.col(own)))
     if "n_chars" in docs.columns:
-        counted = F.char_length(text).cast(docs.schema["n_chars"].dataType)
-        made = made.withColumn("n_chars", F.when(hit, counted).otherwise(F.col("n_chars")))
-    return made.select(*docs.columns)
+        n_chars = f"c{docs.columns.index('n_chars')}"
+        counted = F.char_length(own).cast(docs.schema["n_chars"].dataType)
+        made = made.withColumn(n_chars, F.when(hit, counted).otherwise(F.col(n_chars)))
+    return made.select(*rows.columns).toDF(*docs.columns)
 
 
 def _new_ledger(spark: SparkSession, folder: str) -> None:

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremor.llm import oracles
 from tremor.llm.bpe import coded
 from tremor.llm.common import documents, stored
 from tremor.llm.fingerprints import fingerprinted, with_near_counts
@@ -137,13 +138,13 @@ def op11_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_coded(documents(spark, sf_dir), PIECES)
 
 
-@registered()
+@registered(oracles.VARIANTS)
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of six characters and five occurrences; a run in 199 loses a letter, as the contract plants it."""
     return variant_groups(documents(spark, sf_dir), Spelling(slips=199))
 
 
-@registered()
+@registered(oracles.MERKLE)
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tree per language; a third of the rows are verified with A-Z of their text in lower case."""
     heads = ["doc_id", "source", "lang", "n_chars"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import uuid
 from collections import Counter
 from types import SimpleNamespace
@@ -15,7 +16,7 @@ from tremor.sources.cities import cities
 from tremor.sources.streams import folder_lines
 from tremor.sources.tables import stored_table
 from tremor.streaming import jobs, snapshots
-from tremor.streaming.ledger import CounterLedger, DistinctLedger
+from tremor.streaming.ledger import CounterLedger, DistinctLedger, TopLedger
 from tremor.streaming.small_files import SmallFiles
 
 NOW = {"availableNow": True}
@@ -160,6 +161,29 @@ def test_distinct_users_of_overlapping_runs(spark, tmp_path):
     assert again == {**found, "none": 0}
 
 
+@pytest.mark.parametrize("kept", [3, 12, 1000])
+def test_top_by_summaries_is_exact(spark, tmp_path, kept):
+    """However few places the summaries keep: where they cannot tell, all totals are read."""
+    rng = random.Random(kept)
+    draw = lambda: [rng.choice(["hot", "hot", "warm", "warm2", None, *(f"p{n}" for n in range(40))]) for _ in range(200)]
+    frame = lambda names: spark.createDataFrame([(n,) for n in names], "location string")
+    root, counts = str(tmp_path / "ledger"), Counter()
+    one, two = (TopLedger(root, run, run, fold_every=2, kept=kept) for run in ("one", "two"))
+    for ledger, batch in ((one, 0), (two, 0), (one, 1), (one, 1), (two, 1)):
+        names = draw() if (ledger, batch) != (one, 1) or not counts["done"] else []
+        ledger.record(frame(names), batch)
+        counts.update(n if n else "none" for n in names)
+        counts["done"] += (ledger, batch) == (one, 1)
+    del counts["done"]
+    found = two.top_at(spark, 1, 4).collect()
+    expected = sorted(((n, -c) for n, c in counts.items()), key=lambda x: (x[1], "" if x[0] == "none" else x[0]))[:4]
+    assert [(r.location or "none", -r.location_count) for r in found] == expected
+    sizes = [spark.read.parquet(f"{root}/leaders/run_id={run}/batch_id={b}").count() for run in ("one", "two") for b in (0, 1)]
+    assert max(sizes) <= kept
+    plain = CounterLedger.top_at(two, spark, 1, 4).collect()
+    assert plain == found
+
+
 def test_a_batch_counts_from_its_commit(spark, tmp_path):
     """A fold that failed half way is written anew for the version it began with."""
     root = str(tmp_path / "ledger")

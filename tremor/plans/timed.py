@@ -11,8 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tremor.plans import feeds
 from tremor.plans.registry import registered
 from tremor.streaming import events, jobs
-from tremor.streaming.ledger import DistinctLedger
-from tremor.streaming.snapshots import read_batches
+from tremor.streaming.ledger import DistinctLedger, TopLedger
+from tremor.streaming.snapshots import last_batch, read_batches
 from tremor.workspace import new_folder
 
 ALL_NOW = {"availableNow": True}
@@ -163,3 +163,22 @@ def st_distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = F.abs(F.col("_estimate") - F.col("n_users")) <= bound
     joined = exact.join(estimated, F.col("location") == F.col("_place"), "left")
     return joined.select("location", "n_users", F.coalesce(near, F.lit(False)).alias("near"))
+
+
+@registered(
+    f"""
+    WITH {feeds.STEPS_SQL}
+    SELECT user_id::VARCHAR AS location, 2 * count(*) AS location_count FROM steps GROUP BY 1
+    ORDER BY location_count DESC, location LIMIT 10"""
+)
+def st_topk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten busiest users of two runs, found by summaries of the leading ones and counted exactly."""
+    out = new_folder(spark, "summary-top")
+    rows = feeds.event_steps(spark, sf_dir).select(F.col("user_id").cast("string").alias("location"), "step")
+    steps = feeds.Steps(spark, rows, f"{out}/feed")
+    for run in ("one", "two"):
+        ledger = TopLedger(f"{out}/ledger", run, f"{out}/checkpoint-{run}", fold_every=2, kept=400)
+        for stream in steps.streams(run):
+            query = jobs.start_persisted_counts(stream, f"{out}/checkpoint-{run}", ledger, top=f"{out}/top-{run}", trigger=ALL_NOW)
+            query.awaitTermination()
+    return last_batch(spark, f"{out}/top-two")

@@ -108,7 +108,7 @@ def start_persisted_counts(
     def handle(batch: DataFrame, batch_id: int) -> None:
         ledger.record(batch, batch_id)
         if top or payloads:
-            leaders = top_places(ledger.totals_at(batch.sparkSession, batch_id), k)
+            leaders = ledger.top_at(batch.sparkSession, batch_id, k)
             if top:
                 leaders = _written(leaders, top, batch_id)
             if payloads:

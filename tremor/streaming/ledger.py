@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremor.operators.ranking import top_k
 from tremor.streaming.small_files import SmallFiles
 
 #: The last committed batch of each run.
@@ -72,6 +73,10 @@ class CounterLedger:
             return self._shown(spark.createDataFrame([], self.SCHEMA))
         return self._shown(self._since(spark, version, *self._nearest_fold(files, version)))
 
+    def top_at(self, spark: SparkSession, batch_id: int, k: int) -> DataFrame:
+        """The first ``k`` of ``totals_at`` by count, then by name."""
+        return top_k(self.totals_at(spark, batch_id), "location_count", k, "location")
+
     def _nearest_fold(self, files: SmallFiles, version: Version, own: int | None = None) -> tuple[str, int, Version]:
         """The fold that lacks the fewest batches of the version: its run, batch and own version.
 
@@ -175,6 +180,70 @@ class CounterLedger:
         return f"{self.root}/versions/{run}/{batch_id}"
 
 
+class TopLedger(CounterLedger):
+    """A counter ledger whose top places do not take the totals of all places.
+
+    Beside its counts, every batch writes a summary of its run so far: the ``kept`` places that lead, each with a
+    number it has at least, and an ``error``, by which any place may have more (Misra and Gries, "Finding
+    repeated elements", 1982; that such summaries merge: Agarwal et al., "Mergeable summaries", 2012). The error is at most the
+    run's rows divided by ``kept``. The top ``k`` are then counted exactly, among the few places that may belong to it; where
+    the error is too large to tell which these are, all totals are read.
+    """
+
+    def __init__(self, root: str, run_id: str, checkpoint: str, fold_every: int = 100, kept: int = 1000):
+        super().__init__(root, run_id, checkpoint, fold_every)
+        self.kept = kept
+
+    def record(self, batch: DataFrame, batch_id: int) -> None:
+        super().record(batch, batch_id)
+        spark, files = batch.sparkSession, SmallFiles(batch.sparkSession)
+        if files.exists(self._error_file(self.run_id, batch_id)):
+            return
+        rows = spark.read.schema(self.SCHEMA).parquet(self._deltas(self.run_id, batch_id))
+        error = 0
+        if batch_id:
+            before = spark.read.schema(self.SCHEMA).parquet(self._leaders(self.run_id, batch_id - 1))
+            rows = self._merged(rows.unionByName(before))
+            error = int(files.read(self._error_file(self.run_id, batch_id - 1)))
+        less = self._led(spark, rows, self._leaders(self.run_id, batch_id))
+        files.write(self._error_file(self.run_id, batch_id), str(error + less))
+
+    def top_at(self, spark: SparkSession, batch_id: int, k: int) -> DataFrame:
+        files = SmallFiles(spark)
+        version = json.loads(files.read(self._commit(self.run_id, batch_id)))
+        if not all(files.exists(self._error_file(run, batch)) for run, batch in version.items()):
+            return super().top_at(spark, batch_id, k)
+        folders = [self._leaders(run, batch) for run, batch in version.items()]
+        led = self._merged(spark.read.schema(self.SCHEMA).parquet(*folders))
+        error = sum(int(files.read(self._error_file(run, batch))) for run, batch in version.items())
+        # At most ``kept`` places of each run.
+        rows = led.where("location IS NOT NULL OR delta > 0").orderBy(F.desc("delta")).collect()
+        least = rows[k - 1].delta if len(rows) >= k else 0
+        if error and error >= least:
+            return super().top_at(spark, batch_id, k)
+        names = [r.location for r in rows if r.delta + error >= least]
+        candidate = F.col("location").isin([n for n in names if n is not None])
+        if None in names:
+            candidate = F.coalesce(candidate, F.lit(True))
+        last = self._last_fold(files, self.run_id, batch_id)
+        counts = self._since(spark, version, self.run_id, last, self._folded(files, self.run_id, last)).where(candidate)
+        return top_k(self._shown(counts), "location_count", k, "location")
+
+    def _led(self, spark: SparkSession, rows: DataFrame, folder: str) -> int:
+        """Writes the leading places, each less by what the first place left out has; returns that."""
+        first = rows.orderBy(F.desc("delta"), "location").limit(self.kept + 1).collect()
+        less = first.pop().delta if len(first) > self.kept else 0
+        left = [(r.location, r.delta - less) for r in first if r.delta > less]
+        spark.createDataFrame(left, self.SCHEMA).coalesce(1).write.mode("overwrite").parquet(folder)
+        return less
+
+    def _leaders(self, run: str, batch_id: int) -> str:
+        return f"{self.root}/leaders/run_id={run}/batch_id={batch_id}"
+
+    def _error_file(self, run: str, batch_id: int) -> str:
+        return f"{self.root}/errors/{run}/{batch_id}"
+
+
 class DistinctLedger(CounterLedger):
     """The number of different users per place, over all runs: ``(location, n_users)``.
 

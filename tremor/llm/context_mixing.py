@@ -48,6 +48,8 @@ BATCH = 1 << 22
 #: Numbers that ``decision_codes`` gives.
 CODES = 1 << 14
 _PREFIX = 16
+#: Words whose decisions are worked out at a time.
+SLICE = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -268,6 +270,22 @@ def decision_codes(words: list[bytes], word_levels: np.ndarray, alphabet: Alphab
     return codes.astype(np.uint16), ends[spelled.begins + spelled.sizes - 1]
 
 
+def level_ends(words: list[bytes], alphabet: Alphabet) -> np.ndarray:
+    """Where each word's decisions end if they lie one word after another."""
+    spelled = Spelled.of(words)
+    return np.cumsum(np.diff(alphabet.starts)[spelled.raw])[spelled.begins + spelled.sizes - 1]
+
+
+def codes_in_slices(
+    words: list[bytes], word_levels: np.ndarray, alphabet: Alphabet, pairs: Pairs
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``decision_codes`` of some thousand words at a time, with the first of them and the one after the last."""
+    ends = [0, *level_ends(words, alphabet).tolist()]
+    for first in range(0, len(words), SLICE):
+        last = min(first + SLICE, len(words))
+        yield first, last, *decision_codes(words[first:last], word_levels[ends[first] : ends[last]], alphabet, pairs)
+
+
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each code: log-odds of word and pair, and the gate without a match."""
     code = np.arange(CODES)
@@ -355,23 +373,24 @@ class Scorer:
     def __init__(self, words: list[bytes], word_levels: np.ndarray, model: Model):
         alphabet = model.alphabet
         self._weights = model.weights
-        codes, ends = decision_codes(words, word_levels, alphabet, model.pairs)
-        self._codes = codes.tobytes()
-        self._ends = ends
-        self._begins = np.concatenate([[0], ends[:-1]])
-        self._pieces = [self._codes[2 * a : 2 * b] for a, b in zip(self._begins.tolist(), ends.tolist(), strict=True)]
+        self._pieces: list[bytes] = []
+        sizes = []
+        for _, _, codes, ends in codes_in_slices(words, word_levels, alphabet, model.pairs):
+            raw, bounds = codes.tobytes(), [0, *ends.tolist()]
+            self._pieces += [raw[2 * a : 2 * b] for a, b in zip(bounds, bounds[1:], strict=False)]
+            sizes.append(np.diff(ends, prepend=0))
+        self._sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
         spelled = Spelled.of(words)
         self._spelled, self._steps = spelled, np.diff(alphabet.starts)
         self._matrix = _matrix(spelled, _PREFIX)
-        steps = self._steps[self._matrix]
-        self._through = np.concatenate([np.zeros((len(words), 1), np.int64), np.cumsum(steps, axis=1)], axis=1).astype(np.int32)
+        self._through = np.zeros((len(words), _PREFIX + 1), np.int16)
+        np.cumsum(self._steps.astype(np.int16)[self._matrix], axis=1, out=self._through[:, 1:])
         self._agreement = alphabet.agreement
 
     def bits(self, documents: list[np.ndarray]) -> np.ndarray:
         """Bits of each document, given as its words' numbers, the end's last."""
         result = np.zeros(len(documents))
-        sizes = self._ends - self._begins
-        lengths = np.array([sizes[d].sum() for d in documents], np.int64)
+        lengths = np.array([self._sizes[d].sum() for d in documents], np.int64)
         order = np.argsort(-lengths, kind="stable")
         at = 0
         while at < len(order):
@@ -394,7 +413,7 @@ class Scorer:
         expected, kind = _expected(words + 1, lane)
         at = np.flatnonzero(kind)
         mine, other, strength = words[at], expected[at] - 1, np.array(MATCHES)[kind[at]]
-        size = (self._ends - self._begins)[words]
+        size = self._sizes[words]
         begin = (np.cumsum(size) - size)[at]
         size = size[at]
         shared = self._shared(mine, other, size)

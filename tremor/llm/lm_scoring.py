@@ -3,7 +3,8 @@
 Word counts of a large corpus fit on no single machine, and the documents' words joined to them
 one by one would be shuffled many times over. So documents are gathered into chunks of a few
 megabytes; each chunk's distinct words are counted, summed over the corpus, and what is known of them sent
-back to the chunks, which then score their documents. A frequent word is one row per chunk.
+back to the chunks, which then score their documents. A frequent word is one row per chunk. Chunks and what goes back
+to them travel packed, a row for each chunk and for each range of the vocabulary that it has words of.
 
 What the context-mixing model (:mod:`tremor.llm.context_mixing`) knows of a word's letters is a function of the word, so
 it is worked out once for every distinct word and travels with its count: the whole vocabulary is sorted into ranges,
@@ -15,7 +16,7 @@ code of bytes, counts after pairs of bytes, the gates' weights, and the beginnin
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import log10
 
@@ -39,98 +40,156 @@ class Scoring:
     range_words: int = 150_000
 
 
+_ZSTD = pa.Codec("zstd", 3)
+
+
+def _packed(raw: bytes) -> bytes:
+    """Compressed, with its size in front."""
+    return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True)
+
+
+def _unpacked(packed: bytes) -> bytes:
+    return _ZSTD.decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True)
+
+
+_CHUNK = "chunk int, doc_ids array<bigint>, trains array<boolean>, sizes array<bigint>, texts binary"
+_CHUNK_TYPES = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary()]
+
+
 def _chunked(docs: DataFrame, scoring: Scoring, text: str, doc_id: str, trains: Column) -> DataFrame:
-    """``(chunk, doc_id, trains, text)``; a chunk is a stretch of one task's rows."""
+    """A row per chunk, which is a stretch of one task's rows: ids, whether they train, and the packed texts."""
     most = scoring.chunk_bytes
-    names = ["chunk", "doc_id", "trains", "text"]
+    names = ["chunk", "doc_ids", "trains", "sizes", "texts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, held = TaskContext.get().partitionId() << 32, 0
+        number = TaskContext.get().partitionId() << 14
+        ids: list = []
+        flags: list = []
+        texts: list[bytes] = []
+        held = 0
+
+        def closed() -> pa.RecordBatch:
+            values = number, ids, flags, [len(t) for t in texts], _packed(b"".join(texts))
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _CHUNK_TYPES, strict=True)], names)
+
         for batch in batches:
-            for first, last in slices(batch.column(2), most):
-                own = batch.slice(first, last - first)
+            for first, last in slices(batch.column(2), 1 << 20):
                 if held >= most:
-                    chunk, held = chunk + 1, 0
-                held += own.column(2).nbytes
-                numbers = pa.array(np.full(last - first, chunk, np.int64))
-                yield pa.RecordBatch.from_arrays([numbers, *own.columns], names)
+                    yield closed()
+                    number, ids, flags, texts, held = number + 1, [], [], [], 0
+                ids += batch.column(0)[first:last].to_pylist()
+                flags += batch.column(1)[first:last].to_pylist()
+                texts += batch.column(2)[first:last].to_pylist()
+                held = sum(map(len, texts))
+        if ids:
+            yield closed()
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), trains.alias("trains"), utf8(text).alias("text"))
-    schema = "chunk bigint, doc_id bigint, trains boolean, text binary"
-    return stored(rows.mapInArrow(run, schema), "lm-chunks", "zstd")
+    return stored(rows.mapInArrow(trimmed(run), _CHUNK), "lm-chunks")
+
+
+def _texts(sizes: list[int], packed: bytes) -> Iterator[bytes]:
+    raw, at = _unpacked(packed), 0
+    for size in sizes:
+        yield raw[at : at + size]
+        at += size
 
 
 def _chunk_words(chunks: DataFrame) -> DataFrame:
     """``(chunk, word, n)``: every word of a chunk, the end included, with its count in training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-        current = None
-
-        def closed() -> Iterator[pa.RecordBatch]:
-            words = list(counts)
-            for at in range(0, len(words), 1 << 16):
-                some = words[at : at + (1 << 16)]
-                columns = [
-                    pa.array(np.full(len(some), current, np.int64)),
-                    pa.array(some, pa.binary()).cast(pa.string()),
-                    pa.array([counts[w] for w in some], pa.int64()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["chunk", "word", "n"])
-            counts.clear()
-
         for batch in batches:
-            numbers = batch.column(0).to_numpy()
-            trains = batch.column(1).to_pylist()
-            for first, last in slices(batch.column(2)):
-                texts = batch.column(2)[first:last].to_pylist()
-                for chunk, train, text in zip(numbers[first:last].tolist(), trains[first:last], texts, strict=True):
-                    if chunk != current:
-                        if current is not None:
-                            yield from closed()
-                        current = chunk
+            for row in batch.to_pylist():
+                counts: Counter[bytes] = Counter()
+                for train, text in zip(row["trains"], _texts(row["sizes"], row["texts"]), strict=True):
                     words = [*text.lower().split(), cm.END]
                     if train:
                         counts.update(words)
                     else:
                         for word in set(words):
                             counts.setdefault(word, 0)
-        if current is not None:
-            yield from closed()
-
-    rows = chunks.select("chunk", "trains", "text").mapInArrow(trimmed(run), "chunk bigint, word string, n bigint")
+                words = list(counts)
+                for at in range(0, len(words), 1 << 16):
+                    some = words[at : at + (1 << 16)]
+                    columns = [
+                        pa.array(np.full(len(some), row["chunk"], np.int32)),
+                        pa.array(some, pa.binary()).cast(pa.string()),
+                        pa.array([counts[w] for w in some], pa.int64()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["chunk", "word", "n"])
+
+    rows = chunks.select("chunk", "trains", "sizes", "texts").mapInArrow(trimmed(run), "chunk int, word string, n bigint")
     return stored(rows, "lm-chunk-words", "zstd")
 
 
+_RANGE = "part bigint, words array<binary>, counts array<bigint>, held array<int>, chunks array<int>"
+_RANGE_TYPES = [pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+
+
 def _ranges(words: DataFrame, scoring: Scoring) -> DataFrame:
-    """``(part, word, c)``: every distinct word with its training count, sorted into ranges of the words as coded."""
-    counts = words.groupBy("word").agg(F.sum("n").alias("c"))
-    counts = stored(counts, "lm-word-counts", "zstd")
-    parts = max(1, -(-counts.count() // scoring.range_words))
+    """A row per range of the vocabulary, sorted as the words are coded: the words, their training counts, and the
+    chunks that hold them (``held`` chunks of the first word, then those of the second, and so on)."""
     coded = F.when(F.col("word") == cm.END.decode(), F.col("word")).otherwise(F.concat("word", F.lit(" ")))
-    ranged = counts.withColumn("_coded", coded).repartitionByRange(parts, "_coded").sortWithinPartitions("_coded")
-    return stored(ranged.select(F.spark_partition_id().alias("part"), "word", "c"), "lm-vocabulary", "zstd")
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = words.withColumn("_coded", coded).repartitionByRange(tasks, "_coded").sortWithinPartitions("_coded")
+    most = scoring.range_words
+    names = ["part", "words", "counts", "held", "chunks"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() << 32
+        own: list[bytes] = []
+        counts: list[int] = []
+        held: list[int] = []
+        chunks: list[int] = []
+
+        def closed() -> pa.RecordBatch:
+            values = part, own, counts, held, chunks
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _RANGE_TYPES, strict=True)], names)
+
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            for chunk, word, n in rows:
+                if not own or own[-1] != word:
+                    if len(own) >= most:
+                        yield closed()
+                        part, own, counts, held, chunks = part + 1, [], [], [], []
+                    own.append(word)
+                    counts.append(0)
+                    held.append(0)
+                counts[-1] += n
+                held[-1] += 1
+                chunks.append(chunk)
+        if own:
+            yield closed()
+
+    return stored(ranged.select("chunk", "word", "n").mapInArrow(trimmed(run), _RANGE), "lm-vocabulary", "zstd")
+
+
+def _of_ranges(vocabulary: DataFrame, make: Callable[[dict], list], schema: str, names: list[str], types: list) -> DataFrame:
+    """What ``make`` gives for each range, as columns of the given names and types."""
 
-def _sorted_words(table: pa.Table) -> tuple[list[bytes], np.ndarray]:
-    words = table.column("word").cast(pa.binary()).to_pylist()
-    counts = table.column("c").to_numpy()
-    order = sorted(range(len(words)), key=lambda k: words[k] if words[k] == cm.END else words[k] + b" ")
-    return [words[k] for k in order], counts[order]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                columns = [pa.array(c, t) for c, t in zip(make(row), types, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return vocabulary.mapInArrow(trimmed(run), schema)
 
 
 def _pair_counts(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """``context_mixing.pair_counts`` of all training words. At most a row for each three bytes, far fewer in text."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, last in slices(batch.column(0), 1 << 20):
-                own = batch.slice(first, last - first)
-                keys, sums = cm.pair_counts(own.column(0).to_pylist(), own.column(1).to_numpy())
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], ["key", "n"])
+    def make(row: dict) -> list:
+        counts = np.array(row["counts"], np.int64)
+        used = np.flatnonzero(counts)
+        return list(cm.pair_counts([row["words"][k] for k in used.tolist()], counts[used]))
 
-    rows = vocabulary.where("c > 0").select(F.col("word").cast("binary").alias("word"), "c")
-    found = rows.mapInArrow(trimmed(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    ranges = vocabulary.select("words", "counts")
+    found = _of_ranges(ranges, make, "key bigint, n bigint", ["key", "n"], [pa.int64(), pa.int64()])
+    found = found.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     return found.column("key").to_numpy(), found.column("n").to_numpy()
 
 
@@ -138,16 +197,13 @@ def _shared_beginnings(vocabulary: DataFrame) -> cm.Shared:
     """The counts of beginnings that several ranges have: of each range's first and last word, so a few hundred rows
     for each range."""
 
-    def run(table: pa.Table) -> pa.Table:
-        words, counts = _sorted_words(table)
-        rows = list(cm.border_counts(words, counts))
-        part = table.column("part")[0].as_py()
-        columns = [pa.array([part] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.binary())]
-        columns += [pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2)]
-        return pa.Table.from_arrays(columns, ["part", "beginning", "byte", "n"])
+    def make(row: dict) -> list:
+        rows = list(cm.border_counts(row["words"], np.array(row["counts"], np.int64)))
+        return [[row["part"]] * len(rows), *([r[k] for r in rows] for k in range(3))]
 
-    borders = vocabulary.groupBy("part").applyInArrow(run, "part int, beginning binary, byte bigint, n bigint")
-    borders = stored(borders, "lm-borders")
+    schema, names = "part bigint, beginning binary, byte bigint, n bigint", ["part", "beginning", "byte", "n"]
+    ranges = vocabulary.select("part", "words", "counts")
+    borders = stored(_of_ranges(ranges, make, schema, names, [pa.int64(), pa.binary(), pa.int64(), pa.int64()]), "lm-borders")
     several = borders.groupBy(F.col("beginning").alias("_b")).agg(F.count_distinct("part").alias("_parts")).where("_parts > 1")
     both = borders.join(several, F.col("beginning") == F.col("_b")).groupBy("beginning", "byte").agg(F.sum("n").alias("n"))
     shared: cm.Shared = {}
@@ -156,39 +212,69 @@ def _shared_beginnings(vocabulary: DataFrame) -> cm.Shared:
     return shared
 
 
+def _dealt(words: list[bytes], counts: np.ndarray, levels: np.ndarray, ends: np.ndarray, row: dict) -> tuple[list, list]:
+    """The chunks of a range and, for each, what is known of its words, packed: their counts, levels and spellings."""
+    chunks = np.array(row["chunks"], np.int64)
+    word = np.repeat(np.arange(len(words)), row["held"])
+    order = np.argsort(chunks, kind="stable")
+    numbers, begins = np.unique(chunks[order], return_index=True)
+    starts = np.concatenate([[0], ends[:-1]])
+    packed = []
+    for first, last in zip(begins.tolist(), [*begins[1:].tolist(), len(order)], strict=True):
+        own = word[order[first:last]]
+        cut = levels[cm.ranges(starts[own], (ends - starts)[own])]
+        heads = np.stack([counts[own], (ends - starts)[own]]).astype("<i8")
+        spelled = b" ".join([words[k] for k in own.tolist()])
+        packed.append(_packed(len(own).to_bytes(8, "little") + heads.tobytes() + cut.tobytes() + spelled))
+    return numbers.tolist(), packed
+
+
+def _known(packed: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words, counts and levels of a chunk, from what its ranges packed."""
+    words: list[bytes] = []
+    counts, levels = [], []
+    for piece in packed:
+        raw = _unpacked(piece)
+        n = int.from_bytes(raw[:8], "little")
+        heads = np.frombuffer(raw, "<i8", 2 * n, 8).reshape(2, n)
+        at = 8 + 16 * n
+        size = int(heads[1].sum())
+        words += raw[at + size :].split(b" ")
+        counts.append(heads[0])
+        levels.append(np.frombuffer(raw, np.uint8, size, at))
+    return words, np.concatenate(counts), np.concatenate(levels)
+
+
 def learned(vocabulary: DataFrame) -> tuple[cm.Model, DataFrame]:
-    """The model of the words ``(part, word, c)``, and ``(word, c, levels)``: every word with its own part of it."""
+    """The model of the ranges of words, and ``(chunk, known)``: for every chunk and range, what ``_known`` unpacks."""
     spark = vocabulary.sparkSession
     keys, sums = _pair_counts(vocabulary)
     alphabet = cm.Alphabet.of(np.bincount(keys & 255, sums, 256).astype(np.int64))
     pairs = cm.Pairs.of(keys, sums, alphabet)
     known = spark.sparkContext.broadcast((alphabet, pairs, _shared_beginnings(vocabulary)))
 
-    def run(table: pa.Table) -> pa.Table:
+    def make(row: dict) -> list:
         alphabet, pairs, shared = known.value
-        words, counts = _sorted_words(table)
+        words, counts = row["words"], np.array(row["counts"], np.int64)
         levels, without = cm.word_bytes(words, counts, alphabet, shared)
-        codes, ends = cm.decision_codes(words, without, alphabet, pairs)
-        tally = np.bincount(codes, np.repeat(counts, np.diff(ends, prepend=0)), cm.CODES).astype(np.int64)
-        used = np.flatnonzero(tally)
-        raw, begins = levels.tobytes(), [0, *ends.tolist()]
-        cut = [raw[a:b] for a, b in zip(begins, begins[1:], strict=False)]
-        # The tally of codes goes along as rows without a word.
-        columns = [
-            pa.array([*words, *[None] * len(used)], pa.binary()).cast(pa.string()),
-            pa.array([*counts.tolist(), *tally[used].tolist()], pa.int64()),
-            pa.array([*cut, *[None] * len(used)], pa.binary()),
-            pa.array([*[None] * len(words), *used.tolist()], pa.int32()),
-        ]
-        return pa.Table.from_arrays(columns, ["word", "c", "levels", "code"])
-
-    made = vocabulary.groupBy("part").applyInArrow(run, "word string, c bigint, levels binary, code int")
-    made = stored(made, "lm-word-levels", "zstd")
+        tally = np.zeros(cm.CODES)
+        for first, last, codes, ends in cm.codes_in_slices(words, without, alphabet, pairs):
+            tally += np.bincount(codes, np.repeat(counts[first:last], np.diff(ends, prepend=0)), cm.CODES)
+        chunks, packed = _dealt(words, counts, levels, cm.level_ends(words, alphabet), row)
+        # The tally of codes goes along as rows without a chunk.
+        used = np.flatnonzero(tally).tolist()
+        none, no = [None] * len(used), [None] * len(chunks)
+        return [[*chunks, *none], [*packed, *none], [*no, *used], [*no, *tally[used].astype(np.int64).tolist()]]
+
+    names = ["chunk", "known", "code", "n"]
+    types = [pa.int32(), pa.binary(), pa.int32(), pa.int64()]
+    made = _of_ranges(vocabulary, make, "chunk int, known binary, code int, n bigint", names, types)
+    made = stored(made, "lm-known")
     tally = np.zeros(cm.CODES, np.int64)
-    for row in made.where("code IS NOT NULL").groupBy("code").agg(F.sum("c").alias("n")).collect():
+    for row in made.where("code IS NOT NULL").groupBy("code").agg(F.sum("n").alias("n")).collect():
         tally[row.code] = row.n
     known.unpersist()
-    return cm.Model(alphabet, pairs, cm.fitted(tally)), made.where("code IS NULL").select("word", "c", "levels")
+    return cm.Model(alphabet, pairs, cm.fitted(tally)), made.where("code IS NULL").select("chunk", "known")
 
 
 def scored(
@@ -205,31 +291,32 @@ def scored(
     chunks = _chunked(docs, scoring, text, doc_id, trains)
     words = _chunk_words(chunks)
     vocabulary = _ranges(words, scoring)
-    sums = vocabulary.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    counted = vocabulary.select(F.explode("counts").alias("c")).where("c > 0")
+    sums = counted.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, whole = sums.n, sums.n + scoring.smoothing * (sums.v + 1)
     model, known = learned(vocabulary)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    own = words.select("chunk", "word").join(known, "word").select("chunk", "word", "c", "levels")
     smoothing = scoring.smoothing
     names = ["doc_id", "trains", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
-    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        words = known.column("word").cast(pa.binary()).to_pylist()
-        counts = known.column("c").to_numpy()
+    def run(chunk: pa.Table, known: pa.Table) -> pa.Table:
+        words, counts, levels = _known(known.column("known").to_pylist())
         logs = np.log10((counts + smoothing) / whole) if tokens else np.zeros(len(words))
-        levels = np.frombuffer(b"".join(known.column("levels").to_pylist()), np.uint8)
         scorer = cm.Scorer(words, levels, shared.value)
         number_of = {word: k for k, word in enumerate(words)}.__getitem__
-        lines = texts.column("text").to_pylist()
+        row = chunk.to_pylist()[0]
+        end = number_of(cm.END)
         # Numbers take little room; the texts' words are not held all at once.
-        documents = [np.array([*map(number_of, line.lower().split()), number_of(cm.END)], np.int32) for line in lines]
+        documents = [
+            np.array([*map(number_of, text.lower().split()), end], np.int32) for text in _texts(row["sizes"], row["texts"])
+        ]
         score = -scorer.bits(documents) * log10(2)
         columns = [
-            texts.column("doc_id").combine_chunks(),
-            texts.column("trains").combine_chunks(),
+            pa.array(row["doc_ids"], pa.int64()),
+            pa.array(row["trains"], pa.bool_()),
             pa.array([len(d) for d in documents], pa.int64()),
             pa.array([int((counts[d] > 0).sum()) for d in documents], pa.int64()),
-            pa.array([tokens] * len(lines), pa.int64()),
+            pa.array([tokens] * len(documents), pa.int64()),
             pa.array([float(logs[d].sum()) for d in documents], pa.float64()),
             pa.array(score, pa.float64()),
         ]
@@ -239,5 +326,4 @@ def scored(
         "doc_id bigint, trains boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double"
     )
-    texts = chunks.select("chunk", "doc_id", "trains", "text")
-    return texts.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(run, schema)
+    return chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, schema)

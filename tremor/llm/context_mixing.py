@@ -41,13 +41,15 @@ GATES = 4 * 2 * len(MATCHES)
 #: Weights of the predictors before fitting; the match keeps its own until a document moves it.
 FLAT = (0.5, 0.5, 0.7)
 HOLD = 4.0
-BLOCK, RATE, MOST_STEP, MOST_WEIGHT = 64, 0.02, 0.25, 8.0
+BLOCK, RATE, MOST_STEP, MOST_WEIGHT = 128, 0.02, 0.25, 8.0
 MOST_ODDS = 20.0
 #: Documents scored side by side have about this many decisions together.
 BATCH = 1 << 22
 #: Numbers that ``decision_codes`` gives.
 CODES = 1 << 14
 _PREFIX = 16
+#: The code of a decision of which neither the word nor the pair knows anything.
+_NOTHING = WORD_LEVELS | PAIR_LEVELS << 8
 #: Words whose decisions are worked out at a time.
 SLICE = 1 << 14
 
@@ -448,33 +450,48 @@ class Scorer:
 
 def _cost(codes: np.ndarray, match: np.ndarray, lengths: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Nats of each lane; the lanes lie one after another, the longest first."""
+    lanes = len(lengths)
+    counts = -(-lengths // BLOCK)
+    # Lanes are filled up to whole blocks by decisions of which nothing is known, whose cost is taken off again.
+    begins = np.cumsum(counts * BLOCK) - counts * BLOCK
+    places = ranges(begins, lengths)
+    total = int(counts.sum()) * BLOCK
+    own_codes = np.full(total, _NOTHING, np.uint16)
+    own_codes[places] = codes
+    own_match = np.zeros(total, np.int8)
+    own_match[places] = match
+    # First the first blocks of all lanes, then the second ones of those that have any, and so on.
+    lane = np.repeat(np.arange(lanes), counts)
+    number = ranges(np.zeros(lanes, np.int64), counts)
+    order = np.argsort(number, kind="stable")
+    lane = lane[order]
+    own_codes, own_match = (v.reshape(-1, BLOCK)[order] for v in (own_codes, own_match))
     word_of, pair_of, gate_of = _tables()
     kind_of = np.zeros(2 * MATCHES[-1] + 1, np.int64)
     for kind, strength in enumerate(MATCHES):
         kind_of[[MATCHES[-1] + strength, MATCHES[-1] - strength]] = kind * (GATES // len(MATCHES))
-    lanes, predictors = len(lengths), weights.shape[1]
-    own = np.tile(weights.T.reshape(predictors, 1, GATES), (1, lanes, 1)).astype(np.float32)
-    begins = np.cumsum(lengths) - lengths
-    cost = np.zeros(lanes)
-    for at in range(0, int(lengths[0]) if lanes else 0, BLOCK):
-        n = int(np.searchsorted(-lengths, -at, "left"))
-        span = int(min(BLOCK, lengths[0] - at))
-        places = begins[:n, None] + np.arange(at, at + span)
-        whole = int(np.searchsorted(-lengths[:n], -(at + span), "right"))
-        inside = np.ones((n, span), bool)
-        inside[whole:] = np.arange(at, at + span) < lengths[whole:n, None]
-        places[~inside] = 0
-        code, found = codes[places], match[places]
-        slot = gate_of[code] + kind_of[found + MATCHES[-1]] + GATES * np.arange(n)[:, None]
-        x = word_of[code], pair_of[code], found.astype(np.float32)
-        moving = own[:, :n].reshape(predictors, -1)
-        z = sum(v * w[slot] for v, w in zip(x, moving, strict=True))
-        z = np.clip(z, -MOST_ODDS, MOST_ODDS)
-        miss = 1 / (1 + np.exp(z))
-        miss[~inside] = 0
-        # The cost of a decision that was predicted with chance 1 - miss.
-        cost[:n] -= np.log1p(-miss).sum(axis=1, dtype=np.float64)
-        for v, w in zip(x, own, strict=True):
-            pull = np.bincount(slot.ravel(), (miss * v).ravel(), n * GATES).reshape(n, GATES)
-            w[:n] = np.clip(w[:n] + np.clip(RATE * pull, -MOST_STEP, MOST_STEP), -MOST_WEIGHT, MOST_WEIGHT)
+    slot = gate_of[own_codes] + kind_of[own_match + MATCHES[-1]] + (GATES * lane)[:, None]
+    inputs = word_of[own_codes], pair_of[own_codes], own_match.astype(np.float32)
+    moving = [np.tile(w, lanes) for w in weights.T.astype(np.float32)]
+    cost = -(counts * BLOCK - lengths) * np.log(2)
+    active, first = -np.sort(-counts), 0
+    for step in range(int(active[0]) if lanes else 0):
+        n = int(np.searchsorted(-active, -step, "left"))
+        own = slice(first, first + n)
+        first += n
+        at = slot[own]
+        z = inputs[0][own] * moving[0][at]
+        for x, w in zip(inputs[1:], moving[1:], strict=True):
+            z += x[own] * w[at]
+        np.minimum(np.maximum(z, -MOST_ODDS, out=z), MOST_ODDS, out=z)
+        odds = np.exp(z, out=z)
+        miss = 1 / (1 + odds)
+        chance = (odds * miss).reshape(n, -1, 8)
+        cost[:n] -= np.log(np.multiply.reduce(chance, axis=2, dtype=np.float64)).sum(axis=1)
+        at = at.ravel()
+        for x, w in zip(inputs, moving, strict=True):
+            pull = np.bincount(at, (miss * x[own]).ravel(), n * GATES)
+            w = w[: n * GATES]
+            w += np.minimum(np.maximum(RATE * pull, -MOST_STEP), MOST_STEP)
+            np.minimum(np.maximum(w, -MOST_WEIGHT, out=w), MOST_WEIGHT, out=w)
     return cost

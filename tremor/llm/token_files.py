@@ -67,7 +67,7 @@ class LibraryEncoder:
     last time goes.
     """
 
-    def __init__(self, path: str, memo_bytes: int = 64 << 20):
+    def __init__(self, path: str, memo_bytes: int = 128 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is the only one it has
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()

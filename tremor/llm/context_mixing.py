@@ -41,15 +41,15 @@ GATES = 4 * 2 * len(MATCHES)
 #: Weights of the predictors before fitting; the match keeps its own until a document moves it.
 FLAT = (0.5, 0.5, 0.7)
 HOLD = 4.0
-BLOCK, RATE, MOST_STEP, MOST_WEIGHT = 128, 0.02, 0.25, 8.0
+BLOCK, RATE, MOST_STEP, MOST_WEIGHT = 256, 0.02, 0.25, 8.0
 MOST_ODDS = 20.0
 #: Documents scored side by side have about this many decisions together.
 BATCH = 1 << 22
 #: Numbers that ``decision_codes`` gives.
 CODES = 1 << 14
 _PREFIX = 16
-#: The code of a decision of which neither the word nor the pair knows anything.
-_NOTHING = WORD_LEVELS | PAIR_LEVELS << 8
+#: The code, as bytes, of a decision of which neither the word nor the pair knows anything.
+_NOTHING = (WORD_LEVELS | PAIR_LEVELS << 8).to_bytes(2, "little")
 #: Words whose decisions are worked out at a time.
 SLICE = 1 << 14
 
@@ -263,13 +263,15 @@ def decision_codes(words: list[bytes], word_levels: np.ndarray, alphabet: Alphab
     spelled = Spelled.of(words)
     size = np.diff(alphabet.starts)[spelled.raw]
     decision = ranges(alphabet.starts[spelled.raw], size)
-    row = np.repeat(pairs.row_of[spelled.pairs()], size)
-    level = pairs.levels[row, alphabet.nodes[decision]] * alphabet.signs[decision] + PAIR_LEVELS
+    row = np.repeat(pairs.row_of[spelled.pairs()] * np.int32(pairs.levels.shape[1]), size)
+    level = pairs.levels.ravel()[row + alphabet.nodes.astype(np.int32)[decision]]
+    level = level * alphabet.signs.astype(np.int8)[decision] + np.int8(PAIR_LEVELS)
     ends = np.cumsum(size)
-    first = np.zeros(len(decision), np.int64)
-    first[ends - size] = 1
-    codes = word_levels.astype(np.int64) | level << 8 | first << 13
-    return codes.astype(np.uint16), ends[spelled.begins + spelled.sizes - 1]
+    codes = level.astype(np.uint16)
+    codes <<= 8
+    codes |= word_levels
+    codes[ends - size] |= np.uint16(1 << 13)
+    return codes, ends[spelled.begins + spelled.sizes - 1]
 
 
 def level_ends(words: list[bytes], alphabet: Alphabet) -> np.ndarray:
@@ -405,19 +407,29 @@ class Scorer:
 
     def _batch(self, documents: list[np.ndarray], lengths: np.ndarray) -> np.ndarray:
         words = np.concatenate(documents)
-        lane = np.repeat(np.arange(len(documents)), [len(d) for d in documents])
-        codes = np.frombuffer(b"".join(map(self._pieces.__getitem__, words.tolist())), np.uint16)
-        match = self._matched(words, lane, len(codes))
+        counts = np.array([len(d) for d in documents])
+        lane = np.repeat(np.arange(len(documents)), counts)
+        # Lanes are filled up to whole blocks by decisions of which nothing is known.
+        spare = -lengths % BLOCK
+        pieces, parts = self._pieces, []
+        for document, more in zip(documents, spare.tolist(), strict=True):
+            parts += map(pieces.__getitem__, document.tolist())
+            parts.append(_NOTHING * more)
+        codes = np.frombuffer(b"".join(parts), np.uint16)
+        sizes = self._sizes[words]
+        ends = np.cumsum(counts) - 1
+        padded = sizes.copy()
+        padded[ends] += spare
+        match = self._matched(words, lane, sizes, np.cumsum(padded) - padded, len(codes))
         return _cost(codes, match, lengths, self._weights) / np.log(2)
 
-    def _matched(self, words: np.ndarray, lane: np.ndarray, total: int) -> np.ndarray:
-        """What the match says of each decision: 0, or its strength, negative where it is wrong."""
+    def _matched(self, words: np.ndarray, lane: np.ndarray, size: np.ndarray, begin: np.ndarray, total: int) -> np.ndarray:
+        """What the match says of each decision (a word's ``size`` from ``begin`` on): 0, or its strength, negative
+        where it is wrong."""
         expected, kind = _expected(words + 1, lane)
         at = np.flatnonzero(kind)
         mine, other, strength = words[at], expected[at] - 1, np.array(MATCHES)[kind[at]]
-        size = self._sizes[words]
-        begin = (np.cumsum(size) - size)[at]
-        size = size[at]
+        begin, size = begin[at], size[at]
         shared = self._shared(mine, other, size)
         wrong = shared < size
         delta = np.zeros(total + 1, np.int8)
@@ -449,37 +461,32 @@ class Scorer:
 
 
 def _cost(codes: np.ndarray, match: np.ndarray, lengths: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Nats of each lane; the lanes lie one after another, the longest first."""
+    """Nats of each lane; the lanes lie one after another, each filled up to whole blocks, the longest first."""
     lanes = len(lengths)
     counts = -(-lengths // BLOCK)
-    # Lanes are filled up to whole blocks by decisions of which nothing is known, whose cost is taken off again.
-    begins = np.cumsum(counts * BLOCK) - counts * BLOCK
-    places = ranges(begins, lengths)
-    total = int(counts.sum()) * BLOCK
-    own_codes = np.full(total, _NOTHING, np.uint16)
-    own_codes[places] = codes
-    own_match = np.zeros(total, np.int8)
-    own_match[places] = match
     # First the first blocks of all lanes, then the second ones of those that have any, and so on.
     lane = np.repeat(np.arange(lanes), counts)
     number = ranges(np.zeros(lanes, np.int64), counts)
     order = np.argsort(number, kind="stable")
     lane = lane[order]
-    own_codes, own_match = (v.reshape(-1, BLOCK)[order] for v in (own_codes, own_match))
+    codes, match = (v.reshape(-1, BLOCK)[order] for v in (codes, match))
     word_of, pair_of, gate_of = _tables()
-    kind_of = np.zeros(2 * MATCHES[-1] + 1, np.int64)
+    kind_of = np.zeros(2 * MATCHES[-1] + 1, np.int32)
     for kind, strength in enumerate(MATCHES):
         kind_of[[MATCHES[-1] + strength, MATCHES[-1] - strength]] = kind * (GATES // len(MATCHES))
-    slot = gate_of[own_codes] + kind_of[own_match + MATCHES[-1]] + (GATES * lane)[:, None]
-    inputs = word_of[own_codes], pair_of[own_codes], own_match.astype(np.float32)
+    slot = gate_of.astype(np.int32)[codes]
+    slot += kind_of[match + MATCHES[-1]]
+    slot += (GATES * lane).astype(np.int32)[:, None]
+    inputs = word_of[codes], pair_of[codes], match.astype(np.float32)
     moving = [np.tile(w, lanes) for w in weights.T.astype(np.float32)]
+    # The spare decisions are even odds, which is taken off again.
     cost = -(counts * BLOCK - lengths) * np.log(2)
     active, first = -np.sort(-counts), 0
     for step in range(int(active[0]) if lanes else 0):
         n = int(np.searchsorted(-active, -step, "left"))
         own = slice(first, first + n)
         first += n
-        at = slot[own]
+        at = slot[own].astype(np.intp)
         z = inputs[0][own] * moving[0][at]
         for x, w in zip(inputs[1:], moving[1:], strict=True):
             z += x[own] * w[at]

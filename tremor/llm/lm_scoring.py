@@ -22,6 +22,7 @@ from math import log10
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ class Scoring:
     closed. ``range_words``: about how many distinct words a range of the vocabulary has."""
 
     smoothing: float = 0.1
-    chunk_bytes: int = 12 << 20
+    chunk_bytes: int = 14 << 20
     range_words: int = 150_000
 
 
@@ -141,27 +142,34 @@ def _ranges(words: DataFrame, scoring: Scoring) -> DataFrame:
         own: list[bytes] = []
         counts: list[int] = []
         held: list[int] = []
-        chunks: list[int] = []
+        chunks: list[np.ndarray] = []
 
-        def closed() -> pa.RecordBatch:
-            values = part, own, counts, held, chunks
+        def closed(number: int) -> pa.RecordBatch:
+            values = part, own[:number], counts[:number], held[:number], np.concatenate(chunks)[: sum(held[:number])]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _RANGE_TYPES, strict=True)], names)
 
         for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True)
-            for chunk, word, n in rows:
-                if not own or own[-1] != word:
-                    if len(own) >= most:
-                        yield closed()
-                        part, own, counts, held, chunks = part + 1, [], [], [], []
-                    own.append(word)
-                    counts.append(0)
-                    held.append(0)
-                counts[-1] += n
-                held[-1] += 1
-                chunks.append(chunk)
+            words = batch.column(1).cast(pa.binary())
+            fresh = pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)
+            starts = np.concatenate([[0], np.flatnonzero(fresh) + 1])
+            new = words.take(pa.array(starts)).to_pylist()
+            sums = np.add.reduceat(batch.column(2).to_numpy(), starts).tolist()
+            sizes = np.diff(starts, append=len(words)).tolist()
+            if own and own[-1] == new[0]:
+                counts[-1] += sums[0]
+                held[-1] += sizes[0]
+                new, sums, sizes = new[1:], sums[1:], sizes[1:]
+            own += new
+            counts += sums
+            held += sizes
+            chunks.append(batch.column(0).to_numpy())
+            # The last word may go on in the next batch.
+            while len(own) > most:
+                yield closed(most)
+                rest = np.concatenate(chunks)[sum(held[:most]) :]
+                part, own, counts, held, chunks = part + 1, own[most:], counts[most:], held[most:], [rest]
         if own:
-            yield closed()
+            yield closed(len(own))
 
     return stored(ranged.select("chunk", "word", "n").mapInArrow(trimmed(run), _RANGE), "lm-vocabulary", "zstd")
 

@@ -9,7 +9,8 @@ are index arithmetic. A block's root is a leaf of a block of the next tier, unti
 
 A folder holds Parquet tables: ``forest/<tier>`` and ``crown/<tier>`` with the blocks (tree, block, n,
 levels, nodes, root, alone; in the forest's first tier also doc_ids and claims), ``trees`` with the trees'
-roots in their order, and ``shape`` with the numbers of tiers. A tree is named by ``tree_name`` of its group, so that NULL differs from every text.
+roots in their order, and ``shape`` with the numbers of tiers. A tree is named by ``tree_name`` of its group,
+so that NULL differs from every text.
 """
 
 from __future__ import annotations

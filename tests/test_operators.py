@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tremor.operators import bags, grouping, joins, matching, ranking, windows
+from tremor.operators import bags, counting, grouping, joins, matching, ranking, windows
 from tremor.sources.cities import CITIES, cities
 from tremor.sources.tables import number_range
 
@@ -283,3 +283,62 @@ def test_points_in_boxes_on_cell_borders(spark):
     assert Counter((r.p, r.b) for r in found.collect()) == expected and expected
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_counts_in_boxes_like_a_search(spark, monkeypatch):
+    monkeypatch.setattr(counting, "STRIP_POINTS", 5)
+    monkeypatch.setattr(counting, "STRIPS", 9)
+    monkeypatch.setattr(counting, "STRIP_CORNERS", 20)  # strips are shared by tasks
+    rng = random.Random(11)
+    place = lambda: rng.choice([None, -0.0, 0.0, 1.0, 2.0, rng.uniform(-3, 3), rng.uniform(-3, 3)])
+    layer = lambda: (rng.choice("ab"), rng.choice([None, "t", "u"]))
+    points = [(*layer(), place(), place(), rng.randint(1, 4)) for _ in range(300)]
+    boxes = [(k // 2, *layer(), place(), place(), place(), place(), rng.choice([1, 1, -1])) for k in range(160)]
+    found = counting.counts_in_boxes(
+        spark.createDataFrame(points, "l string, m string, lon double, lat double, n int"),
+        spark.createDataFrame(boxes, "box_id int, l string, m string, west double, south double, east double, north double, sign int"),
+        ["l", "m"],
+    )
+    expected = Counter()
+    for box, *own, west, south, east, north, sign in boxes:
+        for *at, x, y, n in points:
+            if at == own and None not in (x, y, west, south, east, north) and west <= x <= east and south <= y <= north:
+                expected[box] += sign * n
+    assert {r.box_id: r.n for r in found.collect()} == {k: n for k, n in expected.items() if n}
+
+
+def test_subscription_counts_equal_the_pairs(spark):
+    rng = random.Random(12)
+    words = ["sel", "deprem", "yangın", "de", "", None]
+    side = lambda: rng.choice([None, *map(float, range(-4, 5))])
+    messages = spark.createDataFrame(
+        [(k // 2, rng.choice(["tr", "en", None]), side(), side(), rng.choice([None, "deprem sel", "yangın de", "x"])) for k in range(240)],
+        "key int, lang string, lon double, lat double, text string",
+    )
+    subscriptions = spark.createDataFrame(
+        [(k, rng.choice(["tr", "en", None]), side(), side(), side(), side(), rng.choice(words)) for k in range(150)],
+        "sub_id int, language string, west double, south double, east double, north double, term string",
+    )
+    pairs = matching.subscription_matches(messages, subscriptions)
+    found = matching.subscription_matches(messages, subscriptions, counted=True)
+    expected = Counter()
+    for m in messages.collect():
+        for s in subscriptions.collect():
+            box = None not in (m.lon, m.lat, s.west, s.south, s.east, s.north)
+            box = box and s.west <= m.lon <= s.east and s.south <= m.lat <= s.north
+            if m.lang and m.lang == s.language and (box or (s.term and m.text and s.term in m.text)):
+                expected[s.sub_id] += 1
+    assert Counter(r.sub_id for r in pairs.collect()) == expected
+    assert {r.sub_id: r.n for r in found.collect()} == expected
+
+
+def test_subscription_counts_make_no_pairs(spark):
+    """Two thousand messages that two thousand subscriptions want make four million pairs, but few rows."""
+    messages = spark.range(2000).selectExpr("id AS key", "'tr' AS lang", "id * 0.001D AS lon", "id * 0.002D AS lat", "concat('deprem ', id) AS text")
+    subscriptions = spark.range(2000).selectExpr(
+        "id AS sub_id", "'tr' AS language", "-1.0D AS west", "-1.0D AS south", "1.0D AS east", "9.0D AS north", "'depr' || if(id % 2 = 0, 'em', 'e') AS term"
+    )
+    counts = matching.subscription_matches(messages, subscriptions, counted=True)
+    assert counts.groupBy("n").count().collect() == [(2000, 2000)]
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan

@@ -783,5 +783,4 @@ def join_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
         term.alias("term"),
     )
     messages = msg.parsed_messages(feeds.message_lines(spark, sf_dir)).withColumnRenamed("id", "key")
-    found = matching.subscription_matches(messages, subscriptions)
-    return found.groupBy("sub_id").agg(F.count(F.lit(1)).alias("n"))
+    return matching.subscription_matches(messages, subscriptions, counted=True)

@@ -21,7 +21,17 @@ from pyspark.sql import functions as F
 
 from tremor.llm.bpe import coded
 from tremor.llm.common import documents, numbered_columns, prepared
-from tremor.llm.language_id import UNDETERMINED, Limits, Ppm, identified, learn, plausible, rate_limits, sampled
+from tremor.llm.language_id import (
+    UNDETERMINED,
+    Limits,
+    Ppm,
+    added_up,
+    gram_counts,
+    identified,
+    learn_counts,
+    limits_of_all,
+    plausible,
+)
 from tremor.llm.mixing import Mix, mixed_documents
 from tremor.llm.near_dups import first_of_each_group
 from tremor.llm.registry import registered
@@ -36,7 +46,7 @@ ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the labelled languages; the labels only teach, they decide nothing.
+    """Documents in one of the labelled languages; all labelled documents teach, but their labels decide nothing.
 
     The score compares the languages with each other only. A text that costs more bits per byte than
     the labelled documents of its language do is in another language, or noise.
@@ -46,11 +56,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     prepared(spark)
     ppm, limits = Ppm(), Limits()
-    samples = sampled(docs, ppm)
-    most = rate_limits(samples, ppm, limits)
+    halves = gram_counts(docs, ppm)
+    most = limits_of_all(docs, halves, ppm, limits)
     rows = numbered_columns(docs)
     text = f"c{docs.columns.index('text')}"
-    found = identified(rows, learn(samples, ppm), text)
+    found = identified(rows, learn_counts(added_up(halves), ppm), text)
     sure = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
     sure = sure & plausible(most, limits.lengths, text)
     return found.where(sure).select(*rows.columns).toDF(*docs.columns)

@@ -150,3 +150,45 @@ def test_limits_without_enough_documents():
     texts = [b"the cat sat on mat %d" % k for k in range(8)]
     own = language_id.rate_limits({"aa": texts, "bb": [b"le chat"]}, Ppm(), limits)
     assert own["aa"] == sorted(own["aa"], reverse=True) and own["bb"] == pytest.approx(own["aa"], abs=1)
+
+
+def test_all_labelled_texts_are_counted(spark, monkeypatch):
+    """Counts against plain ones: every text, in its half; nothing is drawn, neither for the trees nor for the limits."""
+    monkeypatch.setattr(language_id, "sampled", lambda *_: pytest.fail("a sample"))
+    rng = random.Random(5)
+    texts = [(rng.choice("ab"), "".join(rng.choice("xyzÜ E") for _ in range(rng.randrange(30)))) for _ in range(700)]
+    docs = docs_frame(spark, [(k, t) for k, (_, t) in enumerate(texts)], lang=[lang for lang, _ in texts]).repartition(5)
+    ppm = Ppm(least=1, least_share=0.0)
+    halves = language_id.gram_counts(docs, ppm)
+    for half in (0, 1):
+        for lang in "ab":
+            lines = [b"   " + t.encode().lower() + b"   " for own, t in texts if own == lang and zlib.crc32(t.encode()) % 2 == half]
+            for k, (codes, counts) in enumerate(halves[half][lang]):
+                slow = Counter(line[i : i + k + 1] for line in lines for i in range(len(line) - 3))
+                assert {int(c).to_bytes(k + 1, "big"): int(n) for c, n in zip(codes, counts, strict=True)} == slow
+    whole = language_id.learn_counts(language_id.added_up(halves), ppm)
+    # The joined texts of a language end without the blanks that every text is followed by here.
+    plain = language_id.learn({lang: [t.encode() for own, t in texts if own == lang] for lang in "ab"}, ppm)
+    probes = [b"xyz", "Üx".encode(), b"q", b"zz yy"]
+    assert language_id.code_lengths(probes, whole) == pytest.approx(language_id.code_lengths(probes, plain), rel=1e-2)
+    corpus_pipeline.known_language(spark, docs, SF).collect()
+    limits = Limits()
+    found = language_id.limits_of_all(docs, halves, ppm, limits)
+    for lang in "ab":
+        rates = []
+        for half in (0, 1):
+            trees = language_id.learn_counts(halves[1 - half], ppm)
+            own = {t.encode() for of, t in texts if of == lang and zlib.crc32(t.encode()) % 2 == half}
+            cut = [t[:15] for t in own if len(t) >= 8 and language_id.has_letter(t)]
+            rates += [b[trees.languages.index(lang)] / len(t) for t, b in zip(cut, language_id.code_lengths(cut, trees), strict=True)]
+        rates.sort()
+        place = math.ceil(limits.quantile * len(rates)) - 1
+        assert found[lang][0] - limits.margin == pytest.approx(rates[place], abs=2 / 1024) or found[lang][0] == found[lang][1]
+
+
+def test_rare_contexts_of_a_large_corpus_stay_out(spark):
+    texts = [f"{k} " + "the cat sat on the mat " * 50 for k in range(200)] + ["qzx"] * 8
+    docs = docs_frame(spark, list(enumerate(texts)), lang=["en"] * len(texts))
+    kept = language_id.added_up(language_id.gram_counts(docs, Ppm(least_share=2.0**-10)))["en"][3][0]
+    assert {int(c).to_bytes(4, "big") for c in kept} >= {b"the ", b"cat "}
+    assert not any(int(c).to_bytes(4, "big").startswith(b"qzx") for c in kept)

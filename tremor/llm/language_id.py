@@ -11,13 +11,16 @@ language in which the text has the shortest code is the prediction.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,16 +31,26 @@ UNDETERMINED = "und"
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
 #: Bytes of text that are looked up at once.
 _PIECE = 1 << 18
+#: Per language, for each length of a run: the runs in order, as numbers, and how often each occurs.
+GramCounts = dict[str, list[tuple[np.ndarray, np.ndarray]]]
+_GRAMS = "byte int, task int, lang string, half int, level int, codes binary, counts binary"
+#: Groups of tasks whose counts are added up first.
+_ROUND = 32
+_RATES = ["lang", "digest", "bins"]
+#: Bits per byte.
+_RATE_STEP = 2.0**-10
 
 
 @dataclass(frozen=True)
 class Ppm:
-    """``sample_docs`` bounds what is learned from: about so many whole documents of each language,
-    chosen by a hash of the id. Contexts seen less than ``least`` times are left out of the tree."""
+    """All labelled documents are learned from, or with ``sample_docs`` about so many whole ones of each language,
+    chosen by a hash of the id. Contexts seen less than ``least`` times are left out of the tree, and so are
+    those that make up less than ``least_share`` of their language's bytes, so the tree stays bounded."""
 
     order: int = 3
-    sample_docs: int = 200
+    sample_docs: int | None = None
     least: int = 4
+    least_share: float = 2.0**-17
     seed: int = 6
 
 
@@ -125,7 +138,46 @@ def learn(samples: dict[str, list[bytes]], ppm: Ppm) -> Trees:
             often.append(own[np.add.reduceat(counts, start) >= ppm.least])
         grams.append(level)
         contexts.append(np.array([0]) if k == 0 else np.unique(np.concatenate(often)))
+    return _trees(languages, ppm, byte_class, classes, grams, contexts)
 
+
+def learn_counts(grams: GramCounts, ppm: Ppm) -> Trees:
+    """Trees from the counts of :func:`gram_counts` (any of its halves, or both added up)."""
+    languages = sorted(grams)
+    if not languages:
+        return learn({}, ppm)
+    seen = np.zeros(256, bool)
+    seen[32] = True
+    for levels in grams.values():
+        seen[levels[0][0].astype(np.int64)] = True
+    classes = int(seen.sum()) + 1
+    byte_class = np.where(seen, np.cumsum(seen) - 1, classes - 1).astype(np.int64)
+    by_level: list[dict[str, tuple[np.ndarray, np.ndarray]]] = []
+    contexts: list[np.ndarray] = []
+    for k in range(ppm.order + 1):
+        level, often = {}, [np.zeros(0, np.int64)]
+        for lang in languages:
+            codes, counts = grams[lang][k]
+            numbers = np.zeros(len(codes), np.int64)
+            for byte in range(k, -1, -1):
+                numbers = numbers * classes + byte_class[((codes >> np.uint64(8 * byte)) & np.uint64(255)).astype(np.int64)]
+            level[lang] = (numbers, counts)
+            if len(numbers):
+                own, start = np.unique(numbers // classes, return_index=True)
+                often.append(own[np.add.reduceat(counts, start) >= _least(int(grams[lang][0][1].sum()), ppm)])
+        by_level.append(level)
+        contexts.append(np.array([0]) if k == 0 else np.unique(np.concatenate(often)))
+    return _trees(languages, ppm, byte_class, classes, by_level, contexts)
+
+
+def _least(total: int, ppm: Ppm) -> int:
+    return max(ppm.least, math.ceil(total * ppm.least_share))
+
+
+def _trees(
+    languages: list[str], ppm: Ppm, byte_class: np.ndarray, classes: int,
+    grams: list[dict[str, tuple[np.ndarray, np.ndarray]]], contexts: list[np.ndarray],
+) -> Trees:
     state_of = np.zeros(classes**ppm.order, np.int32)
     bits = []
     first = 0
@@ -141,8 +193,9 @@ def learn(samples: dict[str, list[bytes]], ppm: Ppm) -> Trees:
                 dense = np.zeros((len(own), classes))
                 ends = own % classes**shorter
                 wanted = ends[:, None] * classes + np.arange(classes)
-                at = np.minimum(np.searchsorted(numbers, wanted), len(numbers) - 1)
-                dense[...] = np.where(numbers[at] == wanted, counts[at], 0)
+                if len(numbers):
+                    at = np.minimum(np.searchsorted(numbers, wanted), len(numbers) - 1)
+                    dense[...] = np.where(numbers[at] == wanted, counts[at], 0)
                 chain.append(dense)
             by_language.append(_code_lengths(chain, 256 - (classes - 1)))
         bits.append(np.stack(by_language, axis=-1).reshape(-1, len(languages)))
@@ -189,10 +242,117 @@ def held_out(doc_id: str, parts: int, part: int) -> Column:
 
 
 def learned(labelled: DataFrame, ppm: Ppm, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Trees:
-    """Trees from about ``sample_docs`` whole rows of each language."""
+    """Trees from all rows, or with ``sample_docs`` from about so many whole ones of each language."""
+    if ppm.sample_docs is None:
+        return learn_counts(added_up(gram_counts(labelled, ppm, text, lang)), ppm)
     return learn(sampled(labelled, ppm, text, lang, doc_id), ppm)
 
 
+def gram_counts(labelled: DataFrame, ppm: Ppm, text: str = "text", lang: str = "lang") -> list[GramCounts]:
+    """How often each run of bytes occurs in all labelled texts of a language, for each half of the texts.
+
+    The halves go by a hash of the text, so equal texts are in one. Tasks count the longest runs, of ``order`` + 1 bytes,
+    which are added up by their first byte, in two rounds; shorter runs are their beginnings. Only followers of
+    contexts that are frequent enough for a tree reach the driver.
+    """
+    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    rows = rows.select(F.col(lang).alias("lang"), (F.crc32(utf8(text)) % 2).cast("int").alias("half"), utf8(text).alias("text"))
+    size, pad = ppm.order + 1, b" " * ppm.order
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+        for batch in batches:
+            for first, last in slices(batch.column(2)):
+                groups: dict[tuple[str, int], list[bytes]] = {}
+                for lang, half, value in zip(*(c.to_pylist() for c in batch.slice(first, last - first).columns), strict=True):
+                    groups.setdefault((lang, half), []).append(value.lower())
+                for key, texts in groups.items():
+                    line = np.frombuffer(pad + pad.join(texts) + pad, np.uint8).astype(np.uint64)
+                    own = held.setdefault(key, [])
+                    own.append(np.unique(_numbers(line, size, 256).astype(np.uint64), return_counts=True))
+                    if len(own) > 8:
+                        held[key] = [_summed(own)]
+        task = TaskContext.get().partitionId() % _ROUND
+        for (lang, half), own in held.items():
+            codes, counts = _summed(own)
+            cuts = np.searchsorted(codes, np.arange(257, dtype=np.uint64) << np.uint64(8 * (size - 1)))
+            for byte in np.flatnonzero(np.diff(cuts)):
+                part = slice(cuts[byte], cuts[byte + 1])
+                yield _gram_rows([(int(byte), task, lang, half, 0, codes[part], counts[part])])
+
+    def merge(table: pa.Table) -> pa.Table:
+        byte, task = table.column("byte")[0].as_py(), table.column("task")[0].as_py()
+        return pa.Table.from_batches([_gram_rows([(byte, task, *key, 0, *own) for key, own in _merged(table).items()])])
+
+    def cut(table: pa.Table) -> pa.Table:
+        own, found = _merged(table), []
+        langs = {lang for lang, _ in own}
+        levels = {key: [_begun(*of, size - 1 - k) for k in range(size)] for key, of in own.items()}
+        for k in range(size):
+            # Contexts that are frequent enough in any language, in either half or all; the first level has none.
+            kept = []
+            for lang in langs if k else ():
+                halves = [levels[key][k] for key in own if key[0] == lang]
+                for number, (codes, counts) in zip([*[key[1] for key in own if key[0] == lang], 2], [*halves, _summed(halves)], strict=True):
+                    heads, start = np.unique(codes >> np.uint64(8), return_index=True)
+                    kept.append(heads[np.add.reduceat(counts, start) >= _least(totals[lang, number], ppm)])
+            heads = np.unique(np.concatenate(kept)) if kept else None
+            for (lang, half), of in levels.items():
+                codes, counts = of[k]
+                if k:
+                    chosen = np.isin(codes >> np.uint64(8), heads)
+                    codes, counts = codes[chosen], counts[chosen]
+                found.append((0, 0, lang, half, k, codes, counts))
+        return pa.Table.from_batches([_gram_rows(found)])
+
+    # Bytes that are counted, a row per language and half.
+    totals: dict[tuple[str, int], int] = {}
+    for row in rows.groupBy("lang", "half").agg(F.sum(F.octet_length("text") + ppm.order).alias("n")).collect():
+        totals[row.lang, row.half] = row.n
+        totals[row.lang, 2] = totals.get((row.lang, 2), 0) + row.n
+    counted = rows.mapInArrow(trimmed(count), _GRAMS).groupBy("byte", "task").applyInArrow(merge, _GRAMS)
+    result: list[dict[str, list[list[tuple[np.ndarray, np.ndarray]]]]] = [{}, {}]
+    for row in counted.groupBy("byte").applyInArrow(cut, _GRAMS).toLocalIterator():
+        levels = result[row.half].setdefault(row.lang, [[] for _ in range(size)])
+        levels[row.level].append((np.frombuffer(row.codes, np.uint64), np.frombuffer(row.counts, np.int64)))
+    return [{lang: [_summed(parts) for parts in levels] for lang, levels in half.items()} for half in result]
+
+
+def added_up(halves: list[GramCounts]) -> GramCounts:
+    langs = {lang for half in halves for lang in half}
+    return {
+        lang: [_summed([*parts]) for parts in zip(*(half[lang] for half in halves if lang in half), strict=True)] for lang in langs
+    }
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    codes, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    counts = np.zeros(len(codes), np.int64)
+    np.add.at(counts, at, np.concatenate([n for _, n in parts]))
+    return codes, counts
+
+
+def _begun(codes: np.ndarray, counts: np.ndarray, dropped: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the runs without their last ``dropped`` bytes."""
+    heads, start = np.unique(codes >> np.uint64(8 * dropped), return_index=True)
+    return heads, np.add.reduceat(counts, start)
+
+
+def _merged(table: pa.Table) -> dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]:
+    parts: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+    for row in table.to_pylist():
+        own = np.frombuffer(row["codes"], np.uint64), np.frombuffer(row["counts"], np.int64)
+        parts.setdefault((row["lang"], row["half"]), []).append(own)
+    return {key: _summed(own) for key, own in parts.items()}
+
+
+def _gram_rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [list(c) for c in zip(*[(*r[:5], r[5].tobytes(), r[6].astype(np.int64).tobytes()) for r in rows], strict=True)]
+    types = [pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    names = ["byte", "task", "lang", "half", "level", "codes", "counts"]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+
 def sampled(
     labelled: DataFrame, ppm: Ppm, text: str = "text", lang: str = "lang", doc_id: str = "doc_id"
 ) -> dict[str, list[bytes]]:
@@ -238,10 +398,73 @@ def rate_limits(samples: dict[str, list[bytes]], ppm: Ppm, limits: Limits) -> di
     return {lang: _limits_of(rates[lang] if enough[lang] else together, limits) for lang in samples}
 
 
+def limits_of_all(
+    labelled: DataFrame, halves: list[GramCounts], ppm: Ppm, limits: Limits, text: str = "text", lang: str = "lang"
+) -> dict[str, list[float]]:
+    """``rate_limits`` over all labelled texts: each text is coded by the trees of the half it is not in, different texts
+    count once, and quantiles are exact to ``_RATE_STEP``."""
+    trees = [learn_counts(half, ppm) for half in halves]
+    shared = labelled.sparkSession.sparkContext.broadcast(trees)
+    value = utf8(text)
+    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).alias("lang"), (F.crc32(value) % 2).cast("int").alias("half"), F.md5(value).alias("digest"), value.alias("text")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last in slices(batch.column(3)):
+                own = batch.slice(first, last - first)
+                own = own.filter(pa.array([has_letter(t) for t in own.column(3).to_pylist()], pa.bool_()))
+                bins = _rate_bins(*(own.column(k).to_pylist() for k in (0, 1, 3)), shared.value, limits)
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(2), pa.array(bins, pa.list_(pa.int32()))], _RATES)
+
+    coded = rows.mapInArrow(trimmed(run), "lang string, digest string, bins array<int>")
+    different = coded.groupBy("lang", "digest").agg(F.first("bins").alias("bins"))
+    # A row per language, length and step; the first place counts the texts.
+    steps = F.posexplode(F.concat(F.array(F.lit(0)), "bins")).alias("k", "bin")
+    counted = different.select("lang", steps).where("bin >= 0").groupBy("lang", "k", "bin").agg(F.count(F.lit(1)).alias("n"))
+    found: dict[str, list[dict[int, int]]] = {name: [{} for _ in range(len(limits.lengths) + 1)] for half in halves for name in half}
+    for row in counted.toLocalIterator():
+        found[row.lang][row.k][row.bin] = row.n
+    together = [sum((Counter(own[k]) for own in found.values()), Counter()) for k in range(len(limits.lengths) + 1)]
+    return {
+        name: _filled([_binned(h, limits) for h in (own if sum(own[0].values()) >= limits.least else together)[1:]])
+        for name, own in found.items()
+    }
+
+
+def _rate_bins(langs: list[str], halves: list[int], texts: list[bytes], trees: list[Trees], limits: Limits) -> list[list[int]]:
+    """Of each text the rate in steps of what it begins with, up to each class' end; -1 if it is shorter or unknown."""
+    result = [[-1] * len(limits.lengths) for _ in texts]
+    for half in (0, 1):
+        other = trees[1 - half]
+        column = {lang: at for at, lang in enumerate(other.languages)}
+        for k, length in enumerate(limits.lengths):
+            longest = limits.lengths[k + 1] - 1 if k + 1 < len(limits.lengths) else None
+            own = [n for n, t in enumerate(texts) if halves[n] == half and len(t) >= length and langs[n] in column]
+            if own:
+                cut = [texts[n][:longest] for n in own]
+                for n, t, bits in zip(own, cut, code_lengths(cut, other), strict=True):
+                    result[n][k] = int(bits[column[langs[n]]] / len(t) / _RATE_STEP)
+    return result
+
+
+def _binned(steps: dict[int, int], limits: Limits) -> float | None:
+    number = sum(steps.values())
+    if number < limits.least:
+        return None
+    order = sorted(steps)
+    at = np.searchsorted(np.cumsum([steps[b] for b in order]), limits.quantile * number)
+    return (order[min(int(at), len(order) - 1)] + 1) * _RATE_STEP + limits.margin
+
+
 def _limits_of(rates: list[list[float]], limits: Limits) -> list[float]:
-    found = [
+    return _filled([
         float(np.quantile(own, limits.quantile)) + limits.margin if len(own) >= limits.least else None for own in rates
-    ]
+    ])
+
+
+def _filled(found: list[float | None]) -> list[float]:
     result, most = [], 0.0
     for limit in reversed(found):
         most = most if limit is None else max(most, limit)

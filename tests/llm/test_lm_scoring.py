@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -250,3 +252,50 @@ def test_every_score_of_odd_training_texts_is_finite(spark):
     sizes = {k: max(len(t.encode()), 1) for k, t in [*enumerate(texts), *enumerate(texts[::-1], 100)]}
     assert len(rows) == 18 and all(math.isfinite(r.score) and r.score <= 0 for r in rows)
     assert all(-r.score / math.log10(2) / sizes[r.doc_id] < 16 for r in rows if sizes[r.doc_id] > 50)
+
+
+def test_cost_works_in_few_arrays():
+    """A decision takes three bytes on the way in and a few more while it is sorted, not arrays of numbers for all at once."""
+    lanes, blocks = 8, 400
+    rng = np.random.default_rng(4)
+    codes = rng.integers(0, cm.CODES, lanes * blocks * cm.BLOCK).astype(np.uint16)
+    match = rng.choice(np.array([-3, -1, 0, 0, 0, 1, 3], np.int8), len(codes))
+    lengths = np.full(lanes, blocks * cm.BLOCK, np.int64)
+    tracemalloc.start()
+    cm._cost(codes, match, lengths, np.tile(np.array(cm.FLAT, np.float32), (cm.GATES, 1)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * len(codes)
+
+
+def test_pieces_are_the_words_of_any_bytes():
+    texts = [bytes([a]) + b"aB" + bytes([b]) * 2 for a in range(256) for b in (*range(8, 15), 28, 31, 32, 33, 133, 160)]
+    texts += [b"", b" ", b"\xff\xfe \x00 \xc3", "ÀÉ z".encode(), b"zz"]
+    sizes, packed = [len(t) for t in texts], lm_scoring._packed(b"".join(texts))
+    pieces, text = lm_scoring._pieces(sizes, packed)
+    own = [[] for _ in texts]
+    for number, piece in zip(text.tolist(), pieces.cast(pa.binary()).to_pylist(), strict=True):
+        own[number] += [piece] * (piece != b"")
+    assert own == [t.lower().split() for t in texts]
+    words = sorted({w for o in own for w in o} | {cm.END})
+    found = lm_scoring._documents(sizes, packed, words)
+    assert [[words[k] for k in d.tolist()] for d in found] == [[*o, cm.END] for o in own]
+    with pytest.raises(ValueError, match="lacks"):
+        lm_scoring._documents(sizes, packed, [w for w in words if w != b"zz"])
+
+
+def test_expected_words_equal_a_plain_search():
+    rng = np.random.default_rng(8)
+    for top in (3, 40, 1 << 52):  # with numbers so large that sorting them with their places has no room
+        words = rng.integers(1, 4, 600) * (top // 3)
+        document = np.sort(rng.integers(0, 5, 600))
+        found, kind = cm._expected(words, document)
+        seen, last = {}, (None, 0, 0)
+        for k, (d, w) in enumerate(zip(document.tolist(), words.tolist(), strict=True)):
+            if d != last[0]:
+                seen, last = {}, (d, 0, 0)
+            _, before, previous = last
+            guess = (seen.get((before, previous)), 2) if (before, previous) in seen else (seen.get(previous, 0), int(previous in seen))
+            assert (found[k], kind[k]) == guess
+            seen[before, previous] = seen[previous] = w
+            last = (d, previous, w)

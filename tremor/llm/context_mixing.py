@@ -43,8 +43,8 @@ FLAT = (0.5, 0.5, 0.7)
 HOLD = 4.0
 BLOCK, RATE, MOST_STEP, MOST_WEIGHT = 256, 0.02, 0.25, 8.0
 MOST_ODDS = 20.0
-#: Documents scored side by side have about this many decisions together.
-BATCH = 1 << 22
+#: Documents scored side by side have about this many decisions together, and there are so many of them at most.
+BATCH, LANES = 1 << 24, 256
 #: Numbers that ``decision_codes`` gives.
 CODES = 1 << 14
 _PREFIX = 16
@@ -122,6 +122,11 @@ class Spelled:
         sizes = np.fromiter(map(len, closed), np.int64, len(closed))
         return Spelled(np.frombuffer(b"".join(closed), np.uint8), np.cumsum(sizes) - sizes, sizes)
 
+    def some(self, first: int, last: int) -> Spelled:
+        """The words from one to before another."""
+        begins, sizes = self.begins[first:last], self.sizes[first:last]
+        return Spelled(self.raw[begins[0] : begins[-1] + sizes[-1]], begins - begins[0], sizes)
+
     def pairs(self) -> np.ndarray:
         """The two bytes before each, blanks before a word's beginning, as one number."""
         wide = np.concatenate([np.full(2, 32, np.int64), self.raw])
@@ -224,10 +229,12 @@ def word_bytes(words: list[bytes], counts: np.ndarray, alphabet: Alphabet, share
         met = np.add.reduceat(counts[rows], np.flatnonzero(fresh))
         group = (np.cumsum(common[rows] < depth) - 1)[fresh]
         symbol = matrix[heads, depth]
+        branching = np.bincount(group) > 1
         keys, sums = group * width + alphabet.place_of[symbol], met
         for place in {0, len(heads) - 1}:
             known = shared.get(matrix[heads[place], :depth].tobytes())
             if known is not None:
+                branching[group[place]] = True
                 bytes_ = np.array(list(known), np.int64)
                 there = group[place] * width + alphabet.place_of[bytes_]
                 mine = keys // width == group[place]
@@ -235,19 +242,22 @@ def word_bytes(words: list[bytes], counts: np.ndarray, alphabet: Alphabet, share
         order = np.argsort(keys, kind="stable")
         keys, sums = keys[order], np.concatenate([[0], np.cumsum(sums[order])])
         size = steps[symbol]
-        decision = ranges(alphabet.starts[symbol], size)
-        first, middle, end = (
-            sums[np.searchsorted(keys, np.repeat(group * width, size) + span)] for span in alphabet.spans[alphabet.nodes[decision]].T
-        )
+        begin = np.cumsum(size) - size
+        # Where all words of a group go on alike, and no other range has any, nothing speaks against their byte.
+        some = np.flatnonzero(branching[group])
+        level, less = (np.repeat(_packed(n, np.zeros_like(n)), size) for n in (met, np.maximum(met - 1, 0)))
+        decision = ranges(alphabet.starts[symbol[some]], size[some])
+        spread = np.repeat(group[some] * width, size[some])
+        first, middle, end = (sums[np.searchsorted(keys, spread + span)] for span in alphabet.spans[alphabet.nodes[decision]].T)
         ones, zeros = end - middle, middle - first
         hit = alphabet.signs[decision] > 0
         right, wrong = np.where(hit, ones, zeros), np.where(hit, zeros, ones)
-        begin = np.cumsum(size) - size
+        place = ranges(begin[some], size[some])
+        level[place], less[place] = _packed(right, wrong), _packed(np.maximum(right - 1, 0), wrong)
         own = size[edge]
         source = ranges(begin[edge], own)
         target = ranges(cursor[rows], own)
-        whole[target] = _packed(right, wrong)[source]
-        without[target] = _packed(np.maximum(right - 1, 0), wrong)[source]
+        whole[target], without[target] = level[source], less[source]
         cursor[rows] += own
     return whole, without
 
@@ -257,10 +267,9 @@ def _packed(right: np.ndarray, wrong: np.ndarray) -> np.ndarray:
     return (level | np.searchsorted(SURE, right + wrong) << 6).astype(np.uint8)
 
 
-def decision_codes(words: list[bytes], word_levels: np.ndarray, alphabet: Alphabet, pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
+def decision_codes(spelled: Spelled, word_levels: np.ndarray, alphabet: Alphabet, pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
     """A number for every decision of the words that tells its two levels and its gate but for the match, and
     where each word's decisions end."""
-    spelled = Spelled.of(words)
     size = np.diff(alphabet.starts)[spelled.raw]
     decision = ranges(alphabet.starts[spelled.raw], size)
     row = np.repeat(pairs.row_of[spelled.pairs()] * np.int32(pairs.levels.shape[1]), size)
@@ -274,20 +283,20 @@ def decision_codes(words: list[bytes], word_levels: np.ndarray, alphabet: Alphab
     return codes, ends[spelled.begins + spelled.sizes - 1]
 
 
-def level_ends(words: list[bytes], alphabet: Alphabet) -> np.ndarray:
+def level_ends(spelled: Spelled, alphabet: Alphabet) -> np.ndarray:
     """Where each word's decisions end if they lie one word after another."""
-    spelled = Spelled.of(words)
     return np.cumsum(np.diff(alphabet.starts)[spelled.raw])[spelled.begins + spelled.sizes - 1]
 
 
 def codes_in_slices(
-    words: list[bytes], word_levels: np.ndarray, alphabet: Alphabet, pairs: Pairs
+    spelled: Spelled, word_levels: np.ndarray, alphabet: Alphabet, pairs: Pairs
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``decision_codes`` of some thousand words at a time, with the first of them and the one after the last."""
-    ends = [0, *level_ends(words, alphabet).tolist()]
-    for first in range(0, len(words), SLICE):
-        last = min(first + SLICE, len(words))
-        yield first, last, *decision_codes(words[first:last], word_levels[ends[first] : ends[last]], alphabet, pairs)
+    words = len(spelled.sizes)
+    ends = np.concatenate([[0], level_ends(spelled, alphabet)])
+    for first in range(0, words, SLICE):
+        last = min(first + SLICE, words)
+        yield first, last, *decision_codes(spelled.some(first, last), word_levels[ends[first] : ends[last]], alphabet, pairs)
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -360,17 +369,27 @@ def _expected(words: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, np.n
     before = np.concatenate([[0], last[:-1]])
     before[1:][document[1:] != document[:-1]] = 0
     found, kind = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for number, context in ((1, last), (2, last * (int(words.max(initial=0)) + 1) + before)):
-        if number == 2:
-            context = np.unique(context, return_inverse=True)[1] if n else context
-        key = document * (int(context.max(initial=0)) + 1) + context
-        order = np.argsort(key, kind="stable")
+    group, values = document, int(words.max(initial=0)) + 1
+    for number, context in ((1, last), (2, before)):
+        key = group * values + context
+        order = _order(key)
         again = key[order][1:] == key[order][:-1]
         at, source = order[1:][again], order[:-1][again]
         found[at], kind[at] = words[source], number
+        # Words of a document after the same word are a group of the next round.
+        group = np.zeros(n, np.int64)
+        group[order[1:]] = np.cumsum(~again)
     return found, kind
 
 
+def _order(key: np.ndarray) -> np.ndarray:
+    """The stable order of numbers from 0 on. Sorting them with their places is several times as fast, if there is room."""
+    bits = len(key).bit_length()
+    if int(key.max(initial=0)).bit_length() + bits > 63:
+        return np.argsort(key, kind="stable")
+    return np.sort(key << bits | np.arange(len(key))) & ((1 << bits) - 1)
+
+
 class Scorer:
     """Scores documents made of known words: ``words`` with their ``word_bytes``."""
 
@@ -379,12 +398,12 @@ class Scorer:
         self._weights = model.weights
         self._pieces: list[bytes] = []
         sizes = []
-        for _, _, codes, ends in codes_in_slices(words, word_levels, alphabet, model.pairs):
+        spelled = Spelled.of(words)
+        for _, _, codes, ends in codes_in_slices(spelled, word_levels, alphabet, model.pairs):
             raw, bounds = codes.tobytes(), [0, *ends.tolist()]
             self._pieces += [raw[2 * a : 2 * b] for a, b in zip(bounds, bounds[1:], strict=False)]
             sizes.append(np.diff(ends, prepend=0))
         self._sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-        spelled = Spelled.of(words)
         self._spelled, self._steps = spelled, np.diff(alphabet.starts)
         self._matrix = _matrix(spelled, _PREFIX)
         self._through = np.zeros((len(words), _PREFIX + 1), np.int16)
@@ -399,7 +418,7 @@ class Scorer:
         at = 0
         while at < len(order):
             # Documents of like length, so that few lanes idle.
-            last = at + max(1, int(np.searchsorted(np.cumsum(lengths[order[at:]]), BATCH, "right")))
+            last = at + max(1, int(np.searchsorted(np.cumsum(lengths[order[at : at + LANES]]), BATCH, "right")))
             own = order[at:last]
             result[own] = self._batch([documents[k] for k in own], lengths[own])
             at = last
@@ -428,12 +447,12 @@ class Scorer:
         where it is wrong."""
         expected, kind = _expected(words + 1, lane)
         at = np.flatnonzero(kind)
-        mine, other, strength = words[at], expected[at] - 1, np.array(MATCHES)[kind[at]]
+        mine, other, strength = words[at], expected[at] - 1, np.array(MATCHES, np.int8)[kind[at]]
         begin, size = begin[at], size[at]
         shared = self._shared(mine, other, size)
         wrong = shared < size
         delta = np.zeros(total + 1, np.int8)
-        np.add.at(delta, begin, strength)
+        delta[begin] += strength  # each word begins at a place of its own
         np.subtract.at(delta, begin + shared, strength)
         match = np.cumsum(delta[:-1], dtype=np.int8)
         match[(begin + shared)[wrong]] = -strength[wrong]
@@ -465,20 +484,16 @@ def _cost(codes: np.ndarray, match: np.ndarray, lengths: np.ndarray, weights: np
     lanes = len(lengths)
     counts = -(-lengths // BLOCK)
     # First the first blocks of all lanes, then the second ones of those that have any, and so on.
-    lane = np.repeat(np.arange(lanes), counts)
-    number = ranges(np.zeros(lanes, np.int64), counts)
-    order = np.argsort(number, kind="stable")
-    lane = lane[order]
+    order = np.argsort(ranges(np.zeros(lanes, np.int64), counts), kind="stable")
     codes, match = (v.reshape(-1, BLOCK)[order] for v in (codes, match))
     word_of, pair_of, gate_of = _tables()
-    kind_of = np.zeros(2 * MATCHES[-1] + 1, np.int32)
-    for kind, strength in enumerate(MATCHES):
-        kind_of[[MATCHES[-1] + strength, MATCHES[-1] - strength]] = kind * (GATES // len(MATCHES))
-    slot = gate_of.astype(np.int32)[codes]
-    slot += kind_of[match + MATCHES[-1]]
-    slot += (GATES * lane).astype(np.int32)[:, None]
-    inputs = word_of[codes], pair_of[codes], match.astype(np.float32)
+    gate_of = gate_of.astype(np.uint8)
+    of_lane = GATES * np.arange(lanes)[:, None]
     moving = [np.tile(w, lanes) for w in weights.T.astype(np.float32)]
+    # Every step works in the same few arrays, which stay in the processor's cache.
+    places = [np.empty((lanes, BLOCK), np.intp) for _ in range(2)]
+    gates = np.empty((lanes, BLOCK), np.uint8)
+    levels = [np.empty((lanes, BLOCK), np.float32) for _ in range(6)]
     # The spare decisions are even odds, which is taken off again.
     cost = -(counts * BLOCK - lengths) * np.log(2)
     active, first = -np.sort(-counts), 0
@@ -486,19 +501,36 @@ def _cost(codes: np.ndarray, match: np.ndarray, lengths: np.ndarray, weights: np
         n = int(np.searchsorted(-active, -step, "left"))
         own = slice(first, first + n)
         first += n
-        at = slot[own].astype(np.intp)
-        z = inputs[0][own] * moving[0][at]
+        at, code = (v[:n] for v in places)
+        gate = gates[:n]
+        *inputs, z, one, miss = (v[:n] for v in levels)
+        code[:] = codes[own]
+        # All places lie within their tables; "wrap" is the fastest mode.
+        word_of.take(code, out=inputs[0], mode="wrap")
+        pair_of.take(code, out=inputs[1], mode="wrap")
+        inputs[2][:] = match[own]
+        gate_of.take(code, out=gate, mode="wrap")
+        strength = np.abs(match[own])
+        for kind in MATCHES[1:]:
+            gate += (strength >= kind).view(np.uint8) * np.uint8(GATES // len(MATCHES))
+        np.add(gate, of_lane[:n], out=at)
+        np.multiply(inputs[0], moving[0].take(at, out=one, mode="wrap"), out=z)
         for x, w in zip(inputs[1:], moving[1:], strict=True):
-            z += x[own] * w[at]
-        np.minimum(np.maximum(z, -MOST_ODDS, out=z), MOST_ODDS, out=z)
-        odds = np.exp(z, out=z)
-        miss = 1 / (1 + odds)
-        chance = (odds * miss).reshape(n, -1, 8)
-        cost[:n] -= np.log(np.multiply.reduce(chance, axis=2, dtype=np.float64)).sum(axis=1)
-        at = at.ravel()
+            z += np.multiply(x, w.take(at, out=one, mode="wrap"), out=one)
+        odds = np.exp(z.clip(-MOST_ODDS, MOST_ODDS, out=z), out=z)
+        np.divide(1, np.add(odds, 1, out=miss), out=miss)
+        # Logarithms are taken of the products of eight.
+        chance = np.multiply(odds, miss, out=one)
+        product = chance[:, : BLOCK // 2].astype(np.float64)
+        product *= chance[:, BLOCK // 2 :]
+        for half in (BLOCK // 4, BLOCK // 8):
+            product = product[:, :half] * product[:, half:]
+        cost[:n] -= np.log(product).sum(axis=1)
+        flat = at.ravel()
         for x, w in zip(inputs, moving, strict=True):
-            pull = np.bincount(at, (miss * x[own]).ravel(), n * GATES)
+            pull = np.bincount(flat, np.multiply(miss, x, out=z).ravel(), n * GATES)
+            pull *= RATE
             w = w[: n * GATES]
-            w += np.minimum(np.maximum(RATE * pull, -MOST_STEP), MOST_STEP)
-            np.minimum(np.maximum(w, -MOST_WEIGHT, out=w), MOST_WEIGHT, out=w)
+            w += pull.clip(-MOST_STEP, MOST_STEP, out=pull)
+            w.clip(-MOST_WEIGHT, MOST_WEIGHT, out=w)
     return cost

@@ -15,7 +15,6 @@ code of bytes, counts after pairs of bytes, the gates' weights, and the beginnin
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import log10
@@ -89,11 +88,18 @@ def _chunked(docs: DataFrame, scoring: Scoring, text: str, doc_id: str, trains:
     return stored(rows.mapInArrow(trimmed(run), _CHUNK), "lm-chunks")
 
 
-def _texts(sizes: list[int], packed: bytes) -> Iterator[bytes]:
-    raw, at = _unpacked(packed), 0
-    for size in sizes:
-        yield raw[at : at + size]
-        at += size
+def _pieces(sizes: list[int], packed: bytes) -> tuple[pa.StringArray, np.ndarray]:
+    """The texts' words, ASCII letters in lower case, one text after another, and each one's text. A blank at a text's
+    edge gives an empty string besides."""
+    raw = _unpacked(packed).lower()
+    texts = _strings(np.cumsum([0, *sizes]), raw)
+    cut = pc.ascii_split_whitespace(texts)
+    return cut.flatten(), np.repeat(np.arange(len(sizes)), np.diff(cut.offsets.to_numpy()))
+
+
+def _strings(offsets: np.ndarray, raw: bytes) -> pa.StringArray:
+    """Strings over their bytes, which are taken as they are."""
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw))
 
 
 def _chunk_words(chunks: DataFrame) -> DataFrame:
@@ -102,28 +108,39 @@ def _chunk_words(chunks: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                counts: Counter[bytes] = Counter()
-                for train, text in zip(row["trains"], _texts(row["sizes"], row["texts"]), strict=True):
-                    words = [*text.lower().split(), cm.END]
-                    if train:
-                        counts.update(words)
-                    else:
-                        for word in set(words):
-                            counts.setdefault(word, 0)
-                words = list(counts)
+                trains = np.array(row["trains"], bool)
+                pieces, text = _pieces(row["sizes"], row["texts"])
+                coded = pieces.dictionary_encode()
+                counts = np.bincount(coded.indices.to_numpy()[trains[text]], minlength=len(coded.dictionary))
+                used = pc.greater(pc.binary_length(coded.dictionary), 0)
+                words = pa.concat_arrays([coded.dictionary.filter(used), pa.array([cm.END.decode()])])
+                counts = np.append(counts[used.to_numpy(zero_copy_only=False)], trains.sum()).astype(np.int64)
                 for at in range(0, len(words), 1 << 16):
                     some = words[at : at + (1 << 16)]
-                    columns = [
-                        pa.array(np.full(len(some), row["chunk"], np.int32)),
-                        pa.array(some, pa.binary()).cast(pa.string()),
-                        pa.array([counts[w] for w in some], pa.int64()),
-                    ]
+                    number = pa.array(np.full(len(some), row["chunk"], np.int32))
+                    columns = [number, some, pa.array(counts[at : at + (1 << 16)])]
                     yield pa.RecordBatch.from_arrays(columns, ["chunk", "word", "n"])
 
     rows = chunks.select("chunk", "trains", "sizes", "texts").mapInArrow(trimmed(run), "chunk int, word string, n bigint")
     return stored(rows, "lm-chunk-words", "zstd")
 
 
+def _documents(sizes: list[int], packed: bytes, words: list[bytes]) -> list[np.ndarray]:
+    """Each text's words, given by their places in ``words``, and the end."""
+    pieces, text = _pieces(sizes, packed)
+    known = _strings(np.cumsum([0, *map(len, words)]), b"".join(words))
+    places = pc.fill_null(pc.index_in(pieces, value_set=known), -1).to_numpy()
+    used = places >= 0
+    if pc.any(pc.greater(pc.binary_length(pieces.filter(pa.array(~used))), 0)).as_py():
+        raise ValueError("a word that the vocabulary lacks")
+    ends = np.cumsum(np.bincount(text[used], minlength=len(sizes)) + 1)
+    whole = np.full(ends[-1], words.index(cm.END), np.int32)
+    inner = np.ones(len(whole), bool)
+    inner[ends - 1] = False
+    whole[inner] = places[used]
+    return np.split(whole, ends[:-1])
+
+
 _RANGE = "part bigint, words array<binary>, counts array<bigint>, held array<int>, chunks array<int>"
 _RANGE_TYPES = [pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
 
@@ -265,10 +282,11 @@ def learned(vocabulary: DataFrame) -> tuple[cm.Model, DataFrame]:
         alphabet, pairs, shared = known.value
         words, counts = row["words"], np.array(row["counts"], np.int64)
         levels, without = cm.word_bytes(words, counts, alphabet, shared)
+        spelled = cm.Spelled.of(words)
         tally = np.zeros(cm.CODES)
-        for first, last, codes, ends in cm.codes_in_slices(words, without, alphabet, pairs):
+        for first, last, codes, ends in cm.codes_in_slices(spelled, without, alphabet, pairs):
             tally += np.bincount(codes, np.repeat(counts[first:last], np.diff(ends, prepend=0)), cm.CODES)
-        chunks, packed = _dealt(words, counts, levels, cm.level_ends(words, alphabet), row)
+        chunks, packed = _dealt(words, counts, levels, cm.level_ends(spelled, alphabet), row)
         # The tally of codes goes along as rows without a chunk.
         used = np.flatnonzero(tally).tolist()
         none, no = [None] * len(used), [None] * len(chunks)
@@ -311,13 +329,8 @@ def scored(
         words, counts, levels = _known(known.column("known").to_pylist())
         logs = np.log10((counts + smoothing) / whole) if tokens else np.zeros(len(words))
         scorer = cm.Scorer(words, levels, shared.value)
-        number_of = {word: k for k, word in enumerate(words)}.__getitem__
         row = chunk.to_pylist()[0]
-        end = number_of(cm.END)
-        # Numbers take little room; the texts' words are not held all at once.
-        documents = [
-            np.array([*map(number_of, text.lower().split()), end], np.int32) for text in _texts(row["sizes"], row["texts"])
-        ]
+        documents = _documents(row["sizes"], row["texts"], words)
         score = -scorer.bits(documents) * log10(2)
         columns = [
             pa.array(row["doc_ids"], pa.int64()),

@@ -123,3 +123,29 @@ def test_encoder_equals_the_library_on_plain_and_other_texts(alphabet):
         for text, own in zip(texts, mine.encode([t.encode() for t in texts]), strict=True):
             assert np.frombuffer(own, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
     assert mine._held < 40_000
+
+
+def test_library_is_asked_for_many_words_at_a_time():
+    mine = token_files.LibraryEncoder(PATH)
+    asked, ask = [], mine._model.encode_batch_fast
+
+    class Model:
+        def encode_batch_fast(self, lines, **settings):
+            asked.extend(line.count("\n") + 1 for line in lines)
+            return ask(lines, **settings)
+
+    mine._model = Model()
+    texts = [" ".join(f"word{chr(97 + k % 26)}{chr(97 + k // 26)}, it's" for k in range(j, 600)) for j in (0, 300, 0)]
+    library = Tokenizer.from_file(PATH)
+    for text, own in zip(texts, mine.encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(own, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sum(asked) == 603 and len(asked) == 2  # 600 words, a comma and the two of "it's"
+
+
+def test_edges_of_runs_and_words():
+    """Empty texts, blanks at edges, runs of several words, runs that are not plain, and words that look like ends."""
+    texts = ["", " ", "\t a\n", "a", "don't'll x'y 'tis </w> w> <", "İstanbul İ ÀÉ! 1½2", "á e\x1cf\x85g\xa0h", "x" * 3000, "\x0ba\x0c "]
+    library, mine = Tokenizer.from_file(PATH), token_files.LibraryEncoder(PATH)
+    for some in (texts, texts[::-1], *([t] for t in texts), []):
+        for text, own in zip(some, mine.encode([t.encode() for t in some]), strict=True):
+            assert np.frombuffer(own, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremor.llm import context_mixing as cm
-from tremor.llm.common import slices, stored, trimmed, utf8
+from tremor.llm.common import slices, stored, strings_over, trimmed, utf8
 
 
 @dataclass(frozen=True)
@@ -92,16 +92,11 @@ def _pieces(sizes: list[int], packed: bytes) -> tuple[pa.StringArray, np.ndarray
     """The texts' words, ASCII letters in lower case, one text after another, and each one's text. A blank at a text's
     edge gives an empty string besides."""
     raw = _unpacked(packed).lower()
-    texts = _strings(np.cumsum([0, *sizes]), raw)
+    texts = strings_over(np.cumsum([0, *sizes]), raw)
     cut = pc.ascii_split_whitespace(texts)
     return cut.flatten(), np.repeat(np.arange(len(sizes)), np.diff(cut.offsets.to_numpy()))
 
 
-def _strings(offsets: np.ndarray, raw: bytes) -> pa.StringArray:
-    """Strings over their bytes, which are taken as they are."""
-    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw))
-
-
 def _chunk_words(chunks: DataFrame) -> DataFrame:
     """``(chunk, word, n)``: every word of a chunk, the end included, with its count in training documents."""
 
@@ -128,7 +123,7 @@ def _chunk_words(chunks: DataFrame) -> DataFrame:
 def _documents(sizes: list[int], packed: bytes, words: list[bytes]) -> list[np.ndarray]:
     """Each text's words, given by their places in ``words``, and the end."""
     pieces, text = _pieces(sizes, packed)
-    known = _strings(np.cumsum([0, *map(len, words)]), b"".join(words))
+    known = strings_over(np.cumsum([0, *map(len, words)]), b"".join(words))
     places = pc.fill_null(pc.index_in(pieces, value_set=known), -1).to_numpy()
     used = places >= 0
     if pc.any(pc.greater(pc.binary_length(pieces.filter(pa.array(~used))), 0)).as_py():

@@ -15,21 +15,27 @@ import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import CharDelimiterSplit
 
 from tremor.llm import rans
 from tremor.llm.bpe import PLAIN, byte_characters, plain_splitter
-from tremor.llm.common import slices, stored, utf8
+from tremor.llm.common import slices, stored, strings_over, utf8
+from tremor.llm.context_mixing import ranges
 from tremor.llm.ranges import range_bounds, range_part
 
 #: Ids from which a block is closed; it ends with the document that reaches them.
 BLOCK_TOKENS = 1 << 16
+#: Words that the model is given at a time.
+_ASKED = 512
 _FREQUENCIES = "token int, frequency bigint"
 _BLOCKS = "part int, block int, start bigint, doc_ids array<bigint>, lengths array<int>, payload binary"
 
@@ -52,16 +58,17 @@ def plain_text_splitter(spec: dict) -> Callable[[str], list[str]] | None:
     pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
     for kind in (r"\p{L}", r"\p{N}"):
         pattern = pattern.replace(kind, _character_class(kind))
-    return None if r"\p" in pattern else re.compile(pattern).findall
+    # A word is cut alike wherever it stands if nothing looks beyond it.
+    return None if re.search(r"\\p|\(\?|\\[bB]|\$|(?<!\[)\^", pattern) else re.compile(pattern).findall
 
 
 class LibraryEncoder:
     """The tokenizers library, asked once per distinct word or run of characters.
 
-    White space never enters a token of such a vocabulary, so the ids of a text's words joined are the
-    text's. Plain texts (no letters whose case or normal form is disputed, no first character of an
-    added token) are cut into words at once, and only words not met before go to the library's model. Other
-    texts are cut at ASCII white space, and runs that are not plain pass through the whole library.
+    White space never enters a token of such a vocabulary, so the ids of a text's runs joined are the
+    text's. Texts are cut at ASCII white space and equal runs counted once; the distinct ones that are plain (no letters
+    whose case or normal form is disputed, no first character of an added token) are cut into words, and words not met
+    before go to the library's model, thousands at a time. Runs that are not plain pass through the whole library.
 
     ``memo_bytes`` bounds what is remembered: when half of it is filled, what was not used since the
     last time goes.
@@ -72,11 +79,16 @@ class LibraryEncoder:
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()
         self._library.no_padding()
-        self._model = self._library.model.tokenize
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self._text_words = plain_text_splitter(spec)
-        self._run_words = plain_splitter(spec)
+        self._words = plain_text_splitter(spec)
+        # The model alone, to which words are given by lines.
+        self._model = Tokenizer(self._library.model)
+        self._model.pre_tokenizer = CharDelimiterSplit("\n")
+        suffix = spec["model"].get("end_of_word_suffix")
+        vocab = self._library.get_vocab(with_added_tokens=False)
+        self._ends = np.zeros(max(vocab.values()) + 1, bool)
+        self._ends[[number for token, number in vocab.items() if suffix and token.endswith(suffix)]] = True
         # An added token may only be found by the whole library.
         self._marks = sorted({t["content"][0] for t in spec["added_tokens"]})
         self._shown = byte_characters()
@@ -85,41 +97,85 @@ class LibraryEncoder:
         self._earlier: dict[str | bytes, bytes] = {}
         self._held = 0
 
-    def _word(self, word: str) -> bytes:
-        shown = word if word.isascii() else word.encode().decode("latin-1").translate(self._shown)
-        return array("I", [t.id for t in self._model(shown)]).tobytes()
-
-    def _run(self, run: bytes) -> bytes:
-        text = run.decode()
-        if self._run_words and PLAIN.fullmatch(text) and not self._marked(text):
-            return b"".join(map(self._word, self._run_words(text.lower())))
-        return array("I", self._library.encode(text, add_special_tokens=False).ids).tobytes()
-
     def _marked(self, text: str) -> bool:
         return any(mark in text for mark in self._marks)
 
-    def _cut(self, raw: bytes) -> list[str] | list[bytes]:
-        """The words of a plain text as strings, the runs of any other as bytes."""
+    def _ask(self, words: list[str]) -> Iterator[bytes]:
+        """The model's ids of each word."""
+        shown = [w if w.isascii() else w.encode().decode("latin-1").translate(self._shown) for w in words]
+        for at in range(0, len(shown), _ASKED):
+            some = shown[at : at + _ASKED]
+            (found,) = self._model.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            # A word's last token says that it is one.
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                raw = ids.tobytes()
+                yield from (raw[a:b] for a, b in pairwise([0, *(4 * ends).tolist()]))
+            else:
+                yield from (array("I", [t.id for t in self._library.model.tokenize(word)]).tobytes() for word in some)
+
+    def _remember(self, units: list[str | bytes]) -> None:
+        """From here on ``_recent`` has the ids of all units."""
+        words, ids = [], []
+        for unit in set(units).difference(self._recent):
+            known = self._earlier.get(unit)
+            if known is None and isinstance(unit, str):
+                words.append(unit)
+                continue
+            if known is None:
+                known = array("I", self._library.encode(unit.decode(), add_special_tokens=False).ids).tobytes()
+            self._recent[unit] = known
+            ids.append(known)
+        own = list(self._ask(words))
+        self._recent.update(zip(words, own, strict=True))
+        self._held += 200 * (len(ids) + len(own)) + sum(map(len, ids)) + sum(map(len, own))
+
+    def _cut(self, lines: str) -> tuple[list[str | bytes], np.ndarray]:
+        """The words of plain runs as strings, any other run as bytes, and how many there are up to each run's end.
+        The runs are given a line each."""
+        runs = lines.split("\n")
+        if self._words and _PLAIN_TEXT(lines) and not self._marked(lines):
+            lines = lines.lower()
+            words = self._words(lines)
+            ends = np.cumsum([0, *map(len, words)])
+            until = np.cumsum(np.fromiter(map(len, lines.split("\n")), np.int64, len(runs)))
+            last = np.searchsorted(ends, until, "right") - 1
+            # Else the pattern leaves out characters besides white space.
+            if (ends[last] == until).all():
+                return words, last
+        units: list[str | bytes] = []
+        last = []
+        for run in runs:
+            if self._words and PLAIN.fullmatch(run) and not self._marked(run):
+                units += self._words(run.lower())
+            elif run:
+                units.append(run.encode())
+            last.append(len(units))
+        return units, np.array(last, np.int64)
+
+    def _lower(self, raw: bytes) -> bytes:
+        """A plain text in lower case, any other as it is."""
         text = raw.decode()
-        if self._text_words and _PLAIN_TEXT(text) and not self._marked(text):
-            return self._text_words(text.lower())
-        return raw.split()
+        return raw.lower() if self._words and _PLAIN_TEXT(text) and not self._marked(text) else raw
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
-        cut = [self._cut(text) for text in texts]
-        recent, earlier = self._recent, self._earlier
-        for piece in set().union(*cut).difference(recent):
-            ids = earlier.get(piece)
-            if ids is None:
-                ids = self._word(piece) if isinstance(piece, str) else self._run(piece)
-            recent[piece] = ids
-            self._held += 200 + len(ids)
-        known = recent.__getitem__
-        found = [b"".join(map(known, own)) for own in cut]
+        lower = list(map(self._lower, texts))
+        split = pc.ascii_split_whitespace(strings_over(np.cumsum([0, *map(len, lower)]), b"".join(lower)))
+        coded = split.flatten().dictionary_encode()
+        runs = coded.dictionary
+        units, last = self._cut(pc.binary_join(pa.ListArray.from_arrays([0, len(runs)], runs), "\n")[0].as_py())
+        self._remember(units)
+        known = list(map(self._recent.__getitem__, units))
+        ends = np.cumsum([0, *map(len, known)])[last] // 4
+        sizes = np.diff(ends, prepend=0)
+        index = coded.indices.to_numpy()
+        ids = np.frombuffer(b"".join(known), "<u4")[ranges((ends - sizes)[index], sizes[index])].tobytes()
+        bounds = 4 * np.cumsum(np.append(0, sizes[index]))[split.offsets.to_numpy()]
         if self._held > self._memo_bytes // 2:
-            self._recent, self._earlier, self._held = {}, recent, 0
-        return found
+            self._recent, self._earlier, self._held = {}, self._recent, 0
+        return [ids[a:b] for a, b in pairwise(bounds.tolist())]
 
 
 _encoders: dict[str, LibraryEncoder] = {}

@@ -143,6 +143,59 @@ def test_levels_equal_plain_counts_however_the_vocabulary_is_cut(spark):
         assert (model.alphabet.starts == slow.alphabet.starts).all()
 
 
+def crowded(spark, range_words, chunks=10):
+    """A vocabulary in ranges, whose words are in every chunk."""
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 8))) for _ in range(1500)})
+    rows = [(chunk, w, rng.randint(0, 3)) for w in [*words, cm.END.decode()] for chunk in range(chunks)]
+    frame = spark.createDataFrame(rows, "chunk int, word string, n bigint")
+    return lm_scoring._ranges(frame, Scoring(range_words=range_words))
+
+
+def known_of(known):
+    """The words of each chunk with their counts and levels."""
+    packed, found = defaultdict(list), {}
+    for row in known.collect():
+        packed[row.chunk].append(bytes(row.known))
+    for chunk, own in packed.items():
+        words, counts, levels = lm_scoring._known(own)
+        assert len(set(words)) == len(words)
+        found[chunk] = dict(zip(words, counts.tolist(), strict=True)), Counter(levels.tolist())
+    return found
+
+
+def test_ranges_make_no_rows_of_their_own(spark, monkeypatch):
+    """A task adds up the decisions of all its ranges, and packs what it knows of them for a chunk together."""
+    made, plain = {}, lm_scoring.stored
+
+    def noted(df, label, *rest):
+        made[label] = plain(df, label, *rest)
+        return made[label]
+
+    monkeypatch.setattr(lm_scoring, "stored", noted)
+    seen = []
+    for range_words in (5000, 6):
+        vocabulary = crowded(spark, range_words)
+        model, known = lm_scoring.learned(vocabulary)
+        tally, rows = Counter(), 0
+        for row in made["lm-known"].where("code IS NOT NULL").collect():
+            tally[row.code] += row.n
+            rows += 1
+        tasks = vocabulary.rdd.getNumPartitions()
+        assert rows <= tasks * len(tally) and known.count() <= tasks * 10
+        seen.append((vocabulary.count(), tally, known_of(known), model.weights.tolist()))
+    assert seen[0][0] == 4 and seen[1][0] > 200
+    assert seen[0][1:] == seen[1][1:]
+
+
+def test_what_is_known_does_not_depend_on_the_lots(spark):
+    vocabulary = crowded(spark, 100)
+    _, whole = lm_scoring.learned(vocabulary)
+    _, cut = lm_scoring.learned(vocabulary, Scoring(known_bytes=5000))
+    assert cut.count() > 2 * whole.count()
+    assert known_of(cut) == known_of(whole)
+
+
 def test_one_occurrence_is_left_out_of_the_fit():
     training = TEXTS[:4]
     slow = Slow(training)

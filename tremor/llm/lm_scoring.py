@@ -4,7 +4,8 @@ Word counts of a large corpus fit on no single machine, and the documents' words
 one by one would be shuffled many times over. So documents are gathered into chunks of a few
 megabytes; each chunk's distinct words are counted, summed over the corpus, and what is known of them sent
 back to the chunks, which then score their documents. A frequent word is one row per chunk. Chunks and what goes back
-to them travel packed, a row for each chunk and for each range of the vocabulary that it has words of.
+to them travel packed, a row for each chunk and for each lot of ranges of the vocabulary that it has words of; a lot is
+what a task holds at a time, so that small ranges make no rows of their own.
 
 What the context-mixing model (:mod:`tremor.llm.context_mixing`) knows of a word's letters is a function of the word, so
 it is worked out once for every distinct word and travels with its count: the whole vocabulary is sorted into ranges,
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 from math import log10
 
 import numpy as np
@@ -33,11 +35,13 @@ from tremor.llm.common import slices, stored, strings_over, trimmed, utf8
 @dataclass(frozen=True)
 class Scoring:
     """``smoothing`` is added to every word's count. ``chunk_bytes``: from how much text a chunk is
-    closed. ``range_words``: about how many distinct words a range of the vocabulary has."""
+    closed. ``range_words``: about how many distinct words a range of the vocabulary has. ``known_bytes``: how much of
+    what is known of its ranges' words a task holds before it sends a row to each chunk concerned."""
 
     smoothing: float = 0.1
     chunk_bytes: int = 14 << 20
     range_words: int = 150_000
+    known_bytes: int = 16 << 20
 
 
 _ZSTD = pa.Codec("zstd", 3)
@@ -186,15 +190,16 @@ def _ranges(words: DataFrame, scoring: Scoring) -> DataFrame:
     return stored(ranged.select("chunk", "word", "n").mapInArrow(trimmed(run), _RANGE), "lm-vocabulary", "zstd")
 
 
-def _of_ranges(vocabulary: DataFrame, make: Callable[[dict], list], schema: str, names: list[str], types: list) -> DataFrame:
-    """What ``make`` gives for each range, as columns of the given names and types."""
+def _of_ranges(
+    vocabulary: DataFrame, make: Callable[[Iterator[dict]], Iterator[list]], schema: str, names: list[str], types: list
+) -> DataFrame:
+    """What ``make`` gives for the ranges of each task, as columns of the given names and types."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                columns = [pa.array(c, t) for c, t in zip(make(row), types, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names)
+        rows = (batch.slice(k, 1).to_pylist()[0] for batch in batches for k in range(batch.num_rows))
+        for made in make(rows):
+            columns = [pa.array(c, t) for c, t in zip(made, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return vocabulary.mapInArrow(trimmed(run), schema)
 
@@ -202,10 +207,15 @@ def _of_ranges(vocabulary: DataFrame, make: Callable[[dict], list], schema: str,
 def _pair_counts(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """``context_mixing.pair_counts`` of all training words. At most a row for each three bytes, far fewer in text."""
 
-    def make(row: dict) -> list:
-        counts = np.array(row["counts"], np.int64)
-        used = np.flatnonzero(counts)
-        return list(cm.pair_counts([row["words"][k] for k in used.tolist()], counts[used]))
+    def make(rows: Iterator[dict]) -> Iterator[list]:
+        keys = sums = np.zeros(0, np.int64)
+        for row in rows:
+            counts = np.array(row["counts"], np.int64)
+            used = np.flatnonzero(counts)
+            more, n = cm.pair_counts([row["words"][k] for k in used.tolist()], counts[used])
+            keys, index = np.unique(np.concatenate([keys, more]), return_inverse=True)
+            sums = np.bincount(index, np.concatenate([sums, n]), len(keys)).astype(np.int64)
+        yield [keys, sums]
 
     ranges = vocabulary.select("words", "counts")
     found = _of_ranges(ranges, make, "key bigint, n bigint", ["key", "n"], [pa.int64(), pa.int64()])
@@ -217,9 +227,10 @@ def _shared_beginnings(vocabulary: DataFrame) -> cm.Shared:
     """The counts of beginnings that several ranges have: of each range's first and last word, so a few hundred rows
     for each range."""
 
-    def make(row: dict) -> list:
-        rows = list(cm.border_counts(row["words"], np.array(row["counts"], np.int64)))
-        return [[row["part"]] * len(rows), *([r[k] for r in rows] for k in range(3))]
+    def make(rows: Iterator[dict]) -> Iterator[list]:
+        for row in rows:
+            found = list(cm.border_counts(row["words"], np.array(row["counts"], np.int64)))
+            yield [[row["part"]] * len(found), *([r[k] for r in found] for k in range(3))]
 
     schema, names = "part bigint, beginning binary, byte bigint, n bigint", ["part", "beginning", "byte", "n"]
     ranges = vocabulary.select("part", "words", "counts")
@@ -232,60 +243,82 @@ def _shared_beginnings(vocabulary: DataFrame) -> cm.Shared:
     return shared
 
 
-def _dealt(words: list[bytes], counts: np.ndarray, levels: np.ndarray, ends: np.ndarray, row: dict) -> tuple[list, list]:
-    """The chunks of a range and, for each, what is known of its words, packed: their counts, levels and spellings."""
+def _dealt(
+    words: list[bytes], counts: np.ndarray, levels: np.ndarray, ends: np.ndarray, row: dict
+) -> Iterator[tuple[int, bytes]]:
+    """The chunks of a range and, for each, what is known of its words: their counts, levels and spellings."""
     chunks = np.array(row["chunks"], np.int64)
     word = np.repeat(np.arange(len(words)), row["held"])
     order = np.argsort(chunks, kind="stable")
     numbers, begins = np.unique(chunks[order], return_index=True)
     starts = np.concatenate([[0], ends[:-1]])
-    packed = []
-    for first, last in zip(begins.tolist(), [*begins[1:].tolist(), len(order)], strict=True):
+    for number, first, last in zip(numbers.tolist(), begins.tolist(), [*begins[1:].tolist(), len(order)], strict=True):
         own = word[order[first:last]]
         cut = levels[cm.ranges(starts[own], (ends - starts)[own])]
         heads = np.stack([counts[own], (ends - starts)[own]]).astype("<i8")
         spelled = b" ".join([words[k] for k in own.tolist()])
-        packed.append(_packed(len(own).to_bytes(8, "little") + heads.tobytes() + cut.tobytes() + spelled))
-    return numbers.tolist(), packed
+        sizes = np.array([len(own), len(spelled)], "<i8")
+        yield number, b"".join([sizes.tobytes(), heads.tobytes(), cut.tobytes(), spelled])
 
 
 def _known(packed: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Words, counts and levels of a chunk, from what its ranges packed."""
+    """Words, counts and levels of a chunk, from what was packed for it: ``_dealt`` pieces one after another."""
     words: list[bytes] = []
     counts, levels = [], []
-    for piece in packed:
-        raw = _unpacked(piece)
-        n = int.from_bytes(raw[:8], "little")
-        heads = np.frombuffer(raw, "<i8", 2 * n, 8).reshape(2, n)
-        at = 8 + 16 * n
-        size = int(heads[1].sum())
-        words += raw[at + size :].split(b" ")
-        counts.append(heads[0])
-        levels.append(np.frombuffer(raw, np.uint8, size, at))
+    for pieces in packed:
+        raw, at = _unpacked(pieces), 0
+        while at < len(raw):
+            n, spelled = np.frombuffer(raw, "<i8", 2, at).tolist()
+            heads = np.frombuffer(raw, "<i8", 2 * n, at + 16).reshape(2, n)
+            at += 16 + 16 * n
+            size = int(heads[1].sum())
+            counts.append(heads[0])
+            levels.append(np.frombuffer(raw, np.uint8, size, at))
+            at += size + spelled
+            words += raw[at - spelled : at].split(b" ")
     return words, np.concatenate(counts), np.concatenate(levels)
 
 
-def learned(vocabulary: DataFrame) -> tuple[cm.Model, DataFrame]:
-    """The model of the ranges of words, and ``(chunk, known)``: for every chunk and range, what ``_known`` unpacks."""
+def learned(vocabulary: DataFrame, scoring: Scoring = Scoring()) -> tuple[cm.Model, DataFrame]:
+    """The model of the ranges of words, and ``(chunk, known)``: for every chunk and lot of ranges, what ``_known``
+    unpacks."""
     spark = vocabulary.sparkSession
     keys, sums = _pair_counts(vocabulary)
     alphabet = cm.Alphabet.of(np.bincount(keys & 255, sums, 256).astype(np.int64))
     pairs = cm.Pairs.of(keys, sums, alphabet)
     known = spark.sparkContext.broadcast((alphabet, pairs, _shared_beginnings(vocabulary)))
+    most = scoring.known_bytes
 
-    def make(row: dict) -> list:
+    def make(rows: Iterator[dict]) -> Iterator[list]:
         alphabet, pairs, shared = known.value
-        words, counts = row["words"], np.array(row["counts"], np.int64)
-        levels, without = cm.word_bytes(words, counts, alphabet, shared)
-        spelled = cm.Spelled.of(words)
         tally = np.zeros(cm.CODES)
-        for first, last, codes, ends in cm.codes_in_slices(spelled, without, alphabet, pairs):
-            tally += np.bincount(codes, np.repeat(counts[first:last], np.diff(ends, prepend=0)), cm.CODES)
-        chunks, packed = _dealt(words, counts, levels, cm.level_ends(spelled, alphabet), row)
-        # The tally of codes goes along as rows without a chunk.
-        used = np.flatnonzero(tally).tolist()
-        none, no = [None] * len(used), [None] * len(chunks)
-        return [[*chunks, *none], [*packed, *none], [*no, *used], [*no, *tally[used].astype(np.int64).tolist()]]
+        pieces: dict[int, list[bytes]] = {}
+        held = 0
+
+        def sent() -> list:
+            none = [None] * len(pieces)
+            return [list(pieces), [_packed(b"".join(own)) for own in pieces.values()], none, none]
+
+        def dealt(row: dict) -> Iterator[tuple[int, bytes]]:
+            words, counts = row["words"], np.array(row["counts"], np.int64)
+            levels, without = cm.word_bytes(words, counts, alphabet, shared)
+            spelled = cm.Spelled.of(words)
+            for first, last, codes, ends in cm.codes_in_slices(spelled, without, alphabet, pairs):
+                tally[:] += np.bincount(codes, np.repeat(counts[first:last], np.diff(ends, prepend=0)), cm.CODES)
+            yield from _dealt(words, counts, levels, cm.level_ends(spelled, alphabet), row)
+
+        # A range is let go of before the next one is unpacked.
+        for chunk, piece in chain.from_iterable(map(dealt, rows)):
+            pieces.setdefault(chunk, []).append(piece)
+            held += len(piece)
+            if held >= most:
+                yield sent()
+                pieces, held = {}, 0
+        yield sent()
+        # The tally of all the task's words goes along as rows without a chunk.
+        used = np.flatnonzero(tally)
+        none = [None] * len(used)
+        yield [none, none, used, tally[used].astype(np.int64)]
 
     names = ["chunk", "known", "code", "n"]
     types = [pa.int32(), pa.binary(), pa.int32(), pa.int64()]
@@ -315,7 +348,7 @@ def scored(
     counted = vocabulary.select(F.explode("counts").alias("c")).where("c > 0")
     sums = counted.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, whole = sums.n, sums.n + scoring.smoothing * (sums.v + 1)
-    model, known = learned(vocabulary)
+    model, known = learned(vocabulary, scoring)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     smoothing = scoring.smoothing
     names = ["doc_id", "trains", "n_tokens", "n_known", "train_tokens", "base_score", "score"]

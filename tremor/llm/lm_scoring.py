@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremor.llm import context_mixing as cm
-from tremor.llm.common import slices, stored, strings_over, trimmed, utf8
+from tremor.llm.common import slices, stored, strings_over, trim, trimmed, utf8
 
 
 @dataclass(frozen=True)
@@ -356,10 +356,16 @@ def scored(
     def run(chunk: pa.Table, known: pa.Table) -> pa.Table:
         words, counts, levels = _known(known.column("known").to_pylist())
         logs = np.log10((counts + smoothing) / whole) if tokens else np.zeros(len(words))
-        scorer = cm.Scorer(words, levels, shared.value)
         row = chunk.to_pylist()[0]
-        documents = _documents(row["sizes"], row["texts"], words)
+        documents = _documents(row["sizes"], row.pop("texts"), words)
+        # The texts are let go of before the words' codes are made, and what those are made of before they are used.
+        trim()
+        scorer = cm.Scorer(words, levels, shared.value)
+        del words, levels
+        trim()
         score = -scorer.bits(documents) * log10(2)
+        del scorer
+        trim()
         columns = [
             pa.array(row["doc_ids"], pa.int64()),
             pa.array(row["trains"], pa.bool_()),
